@@ -15,6 +15,9 @@ from threadlake import oracle as O
 from threadlake.operators import fulltext as FT
 from threadlake.plans import fts_query as Q
 from threadlake.plans import search as S
+from threadlake.plans import recall as R
+from threadlake.operators import sessions as SS
+from threadlake.operators import graph as G
 from threadlake.sources import driver_tables as D
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -111,6 +114,212 @@ def q_search(spark, sf):
                       "title", "node", "score")
 
 
+
+# --- sessions: numbering, headers, reads, stats -----------------------------
+
+@register("turn_numbering", """
+SELECT CAST(conv_id AS VARCHAR) AS session_id, CAST(turn AS INTEGER) AS turn,
+       CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS turn_idx
+FROM conversations WHERE role IN ('user', 'assistant') AND length(text) > 0""")
+def q_turn_numbering(spark, sf):
+    """P5: renumber the kept turns (user/assistant, non-empty) 0.. per session."""
+    c = D.table(spark, sf, "conversations")
+    c = c.filter(F.col("role").isin("user", "assistant") & (F.length("text") > 0))
+    c = c.select(F.col("conv_id").cast("string").alias("session_id"), F.col("turn").cast("int").alias("turn"))
+    return SS.number_within(c, "session_id", ["turn"], "turn_idx")
+
+
+@register("session_headers", f"""
+WITH {O.MODEL}
+SELECT session_id, min(ts) AS started_at, max(ts) AS ended_at, CAST(count(*) AS INTEGER) AS turn_count
+FROM turns GROUP BY session_id""")
+def q_headers(spark, sf):
+    return SS.session_headers(D.turns(spark, sf))
+
+
+RECENT_COLS = """replace(substr(coalesce(started_at, ''), 1, 19), 'T', ' ') AS started, turn_count,
+       substr(session_id, 1, 8) AS id8, coalesce(node, 'local') AS node, coalesce(source, 'code') AS source,
+       project, substr(coalesce(ai_title, '(no title)'), 1, 60) AS title"""
+
+
+@register("recent_sessions", f"""
+WITH {O.MODEL}
+SELECT {RECENT_COLS} FROM sessions ORDER BY started_at DESC NULLS LAST, session_id LIMIT 10""")
+def q_recent(spark, sf):
+    return SS.recent_sessions(D.sessions(spark, sf), 10)
+
+
+@register("recent_sessions_filtered", f"""
+WITH {O.MODEL}
+SELECT {RECENT_COLS} FROM sessions
+WHERE instr(lower(project), 'p3') > 0 AND source = 'code' AND node = 'n1'
+ORDER BY started_at DESC NULLS LAST, session_id LIMIT 5""")
+def q_recent_f(spark, sf):
+    return SS.recent_sessions(D.sessions(spark, sf), 5, project="P3", source="code", node="n1")
+
+
+RECALL_REQUESTS = [(1, "1", 1, 3), (2, "42", None, None), (3, "7", 2, None), (4, "zzz", None, None),
+                   (5, "3", None, 1)]
+
+
+def _requests_sql() -> str:
+    vals = ", ".join(f"({r}, '{p}', {'NULL' if a is None else a}, {'NULL' if b is None else b})"
+                     for r, p, a, b in RECALL_REQUESTS)
+    return f"req(request_id, id_or_prefix, idx_from, idx_to) AS (VALUES {vals})"
+
+
+@register("recall_session", f"""
+WITH {O.MODEL}, {_requests_sql()},
+best AS (SELECT request_id, min({{'ne': session_id <> id_or_prefix, 'sid': session_id}}).sid AS session_id
+         FROM req JOIN sessions ON starts_with(session_id, id_or_prefix) GROUP BY request_id)
+SELECT r.request_id, s.session_id, coalesce(s.ai_title, '(no title)') AS title,
+       coalesce(s.node, 'local') AS node, s.project, s.cwd, s.started_at, s.ended_at, s.turn_count,
+       t.turn_idx, replace(substr(coalesce(t.ts, ''), 1, 19), 'T', ' ') AS ts, t.role, t.text
+FROM req r JOIN best b USING (request_id) JOIN sessions s USING (session_id) JOIN turns t USING (session_id)
+WHERE (r.idx_from IS NULL OR t.turn_idx >= r.idx_from) AND (r.idx_to IS NULL OR t.turn_idx <= r.idx_to)""")
+def q_recall(spark, sf):
+    req = spark.createDataFrame(RECALL_REQUESTS, "request_id int, id_or_prefix string, idx_from int, idx_to int")
+    return SS.recall_session(req, D.sessions(spark, sf), D.turns(spark, sf))
+
+
+@register("session_counts", f"""
+WITH {O.MODEL}
+SELECT count(*) AS sessions, count(*) FILTER (WHERE source IS NULL OR source = 'code') AS code_sessions,
+       count(*) FILTER (WHERE source = 'chat') AS chat_sessions, min(started_at) AS earliest,
+       max(ended_at) AS latest FROM sessions""")
+def q_session_counts(spark, sf):
+    return SS.session_counts(D.sessions(spark, sf))
+
+
+@register("project_stats", f"""
+WITH {O.MODEL}
+SELECT project, count(*) AS sessions, CAST(sum(turn_count) AS BIGINT) AS turns FROM sessions
+GROUP BY project ORDER BY sessions DESC, project LIMIT 10""")
+def q_project_stats(spark, sf):
+    return SS.per_project(D.sessions(spark, sf))
+
+
+@register("node_stats", f"""
+WITH {O.MODEL}
+SELECT coalesce(node, 'local') AS node, count(*) AS sessions FROM sessions GROUP BY 1""")
+def q_node_stats(spark, sf):
+    return SS.per_node(D.sessions(spark, sf))
+
+
+@register("distinct_sessions", f"""
+WITH {O.MODEL}
+SELECT DISTINCT session_id FROM turns""")
+def q_distinct_sessions(spark, sf):
+    return SS.distinct_sessions(D.turns(spark, sf))
+
+
+EMBEDDABLE_SQL = r"""role IN ('user', 'assistant') AND length(text) >= 30
+  AND NOT starts_with(regexp_replace(text, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'), '[tool:')
+  AND NOT starts_with(regexp_replace(text, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'), '[result]')"""
+
+
+@register("embeddable_turns", f"""
+WITH {O.MODEL}
+SELECT session_id, turn_idx FROM turns WHERE {EMBEDDABLE_SQL}""")
+def q_embeddable(spark, sf):
+    return D.turns(spark, sf).filter(SS.embeddable()).select("session_id", "turn_idx")
+
+
+@register("usable_turns", f"""
+WITH {O.MODEL}
+SELECT session_id, turn_idx FROM turns
+WHERE text IS NOT NULL AND length(regexp_replace(text, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')) >= 10""")
+def q_usable(spark, sf):
+    return D.turns(spark, sf).filter(SS.usable_for_transcript()).select("session_id", "turn_idx")
+
+
+# --- graph -------------------------------------------------------------------
+
+POS_CTE = """pos AS (SELECT session_id, turn_idx,
+                 CAST(row_number() OVER (PARTITION BY session_id ORDER BY turn_idx) - 1 AS INTEGER) AS pos FROM turns)"""
+
+
+@register("temporal_edges", f"""
+WITH {O.MODEL}, {POS_CTE}
+SELECT a.session_id AS src_session_id, a.turn_idx AS src_turn_idx, b.session_id AS dst_session_id,
+       b.turn_idx AS dst_turn_idx, 'TEMPORAL' AS edge_type, 1.0::DOUBLE AS weight
+FROM pos a JOIN pos b ON a.session_id = b.session_id AND b.pos = a.pos + 1""")
+def q_temporal(spark, sf):
+    return G.wire_temporal(D.turns(spark, sf))
+
+
+@register("edge_check", f"""
+WITH {O.MODEL}
+SELECT count(*) AS turns, count(DISTINCT session_id) AS sessions,
+       count(*) - count(DISTINCT session_id) AS temporal_edges FROM turns""")
+def q_edge_check(spark, sf):
+    t = D.turns(spark, sf)
+    return G.edge_check(t, G.wire_temporal(t))
+
+
+@register("edge_counts", f"""
+WITH {O.MODEL}
+SELECT 'TEMPORAL' AS edge_type, count(*) - count(DISTINCT session_id) AS edges FROM turns""")
+def q_edge_counts(spark, sf):
+    return SS.edge_counts(G.wire_temporal(D.turns(spark, sf)))
+
+
+THREAD_BATCH = [
+    Q.Query(1, Q.phrase("of the")),
+    Q.Query(2, Q.all_of(Q.term("die"), Q.term("der"))),
+    Q.Query(3, Q.prefix("tion")),
+]
+
+
+def thread_sql(batch, max_hops, max_turns, seed_limit, snippet_len) -> str:
+    return f"""
+WITH {O.MODEL},{O.index_ctes()},{O.query_ctes(batch)},{O.score_ctes()}, {POS_CTE},
+seeds AS (SELECT query_id, session_id, turn_idx FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9), session_id, turn_idx) AS rn
+            FROM scored) WHERE rn <= {seed_limit}),
+sp AS (SELECT s.query_id, s.session_id, p.pos AS seed_pos FROM seeds s JOIN pos p USING (session_id, turn_idx)),
+cand AS (SELECT sp.query_id, p.session_id, p.turn_idx, min(abs(p.pos - sp.seed_pos)) AS dist
+         FROM sp JOIN pos p ON p.session_id = sp.session_id AND abs(p.pos - sp.seed_pos) <= {max_hops}
+         GROUP BY sp.query_id, p.session_id, p.turn_idx),
+per_h AS (SELECT query_id, dist, count(*) AS c FROM cand GROUP BY query_id, dist),
+cum AS (SELECT query_id, dist, sum(c) OVER (PARTITION BY query_id ORDER BY dist) AS cnt FROM per_h),
+hstar AS (SELECT query_id, least(coalesce(min(dist) FILTER (WHERE cnt >= {max_turns}), {max_hops}), {max_hops}) AS h
+          FROM cum GROUP BY query_id)
+SELECT c.query_id, c.session_id, c.turn_idx, replace(substr(coalesce(t.ts, ''), 1, 16), 'T', ' ') AS ts, t.role,
+       (sd.session_id IS NOT NULL) AS is_match,
+       CASE WHEN length(coalesce(t.text, '')) > {snippet_len} THEN substr(t.text, 1, {snippet_len}) || '...'
+            ELSE coalesce(t.text, '') END AS body,
+       coalesce(s.ai_title, '(no title)') AS title, s.project, substr(coalesce(s.started_at, ''), 1, 10) AS started,
+       s.started_at
+FROM cand c JOIN hstar h USING (query_id) JOIN turns t USING (session_id, turn_idx)
+JOIN sessions s USING (session_id)
+LEFT JOIN seeds sd ON sd.query_id = c.query_id AND sd.session_id = c.session_id AND sd.turn_idx = c.turn_idx
+WHERE c.dist <= h.h"""
+
+
+@register("thread_recall", thread_sql(THREAD_BATCH, 8, 60, 3, 300))
+def q_thread(spark, sf):
+    idx = index_of(spark, sf)
+    return R.thread_recall(idx, Q.query_table(spark, THREAD_BATCH), D.turns(spark, sf), D.sessions(spark, sf))
+
+
+@register("thread_recall_capped", thread_sql(THREAD_BATCH, 3, 4, 3, 80))
+def q_thread_capped(spark, sf):
+    idx = index_of(spark, sf)
+    return R.thread_recall(idx, Q.query_table(spark, THREAD_BATCH), D.turns(spark, sf), D.sessions(spark, sf),
+                           max_hops=3, max_turns=4, snippet_len=80)
+
+
+@register("thread_recall_loop", thread_sql(THREAD_BATCH, 3, 4, 3, 80))
+def q_thread_loop(spark, sf):
+    """Same as thread_recall_capped through the generic edge-walking loop."""
+    idx = index_of(spark, sf)
+    t = D.turns(spark, sf)
+    return R.thread_recall(idx, Q.query_table(spark, THREAD_BATCH), t, D.sessions(spark, sf),
+                           edges=G.wire_temporal(t), max_hops=3, max_turns=4, snippet_len=80,
+                           edge_types=("TEMPORAL", "SIMILAR_TO"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

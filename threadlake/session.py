@@ -16,6 +16,7 @@ def get_spark(app: str = "threadlake", cores: int | str | None = None,
     cores = cores or os.environ.get("BENCH_CPUS", "*")
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
          .config("spark.sql.adaptive.enabled", "true")
