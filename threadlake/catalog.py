@@ -19,6 +19,8 @@ from threadlake.plans import recall as R
 from threadlake.operators import sessions as SS
 from threadlake.operators import graph as G
 from threadlake.sources import driver_tables as D
+from threadlake.operators import vectors as V
+from threadlake.plans import similar as SIM
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -320,6 +322,161 @@ def q_thread_loop(spark, sf):
                            edge_types=("TEMPORAL", "SIMILAR_TO"))
 
 
+
+# --- vectors -------------------------------------------------------------------
+
+VECS_CTE = """
+vecs AS (SELECT t.session_id, t.turn_idx, e.embedding FROM (
+           SELECT CAST(conv_id AS VARCHAR) AS session_id, CAST(turn AS INTEGER) AS turn_idx,
+                  row_number() OVER (ORDER BY conv_id, turn) - 1 AS vpos FROM conversations) t
+         JOIN embeddings e ON e.vec_id = t.vpos)"""
+
+CENTROIDS_CTE = """
+ev AS (SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS d FROM embeddings),
+cm AS (SELECT label, d, avg(x) AS m FROM ev GROUP BY label, d),
+cl AS (SELECT label, list(m ORDER BY d) AS v FROM cm GROUP BY label),
+qv AS (SELECT CAST(label AS BIGINT) AS query_id,
+              list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS qvec FROM cl)"""
+
+
+def _cos_sql(a: str, b: str) -> str:
+    return (f"(1.0 - list_sum(list_transform(range(1, len({a}) + 1), "
+            f"lambda i: pow({a}[i]::DOUBLE - {b}[i]::DOUBLE, 2))) / 2.0)")
+
+
+def vecs_of(spark, sf):
+    return D.vecs(spark, sf)
+
+
+@register("vec_normalize", """
+WITH n AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE /
+                 sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE))))  AS v FROM embeddings)
+SELECT vec_id, round(sqrt(list_sum(list_transform(v, lambda y: y * y))), 6) AS norm, round(v[1], 6) AS x0,
+       len(v) AS dims FROM n""")
+def q_vec_normalize(spark, sf):
+    from threadlake.functions.vector import norm, normalize
+    e = D.table(spark, sf, "embeddings")
+    v = e.select("vec_id", normalize(F.col("embedding")).alias("v"))
+    return v.select("vec_id", F.round(norm(F.col("v")), 6).alias("norm"),
+                    F.round(F.col("v")[0], 6).alias("x0"), F.size("v").alias("dims"))
+
+
+@register("knn_centroids", f"""
+WITH {VECS_CTE},{CENTROIDS_CTE},
+pairs AS (SELECT q.query_id, v.session_id, v.turn_idx, {_cos_sql('q.qvec', 'v.embedding')} AS cos FROM qv q, vecs v),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cos, 9) DESC, session_id, turn_idx) AS knn_rank FROM pairs)
+SELECT query_id, session_id, turn_idx, round(sqrt(greatest(0, (1 - cos) * 2)), 6) AS distance, round(cos, 6) AS cos,
+       CAST(knn_rank AS INTEGER) AS knn_rank
+FROM r WHERE knn_rank <= 5""")
+def q_knn(spark, sf):
+    """V3: 5 nearest turn vectors to each label centroid of the embeddings."""
+    q = V.centroids(D.table(spark, sf, "embeddings"), "label", "embedding").select(
+        F.col("label").cast("long").alias("query_id"), "qvec")
+    out = V.knn(q, vecs_of(spark, sf), 5)
+    return out.select("query_id", "session_id", "turn_idx", F.round("distance", 6).alias("distance"),
+                      F.round("cos", 6).alias("cos"), F.col("knn_rank").cast("int").alias("knn_rank"))
+
+
+def similar_sql(k: int, thr: float) -> str:
+    return f"""
+WITH {O.MODEL}, {VECS_CTE}, {POS_CTE},
+temporal AS (SELECT a.session_id AS s1, a.turn_idx AS t1, b.session_id AS s2, b.turn_idx AS t2
+             FROM pos a JOIN pos b ON a.session_id = b.session_id AND b.pos = a.pos + 1),
+pairs AS (SELECT a.session_id AS src_session_id, a.turn_idx AS src_turn_idx, b.session_id AS dst_session_id,
+                 b.turn_idx AS dst_turn_idx, {_cos_sql('a.embedding', 'b.embedding')} AS cos
+          FROM vecs a, vecs b),
+r AS (SELECT *, row_number() OVER (PARTITION BY src_session_id, src_turn_idx
+                 ORDER BY round(cos, 9) DESC,
+                          CASE WHEN src_session_id = dst_session_id AND src_turn_idx = dst_turn_idx THEN 0 ELSE 1 END,
+                          dst_session_id, dst_turn_idx) AS rk
+      FROM pairs WHERE cos >= {thr})
+SELECT src_session_id, src_turn_idx, dst_session_id, dst_turn_idx, 'SIMILAR_TO' AS edge_type, round(cos, 6) AS weight
+FROM r WHERE rk <= {k + 1} AND NOT (src_session_id = dst_session_id AND src_turn_idx = dst_turn_idx)
+  AND NOT EXISTS (SELECT 1 FROM temporal t WHERE (t.s1 = src_session_id AND t.t1 = src_turn_idx
+                                                 AND t.s2 = dst_session_id AND t.t2 = dst_turn_idx)
+                                             OR (t.s2 = src_session_id AND t.t2 = src_turn_idx
+                                                 AND t.s1 = dst_session_id AND t.t1 = dst_turn_idx))"""
+
+
+@register("similar_edges", similar_sql(5, 0.35))
+def q_similar(spark, sf):
+    """V5 with threshold 0.35 (no pair of the driver vectors reaches 0.85)."""
+    t = D.turns(spark, sf)
+    return V.wire_similar(vecs_of(spark, sf), G.wire_temporal(t), k=5, threshold=0.35)
+
+
+@register("similar_edges_default", similar_sql(5, 0.85))
+def q_similar_default(spark, sf):
+    """V5 with the default K=5, threshold 0.85."""
+    t = D.turns(spark, sf)
+    return V.wire_similar(vecs_of(spark, sf), G.wire_temporal(t))
+
+
+@register("similar_edges_lsh")
+def q_similar_lsh(spark, sf):
+    """V5 approximate (LSH radius join); rows-only check, subset of the exact edges."""
+    return V.wire_similar_lsh(vecs_of(spark, sf), G.wire_temporal(D.turns(spark, sf)), k=5, threshold=0.35)
+
+
+AS_OF_SQL = "TIMESTAMP '2024-12-31 00:00:00'"
+
+
+def recency_sql(col: str) -> str:
+    ts = f"try_strptime({col}, '%Y-%m-%dT%H:%M:%SZ')"
+    return (f"CASE WHEN {ts} IS NULL THEN 0.5 ELSE greatest(0.0, 1.0 - greatest(0, floor(epoch({AS_OF_SQL} - {ts}) / 86400)) / 365.0) END")
+
+
+@register("recency_scores", f"""
+WITH {O.MODEL}
+SELECT session_id, round({recency_sql('started_at')}, 6) AS rec, round(least(1.0, turn_count / 50.0), 6) AS cplx
+FROM sessions""")
+def q_recency(spark, sf):
+    s = D.sessions(spark, sf)
+    return s.select("session_id", F.round(V.recency(F.col("started_at"), F.lit(D.AS_OF).cast("timestamp")), 6).alias("rec"),
+                    F.round(V.complexity(F.col("turn_count")), 6).alias("cplx"))
+
+
+@register("find_similar", f"""
+WITH {O.MODEL}, {VECS_CTE},{CENTROIDS_CTE},
+pairs AS (SELECT q.query_id, v.session_id, v.turn_idx, {_cos_sql('q.qvec', 'v.embedding')} AS cos FROM qv q, vecs v),
+knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cos, 9) DESC, session_id, turn_idx) AS knn_rank
+                       FROM pairs) WHERE knn_rank <= 30),
+j AS (SELECT k.*, t.ts, t.role, t.text, s.ai_title, s.project, s.started_at,
+             {recency_sql('s.started_at')} AS rec, least(1.0, s.turn_count / 50.0) AS cplx
+      FROM knn k JOIN turns t USING (session_id, turn_idx) JOIN sessions s USING (session_id)),
+h AS (SELECT *, 0.7 * cos + 0.2 * rec + 0.1 * cplx AS hybrid FROM j),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(hybrid, 9) DESC, knn_rank) AS rnk FROM h)
+SELECT query_id, CAST(rnk AS INTEGER) AS rank, session_id, turn_idx, round(hybrid, 6) AS hybrid, round(cos, 6) AS sem,
+       round(rec, 6) AS rec, round(cplx, 6) AS cplx, replace(substr(coalesce(ts, ''), 1, 16), 'T', ' ') AS ts, role, project,
+       substr(coalesce(ai_title, '(no title)'), 1, 50) AS title,
+       CASE WHEN length(coalesce(text, '')) > 300 THEN substr(text, 1, 300) || '...' ELSE coalesce(text, '') END AS body
+FROM r WHERE rnk <= 10""")
+def q_find_similar(spark, sf):
+    """V8: hybrid-ranked turns for each label centroid."""
+    q = V.centroids(D.table(spark, sf, "embeddings"), "label", "embedding").select(
+        F.col("label").cast("long").alias("query_id"), "qvec")
+    return SIM.find_similar(q, vecs_of(spark, sf), D.turns(spark, sf), D.sessions(spark, sf), D.AS_OF, 10)
+
+
+@register("embed_turns")
+def q_embed(spark, sf):
+    """V1 with the stand-in hashing encoder (rows-only check)."""
+    t = D.turns(spark, sf)
+    e = V.embed_turns(t, existing=vecs_of(spark, sf), dims=64)
+    from threadlake.functions.vector import norm
+    return e.select("session_id", "turn_idx", F.round(norm(F.col("embedding")), 6).alias("norm"))
+
+
+@register("embedding_coverage", f"""
+WITH {O.MODEL}, {VECS_CTE}
+SELECT (SELECT count(*) FROM vecs) AS embedded, (SELECT count(*) FROM turns WHERE {EMBEDDABLE_SQL}) AS embeddable,
+       CASE WHEN (SELECT count(*) FROM turns WHERE {EMBEDDABLE_SQL}) > 0
+            THEN round((SELECT count(*) FROM vecs) * 100.0 / (SELECT count(*) FROM turns WHERE {EMBEDDABLE_SQL}), 1)
+            ELSE 0.0 END AS embed_pct""")
+def q_coverage(spark, sf):
+    return SS.embedding_coverage(D.turns(spark, sf), vecs_of(spark, sf))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
