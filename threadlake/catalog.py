@@ -19,6 +19,7 @@ from threadlake.plans import recall as R
 from threadlake.operators import sessions as SS
 from threadlake.operators import graph as G
 from threadlake.sources import driver_tables as D
+from threadlake.operators import facts as FX
 from threadlake.operators import vectors as V
 from threadlake.plans import similar as SIM
 
@@ -477,6 +478,137 @@ def q_coverage(spark, sf):
     return SS.embedding_coverage(D.turns(spark, sf), vecs_of(spark, sf))
 
 
+
+# --- fact extraction -----------------------------------------------------------------
+
+EXTRACT_AS_OF = "2024-01-03T00:00:00Z"
+TRIM_SQL = r"regexp_replace({x}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+
+
+def pending_sql(as_of_sql: str, hours: int, max_sessions: int) -> str:
+    return f"""
+markers AS (SELECT session_id, 1 AS last_turn_idx FROM sessions WHERE node = 'n1'),
+win AS (SELECT s.*, coalesce(m.last_turn_idx, -1) AS since FROM sessions s LEFT JOIN markers m USING (session_id)
+        WHERE strptime(ended_at, '%Y-%m-%dT%H:%M:%SZ') > {as_of_sql} - INTERVAL {hours} HOUR AND turn_count >= 4),
+pending AS (SELECT session_id, ai_title, node, started_at, ended_at, turn_count, since FROM win
+            WHERE since < turn_count - 1 ORDER BY ended_at DESC, session_id LIMIT {max_sessions})"""
+
+
+def pack_sql(max_chars: int, max_turns: int, chunk: int) -> str:
+    return f"""
+tt AS (SELECT t.*, p.since FROM turns t JOIN pending p USING (session_id) WHERE t.turn_idx > p.since),
+u AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY turn_idx) AS rn, substr(text, 1, {chunk}) AS chunk
+      FROM tt WHERE text IS NOT NULL AND length({TRIM_SQL.format(x='text')}) >= 10),
+rr AS (SELECT *, sum(length(chunk)) OVER (PARTITION BY session_id ORDER BY turn_idx
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rs FROM u),
+kk AS (SELECT *, (rs <= {max_chars} AND rn <= {max_turns}) AS keep FROM rr),
+packed AS (SELECT session_id,
+                  string_agg('[' || role || ']: ' || chunk, chr(10) || chr(10) ORDER BY turn_idx) FILTER (WHERE keep) AS transcript,
+                  count(*) FILTER (WHERE keep) AS n_turns, min(turn_idx) FILTER (WHERE NOT keep) AS first_rejected
+           FROM kk GROUP BY session_id),
+cut AS (SELECT p.session_id, p.since, k.transcript, k.n_turns, k.first_rejected FROM pending p LEFT JOIN packed k USING (session_id)),
+reach AS (SELECT tt.session_id, max(tt.turn_idx) AS reach FROM tt JOIN cut c USING (session_id)
+          WHERE c.first_rejected IS NULL OR tt.turn_idx < c.first_rejected GROUP BY tt.session_id),
+pack AS (SELECT c.session_id, c.since, coalesce(c.transcript, '') AS transcript, coalesce(c.n_turns, 0) AS n_turns,
+                CAST(coalesce(r.reach, c.since) AS INTEGER) AS last_idx,
+                length(coalesce(c.transcript, '')) < 200 AS too_short
+         FROM cut c LEFT JOIN reach r USING (session_id))"""
+
+
+EX_AS_OF_SQL = "TIMESTAMP '2024-01-03 00:00:00'"
+
+
+@register("pending_sessions", f"""
+WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, 40)}
+SELECT * FROM pending""")
+def q_pending(spark, sf):
+    return FX.pending_sessions(D.sessions(spark, sf), D.markers(spark, sf), EXTRACT_AS_OF, 24)
+
+
+def _pending(spark, sf):
+    return FX.pending_sessions(D.sessions(spark, sf), D.markers(spark, sf), EXTRACT_AS_OF, 24)
+
+
+@register("pack_transcripts", f"""
+WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, 40)}, {pack_sql(12000, 150, 2000)}
+SELECT * FROM pack""")
+def q_pack(spark, sf):
+    return FX.pack_transcripts(_pending(spark, sf), D.turns(spark, sf))
+
+
+@register("pack_transcripts_tight", f"""
+WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, 40)}, {pack_sql(700, 3, 300)}
+SELECT * FROM pack""")
+def q_pack_tight(spark, sf):
+    """E2 with a small budget (700 chars, 3 turns, 300-char chunks) so the
+    overflow rules are exercised by the driver data."""
+    return FX.pack_transcripts(_pending(spark, sf), D.turns(spark, sf), 700, 3, 300)
+
+
+@register("marker_advance", f"""
+WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, 40)}, {pack_sql(700, 3, 300)},
+legacy AS (SELECT session_id FROM sessions WHERE source = 'chat'),
+allm AS (SELECT session_id, last_turn_idx FROM markers
+         UNION ALL SELECT session_id, last_idx FROM pack
+         UNION ALL SELECT l.session_id, s.turn_count - 1 FROM legacy l JOIN sessions s USING (session_id)
+                   WHERE l.session_id NOT IN (SELECT session_id FROM markers))
+SELECT session_id, CAST(max(last_turn_idx) AS INTEGER) AS last_turn_idx FROM allm GROUP BY session_id""")
+def q_markers(spark, sf):
+    """E9 after a tight-budget run with the stand-in extractor (which never
+    fails), plus legacy migration of chat sessions."""
+    packed = FX.pack_transcripts(_pending(spark, sf), D.turns(spark, sf), 700, 3, 300)
+    replies = FX.extract(packed, FX.stub_extractor)
+    return FX.advance_markers(D.markers(spark, sf), packed, replies,
+                              D.legacy_sessions(spark, sf), D.sessions(spark, sf))
+
+
+def _extraction(spark, sf):
+    sessions = D.sessions(spark, sf)
+    packed = FX.pack_transcripts(_pending(spark, sf), D.turns(spark, sf), 700, 3, 300)
+    replies = FX.extract(packed, FX.stub_extractor)
+    facts = FX.classify_facts(FX.parse_replies(replies))
+    rows = FX.memory_rows(facts, sessions, EXTRACT_AS_OF)
+    return packed, replies, facts, FX.dedupe(rows)
+
+
+@register("extract_facts")
+def q_extract(spark, sf):
+    """E4–E8 with the stand-in extractor: memory rows and their status."""
+    _, _, _, d = _extraction(spark, sf)
+    return d.select("session_id", "pos", "content", "status", F.col("metadata.tags").alias("tags"))
+
+
+@register("fact_classes")
+def q_fact_classes(spark, sf):
+    """Every parsed reply element with its class."""
+    _, _, facts, _ = _extraction(spark, sf)
+    return facts
+
+
+@register("extraction_report")
+def q_report(spark, sf):
+    """E10 / A9."""
+    packed, replies, facts, d = _extraction(spark, sf)
+    return FX.run_report(packed, replies, facts, d)
+
+
+@register("memory_dedupe", """
+WITH c AS (SELECT doc_id, '[' || lang || '] ' || text AS content, source FROM documents),
+mem AS (SELECT DISTINCT sha256(content) AS h FROM c WHERE source = 'src0'),
+f AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id) AS rn FROM c)
+SELECT doc_id, CASE WHEN rn = 1 AND sha256(content) NOT IN (SELECT h FROM mem) THEN 'stored' ELSE 'duplicate' END AS status
+FROM f""")
+def q_dedupe(spark, sf):
+    """E8 over the documents corpus: each document is a memory candidate
+    (content ``[lang] text``, order by doc_id); documents of source src0 are
+    already in memory."""
+    docs = D.table(spark, sf, "documents")
+    rows = docs.select("doc_id", F.concat(F.lit("["), F.col("lang"), F.lit("] "), F.col("text")).alias("content"),
+                       F.struct(F.col("doc_id").alias("k0")).alias("order_key"), "source")
+    memory = rows.filter(F.col("source") == "src0").select(F.sha2("content", 256).alias("content_hash"))
+    return FX.dedupe(rows.drop("source"), memory).select("doc_id", "status")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
