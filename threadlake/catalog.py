@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlake import oracle as O
+from threadlake.session import ensure_checkpoint_dir, ship_package
 from threadlake.operators import fulltext as FT
 from threadlake.plans import fts_query as Q
 from threadlake.plans import search as S
@@ -19,6 +20,9 @@ from threadlake.plans import recall as R
 from threadlake.operators import sessions as SS
 from threadlake.operators import graph as G
 from threadlake.sources import driver_tables as D
+from threadlake.streaming import pressure as PR
+from threadlake.operators import digest as DG
+from threadlake.functions.text import full_trim
 from threadlake.operators import facts as FX
 from threadlake.operators import vectors as V
 from threadlake.plans import similar as SIM
@@ -609,8 +613,146 @@ def q_dedupe(spark, sf):
     return FX.dedupe(rows.drop("source"), memory).select("doc_id", "status")
 
 
+
+# --- pressure monitor (batch and streaming) ---------------------------------------------
+
+CONTEXTS = (("purchase", 400), ("view", 300))   # model-name substrings → context size
+DEFAULT_CTX = 200
+
+BELLS_SQL_CTE = """
+u AS (SELECT event_id, CAST(user_id AS VARCHAR) AS session_id, ts, event_type AS model,
+             coalesce(value, 0) + 0.0 + 0 AS tokens FROM events),
+mx AS (SELECT *, CASE WHEN contains(model, 'purchase') THEN 400 WHEN contains(model, 'view') THEN 300 ELSE 200 END AS max_tokens FROM u),
+px AS (SELECT *, tokens / max_tokens * 100.0 AS pct FROM mx),
+bells AS (SELECT event_id, session_id, ts, tokens AS token_count, max_tokens, round(pct * 10.0) / 10.0 AS percentage,
+                 unnest(list_filter([70, 85, 95], lambda t: pct >= t)) AS level FROM px)"""
+
+BELLS_SQL = f"WITH {BELLS_SQL_CTE} SELECT * FROM bells"
+
+LATCH_SQL = f"""
+WITH {BELLS_SQL_CTE},
+st AS (SELECT event_id AS stop_event_id, CAST(user_id AS VARCHAR) AS session_id, ts FROM events WHERE event_type = 'purchase'),
+bs AS (SELECT b.*, st.stop_event_id FROM bells b ASOF JOIN st ON b.session_id = st.session_id AND b.ts <= st.ts),
+r AS (SELECT *, row_number() OVER (PARTITION BY stop_event_id ORDER BY level DESC, ts DESC, event_id DESC) AS rn FROM bs),
+best AS (SELECT * FROM r WHERE rn = 1)
+SELECT st.session_id, st.stop_event_id, st.ts, best.level, best.percentage, best.token_count,
+       CASE WHEN best.level IS NULL THEN 'periodic' ELSE 'bell_' || CAST(best.level AS VARCHAR) END AS label,
+       CASE WHEN coalesce(best.level, 0) >= 95 THEN 'critical' WHEN coalesce(best.level, 0) >= 85 THEN 'pressure'
+            ELSE 'none' END AS pressure
+FROM st LEFT JOIN best USING (stop_event_id)"""
+
+
+@register("usage_tokens", """
+SELECT event_id, CAST(user_id AS VARCHAR) AS session_id, coalesce(value, 0) + 0.0 + 0 AS tokens FROM events""")
+def q_usage(spark, sf):
+    return PR.usage_tokens(D.usage_events(spark, sf)).select("event_id", "session_id", "tokens")
+
+
+@register("pressure_bells", BELLS_SQL)
+def q_bells(spark, sf):
+    """ST2 + F12 with a fixture context table (purchase 400, view 300, else 200)."""
+    return PR.bells(D.usage_events(spark, sf), CONTEXTS, DEFAULT_CTX)
+
+
+@register("bell_latch", LATCH_SQL)
+def q_latch(spark, sf):
+    """ST3 / J8 / ST4 (batch, skew-safe as-of)."""
+    return PR.latch(PR.bells(D.usage_events(spark, sf), CONTEXTS, DEFAULT_CTX), D.stop_events(spark, sf))
+
+
+@register("pressure_bells_stream", BELLS_SQL)
+def q_bells_stream(spark, sf):
+    """ST2 as a Structured Streaming query over the events files."""
+    from threadlake.streaming.runner import run_available, table_stream
+    stream = PR.bells(D.usage_from_events(table_stream(spark, sf, "events")), CONTEXTS, DEFAULT_CTX)
+    return run_available(stream, "bells")
+
+
+@register("bell_latch_stream", LATCH_SQL)
+def q_latch_stream(spark, sf):
+    """ST3 as a stateful stream (applyInPandasWithState keyed by session)."""
+    from threadlake.streaming.runner import run_available, table_stream
+    stream = PR.latch_stream(D.usage_from_events(table_stream(spark, sf, "events")), CONTEXTS, DEFAULT_CTX)
+    return run_available(stream, "latch")
+
+
+# --- digests ---------------------------------------------------------------------------------
+
+def _messages(spark, sf):
+    t = D.turns(spark, sf)
+    return (t.select("session_id", F.col("turn_idx").alias("pos"), "ts", "role", full_trim(F.col("text")).alias("text"))
+            .filter(F.col("text") != ""))
+
+
+MSG_SQL = f"""
+m AS (SELECT session_id, turn_idx AS pos, ts, role, {TRIM_SQL.format(x='text')} AS text FROM turns
+      WHERE {TRIM_SQL.format(x='text')} <> '')"""
+
+
+@register("session_digest", f"""
+WITH {O.MODEL}, {MSG_SQL},
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY pos DESC) AS rk FROM m WHERE role = 'user') WHERE rk <= 5),
+uu AS (SELECT session_id, string_agg('  [' || substr(coalesce(ts, ''), 1, 16) || '] ' || replace(substr(text, 1, 200), chr(10), ' '),
+                                     chr(10) ORDER BY pos) AS recent_user FROM u GROUP BY session_id),
+a AS (SELECT session_id, arg_max(ts, pos) AS ats, arg_max(text, pos) AS atext FROM m WHERE role = 'assistant' GROUP BY session_id)
+SELECT coalesce(uu.session_id, a.session_id) AS session_id, uu.recent_user,
+       substr(a.ats, 1, 16) AS last_assistant_ts, substr(a.atext, 1, 1000) AS last_assistant
+FROM uu FULL JOIN a ON uu.session_id = a.session_id""")
+def q_digest(spark, sf):
+    """D1 (messages part) per session."""
+    return DG.user_assistant_digest(_messages(spark, sf))
+
+
+def _trigger_values() -> str:
+    return ", ".join(f"({i}, '{t.replace(chr(39), chr(39) * 2)}')" for i, t in enumerate(DG.CLOSE_TRIGGERS))
+
+
+@register("close_triggers", f"""
+WITH {O.MODEL}, {MSG_SQL},
+trig(i, t) AS (VALUES {_trigger_values()}),
+lu AS (SELECT session_id, arg_max(text, pos) AS last_user FROM m WHERE role = 'user' GROUP BY session_id)
+SELECT session_id, last_user,
+       (SELECT t FROM trig WHERE instr(lower(last_user), t) > 0 ORDER BY i LIMIT 1) AS trigger FROM lu""")
+def q_triggers(spark, sf):
+    """D4 / F11 / W5."""
+    return DG.close_triggers(_messages(spark, sf))
+
+
+@register("resume_context", """
+WITH st AS (SELECT event_id, CAST(user_id AS VARCHAR) AS session_id, ts,
+                   ['compact', 'resume', 'startup', 'clear'][event_id % 4 + 1] AS source
+            FROM events WHERE event_type = 'signup'),
+ck AS (SELECT event_id AS ck_id, CAST(user_id AS VARCHAR) AS session_id, ts AS saved_at, props AS ck_body
+       FROM events WHERE event_type = 'view'),
+sb AS (SELECT CAST(user_id AS VARCHAR) AS session_id, arg_max(props, ts) AS st_body FROM events
+       WHERE event_type = 'click' GROUP BY 1),
+j AS (SELECT st.*, ck.saved_at, ck.ck_body FROM st ASOF LEFT JOIN ck ON st.session_id = ck.session_id AND st.ts >= ck.saved_at),
+k AS (SELECT j.*, sb.st_body,
+             CASE WHEN source = 'compact' AND saved_at IS NOT NULL AND (epoch_us(ts) - epoch_us(saved_at)) / 6e7 < 180
+                  THEN 'checkpoint'
+                  WHEN source IN ('compact', 'resume') AND sb.st_body IS NOT NULL AND sb.st_body <> '' THEN 'state'
+                  ELSE 'none' END AS inject
+      FROM j LEFT JOIN sb USING (session_id))
+SELECT event_id, session_id, ts, source, inject,
+       CASE WHEN inject = 'checkpoint' THEN substr(ck_body, 1, 4000) WHEN inject = 'state' THEN substr(st_body, 1, 3000) END AS body
+FROM k""")
+def q_resume(spark, sf):
+    """D5 / J9 (skew-safe as-of join on the checkpoint stream)."""
+    return DG.resume_context(D.start_events(spark, sf), D.checkpoints(spark, sf), D.project_state(spark, sf))
+
+
+def _prepared(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_checkpoint_dir(spark)
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v[0] for k, v in REGISTRY.items()}
+    return {k: _prepared(v[0]) for k, v in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -29,6 +29,7 @@ def get_spark(app: str = "threadlake", cores: int | str | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -60,3 +61,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     import uuid
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``threadlake`` importable in Python workers (``addPyFile`` of a
+    zip of the package; Spark distributes it to every executor).  Idempotent
+    per application."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="threadlake-pkg-"), "threadlake.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)

@@ -104,8 +104,12 @@ def vecs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """usage(event_id, session_id, ts, type, model, input_tokens,
-    cache_read_input_tokens, cache_creation_input_tokens)."""
-    e = table(spark, sf_dir, "events")
+    cache_read_input_tokens, cache_creation_input_tokens, is_stop)."""
+    return usage_from_events(table(spark, sf_dir, "events"))
+
+
+def usage_from_events(e: DataFrame) -> DataFrame:
+    """Row mapping for batch or streaming ``events``."""
     return e.select(
         "event_id",
         F.col("user_id").cast("string").alias("session_id"),
@@ -115,6 +119,7 @@ def usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("input_tokens"),
         F.lit(0.0).alias("cache_read_input_tokens"),
         F.lit(None).cast("double").alias("cache_creation_input_tokens"),
+        (F.col("event_type") == "purchase").alias("is_stop"),
     )
 
 
