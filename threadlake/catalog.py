@@ -741,6 +741,161 @@ def q_resume(spark, sf):
     return DG.resume_context(D.start_events(spark, sf), D.checkpoints(spark, sf), D.project_state(spark, sf))
 
 
+
+# --- raw ingest (JSONL sessions and chat export written by Spark from the tables) ----------
+
+INDEXED_AT = "2024-12-31T00:00:00Z"
+
+
+def _export_jsonl(spark, sf):
+    from threadlake.session import scratch_path
+    from threadlake.sources import export as EX
+    root = scratch_path(spark, "jsonl-export")
+    EX.write_jsonl(EX.session_lines(D.turns(spark, sf), D.sessions(spark, sf)), root)
+    return root
+
+
+def _ingested(spark, sf):
+    from threadlake.sources import jsonl as J
+    return J.ingest(spark, _export_jsonl(spark, sf), INDEXED_AT, fleet=True)
+
+
+INGEST_TURNS_SQL = f"""
+WITH {O.MODEL},
+k AS (SELECT * FROM turns WHERE role IN ('user', 'assistant'))
+SELECT session_id, CAST(row_number() OVER (PARTITION BY session_id ORDER BY turn_idx) - 1 AS INTEGER) AS turn_idx, ts, role,
+       CASE WHEN role = 'user' THEN text
+            ELSE text || CASE WHEN turn_idx % 3 = 1 THEN chr(10) || '[tool:Edit]' ELSE '' END
+                 || chr(10) || '[tool:Bash] step ' || CAST(turn_idx AS VARCHAR) END AS text
+FROM k"""
+
+
+@register("ingest_turns", INGEST_TURNS_SQL)
+def q_ingest_turns(spark, sf):
+    """Turns read back from per-session JSONL files."""
+    return _ingested(spark, sf)["turns"].select("session_id", "turn_idx", "ts", "role", "text")
+
+
+INGEST_SESSIONS_COLS = """s.session_id, s.project, s.ai_title,
+       CASE WHEN a.n_user > 0 THEN s.cwd END AS cwd, a.started_at, a.ended_at, a.turn_count"""
+
+INGEST_AGG = f"""
+WITH {O.MODEL},
+a AS (SELECT session_id, min(ts) AS started_at, max(ts) AS ended_at, CAST(count(*) AS INTEGER) AS turn_count,
+             count(*) FILTER (WHERE role = 'user') AS n_user
+      FROM turns WHERE role IN ('user', 'assistant') GROUP BY session_id)"""
+
+
+@register("ingest_sessions", f"""{INGEST_AGG}
+SELECT {INGEST_SESSIONS_COLS}, 'code' AS source, coalesce(s.node, 'local') AS node
+FROM sessions s JOIN a USING (session_id)""")
+def q_ingest_sessions(spark, sf):
+    """Session headers from the JSONL lines (node from the path)."""
+    return _ingested(spark, sf)["sessions"].select(
+        "session_id", "project", "ai_title", "cwd", "started_at", "ended_at", "turn_count", "source", "node")
+
+
+@register("ingest_quarantine", """
+SELECT CAST(conv_id AS VARCHAR) AS session_id, 'malformed json' AS reason, '{broken' AS line
+FROM (SELECT DISTINCT conv_id FROM conversations) WHERE conv_id % 9 = 0""")
+def q_quarantine(spark, sf):
+    """Lines set aside (not JSON objects)."""
+    return _ingested(spark, sf)["quarantine"].select("session_id", "reason", "line")
+
+
+@register("ingest_summary", f"""{INGEST_AGG}
+SELECT count(*) AS new_or_updated, 0::BIGINT AS unchanged, count(*) FILTER (WHERE CAST(session_id AS BIGINT) % 9 = 0) AS errors,
+       count(*) AS sessions, CAST(sum(turn_count) AS BIGINT) AS turns FROM a""")
+def q_summary(spark, sf):
+    """S9 for a first run (nothing stored yet)."""
+    from threadlake.sources import jsonl as J
+    g = _ingested(spark, sf)
+    empty = g["sessions"].limit(0)
+    out = J.run_summary(J.file_manifest(g["lines"]), empty, g["sessions"], g["quarantine"], g["sessions"], g["turns"])
+    return out.select("new_or_updated", "unchanged", "errors", "sessions", "turns")
+
+
+ROSTER = ("n0", "n1", "n2", "local", "n9")
+
+
+@register("node_coverage", f"""
+WITH {O.MODEL},
+roster(node) AS (VALUES {', '.join(f"('{n}')" for n in ROSTER)}),
+f AS (SELECT coalesce(node, 'local') AS node, count(*) AS files FROM sessions GROUP BY 1)
+SELECT coalesce(r.node, f.node) AS node, coalesce(f.files, 0) AS files,
+       CASE WHEN f.files IS NULL THEN 'no transcripts' ELSE 'ok' END AS status
+FROM roster r FULL JOIN f ON r.node = f.node""")
+def q_coverage_nodes(spark, sf):
+    """Files per node against a roster (n9 has none)."""
+    from threadlake.sources import jsonl as J
+    g = _ingested(spark, sf)
+    roster = spark.createDataFrame([(n,) for n in ROSTER], "node string")
+    return J.node_coverage(J.file_manifest(g["lines"]), roster)
+
+
+@register("upsert_sessions", f"""{INGEST_AGG}
+SELECT {INGEST_SESSIONS_COLS}, 'code' AS source,
+       CASE WHEN CAST(s.session_id AS BIGINT) % 5 = 0 THEN coalesce(s.node, 'local') ELSE 'local' END AS node
+FROM sessions s JOIN a USING (session_id)""")
+def q_upsert(spark, sf):
+    """An older snapshot (no source/node columns; chat-id sessions
+    stale) is brought up to date by replacing the changed sessions."""
+    from threadlake.sources import jsonl as J
+    g = _ingested(spark, sf)
+    fresh = g["sessions"]
+    stale = F.col("session_id").cast("long") % 5 == 0
+    old = fresh.select(
+        "session_id", "project", F.when(stale, F.lit("stale title")).otherwise(F.col("ai_title")).alias("ai_title"),
+        "cwd", "started_at", "ended_at", "turn_count", "file_path",
+        F.when(stale, F.lit(0).cast("timestamp")).otherwise(F.col("file_mtime")).alias("file_mtime"))
+    changed = J.changed_files(J.file_manifest(g["lines"]), old)
+    new = fresh.join(changed.select("session_id"), "session_id", "left_semi")
+    out = J.with_defaults(J.upsert(old, new, changed))
+    return out.select("session_id", "project", "ai_title", "cwd", "started_at", "ended_at", "turn_count",
+                      "source", "node")
+
+
+def _chat(spark, sf):
+    from threadlake.session import scratch_path
+    from threadlake.sources import chat as CH
+    from threadlake.sources import export as EX
+    root = scratch_path(spark, "chat-export")
+    EX.write_chat_export(EX.chat_objects(D.turns(spark, sf), D.sessions(spark, sf)), root)
+    return CH.read_export(spark, root)
+
+
+@register("chat_turns", f"""
+WITH {O.MODEL},
+c AS (SELECT t.* FROM turns t JOIN sessions s USING (session_id) WHERE s.source = 'chat'),
+m AS (SELECT 'c' || session_id AS session_id, turn_idx AS o, ts,
+             CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END AS role,
+             CASE WHEN role = 'system' THEN '' ELSE text END
+             || CASE WHEN turn_idx = 0 THEN chr(10) || '[attachment: notes.txt]' ELSE '' END AS text FROM c),
+k AS (SELECT * FROM m WHERE {TRIM_SQL.format(x='text')} <> '')
+SELECT session_id, CAST(row_number() OVER (PARTITION BY session_id ORDER BY o) - 1 AS INTEGER) AS turn_idx, ts, role, text FROM k
+UNION ALL
+SELECT 'c' || session_id, -1, started_at, 'summary', 'summary of ' || session_id FROM sessions
+WHERE source = 'chat' AND CAST(session_id AS BIGINT) % 10 = 0""")
+def q_chat_turns(spark, sf):
+    """Chat-export conversations → turns (summary as turn −1)."""
+    from threadlake.sources import chat as CH
+    return CH.conversation_turns(_chat(spark, sf))
+
+
+@register("chat_sessions", f"""
+WITH {O.MODEL}
+SELECT 'c' || session_id AS session_id, 'chat.claude.ai' AS project, coalesce(nullif(ai_title, ''), '(no name)') AS ai_title,
+       started_at, ended_at, turn_count,
+       epoch(strptime(ended_at, '%Y-%m-%dT%H:%M:%SZ'))::DOUBLE AS file_mtime, 'chat' AS source
+FROM sessions WHERE source = 'chat'""")
+def q_chat_sessions(spark, sf):
+    """Chat session rows (file_mtime = updated-at epoch)."""
+    from threadlake.sources import chat as CH
+    out = CH.conversation_sessions(_chat(spark, sf), INDEXED_AT)
+    return out.select("session_id", "project", "ai_title", "started_at", "ended_at", "turn_count",
+                      F.col("file_mtime").cast("double").alias("file_mtime"), "source")
+
+
 def _prepared(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
