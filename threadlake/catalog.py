@@ -896,6 +896,69 @@ def q_chat_sessions(spark, sf):
                       F.col("file_mtime").cast("double").alias("file_mtime"), "source")
 
 
+
+RAW_TRIM = TRIM_SQL.format(x="text")
+
+
+@register("digest_raw", f"""
+WITH {O.MODEL},
+ua AS (SELECT * FROM turns WHERE role IN ('user', 'assistant')),
+u AS (SELECT session_id, turn_idx AS pos, substr(ts, 1, 16) AS ts, {RAW_TRIM} AS text FROM ua
+      WHERE role = 'user' AND {RAW_TRIM} <> ''),
+u5 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY pos DESC) AS rk FROM u) WHERE rk <= 5),
+uu AS (SELECT session_id, string_agg('  [' || ts || '] ' || replace(substr(text, 1, 200), chr(10), ' '), chr(10) ORDER BY pos)
+              AS recent_user FROM u5 GROUP BY session_id),
+a AS (SELECT session_id, arg_max(substr(ts, 1, 16), turn_idx) AS last_assistant_ts,
+             substr(arg_max({RAW_TRIM}, turn_idx), 1, 1000) AS last_assistant
+      FROM ua WHERE role = 'assistant' AND {RAW_TRIM} <> '' GROUP BY session_id),
+f AS (SELECT ua.session_id, '/src/' || s.project || '/f' || CAST(turn_idx % 4 AS VARCHAR) || '.py' AS fp, min(turn_idx) AS first
+      FROM ua JOIN sessions s USING (session_id) WHERE role = 'assistant' AND turn_idx % 3 = 1 GROUP BY 1, 2),
+f20 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY first DESC) AS rk FROM f) WHERE rk <= 20),
+ff AS (SELECT session_id, string_agg(fp, chr(10) ORDER BY first) AS files FROM f20 GROUP BY session_id),
+o AS (SELECT session_id, turn_idx, 'step ' || CAST(turn_idx AS VARCHAR) AS op FROM ua WHERE role = 'assistant'),
+o10 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY turn_idx DESC) AS rk FROM o) WHERE rk <= 10),
+oo AS (SELECT session_id, string_agg(op, chr(10) ORDER BY turn_idx) AS ops FROM o10 GROUP BY session_id)
+SELECT session_id, recent_user, last_assistant_ts, last_assistant, files, ops
+FROM uu FULL JOIN a USING (session_id) FULL JOIN ff USING (session_id) FULL JOIN oo USING (session_id)""")
+def q_digest_raw(spark, sf):
+    """D1–D3 / F10 / W3–W5 from the raw transcript records."""
+    from threadlake.sources import jsonl as J
+    g = _ingested(spark, sf)
+    msgs, tools = J.digest_inputs(g["records"])
+    d = DG.session_digest(msgs, tools)
+    return d.select("session_id", "recent_user", "last_assistant_ts", "last_assistant",
+                    F.array_join("files", "\n").alias("files"), F.array_join("ops", "\n").alias("ops"))
+
+
+@register("checkpoint_render")
+def q_checkpoint_render(spark, sf):
+    """D1 rendered as the checkpoint text (rows-only)."""
+    from threadlake.sources import jsonl as J
+    msgs, tools = J.digest_inputs(_ingested(spark, sf)["records"])
+    return DG.render_checkpoint(DG.session_digest(msgs, tools))
+
+
+@register("continuous_ingest", f"""{INGEST_AGG}
+SELECT {INGEST_SESSIONS_COLS}, 'code' AS source, coalesce(s.node, 'local') AS node
+FROM sessions s JOIN a USING (session_id)""")
+def q_continuous(spark, sf):
+    """ST5: the JSONL files arrive through a file stream (40 files per
+    micro-batch); every batch upserts into a new sessions/turns snapshot."""
+    from threadlake.session import scratch_path
+    from threadlake.sources import snapshots as SN
+    from threadlake.streaming.ingest import start_ingest
+    landing = _export_jsonl(spark, sf)
+    base = scratch_path(spark, "store")
+    q = start_ingest(spark, landing, base, scratch_path(spark, "ingest-ckpt"), INDEXED_AT,
+                     available_now=True, files_per_batch=40)
+    q.awaitTermination(900)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    out = SN.read_latest(spark, base, "sessions")
+    return out.select("session_id", "project", "ai_title", "cwd", "started_at", "ended_at", "turn_count",
+                      "source", "node")
+
+
 def _prepared(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)

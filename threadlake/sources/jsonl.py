@@ -179,3 +179,30 @@ def node_coverage(manifest: DataFrame, roster: DataFrame) -> DataFrame:
     return out.select("node", F.coalesce("files", F.lit(0)).alias("files"),
                       F.when(F.col("files").isNull(), F.lit("no transcripts"))
                       .otherwise(F.lit("ok")).alias("status"))
+
+
+def digest_inputs(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Messages and tool uses for digests (P2, F10, D2/D3 inputs).
+
+    messages(session_id, pos, ts, role, text): user messages whose content has
+    no tool_result block (text blocks joined by a space), and assistant
+    messages with block content (text blocks joined by a newline; plain
+    string assistant content is skipped, ledger 8.25).
+    tool_uses(session_id, pos, name, file_path, description, command).
+    """
+    from threadlake.functions.content import flatten_prose, has_tool_result, is_array, tool_uses
+
+    pos = F.struct("block", "mid")
+    content = vget(F.col("v"), "$.message.content", "variant")
+    ts = F.substring(F.coalesce(vget(F.col("v"), "$.timestamp"), F.lit("")), 1, 16)
+    user = (records.filter((F.col("kind") == "user") & ~F.coalesce(has_tool_result(content), F.lit(False)))
+            .select("session_id", pos.alias("pos"), ts.alias("ts"), F.lit("user").alias("role"),
+                    flatten_prose(content, " ").alias("text")))
+    asst_rows = records.filter((F.col("kind") == "assistant") & is_array(content))
+    asst = asst_rows.select("session_id", pos.alias("pos"), ts.alias("ts"), F.lit("assistant").alias("role"),
+                            flatten_prose(content, "\n").alias("text"))
+    msgs = user.unionByName(asst).filter(F.col("text") != "")
+    tools = (asst_rows.select("session_id", pos.alias("pos"), F.posexplode(tool_uses(content)).alias("k", "tu"))
+             .select("session_id", F.struct(F.col("pos.block"), F.col("pos.mid"), F.col("k")).alias("pos"),
+                     "tu.name", "tu.file_path", "tu.description", "tu.command"))
+    return msgs, tools
