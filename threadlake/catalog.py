@@ -122,6 +122,16 @@ def q_search(spark, sf):
 
 
 
+
+@register("search_snippets")
+def q_snippets(spark, sf):
+    """X8 on the top-k rows of the search batch (rows-only check)."""
+    from threadlake.plans.snippet import add_snippets
+    idx = index_of(spark, sf)
+    qt = Q.query_table(spark, SEARCH_BATCH)
+    hits = S.search_sessions(idx, qt, D.turns(spark, sf), D.sessions(spark, sf))
+    return add_snippets(hits, qt).select("query_id", "rank", "session_id", "turn_idx", "snippet")
+
 # --- sessions: numbering, headers, reads, stats -----------------------------
 
 @register("turn_numbering", """

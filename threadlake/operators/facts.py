@@ -33,7 +33,7 @@ FACT_TYPES = ("decision", "config", "outcome", "correction", "discovery")
 # --- E1 --------------------------------------------------------------------------
 
 def pending_sessions(sessions: DataFrame, markers: DataFrame, as_of: str, hours: int = 24,
-                     min_turns: int = 4, max_sessions: int = MAX_SESSIONS_PER_RUN,
+                     min_turns: int = 4, max_sessions: int | None = MAX_SESSIONS_PER_RUN,
                      session_id: str | None = None) -> DataFrame:
     """Sessions to process this run with their ``since`` marker.
 
@@ -50,7 +50,8 @@ def pending_sessions(sessions: DataFrame, markers: DataFrame, as_of: str, hours:
     s = sessions.filter(in_recent_window(F.lit(as_of).cast("timestamp"), hours, min_turns))
     s = s.join(m, "session_id", "left").withColumn("since", F.coalesce("_marker", F.lit(-1)))
     s = s.filter(F.col("since") < F.col("turn_count") - 1)
-    top = s.orderBy(F.col("ended_at").desc(), F.col("session_id")).limit(max_sessions)
+    # W6 cap (None = every pending session; a huge limit would plan a huge top-k buffer)
+    top = s if max_sessions is None else s.orderBy(F.col("ended_at").desc(), F.col("session_id")).limit(max_sessions)
     return top.select("session_id", "ai_title", "node", "started_at", "ended_at", "turn_count", "since")
 
 
