@@ -29,3 +29,17 @@ def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_idx
     return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(name, F.col("_off") + F.col("_local"))
             .drop("_mid", "_pid", "_local", "_off"))
+
+
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash-partition by ``keys`` when the input has fewer partitions than the
+    cluster has cores (e.g. one large row group), so CPU-heavy per-row work
+    runs in parallel.  Later aggregations grouped by a superset of ``keys``
+    reuse this partitioning (no second exchange).  Well-partitioned input is
+    left alone."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - streaming or unplannable input
+        return df
+    return df.repartition(want, *keys) if n < want else df

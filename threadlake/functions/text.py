@@ -37,8 +37,10 @@ TOKEN_PATTERN = r"([\p{L}\p{N}]+)"
 
 
 def fold(col: Column) -> Column:
-    """Lower-case and strip diacritics."""
-    return F.translate(F.lower(col), FOLD_FROM, FOLD_TO)
+    """Lower-case and strip diacritics (the per-character translate only runs
+    on values that contain non-ASCII characters)."""
+    low = F.lower(col)
+    return F.when(low.rlike(r"[^\x00-\x7F]"), F.translate(low, FOLD_FROM, FOLD_TO)).otherwise(low)
 
 
 def tokenize(col: Column) -> Column:

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadlake.functions.indexing import spread
 from threadlake.functions.text import tokenize
 
 DOC_KEYS = ["session_id", "turn_idx"]
@@ -26,7 +27,11 @@ TERM_BUCKETS = 64
 
 def tokens(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
     """One row per token occurrence: (<keys>, pos, token)."""
-    return docs.select(*keys, F.posexplode(tokenize(F.col(text_col))).alias("pos", "token"))
+    # posexplode_outer: a plain posexplode makes the optimizer infer a
+    # size(tokens) > 0 filter and push that tokenization below the repartition
+    t = spread(docs.select(*keys, text_col), keys).select(
+        *keys, F.posexplode_outer(tokenize(F.col(text_col))).alias("pos", "token"))
+    return t.filter(F.col("token").isNotNull())
 
 
 def build_postings(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
@@ -34,11 +39,13 @@ def build_postings(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str =
 
     All tokens of a document live in one input partition, so the partial
     (map-side) aggregation already produces the final (doc, term) rows and the
-    shuffle carries one row per posting, not one per token.
+    shuffle carries one row per posting, not one per token.  When the input
+    had to be spread by document key first, the aggregation reuses that
+    partitioning and no second exchange is planned.
     """
-    toks = docs.select(*keys, tokenize(F.col(text_col)).alias("_toks"))
+    toks = spread(docs.select(*keys, text_col), keys).select(*keys, tokenize(F.col(text_col)).alias("_toks"))
     exploded = toks.select(*keys, F.size("_toks").alias("doc_len"),
-                           F.posexplode("_toks").alias("pos", "term"))
+                           F.posexplode_outer("_toks").alias("pos", "term")).filter(F.col("term").isNotNull())
     return (exploded.groupBy("term", *keys)
             .agg(F.count(F.lit(1)).cast("int").alias("tf"),
                  F.array_sort(F.collect_list("pos")).alias("positions"),
@@ -46,7 +53,7 @@ def build_postings(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str =
 
 
 def doc_lengths(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
-    return docs.select(*keys, F.size(tokenize(F.col(text_col))).cast("int").alias("doc_len"))
+    return spread(docs.select(*keys, text_col), keys).select(*keys, F.size(tokenize(F.col(text_col))).cast("int").alias("doc_len"))
 
 
 def term_stats(postings: DataFrame) -> DataFrame:

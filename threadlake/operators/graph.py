@@ -28,8 +28,21 @@ EDGE_COLS = ["src_session_id", "src_turn_idx", "dst_session_id", "dst_turn_idx",
 
 
 def positions(turns: DataFrame) -> DataFrame:
-    """(session_id, turn_idx, pos): dense 0-based position in turn_idx order."""
-    return number_within(turns.select("session_id", "turn_idx"), "session_id", ["turn_idx"], "pos")
+    """(session_id, turn_idx, pos): dense 0-based position in turn_idx order.
+
+    Sessions whose turn numbers are already contiguous (the normal case: ingest
+    numbers turns 0..n−1, plus −1 for a summary) get ``turn_idx − min`` from one
+    partial-aggregated min/max/count; only the others go through the exact
+    distributed numbering."""
+    t = turns.select("session_id", "turn_idx")
+    st = t.groupBy("session_id").agg(F.min("turn_idx").alias("_lo"), F.max("turn_idx").alias("_hi"),
+                                     F.count(F.lit(1)).alias("_n"))
+    dense = st.filter(F.col("_hi") - F.col("_lo") + 1 == F.col("_n")).select("session_id", "_lo")
+    sparse = st.filter(F.col("_hi") - F.col("_lo") + 1 != F.col("_n")).select("session_id")
+    fast = t.join(dense, "session_id").select("session_id", "turn_idx",
+                                               (F.col("turn_idx") - F.col("_lo")).cast("int").alias("pos"))
+    slow = number_within(t.join(sparse, "session_id", "left_semi"), "session_id", ["turn_idx"], "pos")
+    return fast.unionByName(slow.select("session_id", "turn_idx", "pos"))
 
 
 def wire_temporal(turns: DataFrame, pos: DataFrame | None = None) -> DataFrame:

@@ -29,9 +29,11 @@ B = 0.75
 IDF_FLOOR = 1e-6
 
 
-def query_terms(index: FullTextIndex, queries: DataFrame) -> DataFrame:
-    """(query_id, pno, plen, off, term) for every query token; prefix tokens are
-    expanded against the term dictionary."""
+def query_terms(index: FullTextIndex, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(exact, expanded): (query_id, pno, plen, off, term) for every query
+    token.  ``exact`` holds the literal tokens (size bounded by the batch);
+    ``expanded`` the dictionary terms matching prefix tokens (size depends on
+    the dictionary, so the planner sizes that join itself)."""
     ph = queries.select("query_id", F.explode("phrases").alias("ph"))
     ph = ph.select("query_id", F.col("ph.pno").alias("pno"), F.col("ph.prefix").alias("prefix"),
                    tokenize(F.col("ph.text")).alias("toks"))
@@ -43,13 +45,17 @@ def query_terms(index: FullTextIndex, queries: DataFrame) -> DataFrame:
     dictionary = index.term_stats.select("term")
     expanded = (dictionary.join(F.broadcast(pfx), F.col("term").startswith(F.col("tok")))
                 .select("query_id", "pno", "plen", "off", "term"))
-    return exact.unionByName(expanded)
+    return exact, expanded
 
 
 def phrase_hits(index: FullTextIndex, queries: DataFrame) -> DataFrame:
     """(query_id, pno, <keys>, tf, doc_len): phrase occurrences per document."""
     keys = list(index.keys)
-    hits = query_terms(index, queries).join(index.postings, "term")
+    exact, expanded = query_terms(index, query_side(queries))
+    # build side = the query terms, never the postings (which only look small
+    # to the planner on small corpora)
+    hits = (F.broadcast(exact).join(index.postings, "term")
+            .unionByName(expanded.join(index.postings, "term")))
     single = (hits.filter(F.col("plen") == 1)
               .groupBy("query_id", "pno", *keys)
               .agg(F.sum("tf").cast("long").alias("tf"), F.first("doc_len").alias("doc_len")))
@@ -80,16 +86,39 @@ def clause_match(matched: Column, clauses: Column) -> Column:
                     & ~F.exists(c["must_not"], lambda p: F.array_contains(matched, p)))
 
 
+def query_side(queries: DataFrame) -> DataFrame:
+    """Query tables are built on the driver from a batch the caller passes, so
+    their size is bounded by that batch; broadcasting them is safe."""
+    return F.broadcast(queries)
+
+
+def phrase_idf(index: FullTextIndex, queries: DataFrame, hits: DataFrame, n_docs: int) -> DataFrame:
+    """(query_id, pno, idf).  A single exact term's document count is its
+    ``df`` from the term dictionary, so only prefix and multi-token phrases
+    need a count over the hits."""
+    ph = queries.select("query_id", F.explode("phrases").alias("ph")).select(
+        "query_id", F.col("ph.pno").alias("pno"), F.col("ph.prefix").alias("prefix"),
+        tokenize(F.col("ph.text")).alias("toks"))
+    simple = ph.filter(~F.col("prefix") & (F.size("toks") == 1)).select(
+        "query_id", "pno", F.col("toks")[0].alias("term"))
+    simple_n = (F.broadcast(simple).join(index.term_stats.select("term", F.col("df").alias("nhit")), "term")
+                .select("query_id", "pno", "nhit"))
+    complex_keys = ph.filter(F.col("prefix") | (F.size("toks") != 1)).select("query_id", "pno")
+    complex_n = (hits.join(F.broadcast(complex_keys), ["query_id", "pno"], "left_semi")
+                 .groupBy("query_id", "pno").agg(F.count(F.lit(1)).alias("nhit")))
+    nhit = simple_n.unionByName(complex_n)
+    raw = F.log((F.lit(float(n_docs)) - F.col("nhit") + 0.5) / (F.col("nhit") + 0.5))
+    return nhit.select("query_id", "pno", F.when(raw <= 0, F.lit(IDF_FLOOR)).otherwise(raw).alias("idf"))
+
+
 def score(index: FullTextIndex, queries: DataFrame) -> DataFrame:
     """(query_id, <keys>, score, matched) for every document satisfying its
     query; score is the negated BM25 sum (ascending = best)."""
     keys = list(index.keys)
+    queries = query_side(queries)
     n_docs, avgdl = _corpus_scalars(index)
     hits = phrase_hits(index, queries)
-    nhit = hits.groupBy("query_id", "pno").agg(F.count(F.lit(1)).alias("nhit"))
-    raw_idf = F.log((F.lit(float(n_docs)) - F.col("nhit") + 0.5) / (F.col("nhit") + 0.5))
-    idf = nhit.select("query_id", "pno",
-                      F.when(raw_idf <= 0, F.lit(IDF_FLOOR)).otherwise(raw_idf).alias("idf"))
+    idf = F.broadcast(phrase_idf(index, queries, hits, n_docs))   # queries × phrases rows
     norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("doc_len") / F.lit(avgdl if avgdl else 1.0))
     contrib = F.col("idf") * (F.col("tf") * (K1 + 1)) / (F.col("tf") + norm)
     per_doc = (hits.join(idf, ["query_id", "pno"])
@@ -129,7 +158,7 @@ def search_sessions(index: FullTextIndex, queries: DataFrame, turns: DataFrame,
     keys = list(index.keys)
     scored = score(index, queries)
     s = sessions.select("session_id", "project", "ai_title", "node", "source")
-    q = queries.select("query_id", "lim", "project_filter", "source_filter", "node_filter")
+    q = query_side(queries.select("query_id", "lim", "project_filter", "source_filter", "node_filter"))
     cand = scored.join(s, "session_id").join(q, "query_id").filter(session_filter())
     ranked = top_k(cand, "query_id",
                    [F.round("score", 9), F.col("session_id"), F.col("turn_idx")], F.col("lim"))
