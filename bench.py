@@ -124,7 +124,7 @@ def main() -> None:
     EX.write_jsonl(EX.session_lines(turns, sessions), root)   # fixture, not timed
 
     def ingest():
-        g = J.ingest(spark, root, D.AS_OF, fleet=True)
+        g = J.ingest(spark, root, D.AS_OF, per_node_dirs=True)
         force(g["turns"])
         force(g["sessions"])
     timed("jsonl_ingest", ingest)

@@ -53,7 +53,7 @@ def _fixture(root):
 def test_jsonl_edge_cases(spark, tmp_path):
     root = str(tmp_path / "store")
     _fixture(root)
-    g = J.ingest(spark, root, "2024-12-31T00:00:00Z", fleet=True)
+    g = J.ingest(spark, root, "2024-12-31T00:00:00Z", per_node_dirs=True)
     turns = {r["turn_idx"]: r for r in g["turns"].filter("session_id = 's1'").collect()}
     texts = [turns[i]["text"] for i in sorted(turns)]
     assert texts[0] == "   "                       # whitespace-only string content is a turn
@@ -86,7 +86,7 @@ def test_split_files_keep_order(tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        g = J.ingest(spark, root, "x", fleet=True)
+        g = J.ingest(spark, root, "x", per_node_dirs=True)
         assert g["lines"].rdd.getNumPartitions() > 1
         t = g["turns"].orderBy("turn_idx").select("turn_idx", "ts").collect()
         assert [r["ts"] for r in t] == [f"t{i:05d}" for i in range(2000)]
@@ -97,7 +97,7 @@ def test_split_files_keep_order(tmp_path):
 def test_changed_files_and_upsert(spark, tmp_path):
     root = str(tmp_path / "store")
     _fixture(root)
-    g = J.ingest(spark, root, "x", fleet=True)
+    g = J.ingest(spark, root, "x", per_node_dirs=True)
     man = J.file_manifest(g["lines"])
     assert J.changed_files(man, g["sessions"]).join(g["sessions"], ["session_id", "file_path"], "left_semi").count() == 0
     old = g["sessions"].withColumn("file_mtime", F.lit(0).cast("timestamp")).drop("source", "node")

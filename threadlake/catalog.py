@@ -624,6 +624,31 @@ def q_dedupe(spark, sf):
 
 
 
+
+@register("index_stats", f"""
+WITH {O.MODEL}, {VECS_CTE},
+sim AS ({similar_sql(5, 0.85).replace('WITH ', 'WITH ', 1)}),
+nodes AS (SELECT string_agg(node || '=' || CAST(n AS VARCHAR), ', ' ORDER BY n DESC, node) AS nodes
+          FROM (SELECT coalesce(node, 'local') AS node, count(*) AS n FROM sessions GROUP BY 1)),
+emb AS (SELECT (SELECT count(*) FROM vecs) AS embedded,
+               (SELECT count(*) FROM turns WHERE {EMBEDDABLE_SQL}) AS embeddable)
+SELECT (SELECT count(*) FROM sessions) AS sessions,
+       (SELECT count(*) FROM sessions WHERE source IS NULL OR source = 'code') AS code_sessions,
+       (SELECT count(*) FROM sessions WHERE source = 'chat') AS chat_sessions,
+       (SELECT min(started_at) FROM sessions) AS earliest, (SELECT max(ended_at) FROM sessions) AS latest,
+       (SELECT count(*) FROM turns) AS turns, nodes.nodes, emb.embedded, emb.embeddable,
+       CASE WHEN emb.embeddable > 0 THEN round(emb.embedded * 100.0 / emb.embeddable, 1) ELSE 0.0 END AS embed_pct,
+       (SELECT count(*) - count(DISTINCT session_id) FROM turns) AS temporal_edges,
+       (SELECT count(*) FROM sim) AS similar_edges
+FROM nodes, emb""")
+def q_index_stats(spark, sf):
+    """One-row health summary (edges = TEMPORAL ∪ SIMILAR_TO at the
+    default K=5, threshold 0.85)."""
+    t, s = D.turns(spark, sf), D.sessions(spark, sf)
+    temporal = G.wire_temporal(t)
+    edges = temporal.unionByName(V.wire_similar(vecs_of(spark, sf), temporal))
+    return SS.index_stats(s, t, vecs_of(spark, sf), edges)
+
 # --- pressure monitor (batch and streaming) ---------------------------------------------
 
 CONTEXTS = (("purchase", 400), ("view", 300))   # model-name substrings → context size
@@ -767,7 +792,7 @@ def _export_jsonl(spark, sf):
 
 def _ingested(spark, sf):
     from threadlake.sources import jsonl as J
-    return J.ingest(spark, _export_jsonl(spark, sf), INDEXED_AT, fleet=True)
+    return J.ingest(spark, _export_jsonl(spark, sf), INDEXED_AT, per_node_dirs=True)
 
 
 INGEST_TURNS_SQL = f"""
@@ -894,7 +919,7 @@ def q_chat_turns(spark, sf):
 
 @register("chat_sessions", f"""
 WITH {O.MODEL}
-SELECT 'c' || session_id AS session_id, 'chat.claude.ai' AS project, coalesce(nullif(ai_title, ''), '(no name)') AS ai_title,
+SELECT 'c' || session_id AS session_id, 'chat.export' AS project, coalesce(nullif(ai_title, ''), '(no name)') AS ai_title,
        started_at, ended_at, turn_count,
        epoch(strptime(ended_at, '%Y-%m-%dT%H:%M:%SZ'))::DOUBLE AS file_mtime, 'chat' AS source
 FROM sessions WHERE source = 'chat'""")

@@ -26,7 +26,7 @@ MAX_TURNS_PER_BATCH = 150
 MAX_SESSIONS_PER_RUN = 40
 CHUNK_CHARS = 2000
 MIN_TRANSCRIPT_CHARS = 200
-SOURCE_TAG = "continuity-extract"
+SOURCE_TAG = "fact-extract"   # default tag marking extracted facts; a parameter of memory_rows
 FACT_TYPES = ("decision", "config", "outcome", "correction", "discovery")
 
 
@@ -168,18 +168,19 @@ def classify_facts(elems: DataFrame) -> DataFrame:
 
 # --- E7 / E8 ------------------------------------------------------------------------------------
 
-def memory_rows(facts: DataFrame, sessions: DataFrame, extracted_at: str) -> DataFrame:
+def memory_rows(facts: DataFrame, sessions: DataFrame, extracted_at: str,
+                source_tag: str = SOURCE_TAG) -> DataFrame:
     """Content ``[type] fact``; tags + source tag + ``node:<n>``;
     metadata struct.  Keeps ``order_key`` (session ended_at desc, session,
     position) for the dedupe."""
     s = sessions.select("session_id", "node", "ended_at")
     f = facts.filter(F.col("status") == "candidate").join(s, "session_id", "left")
-    tags = F.concat(F.col("tags"), F.array(F.lit(SOURCE_TAG),
+    tags = F.concat(F.col("tags"), F.array(F.lit(source_tag),
                                            F.concat(F.lit("node:"), F.coalesce("node", F.lit("unknown")))))
     content = F.concat(F.lit("["), F.col("type"), F.lit("] "), F.col("fact"))
     return f.select(
         "session_id", "pos", content.alias("content"),
-        F.struct(F.col("type"), F.lit(SOURCE_TAG).alias("source"), F.col("session_id"),
+        F.struct(F.col("type"), F.lit(source_tag).alias("source"), F.col("session_id"),
                  tags.alias("tags"), F.lit(extracted_at).alias("extracted_at")).alias("metadata"),
         F.struct((-F.unix_timestamp(F.try_to_timestamp(F.col("ended_at")))).alias("k0"),
                  F.col("session_id").alias("k1"), F.col("pos").alias("k2")).alias("order_key"))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from threadlake.functions.text import full_trim
 
-CHAT_PROJECT = "chat.claude.ai"   # fixed project name of chat sessions
+CHAT_PROJECT = "chat.export"   # project name given to chat sessions (parameter)
 NO_NAME = "(no name)"
 
 _NAMED = T.ArrayType(T.StructType([T.StructField("file_name", T.StringType()),
@@ -68,12 +68,12 @@ def conversation_turns(convs: DataFrame) -> DataFrame:
     return turns.unionByName(summ)
 
 
-def conversation_sessions(convs: DataFrame, indexed_at: str) -> DataFrame:
+def conversation_sessions(convs: DataFrame, indexed_at: str, project: str = CHAT_PROJECT) -> DataFrame:
     """Session rows of conversations that have at least one kept message."""
     t = conversation_turns(convs).filter(F.col("turn_idx") >= 0).groupBy("session_id").agg(
         F.count(F.lit(1)).cast("int").alias("turn_count"))
     return (convs.withColumnRenamed("uuid", "session_id").join(t, "session_id")
-            .select("session_id", F.lit(CHAT_PROJECT).alias("project"),
+            .select("session_id", F.lit(project).alias("project"),
                     F.coalesce(F.nullif(F.col("name"), F.lit("")), F.lit(NO_NAME)).alias("ai_title"),
                     F.lit(None).cast("string").alias("cwd"), F.col("created_at").alias("started_at"),
                     F.col("updated_at").alias("ended_at"), "turn_count",

@@ -1,7 +1,7 @@
 """Session JSONL ingest.
 
 Layout: ``<root>/<project>/<session>.jsonl`` (one node) or
-``<store>/<node>/<project>/<session>.jsonl`` (fleet layout, node from the
+``<store>/<node>/<project>/<session>.jsonl`` (per-node layout, node from the
 path).  One text scan reads every file; the line order is captured in the scan
 projection as (file_path, file_block_start, monotonically_increasing_id), so it
 survives files split over several read partitions.
@@ -20,7 +20,7 @@ KEEP_TYPES = ("user", "assistant", "ai-title")
 DEFAULT_NODE, DEFAULT_SOURCE = "local", "code"
 
 
-def scan_lines(spark: SparkSession, root: str, fleet: bool = False, node: str | None = None) -> DataFrame:
+def scan_lines(spark: SparkSession, root: str, per_node_dirs: bool = False, node: str | None = None) -> DataFrame:
     """Every line of every ``*.jsonl`` under ``root`` with its file
     metadata and order.  Output: file_path, file_mtime, session_id, project,
     node, block, mid, raw."""
@@ -32,7 +32,7 @@ def scan_lines(spark: SparkSession, root: str, fleet: bool = False, node: str |
                   F.monotonically_increasing_id().alias("mid")))
     parts = F.split(F.col("file_path"), "/")
     n = F.size(parts)
-    node_col = F.element_at(parts, n - 2) if fleet else F.lit(node or DEFAULT_NODE)
+    node_col = F.element_at(parts, n - 2) if per_node_dirs else F.lit(node or DEFAULT_NODE)
     return df.select(
         "file_path", "file_mtime",
         F.regexp_extract("file_path", r"([^/]+)\.jsonl$", 1).alias("session_id"),
@@ -107,10 +107,10 @@ def latest_file_per_session(sessions: DataFrame) -> DataFrame:
                          ["session_id", "file_path"])
 
 
-def ingest(spark: SparkSession, root: str, indexed_at: str, fleet: bool = False,
+def ingest(spark: SparkSession, root: str, indexed_at: str, per_node_dirs: bool = False,
            node: str | None = None) -> dict[str, DataFrame]:
     """Full scan → {lines, records, quarantine, turns, sessions}."""
-    lines = scan_lines(spark, root, fleet, node)
+    lines = scan_lines(spark, root, per_node_dirs, node)
     records, bad = decode(lines)
     turns = to_turns(records)
     sessions = latest_file_per_session(headers(records, turns, indexed_at))

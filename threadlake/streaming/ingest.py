@@ -16,7 +16,7 @@ from threadlake.sources import jsonl as J
 from threadlake.sources import snapshots as SN
 
 
-def _batch(base: str, indexed_at: str, fleet: bool):
+def _batch(base: str, indexed_at: str, per_node_dirs: bool):
     def run(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
         lines = lines.withColumn("mid", F.monotonically_increasing_id())  # line order, taken on the scan
@@ -26,7 +26,7 @@ def _batch(base: str, indexed_at: str, fleet: bool):
             "file_path", "file_mtime",
             F.regexp_extract("file_path", r"([^/]+)\.jsonl$", 1).alias("session_id"),
             F.element_at(parts, n - 1).alias("project"),
-            (F.element_at(parts, n - 2) if fleet else F.lit(J.DEFAULT_NODE)).alias("node"),
+            (F.element_at(parts, n - 2) if per_node_dirs else F.lit(J.DEFAULT_NODE)).alias("node"),
             "block", "mid", "raw")
         records, _bad = J.decode(scan)
         turns = J.to_turns(records)
@@ -45,12 +45,12 @@ def _batch(base: str, indexed_at: str, fleet: bool):
 
 
 def start_ingest(spark: SparkSession, landing: str, base: str, checkpoint: str, indexed_at: str,
-                 fleet: bool = True, available_now: bool = False, files_per_batch: int = 1000):
+                 per_node_dirs: bool = True, available_now: bool = False, files_per_batch: int = 1000):
     lines = (spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl")
              .option("maxFilesPerTrigger", files_per_batch).text(landing)
              .select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.file_modification_time").alias("file_mtime"),
                      F.col("_metadata.file_block_start").alias("block")))
-    w = lines.writeStream.foreachBatch(_batch(base, indexed_at, fleet)).option("checkpointLocation", checkpoint)
+    w = lines.writeStream.foreachBatch(_batch(base, indexed_at, per_node_dirs)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -24,7 +24,10 @@ from threadlake.operators.asof import asof_join
 
 # Fixed monitor values.
 THRESHOLDS = (70, 85, 95)
-MODEL_CONTEXTS = (("claude-opus-4-7", 200000), ("claude-sonnet-4-6", 200000), ("claude-haiku-4-5", 200000))
+# Model-name substring → context size, first match wins.  Every entry of the
+# original table equals the default size, so an empty table gives the same
+# sizes; pass your own table for models with other windows.
+MODEL_CONTEXTS: tuple[tuple[str, int], ...] = ()
 DEFAULT_CONTEXT = 200000
 PRESSURE_LEVEL, CRITICAL_LEVEL = 85, 95
 LATCH_TTL_MS = 24 * 3600 * 1000
