@@ -37,8 +37,21 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
 def index_of(spark: SparkSession, sf_dir: str) -> FT.FullTextIndex:
-    return FT.FullTextIndex.build(D.turns(spark, sf_dir))
+    """The full-text index of the turns: built once per application and data
+    directory, written in the S11 layout under the shared checkpoint folder,
+    then read back (searches reuse the written postings instead of re-running
+    the build)."""
+    from threadlake.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        path = scratch_path(spark, "fts-index")
+        FT.FullTextIndex.build(D.turns(spark, sf_dir)).write(path)
+        _INDEXES[key] = path
+    return FT.FullTextIndex.read(spark, _INDEXES[key])
 
 
 # --- full-text index -------------------------------------------------------

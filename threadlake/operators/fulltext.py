@@ -49,7 +49,13 @@ def build_postings(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str =
     return (exploded.groupBy("term", *keys)
             .agg(F.count(F.lit(1)).cast("int").alias("tf"),
                  F.array_sort(F.collect_list("pos")).alias("positions"),
-                 F.first("doc_len").cast("int").alias("doc_len")))
+                 F.first("doc_len").cast("int").alias("doc_len"))
+            .withColumn("term_bucket", term_bucket(F.col("term"))))
+
+
+def term_bucket(term) -> F.Column:
+    """Bucket of a term in the written postings (directory partition)."""
+    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
 
 
 def doc_lengths(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
@@ -83,15 +89,14 @@ class FullTextIndex:
     def write(self, path: str, mode: str = "overwrite") -> None:
         """Postings bucketed by term hash and sorted by term, so that a
         pushed ``term IN (...)`` filter skips row groups and partitions."""
-        (self.postings.withColumn("term_bucket", F.pmod(F.xxhash64("term"), F.lit(TERM_BUCKETS)))
-         .repartition("term_bucket").sortWithinPartitions("term", *self.keys)
+        (self.postings.repartition("term_bucket").sortWithinPartitions("term", *self.keys)
          .write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/postings"))
         self.term_stats.write.mode(mode).parquet(f"{path}/term_stats")
         self.corpus.write.mode(mode).parquet(f"{path}/corpus")
 
     @classmethod
     def read(cls, spark, path: str, keys: list[str] = DOC_KEYS) -> "FullTextIndex":
-        return cls(spark.read.parquet(f"{path}/postings").drop("term_bucket"),
+        return cls(spark.read.parquet(f"{path}/postings"),
                    spark.read.parquet(f"{path}/term_stats"),
                    spark.read.parquet(f"{path}/corpus"), tuple(keys))
 
@@ -103,7 +108,7 @@ def integrity_check(stored: DataFrame, docs: DataFrame, keys: list[str] = DOC_KE
     Returns (side, term, <keys>, tf) where side is ``stale`` (only in the stored
     index) or ``missing`` (only in the recomputed one).  Empty = consistent.
     """
-    cols = ["term", *keys, "tf", F.array_join("positions", ",").alias("positions")]
+    cols = ["term", *keys, "tf", F.array_join("positions", ",").alias("positions")]   # bucket is derived
     fresh = build_postings(docs, keys, text_col).select(*cols)
     old = stored.select(*cols)
     return (old.exceptAll(fresh).withColumn("side", F.lit("stale"))

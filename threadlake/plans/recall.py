@@ -9,6 +9,7 @@ from threadlake.functions.text import cut_body, display_ts
 from threadlake.operators import graph as G
 from threadlake.operators.fulltext import FullTextIndex
 from threadlake.plans import search as S
+from threadlake.session import cut_lineage
 
 
 def thread_recall(index: FullTextIndex, queries: DataFrame, turns: DataFrame,
@@ -19,9 +20,16 @@ def thread_recall(index: FullTextIndex, queries: DataFrame, turns: DataFrame,
     """Rows (query_id, session_id, turn_idx, ts, role, is_match, body, title,
     project, started) for every visited turn whose session exists (J2),
     in thread order started_at, session_id, turn_idx (T4)."""
-    seeds = S.seeds(index, queries, seed_limit)
+    # seeds (≤ queries × seed_limit rows) feed three branches; materialise them
+    # once (reliable checkpoint) instead of re-running the scoring plan per use
+    seeds = cut_lineage(S.seeds(index, queries, seed_limit))
     if edge_types == ("TEMPORAL",):
-        p = pos if pos is not None else G.positions(turns)
+        if pos is None:
+            # only sessions holding a seed can be reached over TEMPORAL edges;
+            # seeds are bounded by queries × seed_limit
+            seed_sessions = F.broadcast(seeds.select("session_id").distinct())
+            pos = G.positions(turns.join(seed_sessions, "session_id", "left_semi"))
+        p = pos
         visited = G.temporal_expand(seeds, p, max_hops, max_turns)
     else:
         if edges is None:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlake.functions.text import contains_ci, display_ts, tokenize
-from threadlake.operators.fulltext import DOC_KEYS, FullTextIndex
+from threadlake.operators.fulltext import DOC_KEYS, FullTextIndex, term_bucket
 
 # Fixed BM25 constants (Okapi defaults used by FTS5).
 K1 = 1.2
@@ -54,8 +54,12 @@ def phrase_hits(index: FullTextIndex, queries: DataFrame) -> DataFrame:
     exact, expanded = query_terms(index, query_side(queries))
     # build side = the query terms, never the postings (which only look small
     # to the planner on small corpora)
-    hits = (F.broadcast(exact).join(index.postings, "term")
-            .unionByName(expanded.join(index.postings, "term")))
+    # joining on the bucket too lets dynamic partition pruning skip every
+    # postings bucket that holds no query term
+    exact = exact.withColumn("term_bucket", term_bucket(F.col("term")))
+    expanded = expanded.withColumn("term_bucket", term_bucket(F.col("term")))
+    hits = (F.broadcast(exact).join(index.postings, ["term_bucket", "term"])
+            .unionByName(expanded.join(index.postings, ["term_bucket", "term"])))
     single = (hits.filter(F.col("plen") == 1)
               .groupBy("query_id", "pno", *keys)
               .agg(F.sum("tf").cast("long").alias("tf"), F.first("doc_len").alias("doc_len")))
@@ -141,11 +145,24 @@ def session_filter(sessions_col_prefix: str = "") -> Column:
 
 
 def top_k(df: DataFrame, part: str, order: list[Column], limit_col: Column | int,
-          rank_name: str = "rank") -> DataFrame:
-    """Per-group ORDER BY … LIMIT via row_number (planned as WindowGroupLimit)."""
+          rank_name: str = "rank", max_limit: int | None = None) -> DataFrame:
+    """Per-group ORDER BY … LIMIT via row_number.
+
+    The filter must compare with a literal for Spark to plan WindowGroupLimit
+    (a partial top-k before the shuffle), so a per-row limit column is paired
+    with the batch-wide maximum ``max_limit``."""
     w = Window.partitionBy(part).orderBy(*order)
-    lim = F.lit(limit_col) if isinstance(limit_col, int) else limit_col
-    return df.withColumn(rank_name, F.row_number().over(w)).filter(F.col(rank_name) <= lim)
+    r = df.withColumn(rank_name, F.row_number().over(w))
+    if isinstance(limit_col, int):
+        return r.filter(F.col(rank_name) <= limit_col)
+    if max_limit is not None:
+        r = r.filter(F.col(rank_name) <= max_limit)
+    return r.filter(F.col(rank_name) <= limit_col)
+
+
+def max_limit(queries: DataFrame) -> int:
+    """Largest per-query limit of a batch (one bounded scalar)."""
+    return int(queries.agg(F.max("lim")).first()[0] or 0)
 
 
 def search_sessions(index: FullTextIndex, queries: DataFrame, turns: DataFrame,
@@ -161,7 +178,8 @@ def search_sessions(index: FullTextIndex, queries: DataFrame, turns: DataFrame,
     q = query_side(queries.select("query_id", "lim", "project_filter", "source_filter", "node_filter"))
     cand = scored.join(s, "session_id").join(q, "query_id").filter(session_filter())
     ranked = top_k(cand, "query_id",
-                   [F.round("score", 9), F.col("session_id"), F.col("turn_idx")], F.col("lim"))
+                   [F.round("score", 9), F.col("session_id"), F.col("turn_idx")], F.col("lim"),
+                   max_limit=max_limit(queries))
     t = turns.select(*keys, "ts", "role", "text")
     out = ranked.join(t, keys)
     return out.select(
