@@ -73,26 +73,39 @@ def corpus_stats(docs_len: DataFrame) -> DataFrame:
                         F.coalesce(F.sum("doc_len"), F.lit(0)).cast("long").alias("total_len"))
 
 
+def corpus_from_postings(docs: DataFrame, postings: DataFrame) -> DataFrame:
+    """Same as ``corpus_stats`` without a second tokenisation: the document
+    count comes from the documents, the total length is Σ tf."""
+    n = docs.agg(F.count(F.lit(1)).alias("n_docs")).withColumn("_k", F.lit(0))
+    tot = postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_len")).withColumn("_k", F.lit(0))
+    return n.join(tot, "_k").drop("_k")
+
+
 @dataclass
 class FullTextIndex:
     postings: DataFrame
     term_stats: DataFrame
     corpus: DataFrame
     keys: tuple[str, ...] = tuple(DOC_KEYS)
+    docs: DataFrame | None = None
 
     @classmethod
     def build(cls, docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> "FullTextIndex":
         """(re)build the whole index from the documents."""
         p = build_postings(docs, keys, text_col)
-        return cls(p, term_stats(p), corpus_stats(doc_lengths(docs, keys, text_col)), tuple(keys))
+        return cls(p, term_stats(p), corpus_from_postings(docs, p), tuple(keys), docs)
 
     def write(self, path: str, mode: str = "overwrite") -> None:
         """Postings bucketed by term hash and sorted by term, so that a
-        pushed ``term IN (...)`` filter skips row groups and partitions."""
+        pushed ``term IN (...)`` filter and dynamic partition pruning skip
+        row groups and buckets.  The postings are computed once; the term and
+        corpus statistics are derived from the written postings."""
         (self.postings.repartition("term_bucket").sortWithinPartitions("term", *self.keys)
          .write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/postings"))
-        self.term_stats.write.mode(mode).parquet(f"{path}/term_stats")
-        self.corpus.write.mode(mode).parquet(f"{path}/corpus")
+        written = self.postings.sparkSession.read.parquet(f"{path}/postings")
+        term_stats(written).write.mode(mode).parquet(f"{path}/term_stats")
+        corpus = corpus_from_postings(self.docs, written) if self.docs is not None else self.corpus
+        corpus.write.mode(mode).parquet(f"{path}/corpus")
 
     @classmethod
     def read(cls, spark, path: str, keys: list[str] = DOC_KEYS) -> "FullTextIndex":
