@@ -43,3 +43,22 @@ def spread(df: DataFrame, keys: list[str]) -> DataFrame:
     except Exception:  # noqa: BLE001 - streaming or unplannable input
         return df
     return df.repartition(want, *keys) if n < want else df
+
+
+def number_in_files(df: DataFrame, file_col: str, block_col: str, order_col: str,
+                    name: str = "line_no") -> DataFrame:
+    """0-based position of each row within its file, in read order.
+
+    Rows are numbered inside their split (file, block start) — a split is at
+    most ``spark.sql.files.maxPartitionBytes`` of one file, so no group is
+    unbounded even for a huge file — and each split is offset by the row counts
+    of the earlier splits of the same file (a table of one row per split)."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(file_col, block_col).orderBy(order_col)
+    local = df.withColumn("_rn", F.row_number().over(w) - 1)
+    counts = local.groupBy(file_col, block_col).agg(F.count(F.lit(1)).alias("_c"))
+    ws = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(file_col, block_col, F.coalesce(F.sum("_c").over(ws), F.lit(0)).alias("_off"))
+    return (local.join(offs, [file_col, block_col])
+            .withColumn(name, (F.col("_off") + F.col("_rn")).cast("int")).drop("_rn", "_off"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlake.functions.content import flatten_content, is_object, vget
-from threadlake.functions.indexing import with_global_index
+from threadlake.functions.indexing import number_in_files
 from threadlake.functions.text import full_trim
 
 KEEP_TYPES = ("user", "assistant", "ai-title")
@@ -66,11 +66,8 @@ def to_turns(records: DataFrame) -> DataFrame:
     t = msg.select("session_id", "file_path", "block", "mid", vget(F.col("v"), "$.timestamp").alias("ts"),
                    F.col("kind").alias("role"), flatten_content(content).alias("text"))
     t = t.filter(F.col("text").isNotNull() & (F.col("text") != ""))
-    g = with_global_index(t, ["file_path", "block", "mid"], "_g")
-    first = g.groupBy("file_path").agg(F.min("_g").alias("_g0"))
-    return (g.join(first, "file_path")
-            .select("session_id", "file_path", (F.col("_g") - F.col("_g0")).cast("int").alias("turn_idx"),
-                    "ts", "role", "text"))
+    n = number_in_files(t, "file_path", "block", "mid", "turn_idx")
+    return n.select("session_id", "file_path", "turn_idx", "ts", "role", "text")
 
 
 def headers(records: DataFrame, turns: DataFrame, indexed_at: str) -> DataFrame:
