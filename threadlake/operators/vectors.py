@@ -154,7 +154,11 @@ def block_similarity(left: DataFrame, right: DataFrame, k: int | None,
     The block of a row is a hash of its key; the hash only spreads rows, the
     exact keys travel with the vectors."""
     n_l, n_r = left.count(), right.count()   # two scalars size the blocks
-    bl, br = _blocks(n_l, chunk), _blocks(n_r, chunk)
+    # at least ~sqrt(cores) blocks per side so that small inputs still spread
+    # over the cluster; large inputs are sized by ``chunk``
+    spread_min = max(1, math.isqrt(left.sparkSession.sparkContext.defaultParallelism))
+    bl = max(_blocks(n_l, chunk), min(spread_min, max(1, n_l // 64)))
+    br = max(_blocks(n_r, chunk), min(spread_min, max(1, n_r // 64)))
     lh = F.pmod(F.xxhash64("l.sid", "l.tid"), F.lit(bl))
     rh = F.pmod(F.xxhash64("r.sid", "r.tid"), F.lit(br))
     lrep = left.alias("l").select(*[F.col(f"l.{c}").alias(c) for c in ("sid", "tid", "vec")], lh.alias("bl"),

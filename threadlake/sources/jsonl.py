@@ -58,61 +58,96 @@ def decode(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.drop("raw", "line"), bad
 
 
-def to_turns(records: DataFrame) -> DataFrame:
+def narrow(records: DataFrame) -> DataFrame:
+    """One row per kept line with the fields every later step needs: kind,
+    timestamp, cwd, ai-title and the flattened text (P1) of user/assistant
+    lines.  This is the table worth materialising: it is read by both the
+    turns and the session headers."""
+    v = F.col("v")
+    is_msg = F.col("kind").isin("user", "assistant")
+    return records.select(
+        "session_id", "project", "node", "file_path", "file_mtime", "block", "mid", "kind",
+        vget(v, "$.timestamp").alias("ts"), vget(v, "$.cwd").alias("cwd"),
+        F.when(F.col("kind") == "ai-title", vget(v, "$.aiTitle")).alias("title"),
+        F.when(is_msg, flatten_content(vget(v, "$.message.content", "variant"))).alias("text"))
+
+
+def _is_turn() -> F.Column:
+    return F.col("kind").isin("user", "assistant") & F.col("text").isNotNull() & (F.col("text") != "")
+
+
+def to_turns(lines: DataFrame) -> DataFrame:
     """P1 + P5: non-empty user/assistant texts numbered 0.. in file order.
-    Output: session_id, file_path, turn_idx, ts, role, text."""
-    msg = records.filter(F.col("kind").isin("user", "assistant"))
-    content = vget(F.col("v"), "$.message.content", "variant")
-    t = msg.select("session_id", "file_path", "block", "mid", vget(F.col("v"), "$.timestamp").alias("ts"),
-                   F.col("kind").alias("role"), flatten_content(content).alias("text"))
-    t = t.filter(F.col("text").isNotNull() & (F.col("text") != ""))
+    Input: ``narrow`` rows.  Output: session_id, file_path, turn_idx, ts, role, text."""
+    t = lines.filter(_is_turn()).select("session_id", "file_path", "block", "mid", "ts",
+                                        F.col("kind").alias("role"), "text")
     n = number_in_files(t, "file_path", "block", "mid", "turn_idx")
     return n.select("session_id", "file_path", "turn_idx", "ts", "role", "text")
 
 
-def headers(records: DataFrame, turns: DataFrame, indexed_at: str) -> DataFrame:
+def headers(lines: DataFrame, indexed_at: str) -> DataFrame:
     """One session row per file that has at least one turn.
 
     started/ended = min/max timestamp of user/assistant lines (also those whose
     text is empty), cwd = first non-empty cwd, ai_title = last ai-title line's
-    value (even NULL), turn_count = number of turns.
+    value (even NULL), turn_count = number of turns.  One aggregation over the
+    ``narrow`` rows; it does not need the numbered turns.
     """
     order = F.struct("block", "mid")
-    msg = records.filter(F.col("kind").isin("user", "assistant"))
-    cwd = vget(F.col("v"), "$.cwd")
-    h = msg.groupBy("file_path").agg(
+    is_msg = F.col("kind").isin("user", "assistant")
+    cwd = F.when(is_msg, F.col("cwd"))
+    h = lines.groupBy("file_path").agg(
         F.first("session_id").alias("session_id"), F.first("project").alias("project"),
         F.first("node").alias("node"), F.first("file_mtime").alias("file_mtime"),
-        F.min(vget(F.col("v"), "$.timestamp")).alias("started_at"),
-        F.max(vget(F.col("v"), "$.timestamp")).alias("ended_at"),
-        F.min_by(cwd, F.when(cwd.isNotNull() & (cwd != ""), order)).alias("cwd"))
-    titles = (records.filter(F.col("kind") == "ai-title").groupBy("file_path")
-              .agg(F.max_by(F.struct(vget(F.col("v"), "$.aiTitle").alias("t")), order).alias("_t"))
-              .select("file_path", F.col("_t.t").alias("ai_title")))
-    counts = turns.groupBy("file_path").agg(F.count(F.lit(1)).cast("int").alias("turn_count"))
-    return (h.join(counts, "file_path").join(titles, "file_path", "left")
-            .select("session_id", "project", "ai_title", "cwd", "started_at", "ended_at", "turn_count",
-                    "file_path", "file_mtime", F.lit(indexed_at).alias("indexed_at"),
+        F.min(F.when(is_msg, F.col("ts"))).alias("started_at"),
+        F.max(F.when(is_msg, F.col("ts"))).alias("ended_at"),
+        F.min_by(cwd, F.when(cwd.isNotNull() & (cwd != ""), order)).alias("cwd"),
+        F.max_by(F.struct(F.col("title").alias("t")), F.when(F.col("kind") == "ai-title", order)).alias("_t"),
+        F.count_if(_is_turn()).cast("int").alias("turn_count"))
+    return (h.filter(F.col("turn_count") > 0)
+            .select("session_id", "project", F.col("_t.t").alias("ai_title"), "cwd", "started_at", "ended_at",
+                    "turn_count", "file_path", "file_mtime", F.lit(indexed_at).alias("indexed_at"),
                     F.lit(DEFAULT_SOURCE).alias("source"), "node"))
 
 
 def latest_file_per_session(sessions: DataFrame) -> DataFrame:
     """The same stem in two projects: keep the newest file (then the
-    greatest path).  A partial-aggregated ``max_by`` picks it."""
+    greatest path).  A partial-aggregated ``max`` picks it."""
     best = sessions.groupBy("session_id").agg(F.max(F.struct("file_mtime", "file_path")).alias("_b"))
     return sessions.join(best.select("session_id", F.col("_b.file_path").alias("file_path")),
                          ["session_id", "file_path"])
 
 
 def ingest(spark: SparkSession, root: str, indexed_at: str, per_node_dirs: bool = False,
-           node: str | None = None) -> dict[str, DataFrame]:
-    """Full scan → {lines, records, quarantine, turns, sessions}."""
+           node: str | None = None, materialize: bool = False) -> dict[str, DataFrame]:
+    """Full scan → {lines, records, quarantine, turns, sessions}.
+
+    With ``materialize`` the decoded per-line table is written once (reliable
+    checkpoint under spark.checkpoint.dir), so the files are read and parsed a
+    single time although turns and sessions both consume them."""
+    from threadlake.session import cut_lineage
+
     lines = scan_lines(spark, root, per_node_dirs, node)
     records, bad = decode(lines)
-    turns = to_turns(records)
-    sessions = latest_file_per_session(headers(records, turns, indexed_at))
-    turns = turns.join(sessions.select("file_path"), "file_path", "left_semi").drop("file_path")
-    return {"lines": lines, "records": records, "quarantine": bad, "turns": turns, "sessions": sessions}
+    nl = narrow(records)
+    if materialize:
+        nl = cut_lineage(nl)
+    sessions = latest_file_per_session(headers(nl, indexed_at))
+    turns = to_turns(nl.join(sessions.select("file_path"), "file_path", "left_semi")).drop("file_path")
+    return {"lines": lines, "records": records, "narrow": nl, "quarantine": bad, "turns": turns,
+            "sessions": sessions}
+
+
+def ingest_snapshot(spark: SparkSession, root: str, base: str, snapshot_id: int, indexed_at: str,
+                    per_node_dirs: bool = False, node: str | None = None) -> dict[str, DataFrame]:
+    """S1–S11 end to end: one scan and parse, then sessions and turns written
+    as snapshot ``snapshot_id`` under ``base``."""
+    from threadlake.sources import snapshots as SN
+
+    g = ingest(spark, root, indexed_at, per_node_dirs, node, materialize=True)
+    SN.write_snapshot(g["sessions"], base, "sessions", snapshot_id)
+    SN.write_turns(g["turns"], base, snapshot_id)
+    return g
 
 
 # --- incremental maintenance ----------------------------------------------------------------

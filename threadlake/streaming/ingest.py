@@ -29,9 +29,9 @@ def _batch(base: str, indexed_at: str, per_node_dirs: bool):
             (F.element_at(parts, n - 2) if per_node_dirs else F.lit(J.DEFAULT_NODE)).alias("node"),
             "block", "mid", "raw")
         records, _bad = J.decode(scan)
-        turns = J.to_turns(records)
-        sessions = J.latest_file_per_session(J.headers(records, turns, indexed_at))
-        turns = turns.join(sessions.select("file_path"), "file_path", "left_semi").drop("file_path")
+        nl = J.narrow(records)
+        sessions = J.latest_file_per_session(J.headers(nl, indexed_at))
+        turns = J.to_turns(nl.join(sessions.select("file_path"), "file_path", "left_semi")).drop("file_path")
         old_s = SN.read_latest(spark, base, "sessions")
         old_t = SN.read_latest(spark, base, "turns")
         if old_s is None:
