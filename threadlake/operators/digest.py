@@ -139,7 +139,8 @@ def resume_context(starts: DataFrame, checkpoints: DataFrame, state: DataFrame |
         m = m.join(state.select("session_id", F.col("body").alias("st_body")), "session_id", "left")
     else:
         m = m.withColumn("st_body", F.lit(None).cast("string"))
-    age_min = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("saved_at").cast("timestamp"))) / 6e7
+    # difference of the zone-less timestamps themselves (no session-time-zone cast)
+    age_min = F.timestamp_diff("MICROSECOND", F.col("saved_at"), F.col("ts")) / 6e7
     fresh = F.col("saved_at").isNotNull() & (age_min < CHECKPOINT_MAX_AGE_MIN)
     has_state = F.col("st_body").isNotNull() & (F.col("st_body") != "")
     kind = (F.when((F.col("source") == "compact") & fresh, F.lit("checkpoint"))

@@ -192,8 +192,10 @@ def run_summary(manifest: DataFrame, stored_sessions: DataFrame, new_sessions: D
     new = F.col("_produced").isNotNull() & (F.col("_old").isNull() | (F.col("_old") != F.col("file_mtime")))
     counts = m.agg(F.count_if(new).alias("new_or_updated"), F.count_if(~new).alias("unchanged"))
     errs = quarantine.select("file_path").distinct()
-    err_row = errs.agg(F.count(F.lit(1)).alias("errors"),
-                       F.slice(F.array_sort(F.collect_list("file_path")), 1, 10).alias("first_errors"))
+    first10 = errs.orderBy("file_path").limit(10).agg(   # top-10 first: never collect every path
+        F.array_sort(F.collect_list("file_path")).alias("first_errors")).withColumn("_k", F.lit(0))
+    err_row = (errs.agg(F.count(F.lit(1)).alias("errors")).withColumn("_k", F.lit(0))
+               .join(first10, "_k").drop("_k"))
     tot = total_sessions.agg(F.count(F.lit(1)).alias("sessions"))
     tt = total_turns.agg(F.count(F.lit(1)).alias("turns"))
     keyed = [x.withColumn("_k", F.lit(0)) for x in (counts, err_row, tot, tt)]
