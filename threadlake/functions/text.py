@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -69,3 +69,23 @@ def contains_ci(col: Column, needle: Column | str) -> Column:
     """Literal, case-insensitive substring test (no LIKE wildcards)."""
     needle_col = F.lit(needle) if isinstance(needle, str) else needle
     return F.instr(F.lower(col), F.lower(needle_col)) > 0
+
+
+def prefix_join(big: DataFrame, big_col: str, small: DataFrame, small_col: str) -> DataFrame:
+    """Rows of ``big`` whose ``big_col`` starts with ``small_col`` of a row of
+    ``small`` (a small, driver-bounded batch of prefixes).
+
+    Instead of a nested-loop join (|big| × |small| comparisons) the prefixes
+    are grouped by length and each group is an equi-join on
+    ``substring(big_col, 1, L)`` with the batch as broadcast build side.  The
+    distinct lengths are a few bounded scalars."""
+    lengths = sorted({int(r[0]) for r in small.select(F.length(small_col)).distinct().collect()
+                      if r[0] is not None})
+    out = None
+    for n in lengths:
+        s = F.broadcast(small.filter(F.length(small_col) == n))
+        j = big.withColumn("_pfx", F.substring(big_col, 1, n)).join(s, F.col("_pfx") == F.col(small_col)).drop("_pfx")
+        out = j if out is None else out.unionByName(j)
+    if out is None:
+        out = big.join(F.broadcast(small), F.lit(False))
+    return out

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlake.functions.indexing import with_global_index
-from threadlake.functions.text import contains_ci, cut_body, display_ts, full_trim
+from threadlake.functions.text import contains_ci, cut_body, display_ts, full_trim, prefix_join
 
 # Fixed embeddability rule values.
 EMBED_MIN_CHARS = 30
@@ -84,11 +84,10 @@ def resolve_sessions(requests: DataFrame, sessions: DataFrame) -> DataFrame:
     """id exact or prefix; exact match first, then the smallest id.
 
     requests(request_id, id_or_prefix, …) → + session_id.  Requests are a
-    small batch; the prefix test is a non-equi join against the session ids.
+    small batch; the prefix test is an equi-join per prefix length.
     """
     ids = sessions.select("session_id")
-    cand = ids.join(F.broadcast(requests.select("request_id", "id_or_prefix")),
-                    F.col("session_id").startswith(F.col("id_or_prefix")))
+    cand = prefix_join(ids, "session_id", requests.select("request_id", "id_or_prefix"), "id_or_prefix")
     best = cand.groupBy("request_id").agg(
         F.min(F.struct((F.col("session_id") != F.col("id_or_prefix")).alias("not_exact"),
                        F.col("session_id"))).alias("m"))

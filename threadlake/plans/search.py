@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadlake.functions.text import contains_ci, display_ts, tokenize
+from threadlake.functions.text import contains_ci, display_ts, prefix_join, tokenize
 from threadlake.operators.fulltext import DOC_KEYS, FullTextIndex, term_bucket
 
 # Fixed BM25 constants (Okapi defaults used by FTS5).
@@ -43,8 +43,7 @@ def query_terms(index: FullTextIndex, queries: DataFrame) -> tuple[DataFrame, Da
     exact = qtok.filter(~is_pfx).select("query_id", "pno", "plen", "off", F.col("tok").alias("term"))
     pfx = qtok.filter(is_pfx).select("query_id", "pno", "plen", "off", "tok")
     dictionary = index.term_stats.select("term")
-    expanded = (dictionary.join(F.broadcast(pfx), F.col("term").startswith(F.col("tok")))
-                .select("query_id", "pno", "plen", "off", "term"))
+    expanded = prefix_join(dictionary, "term", pfx, "tok").select("query_id", "pno", "plen", "off", "term")
     return exact, expanded
 
 
