@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlake.functions.text import full_trim
-from threadlake.operators.sessions import in_recent_window, usable_for_transcript
+from threadlake.operators.sessions import in_recent_window, one_row_join, usable_for_transcript
 
 # Fixed run limits and labels.
 MAX_CHARS_PER_BATCH = 12000
@@ -238,11 +238,7 @@ def run_report(packed: DataFrame, replies: DataFrame, facts: DataFrame, deduped:
                   F.count_if(F.col("status") == "failed").alias("failed"))
     d = deduped.agg(F.count_if(F.col("status") == "stored").alias("stored"),
                     F.count_if(F.col("status") == "duplicate").alias("duplicate"))
-    keyed = [x.withColumn("_k", F.lit(0)) for x in (p, r, f, d)]
-    out = keyed[0]
-    for x in keyed[1:]:
-        out = out.join(x, "_k")
-    return out.drop("_k")
+    return one_row_join([p, r, f, d])
 
 
 def stub_extractor(transcript: str) -> str:

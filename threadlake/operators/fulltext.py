@@ -76,9 +76,10 @@ def corpus_stats(docs_len: DataFrame) -> DataFrame:
 def corpus_from_postings(docs: DataFrame, postings: DataFrame) -> DataFrame:
     """Same as ``corpus_stats`` without a second tokenisation: the document
     count comes from the documents, the total length is Σ tf."""
-    n = docs.agg(F.count(F.lit(1)).alias("n_docs")).withColumn("_k", F.lit(0))
-    tot = postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_len")).withColumn("_k", F.lit(0))
-    return n.join(tot, "_k").drop("_k")
+    from threadlake.operators.sessions import one_row_join
+    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    tot = postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_len"))
+    return one_row_join([n, tot])
 
 
 @dataclass

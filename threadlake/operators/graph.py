@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadlake.operators.sessions import number_within
+from threadlake.operators.sessions import number_within, one_row_join
 from threadlake.session import cut_lineage
 
 EDGE_COLS = ["src_session_id", "src_turn_idx", "dst_session_id", "dst_turn_idx", "edge_type", "weight"]
@@ -68,7 +68,7 @@ def edge_check(turns: DataFrame, edges: DataFrame) -> DataFrame:
     t = turns.agg(F.count(F.lit(1)).alias("turns"),
                   F.count_distinct("session_id").alias("sessions"))
     e = edges.agg(F.count_if(F.col("edge_type") == "TEMPORAL").alias("temporal_edges"))
-    return t.withColumn("_k", F.lit(0)).join(e.withColumn("_k", F.lit(0)), "_k").drop("_k")
+    return one_row_join([t, e])
 
 
 def temporal_expand(seeds: DataFrame, pos: DataFrame, max_hops: int = 8,

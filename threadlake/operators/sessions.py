@@ -133,10 +133,12 @@ def recent_sessions(sessions: DataFrame, n: int = 10, project: str | None = None
 # --- statistics ------------------------------------------------------------------
 
 def one_row_join(parts: list[DataFrame]) -> DataFrame:
-    """Side-by-side combination of one-row aggregates (equi-join on a constant
-    key; every input has exactly one row)."""
-    keyed = [p.withColumn("_k", F.lit(0)) for p in parts]
-    return reduce(lambda a, b: a.join(b, "_k"), keyed).drop("_k")
+    """Side by side combination of one-row aggregates (distinct column names):
+    union the rows and take each column's non-null value in one aggregate —
+    no join is planned."""
+    cols = [c for p in parts for c in p.columns]
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
 def session_counts(sessions: DataFrame) -> DataFrame:

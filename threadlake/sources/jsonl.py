@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from threadlake.functions.content import flatten_content, is_object, vget
 from threadlake.functions.indexing import number_in_files
 from threadlake.functions.text import full_trim
+from threadlake.operators.sessions import one_row_join
 
 KEEP_TYPES = ("user", "assistant", "ai-title")
 DEFAULT_NODE, DEFAULT_SOURCE = "local", "code"
@@ -193,16 +194,11 @@ def run_summary(manifest: DataFrame, stored_sessions: DataFrame, new_sessions: D
     counts = m.agg(F.count_if(new).alias("new_or_updated"), F.count_if(~new).alias("unchanged"))
     errs = quarantine.select("file_path").distinct()
     first10 = errs.orderBy("file_path").limit(10).agg(   # top-10 first: never collect every path
-        F.array_sort(F.collect_list("file_path")).alias("first_errors")).withColumn("_k", F.lit(0))
-    err_row = (errs.agg(F.count(F.lit(1)).alias("errors")).withColumn("_k", F.lit(0))
-               .join(first10, "_k").drop("_k"))
+        F.array_sort(F.collect_list("file_path")).alias("first_errors"))
+    err_row = one_row_join([errs.agg(F.count(F.lit(1)).alias("errors")), first10])
     tot = total_sessions.agg(F.count(F.lit(1)).alias("sessions"))
     tt = total_turns.agg(F.count(F.lit(1)).alias("turns"))
-    keyed = [x.withColumn("_k", F.lit(0)) for x in (counts, err_row, tot, tt)]
-    out = keyed[0]
-    for x in keyed[1:]:
-        out = out.join(x, "_k")
-    return out.drop("_k")
+    return one_row_join([counts, err_row, tot, tt])
 
 
 def node_coverage(manifest: DataFrame, roster: DataFrame) -> DataFrame:
