@@ -190,7 +190,7 @@ def index_stats(sessions: DataFrame, turns: DataFrame, vecs: DataFrame,
     """One-row health summary.
 
     Every part is a global aggregate (partial aggregation, one row each); the
-    one-row results are combined with joins on a constant key.
+    one-row results are combined by ``one_row_join`` (union + one aggregate).
     """
     s = session_counts(sessions)
     t = turns.agg(F.count(F.lit(1)).alias("turns"))
