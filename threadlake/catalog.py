@@ -136,6 +136,24 @@ def q_search(spark, sf):
 
 
 
+TERM_BATCH = [
+    Q.Query(1, Q.term("was")),
+    Q.Query(2, Q.all_of(Q.term("die"), Q.term("und"))),
+    Q.Query(3, Q.any_of(Q.term("que"), Q.term("le"), Q.term("of")), limit=7),
+    Q.Query(4, Q.all_of(Q.term("the"), Q.not_(Q.term("and")), Q.not_(Q.term("of")))),
+]
+
+
+@register("search_terms_only", O.search_sql(TERM_BATCH))
+def q_search_terms(spark, sf):
+    """X3/X4 batch of single-term phrases only (the plan leaves out phrase
+    alignment and prefix expansion)."""
+    idx = index_of(spark, sf)
+    qt = Q.query_table(spark, TERM_BATCH)
+    out = S.search_sessions(idx, qt, D.turns(spark, sf), D.sessions(spark, sf))
+    return out.select("query_id", "rank", "session_id", "turn_idx", "ts", "role", "project",
+                      "title", "node", "score")
+
 @register("search_snippets")
 def q_snippets(spark, sf):
     """X8 on the top-k rows of the search batch (rows-only check)."""

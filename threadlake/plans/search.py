@@ -29,7 +29,8 @@ B = 0.75
 IDF_FLOOR = 1e-6
 
 
-def query_terms(index: FullTextIndex, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+def query_terms(index: FullTextIndex, queries: DataFrame,
+                has_prefix: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """(exact, expanded): (query_id, pno, plen, off, term) for every query
     token.  ``exact`` holds the literal tokens (size bounded by the batch);
     ``expanded`` the dictionary terms matching prefix tokens (size depends on
@@ -41,27 +42,42 @@ def query_terms(index: FullTextIndex, queries: DataFrame) -> tuple[DataFrame, Da
                      F.posexplode("toks").alias("off", "tok"))
     is_pfx = F.col("prefix") & (F.col("off") == F.col("plen") - 1)
     exact = qtok.filter(~is_pfx).select("query_id", "pno", "plen", "off", F.col("tok").alias("term"))
+    if not has_prefix:
+        return exact, None
     pfx = qtok.filter(is_pfx).select("query_id", "pno", "plen", "off", "tok")
     dictionary = index.term_stats.select("term")
     expanded = prefix_join(dictionary, "term", pfx, "tok").select("query_id", "pno", "plen", "off", "term")
     return exact, expanded
 
 
-def phrase_hits(index: FullTextIndex, queries: DataFrame) -> DataFrame:
+def batch_shape(queries: DataFrame) -> tuple[bool, bool]:
+    """(has_prefix, has_multi_token_phrase) of a query batch — one tiny
+    action on the driver-built query table; lets plans leave out branches a
+    batch does not need."""
+    ph = queries.select(F.explode("phrases").alias("ph"))
+    row = ph.agg(F.max(F.col("ph.prefix").cast("int")).alias("p"),
+                 F.max(F.size(tokenize(F.col("ph.text")))).alias("n")).first()
+    return bool(row["p"] or 0), int(row["n"] or 0) > 1
+
+
+def phrase_hits(index: FullTextIndex, queries: DataFrame, shape: tuple[bool, bool] | None = None) -> DataFrame:
     """(query_id, pno, <keys>, tf, doc_len): phrase occurrences per document."""
     keys = list(index.keys)
-    exact, expanded = query_terms(index, query_side(queries))
+    has_prefix, has_multi = shape if shape is not None else batch_shape(queries)
+    exact, expanded = query_terms(index, query_side(queries), has_prefix)
     # build side = the query terms, never the postings (which only look small
-    # to the planner on small corpora)
-    # joining on the bucket too lets dynamic partition pruning skip every
-    # postings bucket that holds no query term
+    # to the planner on small corpora); joining on the bucket too lets dynamic
+    # partition pruning skip every postings bucket that holds no query term
     exact = exact.withColumn("term_bucket", term_bucket(F.col("term")))
-    expanded = expanded.withColumn("term_bucket", term_bucket(F.col("term")))
-    hits = (F.broadcast(exact).join(index.postings, ["term_bucket", "term"])
-            .unionByName(expanded.join(index.postings, ["term_bucket", "term"])))
+    hits = F.broadcast(exact).join(index.postings, ["term_bucket", "term"])
+    if expanded is not None:
+        expanded = expanded.withColumn("term_bucket", term_bucket(F.col("term")))
+        hits = hits.unionByName(expanded.join(index.postings, ["term_bucket", "term"]))
     single = (hits.filter(F.col("plen") == 1)
               .groupBy("query_id", "pno", *keys)
               .agg(F.sum("tf").cast("long").alias("tf"), F.first("doc_len").alias("doc_len")))
+    if not has_multi:
+        return single
     multi = (hits.filter(F.col("plen") > 1)
              .select("query_id", "pno", "plen", "off", *keys, "doc_len",
                      F.explode("positions").alias("pos"))
@@ -95,7 +111,8 @@ def query_side(queries: DataFrame) -> DataFrame:
     return F.broadcast(queries)
 
 
-def phrase_idf(index: FullTextIndex, queries: DataFrame, hits: DataFrame, n_docs: int) -> DataFrame:
+def phrase_idf(index: FullTextIndex, queries: DataFrame, hits: DataFrame, n_docs: int,
+               needs_counts: bool = True) -> DataFrame:
     """(query_id, pno, idf).  A single exact term's document count is its
     ``df`` from the term dictionary, so only prefix and multi-token phrases
     need a count over the hits."""
@@ -106,10 +123,12 @@ def phrase_idf(index: FullTextIndex, queries: DataFrame, hits: DataFrame, n_docs
         "query_id", "pno", F.col("toks")[0].alias("term"))
     simple_n = (F.broadcast(simple).join(index.term_stats.select("term", F.col("df").alias("nhit")), "term")
                 .select("query_id", "pno", "nhit"))
-    complex_keys = ph.filter(F.col("prefix") | (F.size("toks") != 1)).select("query_id", "pno")
-    complex_n = (hits.join(F.broadcast(complex_keys), ["query_id", "pno"], "left_semi")
-                 .groupBy("query_id", "pno").agg(F.count(F.lit(1)).alias("nhit")))
-    nhit = simple_n.unionByName(complex_n)
+    nhit = simple_n
+    if needs_counts:   # prefix or multi-token phrases: count documents over the hits
+        complex_keys = ph.filter(F.col("prefix") | (F.size("toks") != 1)).select("query_id", "pno")
+        complex_n = (hits.join(F.broadcast(complex_keys), ["query_id", "pno"], "left_semi")
+                     .groupBy("query_id", "pno").agg(F.count(F.lit(1)).alias("nhit")))
+        nhit = nhit.unionByName(complex_n)
     raw = F.log((F.lit(float(n_docs)) - F.col("nhit") + 0.5) / (F.col("nhit") + 0.5))
     return nhit.select("query_id", "pno", F.when(raw <= 0, F.lit(IDF_FLOOR)).otherwise(raw).alias("idf"))
 
@@ -120,8 +139,9 @@ def score(index: FullTextIndex, queries: DataFrame) -> DataFrame:
     keys = list(index.keys)
     queries = query_side(queries)
     n_docs, avgdl = _corpus_scalars(index)
-    hits = phrase_hits(index, queries)
-    idf = F.broadcast(phrase_idf(index, queries, hits, n_docs))   # queries × phrases rows
+    shape = batch_shape(queries)
+    hits = phrase_hits(index, queries, shape)
+    idf = F.broadcast(phrase_idf(index, queries, hits, n_docs, any(shape)))   # queries × phrases rows
     norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("doc_len") / F.lit(avgdl if avgdl else 1.0))
     contrib = F.col("idf") * (F.col("tf") * (K1 + 1)) / (F.col("tf") + norm)
     per_doc = (hits.join(idf, ["query_id", "pno"])
