@@ -84,3 +84,15 @@ def test_snippet_marks_hits():
     s = snippet_text(text, [("target", False)])
     assert ">>>target<<<" in s and s.startswith("...") and s.endswith("...")
     assert snippet_text("Käse und Brot", [("kase", False)]) == ">>>Käse<<< und Brot"
+
+
+def test_prefix_join_matches_startswith(spark):
+    from threadlake.functions.text import prefix_join
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcé") for _ in range(rnd.randint(1, 6))) for _ in range(400)]
+    big = spark.createDataFrame([(w,) for w in words], "term string")
+    pfx = ["a", "ab", "é", "abc", "zz", "b"]
+    small = spark.createDataFrame([(i, p) for i, p in enumerate(pfx)], "qid int, tok string")
+    got = sorted((r["qid"], r["term"]) for r in prefix_join(big, "term", small, "tok").collect())
+    want = sorted((i, w) for i, p in enumerate(pfx) for w in words if w.startswith(p))
+    assert got == want
