@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, mix, quality, repeats, shard
+from threadlake.llm import chat, decontaminate, mix, near, quality, repeats, shard, toxicity
 from threadlake.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -70,8 +70,8 @@ def op4(spark, sf):
 
 
 LEAK_SQL = r"""
-WITH iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM benchmark),
-dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+WITH iw AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
 i AS (SELECT DISTINCT item_id, least(len(w), 5) AS k, array_to_string(w[p:p + least(len(w), 5) - 1], ' ') AS s
       FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS p FROM iw WHERE len(w) > 0)),
 n AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY item_id),
@@ -90,3 +90,13 @@ def op6(spark, sf):
 @register("op7_shard")
 def op7(spark, sf):
     return shard.shard(table(spark, sf, "documents"))
+
+
+@register("op8_ngram_join")
+def op8(spark, sf):
+    return near.near_join(table(spark, sf, "documents"))
+
+
+@register("op9_toxicity")
+def op9(spark, sf):
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))

@@ -1,9 +1,9 @@
 """Quality rules as weak supervision.
 
 Every rule looks at counts of the whole text and votes good (1), bad (-1) or
-abstains (0).  Expectation-maximisation learns, without labels, how often each
-rule votes each way on good and on bad documents; the posterior probability of
-"good" given all votes replaces an all-must-pass filter.
+abstains (0).  Expectation-maximisation learns, without labels, how accurate the
+votes of each rule are; the posterior probability of "good" given all votes
+replaces an all-must-pass filter.
 
 Only the table of distinct vote patterns (at most 3^rules rows, whatever the
 number of documents) reaches the driver for EM; it is counted over all rows.
@@ -29,6 +29,7 @@ from threadlake.llm.common import ready, stored
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 KEEP_FROM = 0.5
+ACCURACY, TRUST = 0.95, 1.0
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_lines", "n_upper_words", "n_stress_words", "n_distinct_words")
@@ -93,66 +94,79 @@ def base_failed(c: Column) -> Column:
 
 
 def votes(c: Column) -> dict[str, Column]:
-    """Rule name → vote.  Shares are per word, line shares per line."""
+    """Rule name → vote.  Shares are per word, line shares per line.  A rule that
+    sees nothing wrong abstains; only two look for signs of a good text."""
     words, lines = F.greatest(c["n_words"], F.lit(1)), F.greatest(c["n_lines"], F.lit(1))
 
-    def rule(bad: Column, good: Column) -> Column:
-        return F.when(bad, -1).when(good, 1).otherwise(0)
+    def bad(when: Column) -> Column:
+        return F.when(when, -1).otherwise(0)
 
-    symbols, repeat = c["n_symbols"] / words, c["n_repeat_words"] / words
-    length, dup = c["word_chars"] / words, c["n_dup_lines"] / lines
-    upper, stress = c["n_upper_words"] / words, c["n_stress_words"] / words
+    length = c["word_chars"] / words
     return {
-        "enough_words": rule(c["n_words"] < MIN_WORDS, c["n_words"] >= 2 * MIN_WORDS),
-        "few_symbols": rule(symbols > 0.1, symbols < 0.02),
-        "little_repetition": rule(repeat > 0.3, repeat < 0.1),
-        "lines_differ": rule(dup > 0.3, (dup < 0.05) & (c["n_lines"] > 1)),
-        "word_length": rule((length < 2.5) | (length > 12), (length > 3.5) & (length < 9)),
-        "few_capitals": rule(upper > 0.3, upper < 0.1),
-        "little_stress": rule(stress > 0.2, stress < 0.05),
-        "rich_words": rule(c["n_distinct_words"] < 0.1 * c["n_words"], c["n_distinct_words"] > 0.2 * c["n_words"]),
+        "too_short": bad(c["n_words"] < MIN_WORDS),
+        "symbols": bad(c["n_symbols"] > 0.1 * words),
+        "repeated_words": bad(c["n_repeat_words"] > 0.3 * words),
+        "repeated_lines": bad((c["n_dup_lines"] > 0.35 * lines) & (c["n_lines"] > 2)),
+        "word_length": bad((length < 2.5) | (length > 12)),
+        "capitals": bad(c["n_upper_words"] > 0.3 * words),
+        "stress": bad(c["n_stress_words"] > 0.2 * words),
+        "few_words_over_and_over": bad(c["n_distinct_words"] < 0.1 * c["n_words"]),
+        "many_words": F.when(c["n_words"] >= 4 * MIN_WORDS, 1).otherwise(0),
+        "varied_words": F.when((c["n_words"] >= MIN_WORDS) & (c["n_distinct_words"] > 0.4 * c["n_words"]), 1).otherwise(0),
     }
 
 
-def learn(patterns: np.ndarray, n: np.ndarray, rounds: int = 200, tol: float = 1e-9) -> tuple[float, np.ndarray]:
+def learn(patterns: np.ndarray, n: np.ndarray, rounds: int = 500, tol: float = 1e-10) -> tuple[float, np.ndarray]:
     """EM over vote patterns (rows of -1/0/1) seen ``n`` times each.
 
-    Returns the share of good documents and P(vote | class, rule) as an array
-    (class good/bad, rule, vote -1/0/1).  It starts from "any bad vote means
-    bad"; one pseudo-document per vote keeps every probability above zero.
+    The unknown is each document's class; an abstention says nothing.  Returns
+    the share of good documents and the accuracy of every rule's bad and good
+    votes, an array (rule, 2).  The maximisation adds, for every vote cast,
+    ``TRUST`` votes of accuracy ``ACCURACY``: a rule that nothing agrees or
+    disagrees with keeps what it was built for, one that others contradict
+    loses weight.
     """
-    rules = patterns.shape[1]
-    good = np.where((patterns < 0).any(1), 0.1, 0.9)
-    onehot = np.stack([patterns == v for v in (-1, 0, 1)], 2).astype(float)
-    share, table = 0.5, np.full((2, rules, 3), 1 / 3)
+    cast = [patterns < 0, patterns > 0]
+    good = np.where(cast[0].any(1), 0.1, 0.9)
+    accuracy = np.full((patterns.shape[1], 2), ACCURACY)
+    share = float((n * good).sum() / n.sum())
     for _ in range(rounds):
-        new = []
-        for w in (n * good, n * (1 - good)):
-            seen = np.einsum("p,prv->rv", w, onehot) + 1.0
-            new.append(seen / seen.sum(1, keepdims=True))
-        table = np.stack(new)
-        new_share = float(np.clip((n * good).sum() / n.sum(), 1e-6, 1 - 1e-6))
-        logp = np.einsum("prv,crv->pc", onehot, np.log(table)) + np.log([new_share, 1 - new_share])
-        good = 1 / (1 + np.exp(np.clip(logp[:, 1] - logp[:, 0], -500, 500)))
-        if abs(new_share - share) < tol:
+        odds = math.log(share / (1 - share))
+        logit = odds + cast[0] @ _weight(accuracy[:, 0], -odds, -1) + cast[1] @ _weight(accuracy[:, 1], odds, 1)
+        good = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
+        new = accuracy.copy()
+        for side, right in ((0, 1 - good), (1, good)):
+            seen = (cast[side] * n[:, None]).sum(0)
+            agreed = (cast[side] * (n * right)[:, None]).sum(0)
+            ok = seen > 0
+            new[ok, side] = (agreed[ok] + TRUST * ACCURACY * seen[ok]) / ((1 + TRUST) * seen[ok])
+        new_share = float(np.clip((n * good).sum() / n.sum(), 1e-4, 1 - 1e-4))
+        moved = max(abs(new_share - share), float(abs(new - accuracy).max()))
+        accuracy, share = new, new_share
+        if moved < tol:
             break
-        share = new_share
-    return new_share, table
+    return share, accuracy
 
 
-def fit(counted: DataFrame) -> dict[str, tuple[float, ...]] | None:
-    """Learn from the votes of all rows.  Returns log ratios good:bad for the
-    votes -1, 0, 1 of each rule, and the prior's under "" ; None without rows."""
+def _weight(accuracy: np.ndarray, odds: float, sign: int) -> np.ndarray:
+    """What a vote adds to the log odds of "good": the odds that it is right,
+    over the odds of its side without it; never to the other side."""
+    a = np.clip(accuracy, 1e-4, 1 - 1e-4)
+    return sign * np.maximum(np.log(a / (1 - a)) - odds, 0)
+
+
+def fit(counted: DataFrame) -> dict[str, tuple[float, float]] | None:
+    """Learn from the votes of all rows.  Returns per rule what a bad and a good
+    vote add to the log odds, and under "" the prior odds; None without rows."""
     v = votes(F.col("_c"))
     rows = counted.groupBy(*[x.alias(k) for k, x in v.items()]).agg(F.count(F.lit(1)).alias("n")).collect()
     if not rows:
         return None
     rows = sorted(rows, key=lambda r: [r[k] for k in v])
-    share, table = learn(np.array([[r[k] for k in v] for r in rows]), np.array([float(r["n"]) for r in rows]))
-    ratio = np.log(table[0]) - np.log(table[1])
-    # a bad vote never speaks for a document, nor a good one against it
-    ratio[:, 0], ratio[:, 2] = np.minimum(ratio[:, 0], 0), np.maximum(ratio[:, 2], 0)
-    return {"": (math.log(share / (1 - share)),)} | {k: tuple(map(float, ratio[i])) for i, k in enumerate(v)}
+    share, accuracy = learn(np.array([[r[k] for k in v] for r in rows]), np.array([float(r["n"]) for r in rows]))
+    odds = math.log(share / (1 - share))
+    bad, good = _weight(accuracy[:, 0], -odds, -1), _weight(accuracy[:, 1], odds, 1)
+    return {"": (odds, odds)} | {k: (float(bad[i]), float(good[i])) for i, k in enumerate(v)}
 
 
 def judged(counted: DataFrame, model: dict[str, tuple[float, ...]] | None) -> DataFrame:
@@ -161,8 +175,8 @@ def judged(counted: DataFrame, model: dict[str, tuple[float, ...]] | None) -> Da
         return counted.withColumn("quality", F.lit(None).cast("double")).withColumn("kept", F.lit(False))
     logit = F.lit(model[""][0])
     for k, x in votes(F.col("_c")).items():
-        bad, none, good = model[k]
-        logit = logit + F.when(x < 0, F.lit(bad)).when(x > 0, F.lit(good)).otherwise(F.lit(none))
+        bad, good = model[k]
+        logit = logit + F.when(x < 0, F.lit(bad)).when(x > 0, F.lit(good)).otherwise(F.lit(0.0))
     return (counted.withColumn("quality", 1 / (1 + F.exp(-logit)))
             .withColumn("kept", ~base_failed(F.col("_c")) & (F.col("quality") >= KEEP_FROM)))
 
