@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, mix, near, quality, repeats, shard, toxicity
+from threadlake.llm import chat, decontaminate, mix, near, pii, quality, repeats, secrets, shard, toxicity
 from threadlake.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -82,6 +82,11 @@ SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
 FROM h JOIN n USING (item_id) WHERE n_shared >= ceil(n_item * 0.8 - 1e-9)"""
 
 
+@register("op5_secret_scan")
+def op5(spark, sf):
+    return secrets.scan(table(spark, sf, "documents"))
+
+
 @register("op6_decontaminate", LEAK_SQL)
 def op6(spark, sf):
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -100,3 +105,13 @@ def op8(spark, sf):
 @register("op9_toxicity")
 def op9(spark, sf):
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+#: The key comes from the cluster's configuration; the default is for tests.
+PII_KEY = "threadlake-test-key"
+
+
+@register("op10_pii")
+def op10(spark, sf):
+    key = spark.conf.get("spark.threadlake.pii.key", PII_KEY)
+    return pii.pseudonyms(table(spark, sf, "documents").select("doc_id", "text"), key)

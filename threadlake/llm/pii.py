@@ -70,14 +70,13 @@ def feistel(x: Column, p: Column | int, q: Column | int, key: str, tag: str, und
         ).otherwise(F.struct(left.alias("l"), F.pmod(right + sign * _hash(key, tag, turn, left), q).alias("r")))
 
     x = x.cast("long")
-    half = F.aggregate(turns, F.struct(F.floor(x / q).cast("long").alias("l") if False else
-                                       _div(x, q).alias("l"), F.pmod(x, q).alias("r")), step)
+    half = F.aggregate(turns, F.struct(_div(x, q).alias("l"), F.pmod(x, q).alias("r")), step)
     return half["l"] * q + half["r"]
 
 
 def _div(x: Column, q: Column) -> Column:
     """Whole-number division without going through a double."""
-    return ((x - F.pmod(x, q)) / q).cast("decimal(20,0)").cast("long") if False else F.call_function("div", x, q)
+    return F.call_function("div", x, q)
 
 
 def _digits(s: Column) -> Column:
@@ -87,9 +86,8 @@ def _digits(s: Column) -> Column:
 def luhn_digit(body: Column) -> Column:
     """Check digit that makes body + digit pass the Luhn test."""
     n = F.length(body)
-    total = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda a, i: a + F.when(
-        (n - i) % 2 == 0, F.lit(0)).otherwise(F.lit(0)) + _luhn_value(
-            F.substr(body, i, F.lit(1)).cast("int"), (n - i) % 2 == 0))
+    total = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda a, i: a + _luhn_value(
+        F.substr(body, i, F.lit(1)).cast("int"), (n - i) % 2 == 0))
     return F.pmod(F.lit(10) - total % 10, F.lit(10)).cast("string")
 
 

@@ -29,7 +29,8 @@ from threadlake.llm.common import ready, stored
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 KEEP_FROM = 0.5
-ACCURACY, TRUST = 0.95, 1.0
+#: What the votes of a rule are built for: bad votes name a defect, good ones only hint.
+ACCURACY, TRUST = (0.95, 0.85), 2.0
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_lines", "n_upper_words", "n_stress_words", "n_distinct_words")
@@ -128,7 +129,7 @@ def learn(patterns: np.ndarray, n: np.ndarray, rounds: int = 500, tol: float = 1
     """
     cast = [patterns < 0, patterns > 0]
     good = np.where(cast[0].any(1), 0.1, 0.9)
-    accuracy = np.full((patterns.shape[1], 2), ACCURACY)
+    accuracy = np.tile(ACCURACY, (patterns.shape[1], 1))
     share = float((n * good).sum() / n.sum())
     for _ in range(rounds):
         odds = math.log(share / (1 - share))
@@ -139,7 +140,7 @@ def learn(patterns: np.ndarray, n: np.ndarray, rounds: int = 500, tol: float = 1
             seen = (cast[side] * n[:, None]).sum(0)
             agreed = (cast[side] * (n * right)[:, None]).sum(0)
             ok = seen > 0
-            new[ok, side] = (agreed[ok] + TRUST * ACCURACY * seen[ok]) / ((1 + TRUST) * seen[ok])
+            new[ok, side] = (agreed[ok] + TRUST * ACCURACY[side] * seen[ok]) / ((1 + TRUST) * seen[ok])
         new_share = float(np.clip((n * good).sum() / n.sum(), 1e-4, 1 - 1e-4))
         moved = max(abs(new_share - share), float(abs(new - accuracy).max()))
         accuracy, share = new, new_share
