@@ -11,7 +11,7 @@ level 9    In every stretch of 27 neighbouring 9-word windows the one with the
 level 18   Anchors that repeat are extended to 18 words, to the right and to
            the left.  A 35-word window around an anchor holds one of the two.
 level 35   Windows around surviving 18-word windows are counted in full, with
-           128-bit hashes.  What repeats there is the answer.
+           96-bit hashes.  What repeats there is the answer.
 
 Window counts are map-side combined sums by hash, joined back by hash, so a
 passage that a third of all documents share is never gathered anywhere.  Texts
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import ready, stored
+from threadlake.llm.common import discard, ready, stored
 
 WINDOW = 35
 SHORT = 9  # first level; the second is twice that, the third is capped at WINDOW
@@ -165,15 +165,43 @@ def _starts(at: np.ndarray, side: np.ndarray, n_words: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
-def _level_35(row, known):
-    doc_id, text, fp, at, side = row
-    words = (text or "").encode().split()
-    h = word_hashes(words, known)
-    start = _starts(np.array(at), np.array(side), len(words))
-    if not len(start):
-        return None
-    one, two = windows(h, WINDOW)[start], windows(h, WINDOW, ODD[1])[start]
-    return (np.full(len(start), fp), start.astype(np.int32), _as_long(one), _as_long(two))
+CHUNK = 1_000_000  # windows of one task that are compared at once
+
+
+def _level_35(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate windows as (fp, start, h1, h2).  Windows that are equal inside
+    a chunk are known to repeat: one of them keeps its hashes, for windows
+    elsewhere, the others go out without.  So no hash has more rows than chunks."""
+    schema = pa.schema([("fp", pa.int64()), ("start", pa.int32()), ("h1", pa.int64()), ("h2", pa.int32()),
+                        ("known", pa.bool_())])
+    known, held, n = _Hashes(), [], 0
+
+    def chunk() -> pa.RecordBatch:
+        fp, start, one, two = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((two, one))
+        same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
+        again, first = np.zeros(len(order), bool), np.ones(len(order), bool)
+        again[order[1:]] |= same
+        again[order[:-1]] |= same
+        first[order[1:]] = ~same
+        return pa.RecordBatch.from_arrays([
+            pa.array(fp), pa.array(start), pa.array(one, mask=~first), pa.array(two, mask=~first), pa.array(again)],
+            schema=schema)
+
+    for _, text, fp, at, side in _texts(batches, "fp", "at", "side"):
+        words = (text or "").encode().split()
+        h = word_hashes(words, known)
+        start = _starts(np.array(at), np.array(side), len(words))
+        if len(start):
+            two = windows(h, WINDOW, ODD[1])[start]
+            held.append((np.full(len(start), fp), start.astype(np.int32), _as_long(windows(h, WINDOW)[start]),
+                         (two >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+            n += len(start)
+        if n > CHUNK:
+            yield chunk()
+            held, n = [], 0
+    if held:
+        yield chunk()
 
 
 def _twice(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -188,11 +216,6 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("fp"))
 
 
-def _level_35_batches(batches):
-    return _narrow(_level_35, [("fp", pa.int64()), ("start", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())],
-                   "at", "side")(batches)
-
-
 def candidates(docs: DataFrame) -> DataFrame:
     """prepared docs → fp, at, side (arrays): anchors whose 18-word windows
     occur more than once."""
@@ -203,6 +226,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     nine = stored(nine, "windows9")
     eighteen = stored(_twice(nine, ["h"]).select(
         "fp", "at", F.posexplode(F.array("right", "left")).alias("side", "h")).filter("h != 0"), "windows18")
+    discard(nine)
     return _twice(eighteen, ["side", "h"]).groupBy("fp").agg(
         F.collect_list("at").alias("at"), F.collect_list("side").alias("side"))
 
@@ -210,8 +234,11 @@ def candidates(docs: DataFrame) -> DataFrame:
 def repeated_windows(texts: DataFrame) -> DataFrame:
     """texts(doc_id, text, fp, at, side) → fp, start of every 35-word window
     that occurs more than once in them."""
-    full = texts.mapInArrow(_level_35_batches, "fp long, start int, h1 long, h2 long")
-    return _twice(stored(full, "windows35"), ["h1", "h2"]).select("fp", "start")
+    full = stored(texts.mapInArrow(_level_35, "fp long, start int, h1 long, h2 int, known boolean"), "windows35")
+    counted = full.filter("h1 IS NOT NULL")
+    often = (counted.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
+    elsewhere = counted.filter("NOT known").join(often, ["h1", "h2"], "left_semi")
+    return full.filter("known").select("fp", "start").unionByName(elsewhere.select("fp", "start"))
 
 
 def _own(batches):
@@ -267,7 +294,7 @@ def kept_words(docs: DataFrame) -> DataFrame:
     found = candidates(d).join(skip, "fp", "left_anti").withColumnRenamed("fp", "_fp")
     texts = stored(d.join(found, d["fp"] == found["_fp"]).drop("_fp"), "candidate-texts")
     starts = repeated_windows(texts).groupBy("fp").agg(F.collect_list("start").alias("starts"))
-    starts = starts.withColumnRenamed("fp", "_fp")
+    starts = stored(starts, "repeats").withColumnRenamed("fp", "_fp")
     cut = texts.join(starts, texts["fp"] == starts["_fp"]).drop("_fp").mapInArrow(
         _cut, "fp long, n_removed long, kept string").dropDuplicates(["fp"])
     cut = cut.withColumnRenamed("fp", "_fp").withColumnRenamed("n_removed", "_cut")
