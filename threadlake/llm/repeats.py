@@ -204,11 +204,12 @@ def _level_35(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield chunk()
 
 
-def _twice(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _twice(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Rows whose key occurs more than once.  Counting combines before the
-    shuffle; the join back has unique keys on one side."""
+    shuffle.  The repeated keys are written first: then both sides of the join
+    back are plain shuffles, and Spark splits a partition that one key fills."""
     often = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    return rows.join(often, keys, "left_semi")
+    return rows.join(stored(often, name), keys, "left_semi")
 
 
 def prepared(docs: DataFrame) -> DataFrame:
@@ -224,10 +225,10 @@ def candidates(docs: DataFrame) -> DataFrame:
         _narrow(_level_9, [("fp", long), ("at", integer), ("h", long), ("right", long), ("left", long)]),
         "fp long, at int, h long, right long, left long")
     nine = stored(nine, "windows9")
-    eighteen = stored(_twice(nine, ["h"]).select(
+    eighteen = stored(_twice(nine, ["h"], "repeated9").select(
         "fp", "at", F.posexplode(F.array("right", "left")).alias("side", "h")).filter("h != 0"), "windows18")
     discard(nine)
-    return _twice(eighteen, ["side", "h"]).groupBy("fp").agg(
+    return _twice(eighteen, ["side", "h"], "repeated18").groupBy("fp").agg(
         F.collect_list("at").alias("at"), F.collect_list("side").alias("side"))
 
 
@@ -236,8 +237,8 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     that occurs more than once in them."""
     full = stored(texts.mapInArrow(_level_35, "fp long, start int, h1 long, h2 int, known boolean"), "windows35")
     counted = full.filter("h1 IS NOT NULL")
-    often = (counted.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
-    elsewhere = counted.filter("NOT known").join(often, ["h1", "h2"], "left_semi")
+    often = counted.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    elsewhere = counted.filter("NOT known").join(stored(often, "repeated35"), ["h1", "h2"], "left_semi")
     return full.filter("known").select("fp", "start").unionByName(elsewhere.select("fp", "start"))
 
 
