@@ -8,7 +8,6 @@ from conftest import SF_SMALL
 from threadlake.functions.indexing import with_global_index
 from threadlake.operators import graph as G
 from threadlake.operators import vectors as V
-from threadlake.operators.asof import asof_join
 from threadlake.plans import fts_query as Q
 from threadlake.sources import driver_tables as D
 
@@ -22,27 +21,6 @@ def test_global_index_matches_row_number(spark):
     assert g.exceptAll(ref.select(*g.columns)).count() == 0
 
 
-def test_asof_matches_brute_force_with_hot_key(spark):
-    rnd = random.Random(7)
-    probes, marks = [], []
-    for i in range(1500):
-        key = "hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 30)}"
-        probes.append((i, key, rnd.randint(0, 5000)))
-    for j in range(600):
-        key = "hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 30)}"
-        marks.append((10_000 + j, key, rnd.randint(0, 5000)))
-    p = spark.createDataFrame(probes, "pid long, key string, ts long")
-    m = spark.createDataFrame(marks, "mid long, key string, ts long")
-    for direction in ("backward", "forward"):
-        got = {r["pid"]: r["mid"] for r in asof_join(p, m, "key", "ts", "pid", "mid", direction, width=64).collect()}
-        for pid, key, ts in probes:
-            cands = [(mt, mid) for mid, mk, mt in marks if mk == key and (mt <= ts if direction == "backward" else mt >= ts)]
-            want = None
-            if cands:
-                want = (max(cands) if direction == "backward" else min(cands))[1]
-            assert got[pid] == want, (direction, pid)
-
-
 def test_temporal_edge_count(spark):
     t = D.turns(spark, SF_SMALL)
     n = G.wire_temporal(t).count()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadlake.session import cut_lineage
+
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
@@ -14,15 +16,17 @@ def with_global_index(df: DataFrame, order_cols: list[str], name: str = "row_idx
     order).
 
     Range-partition + sort, number rows inside each partition, then add the
-    prefix sum of earlier partitions' counts.  The offsets table has one row per
-    partition, so broadcasting it is size-bounded; no task sees more than its
-    own partition.
+    prefix sum of earlier partitions' counts.  Range bounds are sampled anew at
+    every evaluation, so the partitioned rows are checkpointed once and every
+    use reads them.  The offsets table has one row per partition, so
+    broadcasting it is size-bounded; no task sees more than its own partition.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = (ranged.withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
               .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
+    ranged = cut_lineage(ranged)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -5,57 +5,59 @@ For every probe row find the nearest marker row of the same key:
 * ``backward`` – the last marker with marker.ts ≤ probe.ts
 * ``forward``  – the first marker with marker.ts ≥ probe.ts
 
-Probes and markers are put on one global line ordered by (key, ts, kind, id)
-with a range-partitioned global index (no single-partition window).  Each
-marker owns an interval of that line up to its neighbour marker of the same
-key; the intervals are disjoint, so probes find their marker by an equi-join on
-fixed-width index buckets (``index // width``) plus a range check.  A bucket
-holds at most ``width`` probes and ``width + 1`` intervals whatever the key
-distribution, so one key holding a third of all rows spreads over many tasks.
+Two-level carry: the rows of a key are cut into hours, and hours with more than
+``bucket_rows`` rows into equal slices of the hour.  Inside a bucket a window
+carries the last marker along; from bucket to bucket a window over one small
+row per bucket does.  A key with a third of all rows is spread over its
+buckets, and nothing depends on how Spark samples or partitions the rows.
+Rows of one key that share one second stay together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadlake.functions.indexing import with_global_index
+BUCKET_ROWS = 1 << 14
 
 
 def asof_join(probes: DataFrame, markers: DataFrame, key: str, ts: str, probe_id: str,
-              marker_id: str, direction: str = "backward", width: int = 1 << 14) -> DataFrame:
+              marker_id: str, direction: str = "backward", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Return ``probes`` plus ``marker_id`` of the matched marker (NULL when none).
 
-    ``probe_id`` / ``marker_id`` must be unique BIGINT columns; they also break
-    ties between rows with equal ``ts`` (markers sort before probes for
-    backward, after them for forward, so equal timestamps match).
+    ``probe_id`` / ``marker_id`` break ties between rows with equal ``ts``
+    (markers sort before probes for backward, after them for forward, so equal
+    timestamps match).  A NULL key or timestamp matches nothing.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(direction)
     back = direction == "backward"
     p_kind, m_kind = (1, 0) if back else (0, 1)
+    probe = F.struct(*[F.col(c) for c in probes.columns])
+    m = markers.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     ev = (probes.select(F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.lit(p_kind).alias("_kind"),
-                        F.col(probe_id).cast("long").alias("_id"))
-          .unionByName(markers.select(F.col(key).alias("_key"), F.col(ts).alias("_ts"),
-                                      F.lit(m_kind).alias("_kind"), F.col(marker_id).cast("long").alias("_id"))))
-    g = with_global_index(ev, ["_key", "_ts", "_kind", "_id"], "_g")
-    bounds = g.groupBy("_key").agg(F.min("_g").alias("_lo_key"), F.max("_g").alias("_hi_key"))
-    m = with_global_index(g.filter(F.col("_kind") == m_kind).select("_key", "_id", "_g"), ["_g"], "_s")
-    # neighbour marker: the next one (backward) or the previous one (forward)
-    nb = m.select((F.col("_s") + (-1 if back else 1)).alias("_s"), F.col("_key").alias("_nkey"),
-                  F.col("_g").alias("_ng"))
-    m = (m.join(nb, "_s", "left")
-         .withColumn("_ng", F.when(F.col("_nkey") == F.col("_key"), F.col("_ng")))
-         .join(bounds, "_key"))
-    if back:
-        lo, hi = F.col("_g"), F.coalesce(F.col("_ng") - 1, F.col("_hi_key"))
-    else:
-        lo, hi = F.coalesce(F.col("_ng") + 1, F.col("_lo_key")), F.col("_g")
-    iv = m.select(F.col("_key").alias("_mkey"), F.col("_id").alias("_mid"), lo.alias("_lo"), hi.alias("_hi"))
-    ivb = iv.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width))))
-    pb = (g.filter(F.col("_kind") == p_kind).select("_key", F.col("_id").alias("_pid"), "_g")
-          .withColumn("_b", F.floor(F.col("_g") / width)))
-    hit = (pb.join(ivb, "_b")
-           .filter((F.col("_key") == F.col("_mkey")) & (F.col("_g") >= F.col("_lo")) & (F.col("_g") <= F.col("_hi")))
-           .select(F.col("_pid").alias(probe_id), F.col("_mid").alias(marker_id)))
-    return probes.join(hit, probe_id, "left")
+                        F.col(probe_id).cast("long").alias("_id"), probe.alias("_probe"))
+          .unionByName(m.select(F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.lit(m_kind).alias("_kind"),
+                                F.col(marker_id).cast("long").alias("_id")), allowMissingColumns=True)
+          # fields of the timestamp itself: no time zone comes in
+          .withColumn("_hour", F.unix_date(F.to_date("_ts")) * 24 + F.hour("_ts")))
+    crowded = (ev.groupBy("_key", "_hour").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bucket_rows)
+               .select("_key", "_hour", F.ceil(F.col("_n") / bucket_rows).alias("_slices")))
+    second = F.minute("_ts") * 60 + F.floor(F.second("_ts"))
+    bucket = ["_key", "_hour", "_slice"]
+    ev = (ev.join(crowded, ["_key", "_hour"], "left")
+          .withColumn("_slice", F.floor(second * F.coalesce("_slices", F.lit(1)) / 3600)).drop("_slices"))
+
+    def along(*cols: str):
+        return [F.col(c) if back else F.col(c).desc() for c in cols]
+
+    marker = F.when(F.col("_kind") == m_kind, F.struct("_ts", "_id"))
+    edge = F.max(marker) if back else F.min(marker)  # the marker that a bucket hands on
+    before = Window.partitionBy("_key").orderBy(*along("_hour", "_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (ev.groupBy(*bucket).agg(edge.alias("_edge"))
+               .select(*bucket, F.last("_edge", ignorenulls=True).over(before)["_id"].alias("_carried")))
+    inside = Window.partitionBy(*bucket).orderBy(*along("_ts", "_kind", "_id")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    out = (ev.withColumn("_near", F.last(marker, ignorenulls=True).over(inside)["_id"])
+           .filter(F.col("_kind") == p_kind).join(carried, bucket, "left"))
+    return out.select("_probe.*", F.coalesce("_near", "_carried").alias(marker_id))

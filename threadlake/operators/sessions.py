@@ -1,7 +1,7 @@
 """Session reads, listings and statistics.
 
-Skew notes: per-session numbering uses a global range-partitioned index minus
-the session's first index (a partial-aggregated ``min``), so a session holding
+Skew notes: per-session numbering counts inside ranges of the order column and
+shifts them by the counts of earlier ranges, so a session holding
 a third of all turns is spread over many tasks instead of one window
 partition; prefix lookups pick their match with ``min(struct)`` aggregation,
 not a window.
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlake.functions.indexing import with_global_index
@@ -25,12 +25,29 @@ EMBED_ROLES = ("user", "assistant")
 
 # --- numbering / headers ---------------------------------------------------
 
+NUMBERING_WIDTH = 1 << 12
+
+
 def number_within(df: DataFrame, part: str, order: list[str], name: str = "turn_idx") -> DataFrame:
     """P5: 0-based position of each row inside its ``part`` group, following
-    ``order`` (a total order within the group)."""
-    g = with_global_index(df, [part, *order], "_gidx")
-    first = g.groupBy(part).agg(F.min("_gidx").alias("_g0"))
-    return g.join(first, part).withColumn(name, (F.col("_gidx") - F.col("_g0")).cast("int")).drop("_gidx", "_g0")
+    ``order`` (a total order within the group).
+
+    A numeric first order column cuts the group into ranges of
+    ``NUMBERING_WIDTH`` values; rows are numbered inside their range and shifted
+    by the row counts of earlier ranges (one small row per range)."""
+    if dict(df.dtypes)[order[0]] not in ("int", "bigint", "smallint", "tinyint"):
+        g = with_global_index(df, [part, *order], "_gidx")
+        first = g.groupBy(part).agg(F.min("_gidx").alias("_g0"))
+        return g.join(first, part).withColumn(name, (F.col("_gidx") - F.col("_g0")).cast("int")).drop("_gidx", "_g0")
+    cut = df.withColumn("_range", F.floor(F.col(order[0]) / NUMBERING_WIDTH))
+    earlier = Window.partitionBy(part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = cut.groupBy(part, "_range").agg(F.count(F.lit(1)).alias("_c")).select(
+        F.col(part).alias("_p"), F.col("_range").alias("_r"), F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_shift"))
+    local = F.row_number().over(Window.partitionBy(part, "_range").orderBy(*order)) - 1
+    return (cut.withColumn("_local", local)
+            .join(shift, F.col(part).eqNullSafe(F.col("_p")) & F.col("_range").eqNullSafe(F.col("_r")))
+            .withColumn(name, (F.col("_shift") + F.col("_local")).cast("int"))
+            .drop("_range", "_local", "_p", "_r", "_shift"))
 
 
 def session_headers(turns: DataFrame) -> DataFrame:
@@ -73,7 +90,7 @@ def usable_for_transcript(text: Column | None = None) -> Column:
 
 def in_recent_window(as_of_ts: Column, hours: int, min_turns: int = 4) -> Column:
     """ended_at > as_of − hours and turn_count ≥ min_turns (UTC)."""
-    ended = F.to_timestamp(F.col("ended_at"))
+    ended = F.try_to_timestamp(F.col("ended_at"))  # a malformed time is not recent
     cutoff = as_of_ts - F.make_dt_interval(F.lit(0), F.lit(hours))
     return (ended > cutoff) & (F.col("turn_count") >= min_turns)
 
