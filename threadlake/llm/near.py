@@ -3,7 +3,8 @@
 Two documents are linked when the Jaccard similarity of their distinct 5-word
 shingles is at least ``THRESHOLD``.
 
-1. Texts with the same word sequence form a class; one of each goes on.
+1. Texts with the same word sequence form a class; one of each goes on.  Classes
+   and groups are named by 64 of the sequence's 128 hash bits.
 2. Forest: each of ``TREES`` trees reads ``MAX_DEPTH`` of the ``HASHES`` MinHash
    values of a document as a path.  Documents that share a path prefix are
    candidates.  The prefix starts at full depth and is shortened until the
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,36 +91,25 @@ def prefixes(signature: np.ndarray, paths: np.ndarray, depth: int) -> np.ndarray
         return out ^ (out >> np.uint64(29))
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two independent hashes of the word sequence, and its word count."""
-    import xxhash
-
-    for b in batches:
-        one, two, n = [], [], []
-        for t in b.column("text").to_pylist():
-            words = (t or "").encode().split()
-            whole = xxhash.xxh3_128_intdigest(b" ".join(words))
-            one.append((whole & (1 << 64) - 1) - (1 << 63))
-            two.append((whole >> 64) - (1 << 63))
-            n.append(len(words))
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(n, pa.int64())],
-            names=["doc_id", "c1", "c2", "n_words"])
+def _class_of(text: str | None) -> tuple[int, int, int]:
+    """Two hashes of the word sequence, and its length."""
+    words = (text or "").encode().split()
+    whole = xxhash.xxh3_128_intdigest(b" ".join(words))
+    return (whole & (1 << 64) - 1) - (1 << 63), (whole >> 64) - (1 << 63), len(words)
 
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, text → node, prefixes: the forest path of each text."""
+    """doc_id, class of the text, number of words, forest path (null without words)."""
     odd, add, paths = _family()
     depth, known = depth_for(), _Hashes()
     for b in batches:
-        nodes, out = [], []
-        for node, text in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), strict=True):
-            s = shingle_set(text, known)
-            if len(s):
-                nodes.append(node)
-                out.append(prefixes(minhash(s, odd, add), paths, depth).view(np.int64))
+        texts = b.column("text").to_pylist()
+        of = [_class_of(t) for t in texts]
+        trees = [prefixes(minhash(shingle_set(t, known), odd, add), paths, depth).view(np.int64) if c[2] else None
+                 for t, c in zip(texts, of, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["node", "prefixes"])
+            [b.column("doc_id"), *[pa.array([c[k] for c in of], pa.int64()) for k in range(3)],
+             pa.array(trees, pa.list_(pa.int64()))], names=["doc_id", "c1", "c2", "n_words", "path"])
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -162,6 +153,7 @@ def _verify(threshold: float):
     def run(part: pd.DataFrame) -> pd.DataFrame:
         """One pair of blocks of one group: links per member, and for each
         member the least member of its linked part here."""
+        part = part.drop_duplicates("node")  # equal rows of one doc_id
         known = _Hashes()
         node, block = part["node"].to_numpy(), part["block"].to_numpy()
         sets = [shingle_set(t, known) for t in part["text"]]
@@ -202,63 +194,57 @@ def _verify(threshold: float):
     return run
 
 
-def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, nodes): every row as (doc_id, c1, c2, n_words, node, copies), and
-    one row per class as (node, c1, c2).  ``node`` is a hash of the class."""
-    spark = docs.sparkSession
-    ready(spark)
-    rows = stored(docs.select("doc_id", "text").mapInArrow(
-        _classes, f"doc_id {dict(docs.dtypes)['doc_id']}, c1 long, c2 long, n_words long"), "near-classes")
-    return rows, rows.groupBy("c1", "c2").agg(
-        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_copies"), F.max("n_words").alias("n_words"))
+def _own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose text is of the class they were joined for."""
+    for b in batches:
+        mine = [_class_of(t)[:2] == (x, y) for t, x, y in zip(
+            *[b.column(c).to_pylist() for c in ("text", "c1", "c2")], strict=True)]
+        yield b.filter(pa.array(mine, pa.bool_())).drop_columns(["c1", "c2"])
 
 
 def near_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs(doc_id, text) → one row per row of docs: doc_id, copy_id (least
     doc_id with the same words), n_copies, class_id (least doc_id of the linked
-    group), n_links (different texts linked to this one)."""
-    rows, cls = classes(docs)
-    # least doc_ids are unique per class unless a doc_id has several texts; c1 tells those apart
-    cls = stored(cls.withColumn("node", F.col("c1")), "near-nodes")
-    texts = (docs.select("doc_id", "text").withColumnRenamed("doc_id", "_id"))
-    texts = texts.mapInArrow(_with_class, f"_id {dict(docs.dtypes)['doc_id']}, text string, c1 long, c2 long")
-    many = cls.filter("n_words > 0").select(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"),
-                                            F.col("class_id").alias("_first"), "node")
-    one = texts.join(many, (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2"))
-                     & F.col("_id").eqNullSafe(F.col("_first"))).select("node", "text").dropDuplicates(["node"])
-    one = stored(one, "near-texts")
-    paths = one.mapInArrow(_paths, "node long, prefixes array<long>")
-    leaves = stored(paths.select("node", F.posexplode("prefixes").alias("tree", "prefix")), "near-forest")
-    bucket = leaves.groupBy("tree", "prefix").agg(F.min("node").alias("b"), F.max("node").alias("_max")).filter("b < _max")
-    stars = leaves.join(bucket, ["tree", "prefix"]).select(F.col("node").alias("a"), "b")
-    group = components(stars, "near-candidates")
-    group = stored(group.join(group.groupBy("root").agg(F.count(F.lit(1)).alias("g")), "root"), "near-groups")
-    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
-    member = (one.join(group, "node").withColumn("blocks", blocks)
-              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
-    checked = stored(member.select("root", "bi", "bj", "node", "block", "text").groupBy("root", "bi", "bj")
+    group), n_links (different texts linked to this one).
+
+    Texts are read twice: once for their paths, once (members of candidate
+    groups only go on) for the exact shingles.
+    """
+    ready(docs.sparkSession)
+    id_type = dict(docs.dtypes)["doc_id"]
+    rows = stored(docs.select("doc_id", "text").mapInArrow(
+        _paths, f"doc_id {id_type}, c1 long, c2 long, n_words long, path array<long>"), "near-rows")
+    cls = stored(rows.groupBy("c1", "c2").agg(
+        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_copies"), F.any_value("path").alias("path"))
+        .withColumn("node", F.col("c1")), "near-nodes")
+    leaves = cls.select("node", F.explode("path").alias("prefix"))  # the prefix hash names its tree
+    bucket = stored(leaves.groupBy("prefix").agg(F.min("node").alias("b"), F.max("node").alias("_max"))
+                    .filter("b < _max").drop("_max"), "near-buckets")
+    group = components(leaves.join(bucket, "prefix").select(F.col("node").alias("a"), "b"), "near-candidates")
+    group = group.join(group.groupBy("root").agg(F.count(F.lit(1)).alias("g")), "root")
+    members = stored(cls.drop("path", "n_copies").join(group, "node")
+                     .withColumn("blocks", F.ceil(F.col("g") / BLOCK).cast("int")).drop("g"), "near-groups")
+    # a merge join at every size: members grow with the corpus, texts are dealt once
+    texts = (docs.select("doc_id", "text").join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("class_id")))
+             .select("node", "root", "blocks", "text", "c1", "c2")
+             .mapInArrow(_own_texts, "node long, root long, blocks int, text string"))
+    met = (texts.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+           .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
+    checked = stored(met.select("root", "bi", "bj", "node", "block", "text").groupBy("root", "bi", "bj")
                      .applyInPandas(_verify(threshold), "node long, root long, links long"), "near-verified")
     links = checked.groupBy("node").agg(F.sum("links").alias("n_links"))
     linked = components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")), "near-linked")
-    cls = (cls.join(links, "node", "left").join(linked, "node", "left")
+    cls = (cls.drop("path").join(links, "node", "left").join(linked, "node", "left")
            .withColumn("root", F.coalesce("root", "node")))
-    least = cls.groupBy("root").agg(F.min("class_id").alias("least"), F.count(F.lit(1)).alias("_n"))
+    least = cls.groupBy("root").agg(F.min("class_id").alias("least"))
     cls = cls.join(least, "root").select(
         F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), F.col("class_id").alias("copy_id"), "n_copies",
         F.col("least").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    return (rows.join(cls, (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2")))
+    return (rows.drop("path").join(cls, (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2")))
             .select("doc_id", "copy_id", "n_copies", "class_id", "n_links"))
 
 
-def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        c = next(_classes([b.rename_columns(["doc_id", "text"])]))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), c.column("c1"), c.column("c2")],
-                                         names=["_id", "text", "c1", "c2"])
-
-
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each linked group (its least doc_id, once)."""
     keep = stored(near_join(docs, threshold).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
