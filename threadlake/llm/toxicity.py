@@ -48,6 +48,8 @@ MIN_TEXTS = 3
 EXAMPLES = 4096
 BLOCK = 64
 NEAREST = 16
+#: Labels (16 bytes each) that are broadcast at most.
+BROADCAST_LABELS = 1_000_000
 PRIOR_WEIGHT = 0.25
 THRESHOLD = 0.7
 
@@ -247,7 +249,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     predicted, evidence."""
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    training = docs.select("doc_id", "text").join(known, "doc_id")
+    # labels go to the texts while they are few; beyond, both are shuffled
+    few = known.count() <= BROADCAST_LABELS
+    training = docs.select("doc_id", "text").join(F.broadcast(known) if few else known, "doc_id")
     index = learn(training)
     prior = 0.0 if index else float(known.agg(F.avg("toxic")).first()[0] or 0.0)
     out = score(docs, index, prior)
