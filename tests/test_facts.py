@@ -1,6 +1,8 @@
 """The reference's extraction cases, as DataFrame tests."""
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from threadlake.operators import facts as FX
@@ -20,13 +22,13 @@ def _classify(spark, items):
 
 
 def test_complete_fact_is_stored(spark):
-    f = _classify(spark, [{"type": "decision", "fact": "Use WAL mode for all SQLite connections.",
-                           "tags": ["sqlite", "recall"]}])
+    f = _classify(spark, [{"type": "decision", "fact": "Parquet tables are sorted by session.",
+                           "tags": ["layout", "tables"]}])
     rows = FX.memory_rows(f, _sessions(spark), "2026-07-01T00:00:00Z")
     d = FX.dedupe(rows).collect()
     assert len(d) == 1 and d[0]["status"] == "stored"
-    assert d[0]["content"] == "[decision] Use WAL mode for all SQLite connections."
-    assert d[0]["metadata"]["tags"] == ["sqlite", "recall", FX.SOURCE_TAG, "node:node-a"]
+    assert d[0]["content"] == "[decision] Parquet tables are sorted by session."
+    assert d[0]["metadata"]["tags"] == ["layout", "tables", FX.SOURCE_TAG, "node:node-a"]
 
 
 def test_duplicate_against_memory(spark):
@@ -102,21 +104,42 @@ def test_packing_consumes_each_turn_once(spark):
     assert len(seen) == len(usable)
 
 
-def test_extraction_run_writes_snapshot_pair(spark, tmp_path):
-    from conftest import SF_SMALL
+def test_extraction_run_publishes_a_pair(spark, tmp_path):
+    """sf0.01 has pending sessions: one extractor call per transcript, both
+    tables behind one pointer, a second run goes on from the new markers."""
+    from conftest import SF_MID
     from threadlake.sources import driver_tables as D
     from threadlake.sources import snapshots as SN
     base = str(tmp_path / "store")
-    s, t = D.sessions(spark, SF_SMALL), D.turns(spark, SF_SMALL)
-    out = FX.extraction_run(s, t, D.markers(spark, SF_SMALL), None, FX.stub_extractor,
-                            "2024-01-03T00:00:00Z", 24, base=base, snapshot_id=1,
-                            max_chars=700, max_turns=3, chunk_chars=300)
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(transcript):
+        calls.add(1)
+        return FX.stub_extractor(transcript)
+
+    s, t = D.sessions(spark, SF_MID), D.turns(spark, SF_MID)
+    args = dict(max_chars=700, max_turns=3, chunk_chars=300)
+    as_of = "2024-01-03T00:00:00Z"
+    out = FX.extraction_run(s, t, D.markers(spark, SF_MID), None, counted, as_of, 24, base=base, **args)
     rep = out["report"].first()
-    mem = SN.read_latest(spark, base, "memory")
-    mk = SN.read_latest(spark, base, "markers")
-    assert mem.count() == rep["stored"]
-    assert mk.count() == out["markers"].count()
-    dry = FX.extraction_run(s, t, mk, mem, FX.stub_extractor, "2024-01-03T00:00:00Z", 24,
-                            dry_run=True, max_chars=700, max_turns=3, chunk_chars=300)
-    # second run only sees turns past the advanced markers
-    assert dry["packed"].filter("since >= 0").count() >= 0
+    asked = out["packed"].filter("NOT too_short").count()
+    assert asked > 0 and calls.value == asked and rep["stored"] > 0
+    mem, mk = SN.read_latest(spark, base, "memory"), SN.read_latest(spark, base, "markers")
+    assert mem.count() == rep["stored"] and mk.count() == out["markers"].count()
+    again = FX.extraction_run(s, t, mk, mem, FX.stub_extractor, as_of, 24, base=base, **args)
+    assert again["packed"].filter("since >= 0").count() > 0
+    assert SN.latest_snapshot(spark, base, "memory") == 1
+
+
+def test_failed_publish_keeps_the_old_pair(spark, tmp_path):
+    from threadlake.sources import snapshots as SN
+    base = str(tmp_path / "store")
+    one = spark.createDataFrame([(1,)], "x int")
+    SN.publish({"a": one, "b": one}, base)
+    bad = one.select(F.raise_error(F.lit("no")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="no"):
+        SN.publish({"a": one.union(one), "b": bad}, base)
+    assert SN.read_latest(spark, base, "a").count() == 1 and SN.latest_snapshot(spark, base, "b") == 0
+    SN.publish({"a": one.union(one), "b": one}, base)
+    assert SN.read_latest(spark, base, "a").count() == 2
+    assert SN.read_latest(spark, str(tmp_path / "none"), "a") is None

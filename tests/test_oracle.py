@@ -10,6 +10,8 @@ from conftest import SF_SMALL
 from threadlake.sources.driver_tables import TABLES
 
 NAMES = sorted(E.oracle_sql())
+# at sf0.001 no session is inside the window of the extraction queries, and every turn has its vector
+MAY_BE_EMPTY = {"extract_facts", "fact_classes", "embed_turns"}
 
 
 def _norm(v):
@@ -55,7 +57,9 @@ def test_every_query_runs(spark):
     for name, fn in E.queries().items():
         if name in E.oracle_sql():
             continue
-        assert fn(spark, SF_SMALL).count() >= 0, name
+        df = fn(spark, SF_SMALL)
+        rows = df.collect()
+        assert df.columns and (rows or name in MAY_BE_EMPTY), name
 
 
 def test_entry(spark):

@@ -270,24 +270,25 @@ def extraction_run(sessions: DataFrame, turns: DataFrame, markers: DataFrame, me
                    base: str | None = None, snapshot_id: int | None = None, dry_run: bool = False,
                    session_id: str | None = None, legacy: DataFrame | None = None,
                    source_tag: str = SOURCE_TAG, **pack_args) -> dict[str, DataFrame]:
-    """E1–E10 as one plan.  With ``base`` and not ``dry_run`` the new markers
-    and the stored memory rows are written as one snapshot pair (markers and
-    memory move together; a failed run publishes neither)."""
+    """E1–E10.  The replies are checkpointed, so the extractor is called once per
+    transcript whatever reads them later.  With ``base`` and not ``dry_run`` the
+    new markers and the stored memory rows are published together: both tables
+    are written first, then one pointer names the pair, so a failed run publishes
+    neither and the next one takes a new id."""
+    from threadlake.session import cut_lineage
     from threadlake.sources import snapshots as SN
 
     pending = pending_sessions(sessions, markers, as_of, hours, session_id=session_id)
     packed = pack_transcripts(pending, turns, **pack_args)
-    replies = extract(packed, extractor)
+    replies = cut_lineage(extract(packed, extractor))
     facts = classify_facts(parse_replies(replies))
     deduped = dedupe(memory_rows(facts, sessions, as_of, source_tag), memory)
     new_markers = advance_markers(markers, packed, replies, legacy, sessions)
     report = run_report(packed, replies, facts, deduped)
     if base is not None and not dry_run:
-        sid = snapshot_id if snapshot_id is not None else 0
         stored = deduped.filter(F.col("status") == "stored").select(
             "content_hash", "content", "metadata")
         mem_all = stored if memory is None else memory.select("content_hash", "content", "metadata").unionByName(stored)
-        SN.write_snapshot(mem_all, base, "memory", sid)
-        SN.write_snapshot(new_markers, base, "markers", sid)
+        SN.publish({"memory": mem_all, "markers": new_markers}, base, snapshot_id)
     return {"pending": pending, "packed": packed, "replies": replies, "facts": facts,
             "deduped": deduped, "markers": new_markers, "report": report}

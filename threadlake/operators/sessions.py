@@ -131,7 +131,7 @@ def recall_session(requests: DataFrame, sessions: DataFrame, turns: DataFrame,
         F.coalesce("ai_title", F.lit("(no title)")).alias("title"),
         F.coalesce("node", F.lit("local")).alias("node"), "project", "cwd",
         "started_at", "ended_at", "turn_count", "turn_idx",
-        display_ts(F.col("ts")).alias("ts"), "role", text.alias("text"))
+        display_ts(F.col("ts")).alias("ts"), "role", text.alias("text")).orderBy("request_id", "turn_idx")
 
 
 def recent_sessions(sessions: DataFrame, n: int = 10, project: str | None = None,

@@ -134,6 +134,9 @@ def _block_scorer(k: int | None, threshold: float | None):
         li, ri = np.nonzero(keep)
         # exact squared distance for the survivors, summed in float64
         exact = ((L[li] - R[ri]) ** 2).sum(1)
+        if threshold is not None:  # the expansion above is only good to 1e-9
+            ok = 1.0 - exact / 2.0 >= threshold
+            li, ri, exact = li[ok], ri[ok], exact[ok]
         return pd.DataFrame({
             "l_session_id": l_pdf["sid"].to_numpy()[li], "l_turn_idx": l_pdf["tid"].to_numpy()[li].astype("int32"),
             "r_session_id": r_pdf["sid"].to_numpy()[ri], "r_turn_idx": r_pdf["tid"].to_numpy()[ri].astype("int32"),

@@ -52,7 +52,7 @@ def decode(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     text = full_trim(F.make_valid_utf8(F.col("raw")))
     x = lines.withColumn("line", text).filter(F.col("line") != "").withColumn("v", F.try_parse_json("line"))
     ok = F.coalesce(is_object(F.col("v")), F.lit(False))
-    bad = x.filter(~ok).select("file_path", "session_id", "block", "mid", F.substring("line", 1, 200).alias("line"),
+    bad = x.filter(~ok).select("file_path", "session_id", "block", "mid", "line",
                                F.when(F.col("v").isNull(), F.lit("malformed json")).otherwise(F.lit("not an object"))
                                .alias("reason"))
     good = x.filter(ok).withColumn("kind", vget(F.col("v"), "$.type")).filter(F.col("kind").isin(*KEEP_TYPES))
@@ -97,11 +97,11 @@ def headers(lines: DataFrame, indexed_at: str) -> DataFrame:
     order = F.struct("block", "mid")
     is_msg = F.col("kind").isin("user", "assistant")
     cwd = F.when(is_msg, F.col("cwd"))
+    ts = F.when(is_msg & (F.col("ts") != ""), F.col("ts"))  # an empty one is none
     h = lines.groupBy("file_path").agg(
         F.first("session_id").alias("session_id"), F.first("project").alias("project"),
         F.first("node").alias("node"), F.first("file_mtime").alias("file_mtime"),
-        F.min(F.when(is_msg, F.col("ts"))).alias("started_at"),
-        F.max(F.when(is_msg, F.col("ts"))).alias("ended_at"),
+        F.min(ts).alias("started_at"), F.max(ts).alias("ended_at"),
         F.min_by(cwd, F.when(cwd.isNotNull() & (cwd != ""), order)).alias("cwd"),
         F.max_by(F.struct(F.col("title").alias("t")), F.when(F.col("kind") == "ai-title", order)).alias("_t"),
         F.count_if(_is_turn()).cast("int").alias("turn_count"))
@@ -146,8 +146,7 @@ def ingest_snapshot(spark: SparkSession, root: str, base: str, snapshot_id: int,
     from threadlake.sources import snapshots as SN
 
     g = ingest(spark, root, indexed_at, per_node_dirs, node, materialize=True)
-    SN.write_snapshot(g["sessions"], base, "sessions", snapshot_id)
-    SN.write_turns(g["turns"], base, snapshot_id)
+    SN.publish({"sessions": g["sessions"], "turns": SN.bucketed(g["turns"])}, base, snapshot_id)
     return g
 
 

@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -30,7 +31,6 @@ THRESHOLDS = (70, 85, 95)
 MODEL_CONTEXTS: tuple[tuple[str, int], ...] = ()
 DEFAULT_CONTEXT = 200000
 PRESSURE_LEVEL, CRITICAL_LEVEL = 85, 95
-LATCH_TTL_MS = 24 * 3600 * 1000
 
 
 def usage_tokens(events: DataFrame) -> DataFrame:
@@ -67,8 +67,8 @@ def latch(bell_rows: DataFrame, stops: DataFrame) -> DataFrame:
     """ST3 / J8 (batch): per stop event, the highest bell of its session since
     the previous stop (the latest bell of that level supplies the numbers).  Output: session_id, stop_event_id, ts, level,
     percentage, token_count, label (``bell_N`` or ``periodic``), pressure."""
-    b = bell_rows.withColumn("bell_id", F.col("event_id") * 4 + F.array_position(
-        F.array(*[F.lit(t) for t in THRESHOLDS]), F.col("level")))
+    # an id per bell for ties: events ring a bell of a level once, levels are below 1024
+    b = bell_rows.withColumn("bell_id", F.col("event_id") * 1024 + F.col("level"))
     s = stops.select("session_id", F.col("event_id").alias("stop_event_id"), "ts")
     m = asof_join(b, s, "session_id", "ts", "bell_id", "stop_event_id", "forward")
     best = (m.filter(F.col("stop_event_id").isNotNull()).groupBy("stop_event_id")
@@ -90,7 +90,7 @@ LATCH_OUT = ("session_id string, stop_event_id long, ts timestamp_ntz, level int
 LATCH_STATE = "level int, percentage double, token_count double"
 
 
-def _latch_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _latch_fn(ttl_ms: int | None, key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Per-session latch: bells raise the held level; a stop emits and resets."""
     if state.hasTimedOut:
         state.remove()
@@ -113,25 +113,29 @@ def _latch_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[
         state.remove()
     else:
         state.update(held)
-        last_ms = int(pd.Timestamp(rows["ets"].max()).value // 1_000_000)
-        state.setTimeoutTimestamp(last_ms + LATCH_TTL_MS)  # event-time TTL of a held bell
+        if ttl_ms is not None:
+            last_ms = int(pd.Timestamp(rows["ets"].max()).value // 1_000_000)
+            state.setTimeoutTimestamp(last_ms + ttl_ms)  # event-time TTL of a held bell
     if out:
         yield pd.DataFrame(out, columns=[c.split()[0] for c in LATCH_OUT.split(", ")])
 
 
 def latch_stream(events: DataFrame, contexts=MODEL_CONTEXTS, default: int = DEFAULT_CONTEXT,
-                 stop_type: str = "purchase") -> DataFrame:
+                 ttl_hours: int | None = None) -> DataFrame:
     """ST3 on a stream of usage rows carrying ``is_stop``: bells and stops are
     interleaved per session in event order within each micro-batch, state
-    carries the held level across batches.  A held bell expires 24 h of event
-    time after it rang (watermark 24 h), so state stays bounded."""
+    carries the held level across batches.  A held bell waits until a stop
+    consumes it, as in the batch form.  With ``ttl_hours`` it expires that much
+    event time after it rang, and events later than that are dropped by the
+    watermark: bounded state, at the price of those rows."""
     b = bells(events, contexts, default).select(
         "session_id", "ts", "event_id", F.lit(0).alias("kind"), "level", "percentage", "token_count")
     s = events.filter(F.col("is_stop")).select(
         "session_id", "ts", "event_id", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("level"),
         F.lit(None).cast("double").alias("percentage"), F.lit(None).cast("double").alias("token_count"))
-    ev = (b.unionByName(s).withColumn("ets", F.col("ts").cast("timestamp"))
-          .withWatermark("ets", "24 hours"))
+    ev = b.unionByName(s).withColumn("ets", F.col("ts").cast("timestamp"))
+    if ttl_hours is not None:
+        ev = ev.withWatermark("ets", f"{ttl_hours} hours")
     return (ev.groupBy("session_id")
-            .applyInPandasWithState(_latch_fn, LATCH_OUT, LATCH_STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+            .applyInPandasWithState(partial(_latch_fn, ttl_hours and ttl_hours * 3600_000), LATCH_OUT, LATCH_STATE, "append",
+                                    GroupStateTimeout.EventTimeTimeout if ttl_hours else GroupStateTimeout.NoTimeout))
