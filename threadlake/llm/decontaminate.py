@@ -119,10 +119,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     d = docs.select(F.col("doc_id").alias("_d"), "text").filter(F.col("text").isNotNull())
     i = items.select(F.col("item_id").alias("_i"), "width", "shingles", "n_item")
     # pairs per document first: the text of a document meets its items once
-    per_doc = pairs.groupBy("doc_id").agg(F.collect_set("item_id").alias("_items"))
+    per_doc = pairs.groupBy("doc_id").agg(F.collect_set(F.struct("item_id")).alias("_items"))
     both = (d.join(per_doc, F.col("_d").eqNullSafe(F.col("doc_id"))).withColumn("w", words(F.col("text")))
             .select("doc_id", F.array_distinct(shingles(F.col("w"))).alias("_s"), "w",
-                    F.explode("_items").alias("item_id"))
+                    F.explode("_items").alias("_item")).withColumn("item_id", F.col("_item.item_id"))
             .join(i, F.col("item_id").eqNullSafe(F.col("_i"))))
     short = F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" "))
     n = (F.when(F.col("width") == WIDTH, F.size(F.array_intersect("_s", "shingles")))

@@ -10,7 +10,7 @@ kind      validated                                   domain
 ========  ==========================================  =======================
 card      13 to 19 digits, Luhn, optional gaps        digits before the check
                                                       digit; it is made anew
-phone     +1 and ten digits, area and exchange 2-9    800 * 800 * 10000
+phone     +1 and ten digits, with or without marks    10^10, after the +1
 ip        four numbers of 0 to 255                    2^32
 date      year-month-day, a real day of 1900 to 2099  73,000 days
 id        ddd-dd-dddd                                 10^9
@@ -40,7 +40,7 @@ ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", 73000  # 365 * 200, so up to 2099-11-13
 
 EMAIL = r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-PHONE = r"(?<![\w.])\+1[ .-]?\(?[2-9]\d{2}\)?[ .-]?[2-9]\d{2}[ .-]?\d{4}(?!\d)"
+PHONE = r"(?<![\w.])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
 IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"
 DATE = r"(?<![\d-])(?:19|20)\d{2}-\d{2}-\d{2}(?![\d]|-\d)"
 ID = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d]|-\d)"
@@ -123,14 +123,9 @@ def _card(s: Column, key: str, undo: bool) -> Column:
 
 
 def _phone(s: Column, key: str, undo: bool) -> Column:
-    d = _digits(s)  # 1 aaa eee nnnn
-    part = lambda a, n: F.substr(d, F.lit(a), F.lit(n)).cast("long")
-    new = feistel((part(2, 3) - 200) * 8_000_000 + (part(5, 3) - 200) * 10_000 + part(8, 4),
-                  80_000, 80_000, key, "phone", undo)
-    out = F.concat(F.lit("1"), (_div(new, F.lit(8_000_000)) + 200).cast("string"),
-                   (_div(F.pmod(new, F.lit(8_000_000)), F.lit(10_000)) + 200).cast("string"),
-                   F.lpad(F.pmod(new, F.lit(10_000)).cast("string"), 4, "0"))
-    return refill(s, out)
+    d = _digits(s)  # 1 and ten digits
+    new = feistel(F.substr(d, F.lit(2)).cast("long"), 10 ** 5, 10 ** 5, key, "phone", undo)
+    return refill(s, F.concat(F.lit("1"), F.lpad(new.cast("string"), 10, "0")))
 
 
 def _ip(s: Column, key: str, undo: bool) -> Column:
