@@ -247,6 +247,12 @@ def test_leaks_edges(spark, odd, empty):
     assert got == {(d, i) for d in (10, 11, 16) for i in (1, 5)} | {(13, 2), (None, None)}
     clean = decontaminate.clean(df, bench)
     assert {r["doc_id"] for r in clean.collect()} == {12, 14, 15} and clean.columns == df.columns
+    # items of one item_id are judged one by one: the half copy of the long one must not lend its length
+    long, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(10))
+    twice = spark.createDataFrame([(7, long), (7, other)], "item_id long, text string")
+    held = spark.createDataFrame([(1, f"x {other} y"), (2, " ".join(long.split()[:24])), (3, long)], "doc_id long, text string")
+    got = {tuple(r) for r in decontaminate.leaks(held, twice).collect()}
+    assert got == {(1, 7, 6, 6, 1.0), (3, 7, 36, 36, 1.0)}
     assert decontaminate.leaks(empty, bench).count() == 0
     assert decontaminate.leaks(odd, bench.limit(0)).count() == 0
 

@@ -111,8 +111,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     """docs(doc_id, text), benchmark(item_id, text) → doc_id, item_id, n_item,
     n_shared, containment of every pair at or above ``threshold``.
 
-    Documents are taken by doc_id: rows of one doc_id are judged row by row and
-    the best one counts.
+    Rows of one doc_id, and items of one item_id, are judged row by row; the
+    best pair of rows counts.
     """
     items = item_shingles(benchmark.select("item_id", "text"))
     pairs = stored(search(docs, items, threshold), "leak-candidates")
@@ -127,10 +127,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     short = F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" "))
     n = (F.when(F.col("width") == WIDTH, F.size(F.array_intersect("_s", "shingles")))
          .otherwise(F.contains(short, F.concat(F.lit(" "), F.col("shingles")[0], F.lit(" "))).cast("int")))
-    return (both.withColumn("n_shared", n).groupBy("doc_id", "item_id")
-            .agg(F.max("n_item").cast("long").alias("n_item"), F.max("n_shared").cast("long").alias("n_shared"))
-            .withColumn("containment", F.col("n_shared") / F.col("n_item"))
-            .filter(F.col("n_shared") >= F.ceil(F.col("n_item") * F.lit(threshold) - 1e-9)))
+    share = F.col("n_shared") / F.col("n_item")
+    return (both.withColumn("n_shared", n.cast("long")).withColumn("n_item", F.col("n_item").cast("long"))
+            .filter(F.col("n_shared") >= F.ceil(F.col("n_item") * F.lit(threshold) - 1e-9))
+            .groupBy("doc_id", "item_id").agg(F.max(F.struct(
+                share.alias("containment"), F.col("n_item"), F.col("n_shared"))).alias("_best"))
+            .select("doc_id", "item_id", "_best.n_item", "_best.n_shared", "_best.containment"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
