@@ -246,8 +246,13 @@ def near_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each linked group (its least doc_id, once)."""
+    """One document of each linked group (its least doc_id, once).
+
+    A merge join at every size, on a key without nulls: its partitions serve
+    the last step too, so texts are dealt once.
+    """
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("\0"))
     keep = stored(near_join(docs, threshold).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-                  .select(F.col("doc_id").alias("_keep")).distinct(), "near-kept")
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+                  .select(key.alias("_near_key")).distinct(), "near-kept")
+    kept = docs.withColumn("_near_key", key).join(keep.hint("merge"), "_near_key", "left_semi")
+    return kept.dropDuplicates(["_near_key"]).select(*docs.columns)
