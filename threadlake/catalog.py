@@ -63,6 +63,20 @@ def q_tokens(spark, sf):
     return FT.tokens(D.turns(spark, sf)).select("session_id", "turn_idx", F.col("pos").cast("int").alias("pos"), "token")
 
 
+#: Accented literals outside Latin-1, composed and decomposed (put behind every turn).
+ACCENTED = "Tiếng Việt, ΆΈ, Ёлка, café cafe\u0301s, ṩ x̌y, हिन्दी, Ångström \u212bngstr\u00f6m"
+
+
+@register("fts_tokens_accented", f"""
+WITH {O.MODEL}, a AS (SELECT session_id, turn_idx, text || ' {ACCENTED} ' || role AS text FROM turns),
+w AS (SELECT session_id, turn_idx, {O.TOKENIZE.format(x='text')} AS w FROM a)
+SELECT session_id, turn_idx, CAST(unnest(range(1, len(w) + 1)) - 1 AS INTEGER) AS pos, unnest(w) AS token FROM w""")
+def q_tokens_accented(spark, sf):
+    """X1 over all turns with accented words of several scripts added to each."""
+    t = D.turns(spark, sf).withColumn("text", F.concat("text", F.lit(f" {ACCENTED} "), "role"))
+    return FT.tokens(t).select("session_id", "turn_idx", F.col("pos").cast("int").alias("pos"), "token")
+
+
 @register("fts_postings", f"""
 WITH {O.MODEL}, {O.index_ctes().strip()}
 SELECT term, session_id, turn_idx, tf, array_to_string(positions, ',') AS positions, CAST(doc_len AS INTEGER) AS doc_len
@@ -590,6 +604,18 @@ def q_pack_tight(spark, sf):
     return FX.pack_transcripts(_pending(spark, sf), D.turns(spark, sf), 700, 3, 300)
 
 
+UNCUT = 1_000_000_000  # in the SQL twin only: a limit that nothing reaches
+
+
+@register("pack_transcripts_uncut", f"""
+WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, UNCUT)}, {pack_sql(UNCUT, UNCUT, UNCUT)}
+SELECT * FROM pack""")
+def q_pack_uncut(spark, sf):
+    """E2 over every pending session, with all limits off."""
+    pending = FX.pending_sessions(D.sessions(spark, sf), D.markers(spark, sf), EXTRACT_AS_OF, 24, max_sessions=None)
+    return FX.pack_transcripts(pending, D.turns(spark, sf), None, None, None)
+
+
 @register("marker_advance", f"""
 WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, 40)}, {pack_sql(700, 3, 300)},
 legacy AS (SELECT session_id FROM sessions WHERE source = 'chat'),
@@ -616,21 +642,52 @@ def _extraction(spark, sf):
     return packed, replies, facts, FX.dedupe(rows)
 
 
-@register("extract_facts")
+#: Replies of the stand-in extractor, read as elements and classified.
+FACTS_SQL = f"""
+WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, 40)}, {pack_sql(700, 3, 300)},
+arr AS (SELECT session_id, length(transcript) AS n, string_split(transcript, chr(10) || chr(10)) AS a
+        FROM pack WHERE NOT too_short),
+el AS (SELECT session_id, n, unnest(range(len(a))) AS i, unnest(a) AS line FROM arr),
+el2 AS (SELECT session_id, i, (i + n) % 6 AS kind,
+               array_to_string(regexp_extract_all(CASE WHEN contains(line, ']: ') THEN substr(line, strpos(line, ']: ') + 3)
+                                                       ELSE line END, '\\S+')[1:2], ' ') AS words FROM el),
+facts AS (SELECT session_id, CAST(i AS INTEGER) AS pos,
+                 CASE WHEN kind = 5 THEN 'quarantined' WHEN kind IN (3, 4) OR words = '' THEN 'failed'
+                      ELSE 'candidate' END AS status,
+                 CASE WHEN kind IN (0, 1) THEN {list(FX.FACT_TYPES)}[i % 5 + 1] WHEN kind = 3 THEN 'config'
+                      WHEN kind = 4 THEN 'outcome' ELSE 'unknown' END AS type,
+                 CASE WHEN kind IN (3, 5) THEN NULL WHEN kind = 4 THEN '' ELSE words END AS fact,
+                 CASE WHEN kind IN (0, 1) THEN ['t' || (i % 3)] WHEN kind = 3 THEN ['x']
+                      ELSE CAST([] AS VARCHAR[]) END AS tags FROM el2),
+mem AS (SELECT f.session_id, pos, '[' || type || '] ' || fact AS content,
+               list_concat(tags, ['{FX.SOURCE_TAG}', 'node:' || coalesce(s.node, 'unknown')]) AS tags, s.ended_at
+        FROM facts f LEFT JOIN sessions s USING (session_id) WHERE status = 'candidate'),
+stored AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY content ORDER BY ended_at DESC, session_id, pos) = 1
+                          THEN 'stored' ELSE 'duplicate' END AS status FROM mem)"""
+
+
+@register("extract_facts", FACTS_SQL + """
+SELECT session_id, pos, content, status, tags FROM stored""")
 def q_extract(spark, sf):
     """E4–E8 with the stand-in extractor: memory rows and their status."""
     _, _, _, d = _extraction(spark, sf)
     return d.select("session_id", "pos", "content", "status", F.col("metadata.tags").alias("tags"))
 
 
-@register("fact_classes")
+@register("fact_classes", FACTS_SQL + " SELECT * FROM facts")
 def q_fact_classes(spark, sf):
     """Every parsed reply element with its class."""
     _, _, facts, _ = _extraction(spark, sf)
     return facts
 
 
-@register("extraction_report")
+@register("extraction_report", FACTS_SQL + """
+SELECT (SELECT count(*) FROM pack) AS sessions, (SELECT count(*) FROM pack WHERE too_short) AS too_short,
+       CAST(0 AS BIGINT) AS extract_failed,
+       (SELECT count(*) FROM facts) AS extracted, (SELECT count(*) FROM facts WHERE status = 'quarantined') AS quarantined,
+       (SELECT count(*) FROM facts WHERE status = 'failed') AS failed,
+       (SELECT count(*) FROM stored WHERE status = 'stored') AS stored,
+       (SELECT count(*) FROM stored WHERE status = 'duplicate') AS duplicate""")
 def q_report(spark, sf):
     """E10 / A9."""
     packed, replies, facts, d = _extraction(spark, sf)

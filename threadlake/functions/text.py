@@ -6,6 +6,7 @@ JVM expression evaluation; none of them is a Python UDF.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 from pyspark.sql import Column, DataFrame
@@ -15,21 +16,28 @@ from pyspark.sql import functions as F
 def _fold_table() -> tuple[str, str]:
     """Diacritic folding table, built by rule from Unicode decomposition.
 
-    Every code point in Latin-1 Supplement .. Latin Extended-B whose canonical
-    decomposition is ``base letter + combining marks`` maps to that base
-    letter.  Characters without such a decomposition (``ß``, ``æ``, ``ø``)
-    are left unchanged, which is what ``strip_accents`` does as well.
+    Every code point whose canonical decomposition is one base character, with
+    or without combining marks, maps to that base.  Characters without such a
+    decomposition (``ß``, ``æ``, ``ø``) are left unchanged, which is what
+    ``strip_accents`` does as well.
     """
     src, dst = [], []
-    for cp in range(0x00C0, 0x0250):
+    for cp in range(0x00C0, sys.maxunicode + 1):
         ch = chr(cp)
-        d = unicodedata.normalize("NFD", ch)
-        if len(d) > 1 and all(unicodedata.combining(c) for c in d[1:]):
+        if not unicodedata.decomposition(ch):
+            continue
+        base = strip_marks(unicodedata.normalize("NFD", ch))
+        if len(base) == 1 and base != ch:
             src.append(ch)
-            dst.append(d[0])
+            dst.append(base)
     return "".join(src), "".join(dst)
 
 
+def strip_marks(text: str) -> str:
+    """``text`` without its combining marks."""
+    return "".join(c for c in text if unicodedata.category(c)[0] != "M")
+
+
 FOLD_FROM, FOLD_TO = _fold_table()
 
 # Token = maximal run of Unicode letters or digits (unicode61-style).
@@ -37,10 +45,11 @@ TOKEN_PATTERN = r"([\p{L}\p{N}]+)"
 
 
 def fold(col: Column) -> Column:
-    """Lower-case and strip diacritics (the per-character translate only runs
-    on values that contain non-ASCII characters)."""
+    """Lower-case and strip diacritics, composed or not (the per-character
+    translate only runs on values that contain non-ASCII characters)."""
     low = F.lower(col)
-    return F.when(low.rlike(r"[^\x00-\x7F]"), F.translate(low, FOLD_FROM, FOLD_TO)).otherwise(low)
+    plain = F.regexp_replace(F.translate(low, FOLD_FROM, FOLD_TO), r"\p{M}+", "")
+    return F.when(low.rlike(r"[^\x00-\x7F]"), plain).otherwise(low)
 
 
 def tokenize(col: Column) -> Column:

@@ -57,8 +57,9 @@ def pending_sessions(sessions: DataFrame, markers: DataFrame, as_of: str, hours:
 
 # --- E2 / E3 ---------------------------------------------------------------------------
 
-def pack_transcripts(pending: DataFrame, turns: DataFrame, max_chars: int = MAX_CHARS_PER_BATCH,
-                     max_turns: int = MAX_TURNS_PER_BATCH, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+def pack_transcripts(pending: DataFrame, turns: DataFrame, max_chars: int | None = MAX_CHARS_PER_BATCH,
+                     max_turns: int | None = MAX_TURNS_PER_BATCH,
+                     chunk_chars: int | None = CHUNK_CHARS) -> DataFrame:
     """Greedy transcript per pending session.
 
     Among usable turns after ``since`` (F13) keep the prefix whose running
@@ -72,6 +73,10 @@ def pack_transcripts(pending: DataFrame, turns: DataFrame, max_chars: int = MAX_
     windowed work even for a session holding a third of all turns; the marker
     is a partial-aggregated max.
 
+    None switches a limit off.  ``chunk_chars`` loses the tail of a longer turn
+    for good, because the marker moves past the turn; what ``max_chars`` and
+    ``max_turns`` reject is left for the next run.
+
     Output: session_id, since, transcript, n_turns, last_idx, too_short (E3).
     """
     p = pending.select("session_id", "since")
@@ -79,11 +84,17 @@ def pack_transcripts(pending: DataFrame, turns: DataFrame, max_chars: int = MAX_
          .filter(F.col("turn_idx") > F.col("since")))
     usable = t.filter(usable_for_transcript())
     w = Window.partitionBy("session_id").orderBy("turn_idx")
-    first_n = usable.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= max_turns + 1)
-    chunk = F.substring("text", 1, chunk_chars)
+    first_n = usable.withColumn("rn", F.row_number().over(w))
+    if max_turns is not None:
+        first_n = first_n.filter(F.col("rn") <= max_turns + 1)
+    chunk = F.col("text") if chunk_chars is None else F.substring("text", 1, chunk_chars)
     run = (first_n.withColumn("chunk", chunk)
            .withColumn("rs", F.sum(F.length("chunk")).over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    keep = (F.col("rs") <= max_chars) & (F.col("rn") <= max_turns)
+    keep = F.lit(True)
+    if max_chars is not None:
+        keep = keep & (F.col("rs") <= max_chars)
+    if max_turns is not None:
+        keep = keep & (F.col("rn") <= max_turns)
     packed = run.groupBy("session_id").agg(
         F.array_join(F.transform(
             F.array_sort(F.collect_list(F.when(keep, F.struct(

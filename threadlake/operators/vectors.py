@@ -79,11 +79,12 @@ def hashing_model(dims: int = 384):
 
 
 def embed_turns(turns: DataFrame, existing: DataFrame | None = None, make_model=None,
-                dims: int = 384, batch_size: int = 128, max_chars: int = 512) -> DataFrame:
+                dims: int = 384, batch_size: int = 128, max_chars: int | None = 512) -> DataFrame:
     """V1: embed embeddable turns that have no vector yet (J4 anti join).
 
     The model runs through ``predict_batch_udf``: Arrow batches of
-    ``batch_size`` texts, model built once per Python worker.
+    ``batch_size`` texts, model built once per Python worker.  The model sees the
+    first ``max_chars`` characters of a turn (None: all of them).
     """
     from pyspark.ml.functions import predict_batch_udf
 
@@ -103,7 +104,8 @@ def embed_turns(turns: DataFrame, existing: DataFrame | None = None, make_model=
     todo = turns.filter(embeddable())
     if existing is not None:
         todo = todo.join(existing.select(*KEY), KEY, "left_anti")
-    emb = todo.select(*KEY, enc(F.substring("text", 1, max_chars)).alias("embedding"))
+    text = F.col("text") if max_chars is None else F.substring("text", 1, max_chars)
+    emb = todo.select(*KEY, enc(text).alias("embedding"))
     return emb.select(*KEY, normalize(F.col("embedding")).alias("embedding"))
 
 

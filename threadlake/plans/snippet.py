@@ -16,22 +16,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadlake.functions.text import FOLD_FROM, FOLD_TO
+from threadlake.functions.text import FOLD_FROM, FOLD_TO, strip_marks
 
 OPEN, CLOSE, ELLIPSIS, TOKENS = ">>>", "<<<", "...", 24   # fixed snippet arguments
 
 
+_FOLD = str.maketrans(FOLD_FROM, FOLD_TO)
+
+
 def _tokens(text: str):
+    """(start, end, folded word); marks belong to the word they stand in."""
     import regex
-    table = str.maketrans(FOLD_FROM, FOLD_TO)
-    return [(m.start(), m.end(), m.group(0).lower().translate(table))
-            for m in regex.finditer(r"[\p{L}\p{N}]+", text or "")]
+    return [(m.start(), m.end(), strip_marks(m.group(0).lower().translate(_FOLD)))
+            for m in regex.finditer(r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*", text or "")]
 
 
 def _phrase_tokens(ptext: str):
-    table = str.maketrans(FOLD_FROM, FOLD_TO)
-    import regex
-    return [m.group(0).lower().translate(table) for m in regex.finditer(r"[\p{L}\p{N}]+", ptext or "")]
+    return [word for _, _, word in _tokens(ptext)]
 
 
 def snippet_text(text: str, phrases, n: int = TOKENS, open_: str = OPEN, close: str = CLOSE,
