@@ -8,8 +8,8 @@ different ones, and the key holder can go back (``undo=True``).
 ========  ==========================================  =======================
 kind      validated                                   domain
 ========  ==========================================  =======================
-card      13 to 19 digits, Luhn, optional gaps        digits before the check
-                                                      digit; it is made anew
+card      13 to 19 digits, Luhn, optional gaps, also  digits before the check
+          beside other numbers                        digit; it is made anew
 phone     +1 and ten digits, with or without marks    10^10, after the +1
 ip        four numbers of 0 to 255                    2^32
 date      year-month-day, a real day of 1900 to 2099  73,000 days
@@ -23,6 +23,14 @@ one half is moved by a keyed hash of the other, modulo its own size.  That is a
 permutation for any p and q, without cycle walking.  Emails use the same two
 halves on arrays of character codes, moved inside a-z, A-Z and 0-9.
 
+Cards are looked for in whole runs of digit groups with single spaces or dashes
+between them: every row of whole groups with 13 to 19 digits that passes Luhn is
+a reading.  Readings of a card's usual layout (one group, 4-4-4-4, 4-6-5, 4-6-4)
+go first, then from left to right, longer before shorter; readings that overlap
+a taken one are left.  A pseudonym that would make a reading valid that goes
+first is permuted again (at most ``WALK`` times), so the way back takes the same
+readings.  Only there a number's pseudonym depends on its neighbours.
+
 Texts are taken apart by one regular expression into what is between matches
 and the matches; only texts with a match are touched.
 
@@ -37,6 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+WALK = 512
 FIRST_DAY, DAYS = "1900-01-01", 73000  # 365 * 200, so up to 2099-11-13
 
 EMAIL = r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
@@ -44,7 +53,8 @@ PHONE = r"(?<![\w.])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
 IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"
 DATE = r"(?<![\d-])(?:19|20)\d{2}-\d{2}-\d{2}(?![\d]|-\d)"
 ID = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d]|-\d)"
-CARD = r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d]|-\d)"
+_SEP = rf"[ -](?!{EMAIL}|{IP}|{DATE}|{ID})"  # what another kind begins with ends the run
+CARD = rf"(?<!\d)(?<!\d\.)(?=\d(?:(?:{_SEP})?\d){{12}})\d++(?:{_SEP}\d++)*+"
 #: In this order at one place: the more particular first.
 KINDS = {"email": EMAIL, "phone": PHONE, "ip": IP, "date": DATE, "id": ID, "card": CARD}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
@@ -111,15 +121,99 @@ def _ten(n: Column) -> Column:
     return F.pow(F.lit(10.0), n).cast("long")
 
 
-def _card(s: Column, key: str, undo: bool) -> Column:
-    d = _digits(s)
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _luhn(d: Column) -> Column:
+    return F.substr(d, F.length(d), F.lit(1)) == luhn_digit(F.substr(d, F.lit(1), F.length(d) - 1))
+
+
+def _card_number(d: Column, key: str, undo: bool) -> Column:
+    """The pseudonym of the 13 to 19 digits of a card."""
     body = F.substr(d, F.lit(1), F.length(d) - 1)
     n = F.length(body)
     high = _div(n, F.lit(2))
     new = feistel(body.cast("long"), _ten(high), _ten(n - high), key, "card", undo)
-    new = F.lpad(new.cast("string"), n, F.lit("0"))
-    return F.when(F.substr(d, F.length(d), F.lit(1)) == luhn_digit(body),
-                  refill(s, F.concat(new, luhn_digit(new)))).otherwise(s)
+    return _let(F.lpad(new.cast("string"), n, F.lit("0")), lambda x: F.concat(x, luhn_digit(x)))
+
+
+def _card(s: Column, key: str, undo: bool) -> Column:
+    """A run of digit groups with its cards replaced."""
+    alone = s.rlike(r"^(?:\d+|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4})$")  # one reading at most
+    d = _digits(s)
+    one = F.when(F.length(d).between(13, 19), F.when(_luhn(d), refill(s, _card_number(d, key, undo)))
+                 ).otherwise(F.lit(None))
+    many = _let(F.regexp_extract_all(s, F.lit(r"\d+"), F.lit(0)), lambda g: F.array_join(F.zip_with(
+        F.split(s, r"\d+", -1), _groups(g, key, undo), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""))
+    return F.coalesce(F.when(alone, one).otherwise(many), s)
+
+
+def _readings(g: Column) -> Column:
+    """Rows of whole groups with 13 to 19 digits, per first group: (level,
+    first group, minus the number of groups), which is the order they go in."""
+    def row(i, n):
+        sizes = F.transform(F.slice(g, i, n), F.length)
+        usual = (n == 1) | F.array_join(sizes, "-").isin("4-4-4-4", "4-6-5", "4-6-4")
+        return F.struct(F.when(usual, 0).otherwise(1).alias("lvl"), i.alias("i"), (-n).alias("m"),
+                        F.aggregate(sizes, F.lit(0), lambda a, x: a + x).alias("n"))
+
+    return F.transform(F.sequence(F.lit(1), F.size(g)), lambda i: F.transform(F.filter(F.transform(
+        F.sequence(F.least(F.lit(19), F.size(g) - i + 1), F.lit(1), F.lit(-1)), lambda n: row(i, n)),
+        lambda r: r["n"].between(13, 19)), lambda r: F.struct(r["lvl"], r["i"], r["m"])))
+
+
+def _meet(a: Column, b: Column) -> Column:
+    return (a["i"] < b["i"] - b["m"]) & (b["i"] < a["i"] - a["m"])
+
+
+def _at(g: Column, r: Column) -> Column:
+    """The digits of a reading."""
+    return F.array_join(F.slice(g, r["i"], -r["m"]), "")
+
+
+def _put(g: Column, r: Column, d: Column) -> Column:
+    """The groups with the digits of a reading replaced."""
+    new = F.split(refill(F.array_join(F.slice(g, r["i"], -r["m"]), " "), d), " ")
+    return F.concat(F.slice(g, F.lit(1), r["i"] - 1), new, F.slice(g, r["i"] - r["m"], F.size(g)))
+
+
+def _groups(g: Column, key: str, undo: bool) -> Column:
+    """Digit groups of a run → the groups with every card replaced."""
+    def take(valid, barred):
+        none = F.filter(valid, lambda r: F.lit(False))
+        return F.aggregate(valid, F.struct(none.alias("t"), F.lit(1).alias("free")), lambda a, r: F.when(
+            (r["i"] >= a["free"]) & ~barred(r),
+            F.struct(F.concat(a["t"], F.array(r)).alias("t"), (r["i"] - r["m"]).alias("free"))).otherwise(a))["t"]
+
+    def taken(valid):
+        usual = take(F.filter(valid, lambda r: r["lvl"] == 0), lambda r: F.lit(False))
+        return _let(usual, lambda u: F.concat(u, take(
+            F.filter(valid, lambda r: r["lvl"] == 1), lambda r: F.exists(u, lambda t: _meet(t, r)))))
+
+    def replaced(every, t):
+        def step(now, c):
+            first = F.greatest(F.lit(1), c["i"] - 18)
+            beside = F.flatten(F.slice(every, first, c["i"] - c["m"] - first))
+            # readings that go first and were not valid: they must stay so
+            near = F.filter(t, lambda o: (o["i"] < c["i"] - c["m"] + 19) & (c["i"] < o["i"] - o["m"] + 19))
+            before = _let(near, lambda ts: F.filter(beside, lambda r: (r < c) & _meet(r, c) & ~F.exists(
+                ts, lambda o: (o < r) & _meet(o, r))))
+
+            def walk(rivals):
+                turns = F.sequence(F.lit(1), F.when(F.size(rivals) == 0, 1).otherwise(WALK))
+                start = F.struct(_at(now, c).alias("d"), F.lit(False).alias("done"))
+                return F.aggregate(turns, start, lambda a, _: F.when(a["done"], a).otherwise(
+                    _let(_card_number(a["d"], key, undo), lambda d: F.struct(d.alias("d"), _let(
+                        _put(now, c, d), lambda x: ~F.exists(rivals, lambda r: _luhn(_at(x, r)))).alias("done")))))["d"]
+
+            return _put(now, c, _let(before, walk))
+
+        return F.aggregate(F.reverse(t) if undo else t, g, step)
+
+    return _let(_readings(g), lambda every: _let(
+        taken(F.filter(F.flatten(every), lambda r: _luhn(_at(g, r)))), lambda t: replaced(every, t)))
 
 
 def _phone(s: Column, key: str, undo: bool) -> Column:
@@ -186,7 +280,7 @@ def pseudonym(match: Column, key: str, undo: bool = False) -> Column:
     out = None
     for kind, pattern in KINDS.items():
         # only the branch of the match's own kind sees it
-        whole = match.rlike("^(?:" + _bare(pattern) + ")$")
+        whole = match.rlike("^(?:" + (r"\d++(?:[ -]\d++)*+" if kind == "card" else _bare(pattern)) + ")$")
         made = _MAKERS[kind](F.when(whole, match), key, undo)
         out = F.when(whole, made) if out is None else out.when(whole, made)
     return F.coalesce(out.otherwise(match), match)
