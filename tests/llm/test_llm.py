@@ -353,6 +353,18 @@ def test_near_odd(spark, odd, empty):
     assert near.near_join(empty).count() == 0 and near.one_of_each(empty).count() == 0
 
 
+def test_one_of_each_shared_ids(spark):
+    """Rows without an id, or with one id, are kept by their texts."""
+    rng = np.random.default_rng(9)
+    a, b, c, d, e = (" ".join(f"w{rng.integers(10 ** 6)}" for _ in range(60)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (5, c), (5, d), (5, c + " more"), (1, d + " more"), (None, e), (7, e), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in near.one_of_each(df).collect()), key=str)
+    assert len(got) == 6 and set(got) - {(5, c), (5, c + " more")} == {
+        (None, a), (None, b), (1, d + " more"), (7, e), (None, None)}
+    assert near.near_join(df).count() == len(rows)
+
+
 def test_forest_depth():
     d = near.depth_for()
     assert 1 - (1 - 0.8 ** d) ** near.TREES >= near.TARGET_RECALL > 1 - (1 - 0.8 ** (d + 1)) ** near.TREES

@@ -66,6 +66,12 @@ def n_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def fingerprint(text: Column) -> tuple[Column, Column]:
+    """128 bits of a text (two seeds), null included: with doc_id, what tells
+    rows apart."""
+    return F.xxhash64(text), F.xxhash64(F.lit("second"), text)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))

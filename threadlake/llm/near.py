@@ -22,8 +22,8 @@ shingles is at least ``THRESHOLD``.
 
 Defined cases: null and empty texts have no words and form one class (equal
 texts) without links to others; texts of 1 to 4 words have one shingle, the
-whole text; rows with equal doc_id and different texts are told apart, equal
-rows are copies of each other; an empty table gives no row.
+whole text; rows with equal (or null) doc_id and different texts are told apart by
+128 bits of the text, equal rows are copies of each other; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import ready, stored
+from threadlake.llm.common import fingerprint, ready, stored
 from threadlake.llm.repeats import _Hashes, windows, word_hashes
 
 WIDTH = 5
@@ -99,7 +99,7 @@ def _class_of(text: str | None) -> tuple[int, int, int]:
 
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, class of the text, number of words, forest path (null without words)."""
+    """doc_id, fingerprint and class of the text, number of words, forest path (null without words)."""
     odd, add, paths = _family()
     depth, known = depth_for(), _Hashes()
     for b in batches:
@@ -108,8 +108,8 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = [prefixes(minhash(shingle_set(t, known), odd, add), paths, depth).view(np.int64) if c[2] else None
                  for t, c in zip(texts, of, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), *[pa.array([c[k] for c in of], pa.int64()) for k in range(3)],
-             pa.array(trees, pa.list_(pa.int64()))], names=["doc_id", "c1", "c2", "n_words", "path"])
+            [*[b.column(c) for c in ("doc_id", "f1", "f2")], *[pa.array([c[k] for c in of], pa.int64()) for k in range(3)],
+             pa.array(trees, pa.list_(pa.int64()))], names=["doc_id", "f1", "f2", "c1", "c2", "n_words", "path"])
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -194,14 +194,6 @@ def _verify(threshold: float):
     return run
 
 
-def _own_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text is of the class they were joined for."""
-    for b in batches:
-        mine = [_class_of(t)[:2] == (x, y) for t, x, y in zip(
-            *[b.column(c).to_pylist() for c in ("text", "c1", "c2")], strict=True)]
-        yield b.filter(pa.array(mine, pa.bool_())).drop_columns(["c1", "c2"])
-
-
 def near_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs(doc_id, text) → one row per row of docs: doc_id, copy_id (least
     doc_id with the same words), n_copies, class_id (least doc_id of the linked
@@ -210,24 +202,38 @@ def near_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Texts are read twice: once for their paths, once (members of candidate
     groups only go on) for the exact shingles.
     """
+    rows, cls = _joined(docs, threshold)
+    cls = cls.select(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), F.col("class_id").alias("copy_id"), "n_copies",
+                     F.col("least").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return (rows.select("doc_id", "c1", "c2").join(cls, (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2")))
+            .select("doc_id", "copy_id", "n_copies", "class_id", "n_links"))
+
+
+def _joined(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, fingerprint, class) and the classes with their linked
+    group: root, least (its least doc_id), kept (the row that stands for it)."""
     ready(docs.sparkSession)
+    docs = docs.select("doc_id", "text", *[f.alias(n) for n, f in zip(("f1", "f2"), fingerprint(F.col("text")), strict=True)])
     id_type = dict(docs.dtypes)["doc_id"]
-    rows = stored(docs.select("doc_id", "text").mapInArrow(
-        _paths, f"doc_id {id_type}, c1 long, c2 long, n_words long, path array<long>"), "near-rows")
+    rows = stored(docs.mapInArrow(
+        _paths, f"doc_id {id_type}, f1 long, f2 long, c1 long, c2 long, n_words long, path array<long>"), "near-rows")
     cls = stored(rows.groupBy("c1", "c2").agg(
-        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_copies"), F.any_value("path").alias("path"))
-        .withColumn("node", F.col("c1")), "near-nodes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "f1", "f2")).alias("row"),
+        F.count(F.lit(1)).alias("n_copies"), F.any_value("path").alias("path"))
+        .withColumn("class_id", F.col("row.doc_id")).withColumn("node", F.col("c1")), "near-nodes")
     leaves = cls.select("node", F.explode("path").alias("prefix"))  # the prefix hash names its tree
     bucket = stored(leaves.groupBy("prefix").agg(F.min("node").alias("b"), F.max("node").alias("_max"))
                     .filter("b < _max").drop("_max"), "near-buckets")
     group = components(leaves.join(bucket, "prefix").select(F.col("node").alias("a"), "b"), "near-candidates")
     group = group.join(group.groupBy("root").agg(F.count(F.lit(1)).alias("g")), "root")
-    members = stored(cls.drop("path", "n_copies").join(group, "node")
-                     .withColumn("blocks", F.ceil(F.col("g") / BLOCK).cast("int")).drop("g"), "near-groups")
+    members = stored(cls.select("node", "row").join(group, "node")
+                     .select("node", "root", F.ceil(F.col("g") / BLOCK).cast("int").alias("blocks"),
+                             F.col("row.doc_id").alias("_id"), F.col("row.f1").alias("_f1"), F.col("row.f2").alias("_f2")),
+                     "near-groups")
     # a merge join at every size: members grow with the corpus, texts are dealt once
-    texts = (docs.select("doc_id", "text").join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("class_id")))
-             .select("node", "root", "blocks", "text", "c1", "c2")
-             .mapInArrow(_own_texts, "node long, root long, blocks int, text string"))
+    texts = (docs.join(members.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id"))
+                       & (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2")))
+             .select("node", "root", "blocks", "text"))
     met = (texts.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")))
@@ -237,22 +243,21 @@ def near_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     linked = components(checked.select(F.col("node").alias("a"), F.col("root").alias("b")), "near-linked")
     cls = (cls.drop("path").join(links, "node", "left").join(linked, "node", "left")
            .withColumn("root", F.coalesce("root", "node")))
-    least = cls.groupBy("root").agg(F.min("class_id").alias("least"))
-    cls = cls.join(least, "root").select(
-        F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), F.col("class_id").alias("copy_id"), "n_copies",
-        F.col("least").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    return (rows.drop("path").join(cls, (F.col("c1") == F.col("_c1")) & (F.col("c2") == F.col("_c2")))
-            .select("doc_id", "copy_id", "n_copies", "class_id", "n_links"))
+    group = cls.groupBy("root").agg(F.min("class_id").alias("least"), F.min("row").alias("kept"))
+    return rows.drop("path"), cls.join(group, "root")
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each linked group (its least doc_id, once).
+    """One document of each linked group (of its least doc_id, once).
 
-    A merge join at every size, on a key without nulls: its partitions serve
-    the last step too, so texts are dealt once.
+    The row that stands for a group is named by doc_id and the fingerprint of
+    its text.  A merge join at every size, on a key without nulls: its
+    partitions serve the last step too, so texts are dealt once.
     """
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("\0"))
-    keep = stored(near_join(docs, threshold).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-                  .select(key.alias("_near_key")).distinct(), "near-kept")
-    kept = docs.withColumn("_near_key", key).join(keep.hint("merge"), "_near_key", "left_semi")
-    return kept.dropDuplicates(["_near_key"]).select(*docs.columns)
+    key, names = lambda c: F.coalesce(c.cast("string"), F.lit("\0")), ["_near_key", "_near_f1", "_near_f2"]
+    kept = [F.col(f"kept.{c}") for c in ("doc_id", "f1", "f2")]
+    keep = stored(_joined(docs, threshold)[1].select(*[c.alias(n) for n, c in zip(names, (key(kept[0]), *kept[1:]), strict=True)])
+                  .distinct(), "near-kept")
+    own = dict(zip(names, (key(F.col("doc_id")), *fingerprint(F.col("text"))), strict=True))
+    out = docs.withColumns(own).join(keep.hint("merge"), names, "left_semi")
+    return out.dropDuplicates(names).select(*docs.columns)
