@@ -257,6 +257,17 @@ def test_leaks_edges(spark, odd, empty):
     assert decontaminate.leaks(odd, bench.limit(0)).count() == 0
 
 
+def test_clean_row_by_row(spark):
+    """A leaking row takes no other row without an id, or of its id, along."""
+    item = " ".join(f"b{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"a {item} b"), (None, "clean one"), (None, None), (4, f"c {item}"), (4, "clean two"), (5, "clean three")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in decontaminate.clean(df, bench).collect()}
+    assert got == {rows[1], rows[2], rows[4], rows[5]}
+    assert {tuple(r)[:2] for r in decontaminate.leaks(df, bench).collect()} == {(None, 1), (4, 1)}
+
+
 # --- 7 shards -----------------------------------------------------------------------------
 
 def test_shards(spark):

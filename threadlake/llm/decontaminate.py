@@ -18,7 +18,8 @@ Words are lower-cased.  Items of 1 to 4 words have one shingle, the whole item,
 and their sketch is matched against document shingles of that length.
 
 Defined cases: null or empty texts and items have no shingle and match nothing;
-equal items (and repeated rows) each match; null ids are kept as ids; an empty
+equal items (and repeated rows) each match; null ids are kept as ids; rows that
+share a doc_id, or have none, are told apart by 128 bits of their text; an empty
 table gives no row.
 """
 
@@ -29,12 +30,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import GAP, stored
+from threadlake.llm.common import GAP, fingerprint, stored
 
 WIDTH = 5
 THRESHOLD = 0.8
 #: Sketch rows that are broadcast at most (24 bytes each); beyond, shuffled.
 BROADCAST_ROWS = 500_000
+#: What tells the rows of documents apart.
+ROW = ("doc_id", "_f1", "_f2")
 
 
 def words(text: Column) -> Column:
@@ -82,28 +85,28 @@ def sketches(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Candidate pairs (doc_id, item_id), each once."""
+    """Candidate pairs (row: doc_id and fingerprint, item_id), each once."""
     sketch = stored(sketches(items, threshold), "sketches")
     widths = [r[0] for r in sketch.select("width").distinct().collect()]  # at most WIDTH values
     small = sketch.count() <= BROADCAST_ROWS
-    w = docs.select("doc_id", words(F.col("text")).alias("w"))
+    w = docs.select(*ROW, words(F.col("text")).alias("w"))
     found = []
     for width in sorted(widths):
         # a shorter run fills the missing words with null, as the sketch does
         hashes = shingle_hashes(F.col("w"), width) if width == WIDTH else F.transform(
             F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0))), lambda i: F.xxhash64(
                 *[F.get(F.col("w"), i + j) if j < width else F.lit(None).cast("string") for j in range(WIDTH)]))
-        d = w.select("doc_id", F.size("w").alias("n"), F.explode(hashes).alias("h"))
+        d = w.select(*ROW, F.size("w").alias("n"), F.explode(hashes).alias("h"))
         s = sketch.filter(F.col("width") == width).drop("width")
         if not small:
             d = d.distinct()
         # n - width + 1 shingles at most; a leaking document has threshold * item of them
         found.append(d.join(F.broadcast(s) if small else s, "h")
                      .filter(F.col("n") - (width - 1) >= F.col("low") * F.lit(threshold) - 1e-9)
-                     .select("doc_id", "item_id"))
+                     .select(*ROW, "item_id"))
     if not found:
         none = F.lit(None).cast(dict(items.dtypes)["item_id"])
-        return docs.select("doc_id", none.alias("item_id")).filter(F.lit(False))
+        return docs.select(*ROW, none.alias("item_id")).filter(F.lit(False))
     return reduce(DataFrame.unionByName, found).distinct()
 
 
@@ -114,14 +117,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     Rows of one doc_id, and items of one item_id, are judged row by row; the
     best pair of rows counts.
     """
+    return (row_leaks(docs, benchmark, threshold).groupBy("doc_id", "item_id").agg(F.max("_pair").alias("_best"))
+            .select("doc_id", "item_id", "_best.n_item", "_best.n_shared", "_best.containment"))
+
+
+def named(docs: DataFrame) -> DataFrame:
+    """docs plus the fingerprint of the text."""
+    return docs.withColumns(dict(zip(ROW[1:], fingerprint(F.col("text")), strict=True)))
+
+
+def row_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The leaks of every row of docs: ROW, item_id, _pair (containment,
+    n_item, n_shared)."""
     items = item_shingles(benchmark.select("item_id", "text"))
+    docs = named(docs.select("doc_id", "text"))
     pairs = stored(search(docs, items, threshold), "leak-candidates")
-    d = docs.select(F.col("doc_id").alias("_d"), "text").filter(F.col("text").isNotNull())
+    d = docs.filter(F.col("text").isNotNull()).select(*[F.col(c).alias(f"_d{c}") for c in ROW], "text")
     i = items.select(F.col("item_id").alias("_i"), "width", "shingles", "n_item")
-    # pairs per document first: the text of a document meets its items once
-    per_doc = pairs.groupBy("doc_id").agg(F.collect_set(F.struct("item_id")).alias("_items"))
-    both = (d.join(per_doc, F.col("_d").eqNullSafe(F.col("doc_id"))).withColumn("w", words(F.col("text")))
-            .select("doc_id", F.array_distinct(shingles(F.col("w"))).alias("_s"), "w",
+    # pairs per row first: the text of a row meets its items once
+    per_row = pairs.groupBy(*ROW).agg(F.collect_set(F.struct("item_id")).alias("_items"))
+    same = reduce(Column.__and__, [F.col(f"_d{c}").eqNullSafe(F.col(c)) for c in ROW])
+    both = (d.join(per_row, same).withColumn("w", words(F.col("text")))
+            .select(*ROW, F.array_distinct(shingles(F.col("w"))).alias("_s"), "w",
                     F.explode("_items").alias("_item")).withColumn("item_id", F.col("_item.item_id"))
             .join(i, F.col("item_id").eqNullSafe(F.col("_i"))))
     short = F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" "))
@@ -130,12 +147,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     share = F.col("n_shared") / F.col("n_item")
     return (both.withColumn("n_shared", n.cast("long")).withColumn("n_item", F.col("n_item").cast("long"))
             .filter(F.col("n_shared") >= F.ceil(F.col("n_item") * F.lit(threshold) - 1e-9))
-            .groupBy("doc_id", "item_id").agg(F.max(F.struct(
-                share.alias("containment"), F.col("n_item"), F.col("n_shared"))).alias("_best"))
-            .select("doc_id", "item_id", "_best.n_item", "_best.n_shared", "_best.containment"))
+            .select(*ROW, "item_id", F.struct(share.alias("containment"), "n_item", "n_shared").alias("_pair")))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents without a leak."""
-    bad = stored(leaks(docs, benchmark, threshold).select(F.col("doc_id").alias("_bad")).distinct(), "leaking")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """The documents without a leak, judged row by row."""
+    bad = stored(row_leaks(docs, benchmark, threshold).select(*[F.col(c).alias(f"_bad{c}") for c in ROW]).distinct(),
+                 "leaking")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_bad{c}")) for c in ROW])
+    return named(docs).join(bad, same, "left_anti").select(*docs.columns)
