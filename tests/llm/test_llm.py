@@ -381,6 +381,19 @@ def test_forest_depth():
     assert 1 - (1 - 0.8 ** d) ** near.TREES >= near.TARGET_RECALL > 1 - (1 - 0.8 ** (d + 1)) ** near.TREES
 
 
+def test_forest_recall_at_the_threshold():
+    """Random pairs of Jaccard similarity 0.8: as many share a bucket as TARGET_RECALL says."""
+    rng = np.random.default_rng(5)
+    odd, add, paths = near._family()
+    found, pairs, depth = 0, 6000, near.depth_for()
+    for _ in range(pairs):
+        x = rng.integers(0, 1 << 63, 90, dtype=np.uint64)  # 80 shared, 10 and 10 of their own
+        one, two = (near.prefixes(near.minhash(np.concatenate([x[:80], own]), odd, add), paths, depth)
+                    for own in (x[80:], rng.integers(0, 1 << 63, 10, dtype=np.uint64)))
+        found += bool((one == two).any())
+    assert found >= near.TARGET_RECALL * pairs  # 0.99946 by the formula
+
+
 # --- 9 toxicity -------------------------------------------------------------------------------
 
 def test_toxicity(spark):

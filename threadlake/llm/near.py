@@ -5,9 +5,9 @@ shingles is at least ``THRESHOLD``.
 
 1. Texts with the same word sequence form a class; one of each goes on.  Classes
    and groups are named by 64 of the sequence's 128 hash bits.
-2. Forest: each of ``TREES`` trees reads ``MAX_DEPTH`` of the ``HASHES`` MinHash
-   values of a document as a path.  Documents that share a path prefix are
-   candidates.  The prefix starts at full depth and is shortened until the
+2. Forest: each of ``TREES`` trees reads MinHash values of its own, in no other
+   tree, as a path.  Documents that share a path prefix are candidates.  The
+   prefix starts at full depth and is shortened until the
    recall at exactly the threshold reaches ``TARGET_RECALL`` (``depth_for``);
    pairs above the threshold have more.  Prefix buckets are sorted and joined
    by Spark as (tree, prefix hash).
@@ -45,7 +45,6 @@ THRESHOLD = 0.8
 TARGET_RECALL = 0.998
 TREES = 32
 MAX_DEPTH = 16
-HASHES = 96
 BLOCK = 256
 SEED = 7
 
@@ -53,7 +52,8 @@ SEED = 7
 def depth_for(threshold: float = THRESHOLD, trees: int = TREES, target: float = TARGET_RECALL,
               max_depth: int = MAX_DEPTH) -> int:
     """Shorten the matched prefix until pairs at the threshold share one in some
-    tree with probability ``target``: 1 - (1 - s^depth)^trees."""
+    tree with probability ``target``: 1 - (1 - s^depth)^trees, which holds as
+    no hash is in two trees."""
     depth = max_depth
     while depth > 1 and 1 - (1 - threshold ** depth) ** trees < target:
         depth -= 1
@@ -69,17 +69,20 @@ def shingle_set(text: str | None, known: _Hashes) -> np.ndarray:
 
 
 def _family() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    depth = depth_for()
+    hashes = TREES * depth
     rng = np.random.default_rng(SEED)
-    odd = rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    add = rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
-    paths = np.stack([rng.permutation(HASHES)[:MAX_DEPTH] for _ in range(TREES)])
-    return odd, add, paths
+    odd = rng.integers(0, 1 << 63, hashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    add = rng.integers(0, 1 << 63, hashes, dtype=np.uint64)
+    return odd, add, np.arange(hashes).reshape(TREES, depth)
 
 
 def minhash(shingles: np.ndarray, odd: np.ndarray, add: np.ndarray) -> np.ndarray:
     """Least value of each hash function over the set."""
+    step = max(1, (1 << 15) // len(shingles))  # short sets take many functions at once
     with np.errstate(over="ignore"):
-        return np.array([((shingles * a + b) >> np.uint64(20)).min() for a, b in zip(odd, add, strict=True)])
+        return np.concatenate([(shingles * odd[k:k + step, None] + add[k:k + step, None]).min(1) >> np.uint64(20)
+                               for k in range(0, len(odd), step)])
 
 
 def prefixes(signature: np.ndarray, paths: np.ndarray, depth: int) -> np.ndarray:
