@@ -1,16 +1,18 @@
-"""N-gram Jaccard join with a MinHash LSH forest.
+"""N-gram Jaccard join with MinHash banding at a fixed depth.
 
 Two documents are linked when the Jaccard similarity of their distinct 5-word
 shingles is at least ``THRESHOLD``.
 
 1. Texts with the same word sequence form a class; one of each goes on.  Classes
    and groups are named by 64 of the sequence's 128 hash bits.
-2. Forest: each of ``TREES`` trees reads MinHash values of its own, in no other
-   tree, as a path.  Documents that share a path prefix are candidates.  The
-   prefix starts at full depth and is shortened until the
-   recall at exactly the threshold reaches ``TARGET_RECALL`` (``depth_for``);
-   pairs above the threshold have more.  Prefix buckets are sorted and joined
-   by Spark as (tree, prefix hash).
+2. Banding: each of ``TREES`` bands hashes MinHash values of its own, in no
+   other band.  Documents that share a band's hash are candidates.  The depth of
+   the bands is fixed before any row is read: the greatest at which the recall
+   at exactly the threshold reaches ``TARGET_RECALL`` (``depth_for``); pairs
+   above the threshold have more.  A forest would try depths from deep to
+   shallow per document until enough neighbours are found; here every pair at
+   the threshold is wanted, so the shallowest depth is matched anyway and deeper
+   ones add nothing.  Buckets are joined by Spark on (band, hash).
 3. A bucket links its members to its least member (a star, never all pairs).
    Connected stars are candidate groups, found by hooking and pointer jumping
    over written tables.
@@ -51,9 +53,8 @@ SEED = 7
 
 def depth_for(threshold: float = THRESHOLD, trees: int = TREES, target: float = TARGET_RECALL,
               max_depth: int = MAX_DEPTH) -> int:
-    """Shorten the matched prefix until pairs at the threshold share one in some
-    tree with probability ``target``: 1 - (1 - s^depth)^trees, which holds as
-    no hash is in two trees."""
+    """Shorten the bands until pairs at the threshold share one with probability ``target``: 1 - (1 - s^depth)^trees, which holds as
+    no hash is in two bands."""
     depth = max_depth
     while depth > 1 and 1 - (1 - threshold ** depth) ** trees < target:
         depth -= 1
@@ -86,7 +87,7 @@ def minhash(shingles: np.ndarray, odd: np.ndarray, add: np.ndarray) -> np.ndarra
 
 
 def prefixes(signature: np.ndarray, paths: np.ndarray, depth: int) -> np.ndarray:
-    """One hash per tree of the first ``depth`` values on the tree's path."""
+    """One hash per band of its first ``depth`` values."""
     out = np.arange(1, len(paths) + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for level in range(depth):
@@ -102,7 +103,7 @@ def _class_of(text: str | None) -> tuple[int, int, int]:
 
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, fingerprint and class of the text, number of words, forest path (null without words)."""
+    """doc_id, fingerprint and class of the text, number of words, band hashes (null without words)."""
     odd, add, paths = _family()
     depth, known = depth_for(), _Hashes()
     for b in batches:
