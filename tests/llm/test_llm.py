@@ -421,6 +421,23 @@ def test_block_max_is_exact():
         assert np.allclose(full[place], score)
 
 
+def test_calibration_looks_past_copies():
+    """An example with hundreds of equals still has NEAREST other neighbours."""
+    terms = [f"t{chr(97 + i)}" for i in range(26)]
+    sample = [(i, "ta tb", 1) for i in range(300)] + [(300 + i, f"ta tb {terms[2 + i]}", i % 2) for i in range(24)]
+    voted = []
+
+    class Seen(toxicity.Index):
+        def vote(self, place, score):
+            voted.append((len(place), score.max(initial=0)))
+            return super().vote(place, score)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(toxicity, "Index", Seen)
+        toxicity.build(terms, [50] * 26, 324, sample, {0: 12, 1: 312})
+    assert len(voted) == 324 and all(n == toxicity.NEAREST and s < 1 - 1e-9 for n, s in voted)
+
+
 def test_toxicity_odd(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (None, 1), (3, None), (99, 0)], "doc_id long, toxic int")
     assert toxicity.toxicity(odd, labels).count() == len(ODD)

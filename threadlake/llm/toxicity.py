@@ -91,8 +91,9 @@ class Index:
         w = (1 + np.log([n for _, n in hit])) * self.idf[at]
         return at, w / math.sqrt((w * w).sum())
 
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of highest cosine above 0 (ties by place): exact."""
+    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEAREST, others: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of highest cosine above 0 (ties by place): exact.
+        ``others`` leaves out equal vectors, however many they are."""
         if not len(at) or not len(self.y):
             return np.zeros(0, int), np.zeros(0)
         bound = self.peak[:, at] @ w
@@ -102,6 +103,8 @@ class Index:
             if bound[b] <= 0 or (len(best) == k and bound[b] < least - 1e-12):
                 break
             s = self.x[b * BLOCK:(b + 1) * BLOCK][:, at] @ w
+            if others:
+                s = np.where(s < 1 - 1e-9, s, 0.0)
             places.append(np.arange(b * BLOCK, b * BLOCK + len(s)))
             scores.append(s)
             best = np.sort(np.concatenate([best, s[s > 0]]))[::-1][:k]
@@ -129,9 +132,7 @@ class Index:
         v = np.zeros(len(self.y))
         for i, x in enumerate(self.x):
             at = np.flatnonzero(x)
-            place, score = self.nearest(at, x[at], NEAREST * 4)
-            other = score < 1 - 1e-9
-            place, score = place[other][:NEAREST], score[other][:NEAREST]
+            place, score = self.nearest(at, x[at], others=True)
             v[i] = _logit(self.vote(place, score))
         a, b = 1.0, 0.0
         for _ in range(50):  # Newton, with a little ridge towards the raw vote
