@@ -223,6 +223,29 @@ def test_secrets(spark, odd, empty):
     assert secrets.scan(odd).count() == 0 and secrets.scan(empty).count() == 0
 
 
+def test_secret_candidates_are_whole():
+    """Letter-only keys, runs over 512 characters, short and odd passwords, each once and whole."""
+    rng = np.random.default_rng(2)
+    long = "".join(rng.choice(list("abcdefghABCDEFGH0123456789"), 903))
+    found = lambda t: [(s, v) for s, v, _, _ in secrets.candidates(t)]
+    assert found('token = "aBcDeFgHiJkLmNoPqRsTuVwX"') == [(9, "aBcDeFgHiJkLmNoPqRsTuVwX")]
+    assert found(f"see {long} there") == [(4, long)] and found(long[:516]) == [(0, long[:516])]
+    assert found('password = "hunter2!Xq9"') == [(12, "hunter2!Xq9")]
+    assert found("x: DB_PASSWORD=p4$s; y") == [(15, "p4$s")]
+    assert found('{"apiKey": "a b\'c"}') == [(12, "a b'c")]
+    assert found('secret = "ab!0123456789abcdef01"') == [(10, "ab!0123456789abcdef01")]
+    assert found("nothing = here: at all") == [] and found("password = ") == []
+
+
+def test_secrets_short_and_letters(spark):
+    """The forest keeps short passwords and letter-only keys, and leaves words and calls."""
+    rows = ['password = "hunter2!Xq9"', 'token = "aBcDeFgHiJkLmNoPqRsTuVwX"', 'password = "value"', "token = get.name()"]
+    df = spark.createDataFrame([(i, f"the other thing {r} and more") for i, r in enumerate(rows)] + [(9, "value name get other " * 50)],
+                               "doc_id long, text string")
+    got = {r["doc_id"]: r["secret"] for r in secrets.scan(df).collect()}
+    assert got == {0: True, 1: True, 2: False, 3: False}
+
+
 def test_secrets_held_out(spark):
     rows = secrets.made_findings(["value", "name", "other", "thing"], 2000)
     train, test = rows[:1000], rows[1000:]

@@ -1,7 +1,9 @@
 """Secret scan with a random forest that removes false positives.
 
-1. Candidates: runs of 16 or more key characters that hold a digit or mix their
-   case, with where they stand: the words before, the assignment or path around.
+1. Candidates: whole runs of 16 or more key characters that hold a digit or mix
+   their case, and what is assigned to a credential name, of any length and
+   characters; with where they stand: the words before, the assignment or path
+   around.
 2. Features: length, character classes and entropy, transitions (how often two
    neighbours change class, and how usual each pair of letters is in the corpus's
    own words), coverage by corpus words (dictionary), path-likeness, and whether
@@ -44,7 +46,10 @@ TREES, DEPTH, SEED = 40, 8, 11
 THRESHOLD = 0.5
 LEAST = 16
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.\-]{%d,512}" % LEAST)
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.\-]{%d,}" % LEAST)
+#: A name and its assignment; what is assigned (quoted, or up to a space).
+ASSIGNED = re.compile(r"""(?<![\w.\-])([\w.\-]++)["']?[ \t]*(?:=>|:=|={1,3}|:)[ \t]*""")
+VALUE = re.compile(r"""(?:"((?:[^"\\\n]|\\.)++)"|'((?:[^'\\\n]|\\.)++)'|["']?([^\s"']++))""")
 #: Words that name a credential (fixed values).
 NAMES = ("key", "token", "secret", "passwd", "password", "pwd", "auth", "bearer", "credential", "api", "access", "private")
 #: What known keys begin with (fixed values).
@@ -53,10 +58,30 @@ FEATURES = ("length", "digits", "upper", "lower", "other", "entropy", "changes",
             "slashes", "dots", "hex", "named", "assigned", "quoted", "prefixed")
 
 
+def _names_credential(name: str) -> bool:
+    return any(p.startswith(NAMES) or p.endswith(NAMES) for p in
+               (w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", name)))
+
+
+def _assigned(text: str) -> Iterator[tuple[int, str, bool]]:
+    """(start, value, whole: quoted and without spaces) of what credential names get."""
+    for m in ASSIGNED.finditer(text):
+        v = VALUE.match(text, m.end()) if _names_credential(m.group(1)) else None
+        if v:
+            k = v.lastindex
+            value = v.group(k) if k < 3 else v.group(k).rstrip(",;")
+            if value:
+                yield v.start(k), value, k < 3 and not any(c.isspace() for c in value)
+
+
 def candidates(text: str | None) -> Iterator[tuple[int, str, str, str]]:
-    """(start, value, text before, character after) of each candidate."""
+    """(start, value, text before, character after) of each candidate.  A run
+    inside a quoted value that is a candidate itself is not one more."""
     if not text:
         return
+    assigned = list(_assigned(text))
+    whole = iter([(s, s + len(v)) for s, v, w in assigned if w])
+    here, got = next(whole, None), {(s, v) for s, v, _ in assigned}
     for m in CANDIDATE.finditer(text):
         value, start = m.group(), m.start()
         cut = re.match(r"[A-Za-z_.\-]{1,40}=(?=[^=])", value)  # name=value
@@ -65,8 +90,13 @@ def candidates(text: str | None) -> Iterator[tuple[int, str, str, str]]:
         value = value.rstrip("=.-") if not value.endswith("==") else value
         has_digit = any(c.isdigit() for c in value)
         mixed = value != value.lower() and value[1:] != value[1:].lower()
-        if len(value) >= LEAST and (has_digit or (mixed and "/" in value)):
-            yield start, value, text[max(0, start - 40):start], text[start + len(value):start + len(value) + 1]
+        while here and here[1] <= start:
+            here = next(whole, None)
+        inside = here and here[0] <= start and start + len(value) <= here[1]
+        if len(value) >= LEAST and (has_digit or mixed) and not inside:
+            got.add((start, value))
+    for start, value in sorted(got):
+        yield start, value, text[max(0, start - 40):start], text[start + len(value):start + len(value) + 1]
 
 
 def _kind(c: str) -> int:
@@ -159,7 +189,11 @@ def made_findings(words: list[str], n: int = FINDINGS) -> list[tuple[str, str, s
     hexes, alnum = "0123456789abcdef", string.ascii_letters + string.digits
 
     def key() -> tuple[str, bool]:
-        kind = rng.integers(6)
+        kind = rng.integers(8)
+        if kind == 6:
+            return some(string.ascii_letters, int(rng.integers(20, 48))), False
+        if kind == 7:  # a password
+            return some(alnum, int(rng.integers(5, 12))) + some("!@#$%&*?^~", 1) + some(alnum, int(rng.integers(1, 4))), False
         if kind == 0:
             return "AKIA" + some(string.ascii_uppercase + string.digits, 16), True
         if kind == 1:
@@ -173,8 +207,17 @@ def made_findings(words: list[str], n: int = FINDINGS) -> list[tuple[str, str, s
         return some(alnum + "-_", int(rng.integers(22, 44))), False
 
     def plain() -> tuple[str, str, str]:
-        kind = rng.integers(8)
+        kind = rng.integers(11)
         lead = f"{word()} {word()} "
+        name = str(rng.choice(NAMES))
+        if kind == 8:
+            return "".join(word().title() for _ in range(int(rng.integers(3, 6)))), lead, " "
+        if kind == 9:  # a word, assigned
+            shape = rng.integers(3)
+            return word(), lead + name + [": ", " = ", ' = "'][shape], '"' if shape == 2 else " "
+        if kind == 10:  # a call, a lookup, a place holder
+            return str(rng.choice([f"{word()}.{word()}()", f"<{word()}>", "${" + word().upper() + "}", f"{word()}_{word()}",
+                                   f"{word()}[{word()}]"])), lead + name + " = ", " "
         if kind == 0:
             return some(string.digits, int(rng.integers(16, 20))), lead, " "
         if kind == 1:
@@ -206,7 +249,7 @@ def made_findings(words: list[str], n: int = FINDINGS) -> list[tuple[str, str, s
         else:
             out.append((value, lead + ": ", " ", 1))
         p = plain()
-        if len(p[0]) >= LEAST:
+        if len(p[0]) >= LEAST or p[1].endswith((": ", "= ", '= "')):
             out.append((*p, 0))
     return out[:n]
 
