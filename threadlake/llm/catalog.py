@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, mix, near, pii, quality, repeats, secrets, shard, toxicity
+from threadlake.llm import chat, decontaminate, lexicon, mix, near, pii, quality, repeats, secrets, shard, toxicity
 from threadlake.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -115,3 +115,22 @@ PII_KEY = "threadlake-test-key"
 def op10(spark, sf):
     key = spark.conf.get("spark.threadlake.pii.key", PII_KEY)
     return pii.pseudonyms(table(spark, sf, "documents").select("doc_id", "text"), key)
+
+
+#: File of the vocabulary; the box's package of public tokenizers names it.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary_path(spark) -> str:
+    """The vocabulary file, which lies at one path on every machine."""
+    if path := spark.conf.get("spark.threadlake.bpe.vocabulary", None):
+        return path
+    import public_tokenizers
+    return public_tokenizers.path(VOCABULARY)
+
+
+@register("op11_bpe_lexicon")
+def op11(spark, sf):
+    docs, path = table(spark, sf, "documents"), vocabulary_path(spark)
+    name = lexicon.build_lexicon(docs, path)
+    return lexicon.digests(lexicon.decode(lexicon.encode(docs, path, name), path))
