@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, lexicon, mix, near, pii, quality, repeats, secrets, shard, toxicity
+from threadlake.llm import chat, decontaminate, lexicon, mix, near, pii, quality, repeats, secrets, shard, toxicity, whiten
 from threadlake.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -134,3 +134,8 @@ def op11(spark, sf):
     docs, path = table(spark, sf, "documents"), vocabulary_path(spark)
     name = lexicon.build_lexicon(docs, path)
     return lexicon.digests(lexicon.decode(lexicon.encode(docs, path, name), path))
+
+
+@register("op13_embedding_whitening")
+def op13(spark, sf):
+    return whiten.by_component(whiten.whiten(table(spark, sf, "embeddings")))
