@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, lexicon, mix, near, pii, quality, repeats, secrets, shard, toxicity, whiten
+from threadlake.llm import chat, decontaminate, lexicon, mix, near, pii, quality, repair, repeats, secrets, shard, toxicity, whiten
 from threadlake.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -136,6 +136,58 @@ def op11(spark, sf):
     return lexicon.digests(lexicon.decode(lexicon.encode(docs, path, name), path))
 
 
+# The repair as a recursion over the rows of every conversation at once.
+REPAIR_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list(list_reduce(list_concat([n], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)
+              ORDER BY n) AS t FROM (SELECT unnest(range(256)) AS n)),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+c AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda x: unicode(x)::BIGINT)),
+                            lambda h, b: xor(h // 256, t[(xor(h % 256, b) % 256) + 1])), 4294967295) % 20 AS kind FROM k, tab),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS twice FROM c),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, twice) AS i FROM d),
+f AS (SELECT *, substr(role, 1, 1) AS ini, regexp_replace(text, '[ 	-]+$', '') AS trimmed,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup,
+             lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+r AS (SELECT *, trimmed = '' AS blank, trimmed <> '' AND dup AS duplicate,
+             trimmed <> '' AND NOT dup AND right(trimmed, 1) NOT IN ('.', '!', '?') AS truncated FROM f),
+ins(a, b, ic, il, iu) AS (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+  (0, 2, 2, 'I', chr(10) || 'user:'), (1, 2, 2, 'I', chr(10) || 'user:'), (3, 2, 2, 'I', chr(10) || 'user:'),
+  (2, 3, 2, 'I', chr(10) || 'assistant:'), (0, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+ed(b, e, l) AS (VALUES (0, 0, 'D'), (1, 1, 'D'), (2, 2, 'D'), (3, 3, 'D'), (0, 2, 'R'), (1, 2, 'R'), (3, 2, 'R'), (2, 3, 'R'),
+  (0, 1, 'K'), (0, 2, 'K'), (1, 2, 'K'), (3, 2, 'K'), (2, 3, 'K')),
+p(conv_id, i, st, best) AS (
+  SELECT DISTINCT conv_id, 1::BIGINT, 0, {'cost': 0::BIGINT, 'audit': '', 'text': ''} FROM conversations
+  UNION ALL
+  SELECT p.conv_id, p.i + 1, ed.e, min({'cost': best.cost + ic + CASE l WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+                                                + CASE WHEN l <> 'D' AND truncated THEN 1 ELSE 0 END,
+         'audit': best.audit || il || l,
+         'text': best.text || iu || CASE l WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || r.text
+                 ELSE chr(10) || CASE ed.e WHEN 2 THEN 'user:' ELSE 'assistant:' END || r.text END})
+  FROM p JOIN r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i JOIN ins ON ins.a = p.st JOIN ed ON ed.b = ins.b
+  WHERE l = 'D' OR (NOT blank AND NOT duplicate AND (l = 'R' OR ini = ['s', 'u', 'a'][ed.e]))
+  GROUP BY p.conv_id, p.i + 1, ed.e),
+n AS (SELECT conv_id, count(r.conv_id) FILTER (r.i IS NOT NULL) AS rows, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+             count(*) FILTER (truncated) AS truncated, count(*) FILTER (r.i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal,
+             coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, coalesce(max(r.i), 0) AS last
+      FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+w AS (SELECT p.conv_id, min({'cost': best.cost + ic, 'audit': best.audit || il, 'text': best.text || iu}) AS best
+      FROM p JOIN n ON n.conv_id IS NOT DISTINCT FROM p.conv_id AND p.i = n.last + 1 JOIN ins ON ins.a = p.st
+      WHERE ins.b IN (0, 3) GROUP BY p.conv_id)
+SELECT n.conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illegal, best.cost AS cost, best.audit AS audit,
+       sha256(substr(best.text, 2)) AS repaired_sha256
+FROM n JOIN w ON w.conv_id IS NOT DISTINCT FROM n.conv_id"""
+
+
+@register("op12_conversation_repair", REPAIR_SQL)
+def op12(spark, sf):
+    return repair.digests(table(spark, sf, "conversations"))
+
+
 @register("op13_embedding_whitening")
 def op13(spark, sf):
     return whiten.by_component(whiten.whiten(table(spark, sf, "embeddings")))
