@@ -49,6 +49,14 @@ def test_transducer_is_a_dictionary_with_shared_ends(tmp_path):
     assert L.Transducer(str(tmp_path / "e")).look_up([b"a"]) == [None]
 
 
+def test_merging_together_equals_merging_one_by_one():
+    rng, v = random.Random(1), L.Vocabulary(PATH)
+    letters = "etaoinshr" * 3 + "é!=漢"
+    words = ["".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 5, 9, 16, 40]))).encode() for _ in range(4000)] + [b"a" * 24, b"=" * 23]
+    assert v.merge_all(words) == [np.array(v.merge(w), "<u4").tobytes() for w in words]
+    assert v.merge_all([]) == []
+
+
 def test_registered_query_equals_library(spark):
     from threadlake.llm.catalog import queries
     rows = {r["doc_id"]: r for r in queries()["op11_bpe_lexicon"](spark, SF_SMALL).collect()}

@@ -31,11 +31,14 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -49,17 +52,31 @@ from threadlake.session import ensure_checkpoint_dir
 LEXICON = 1 << 17
 #: Steps of a doubling in the histogram of word counts.
 STEPS = 8
-#: Results that a Python worker remembers at most (then it forgets them all).
+#: Words that a Python worker remembers at most (then it forgets them all).
 MEMO = 300_000
-#: Code points that are split at a time within a task.
+#: Bytes that are split into words at a time within a task (one row at least).
 PIECE = 1 << 20
 
 #: White space of the Unicode standard, as the vocabulary file's pattern has it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PART = regex.compile(f"[^{SPACE}]+")
-PLAIN = regex.compile("[\\0-\\u024f]*").fullmatch
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+").findall
+PART = re.compile(f"[^{SPACE}]+").findall
+PLAIN = re.compile("[\0-ɏ]*").fullmatch
 END = "</w>"
+#: Words of so many bytes at most are merged together, longer ones one by one.
+SHORT = 24
+NEVER = 1 << 20  # above every rank
+
+
+def _plain_words():
+    """The file's word pattern for lower-case text below U+0250, with its classes
+    written out; the parts of the alternation that begin differently stand in
+    order of frequency."""
+    points = sorted({x for c in range(0x250) for x in chr(c).lower()})  # some lie above
+    letters, digits = ("".join(re.escape(c) for c in points if regex.match(p, c)) for p in (r"\p{L}", r"\p{N}"))
+    return re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{digits}]|[^{letters}{digits}{SPACE}]+").findall
+
+
+PLAIN_WORDS = _plain_words()
 
 
 def byte_letters() -> dict[int, str]:
@@ -218,35 +235,53 @@ class Transducer:
 
 # --- vocabulary ------------------------------------------------------------------------------
 
-class Vocabulary:
-    """Ids, merge ranks and special tokens of a vocabulary file."""
+class Tokens:
+    """Ids and special tokens of a vocabulary file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.ids: dict[str, int] = spec["model"]["vocab"]
-        self.ranks = {tuple(m): i for i, m in enumerate(spec["model"]["merges"])}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+            self.spec = json.load(f)
+        self.ids: dict[str, int] = self.spec["model"]["vocab"]
+        self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
         known = self.ids | self.special
         self.strings = [""] * (1 + max(known.values()))
         for s, i in known.items():
             self.strings[i] = s
+
+
+class Vocabulary(Tokens):
+    """The same with merge ranks and the library's own normaliser."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.ranks = {tuple(m): i for i, m in enumerate(self.spec["model"]["merges"])}
+        merged = [(self.ids[a], self.ids[b], self.ids[a + b]) for a, b in self.spec["model"]["merges"]]
+        self.spec = None
+        order = sorted(range(len(merged)), key=lambda r: merged[r][:2])
+        self.pair = np.array([merged[r][0] << 20 | merged[r][1] for r in order], np.int64)
+        self.rank = np.array(order, np.int64)
+        self.joined = np.array([m[2] for m in merged], np.int64)
         self.letters = byte_letters()
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else lambda t: [t]
-        self.library = Tokenizer.from_file(path)
+        self.bytes = {c: b for b, c in self.letters.items()}
+        self.inner, self.last = (np.array([self.ids[self.letters[b] + e] for b in range(256)], np.int64) for e in ("", END))
+        self.path = path
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")" if self.special else "(?!)").split
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
 
     def words(self, parts: list[str]) -> list[list[str]]:
         """Composed, lower-case words of each part (no white space, no special
         token inside)."""
         other = [p for p in parts if not PLAIN(p)]
-        normal = {}
+        said = {}
         if other:
-            together = self.library.normalizer.normalize_str(" ".join(other)).split(" ")
-            normal = dict(zip(other, together, strict=True))
-            back = {c: b for b, c in self.letters.items()}
-            said = {p: [bytes(back[c] for c in w).decode() for w, _ in self.library.pre_tokenizer.pre_tokenize_str(n)]
-                    for p, n in normal.items()}
-        return [said[p] if p in normal else WORDS(p.lower()) for p in parts]
+            normal = self.library.normalizer.normalize_str(" ".join(other)).split(" ")
+            split = self.library.pre_tokenizer.pre_tokenize_str
+            back = self.bytes
+            said = {p: [bytes([back[c] for c in w]).decode() for w, _ in split(n)] for p, n in zip(other, normal, strict=True)}
+        return [said[p] if p in said else PLAIN_WORDS(p.lower()) for p in parts]
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of one word: its bytes, joined pair by pair in the order of the
@@ -273,68 +308,120 @@ class Vocabulary:
                 heapq.heappush(heap, (r, h, part[h], part[i]))
         return tuple(self.ids[p] for p in part if p)
 
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """Ids of many words (little-endian, 32 bits each): in each step every
+        word joins its pair of least rank, the leftmost of equals."""
+        out: list[bytes | None] = [None] * len(words)
+        short = [i for i, w in enumerate(words) if len(w) <= SHORT]
+        for i in set(range(len(words))).difference(short):
+            out[i] = np.array(self.merge(words[i]), "<u4").tobytes()
+        if not short:
+            return out
+        size = np.array([len(words[i]) for i in short])
+        text = np.frombuffer(b"".join([words[i] for i in short]), np.uint8)
+        end = np.cumsum(size) - 1
+        token = self.inner[text]
+        token[end] = self.last[text[end]]
+        word = np.repeat(np.arange(len(short)), size)
+
+        def ranks(at: np.ndarray) -> np.ndarray:
+            """Rank of the pair that begins at each place."""
+            after = np.minimum(at + 1, len(token) - 1)
+            want = token[at] << 20 | token[after]
+            found = np.minimum(np.searchsorted(self.pair, want), len(self.pair) - 1)
+            ok = (self.pair[found] == want) & (word[at] == word[after]) & (after > at)
+            return np.where(ok, self.rank[found], NEVER)
+
+        rank = ranks(np.arange(len(token)))
+        while True:
+            n = len(token)
+            least = np.minimum.reduceat(rank * n + np.arange(n), np.cumsum(size) - size)
+            live = least < NEVER * n
+            if not live.any():
+                break
+            at = least[live] % n
+            token[at] = self.joined[rank[at]]
+            stay = np.ones(n, bool)
+            stay[at + 1] = False
+            token, word, rank = token[stay], word[stay], rank[stay]
+            size[live] -= 1
+            at -= np.arange(len(at))  # one place went in each earlier word
+            rank[at] = ranks(at)
+            before = at[at > 0] - 1
+            rank[before] = ranks(before)
+        data, stop, begin = token.astype("<u4").tobytes(), (np.cumsum(size) * 4).tolist(), 0
+        for i, end in zip(short, stop, strict=True):
+            out[i], begin = data[begin:end], end
+        return out
+
 
 class Encoder:
     """Encodes texts with a lexicon; one in each Python worker."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Transducer | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.parts: dict[str, bytes] = {}
-        self.rare: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.special = {s: i.to_bytes(4, "little") for s, i in vocabulary.special.items()}
 
-    def learn(self, parts: list[str]) -> None:
-        """Fill the memory with the ids of these parts."""
-        pieces = {p: self.vocabulary.cut(p) for p in parts}
-        plain = list({x for xs in pieces.values() for x in xs if x and x not in self.special})
-        words = dict(zip(plain, self.vocabulary.words(plain), strict=True))
-        new = list({w for ws in words.values() for w in ws} - self.rare.keys())
-        raw = [w.encode() for w in new]
+    def words(self, text: str) -> list[str]:
+        """Words of a text; a special token is a word with a space before it."""
+        if PLAIN(text) and not any(s in text for s in self.special):
+            return PLAIN_WORDS(text.lower())
+        out = []
+        for piece in self.vocabulary.cut(text):
+            if piece in self.special:
+                out.append(" " + piece)
+            elif PLAIN(piece):
+                out += PLAIN_WORDS(piece.lower())
+            else:
+                parts = PART(piece)
+                said = dict(zip(new := list(set(parts)), self.vocabulary.words(new), strict=True))
+                for p in parts:
+                    out += said[p]
+        return out
+
+    def learn(self, words: list[str]) -> None:
+        """Remember the ids of these words."""
+        raw = [w.encode() for w in words]
         ids = self.lexicon.look_up(raw) if self.lexicon else [None] * len(raw)
-        got = {}
-        for w, b, known in zip(new, raw, ids, strict=True):
-            if known is None:
-                known = np.array(self.vocabulary.merge(b), "<u4").tobytes()
-                if len(w) <= 64:
-                    self.rare[w] = known
-            got[w] = known
-        for p, xs in pieces.items():
-            self.parts[p] = b"".join(
-                self.special[x] if x in self.special else b"".join([got[w] if w in got else self.rare[w] for w in words[x]])
-                for x in xs if x)
-        if len(self.rare) > MEMO:
-            self.rare.clear()
+        self.known.update(zip(words, ids, strict=True))
+        rare = [i for i, got in enumerate(ids) if got is None and words[i][0] != " "]
+        merged = self.vocabulary.merge_all([raw[i] for i in rare])
+        self.known.update(zip([words[i] for i in rare], merged, strict=True))
+        self.known.update((w, self.special[w[1:]]) for w in words if w[0] == " ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [PART.findall(t) for t in texts]
+        split = [self.words(t) for t in texts]
         seen = set().union(*split)
-        if new := [p for p in seen if p not in self.parts]:
-            if len(self.parts) + len(new) > MEMO:
-                self.parts.clear()
+        if new := [w for w in seen if w not in self.known]:
+            if len(self.known) + len(new) > MEMO:
+                self.known.clear()
                 new = list(seen)
             self.learn(new)
-        get = self.parts.__getitem__
+        get = self.known.__getitem__
         out = [b"".join(map(get, s)) for s in split]
-        for p in [p for p in new if len(p) > 64]:
-            del self.parts[p]
+        for w in [w for w in new if len(w) > 64]:
+            del self.known[w]
         return out
 
 
 _OPEN: dict[tuple, object] = {}
 
 
-def _vocabulary(path: str) -> Vocabulary:
-    if ("v", path) not in _OPEN:
-        _OPEN["v", path] = Vocabulary(path)
-    return _OPEN["v", path]
+def _opened(kind, path: str):
+    """One object of a vocabulary file per worker."""
+    if (kind, path) not in _OPEN:
+        _OPEN[kind, path] = kind(path)
+    return _OPEN[kind, path]
 
 
 def _encoder(path: str, lexicon: str | None) -> Encoder:
-    if ("e", path, lexicon) not in _OPEN:
-        for old in [k for k in _OPEN if k[0] == "e"]:
+    if (Encoder, path, lexicon) not in _OPEN:
+        for old in [k for k in _OPEN if k[0] is Encoder]:
             del _OPEN[old]  # a worker that is used again keeps one lexicon
-        _OPEN["e", path, lexicon] = Encoder(_vocabulary(path), Transducer(SparkFiles.get(lexicon)) if lexicon else None)
-    return _OPEN["e", path, lexicon]
+        _OPEN[Encoder, path, lexicon] = Encoder(
+            _opened(Vocabulary, path), Transducer(SparkFiles.get(lexicon)) if lexicon else None)
+    return _OPEN[Encoder, path, lexicon]
 
 
 # --- Spark -----------------------------------------------------------------------------------
@@ -359,10 +446,11 @@ def build_lexicon(docs: DataFrame, path: str, most: int = LEXICON) -> str:
     """Compile the lexicon of ``docs`` and hand it to all executors; returns the
     name under which tasks find the file."""
     spark = docs.sparkSession
-    vocabulary = _vocabulary(path)
+    vocabulary = _opened(Vocabulary, path)
     words = {w[0] for w in vocabulary.words(frequent_words(docs, most)) if len(w) == 1}
-    entries = sorted((b, vocabulary.merge(b)) for b in {w.encode() for w in words})
-    data = to_bytes(compile_transducer(entries))
+    raw = sorted(w.encode() for w in words)
+    ids = [tuple(np.frombuffer(x, "<u4").tolist()) for x in vocabulary.merge_all(raw)]
+    data = to_bytes(compile_transducer(zip(raw, ids, strict=True)))
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}")
@@ -375,16 +463,14 @@ def build_lexicon(docs: DataFrame, path: str, most: int = LEXICON) -> str:
     return name
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
-    piece, n = [], 0
-    for t in texts:
-        piece.append(t)
-        n += len(t)
-        if n >= PIECE:
-            yield piece
-            piece, n = [], 0
-    if piece:
-        yield piece
+def _slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``size`` bytes of a column, a row at least."""
+    bytes_of = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    piece = np.cumsum(bytes_of) // size
+    at = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(at, at[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 def encode(docs: DataFrame, path: str, lexicon: str | None = None) -> DataFrame:
@@ -395,9 +481,10 @@ def encode(docs: DataFrame, path: str, lexicon: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoder(path, lexicon)
-        for b in batches:
-            got = [i for piece in _slices(b.column(1).to_pylist()) for i in coder.encode(piece)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.binary())], ["doc_id", "ids"])
+        for batch in batches:
+            for b in _slices(batch, 1, PIECE):
+                ids = pa.array(coder.encode(b.column(1).to_pylist()), pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0), ids], ["doc_id", "ids"])
 
     return x.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
 
@@ -408,11 +495,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     ready(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings = _vocabulary(path).strings
-        for b in batches:
-            text = [" ".join([strings[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())],
-                                             ["doc_id", "ids", "text"])
+        say = _opened(Tokens, path).strings.__getitem__
+        for batch in batches:
+            for b in _slices(batch, 1, PIECE):
+                text = [" ".join(map(say, np.frombuffer(x or b"", "<u4").tolist())) for x in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())],
+                                                 ["doc_id", "ids", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, text string")
