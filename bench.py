@@ -134,9 +134,11 @@ def main() -> None:
     EX.write_jsonl(EX.session_lines(turns, sessions), root)   # fixture, not timed
 
     def ingest():
-        # one scan + parse, sessions and turns written as a snapshot pair
-        J.ingest_snapshot(spark, root, scratch_path(spark, "bench-store"), 1, D.AS_OF, per_node_dirs=True)
+        # one listing, one scan and parse, sessions and turns written to their buckets
+        J.ingest_changes(spark, root, store, D.AS_OF, per_node_dirs=True)
+    store = scratch_path(spark, "bench-store")
     timed("jsonl_ingest", ingest)
+    timed("jsonl_ingest_unchanged", ingest)
 
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec", "queries": timings,

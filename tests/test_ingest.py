@@ -98,7 +98,7 @@ def test_changed_files_and_upsert(spark, tmp_path):
     root = str(tmp_path / "store")
     _fixture(root)
     g = J.ingest(spark, root, "x", per_node_dirs=True)
-    man = J.file_manifest(g["lines"])
+    man = J.list_files(spark, root, per_node_dirs=True)
     assert J.changed_files(man, g["sessions"]).join(g["sessions"], ["session_id", "file_path"], "left_semi").count() == 0
     old = g["sessions"].withColumn("file_mtime", F.lit(0).cast("timestamp")).drop("source", "node")
     ch = J.changed_files(man, old)

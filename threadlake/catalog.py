@@ -926,16 +926,70 @@ def q_quarantine(spark, sf):
     return _ingested(spark, sf)["quarantine"].select("session_id", "reason", "line")
 
 
+FIRST_ERRORS_SQL = """(SELECT array_to_string(list(f ORDER BY f), ' ') FROM (
+         SELECT coalesce(s.node, 'local') || '/' || s.project || '/' || s.session_id || '.jsonl' AS f FROM sessions s
+         JOIN a USING (session_id) WHERE CAST(s.session_id AS BIGINT) % 9 = 0 AND {which} ORDER BY f LIMIT 10)) AS first_errors"""
+
+
+def _summary(df):
+    """S9 with the paths of ``first_errors`` below the root, in one string."""
+    short = F.transform("first_errors", lambda p: F.regexp_extract(p, r"([^/]+/[^/]+/[^/]+)$", 1))
+    return df.select("new_or_updated", "unchanged", "errors", "sessions", "turns",
+                     F.array_join(short, " ").alias("first_errors"))
+
+
 @register("ingest_summary", f"""{INGEST_AGG}
 SELECT count(*) AS new_or_updated, 0::BIGINT AS unchanged, count(*) FILTER (WHERE CAST(session_id AS BIGINT) % 9 = 0) AS errors,
-       count(*) AS sessions, CAST(sum(turn_count) AS BIGINT) AS turns FROM a""")
+       count(*) AS sessions, CAST(sum(turn_count) AS BIGINT) AS turns, {FIRST_ERRORS_SQL.format(which='true')} FROM a""")
 def q_summary(spark, sf):
     """S9 for a first run (nothing stored yet)."""
+    from threadlake.session import scratch_path
     from threadlake.sources import jsonl as J
-    g = _ingested(spark, sf)
-    empty = g["sessions"].limit(0)
-    out = J.run_summary(J.file_manifest(g["lines"]), empty, g["sessions"], g["quarantine"], g["sessions"], g["turns"])
-    return out.select("new_or_updated", "unchanged", "errors", "sessions", "turns")
+    root, base = _export_jsonl(spark, sf), scratch_path(spark, "store")
+    return _summary(J.ingest_changes(spark, root, base, INDEXED_AT, per_node_dirs=True)["summary"])
+
+
+# A second run over a folder that grew: sessions with id % 5 = 0 come new, those
+# with id % 5 = 1 have grown from their first two turns, the others stay.
+SECOND_AGG = INGEST_AGG + """,
+e AS (SELECT DISTINCT session_id FROM turns WHERE role IN ('user', 'assistant') AND (turn_idx < 2 OR CAST(session_id AS BIGINT) % 5 <> 1)),
+st AS (SELECT a.*, CAST(session_id AS BIGINT) % 5 AS k FROM a)"""
+
+
+def _second_run(spark, sf):
+    """Both runs into one store; the result of the second."""
+    from threadlake.session import scratch_path
+    from threadlake.sources import export as EX
+    from threadlake.sources import jsonl as J
+    root, base = scratch_path(spark, "jsonl-grows"), scratch_path(spark, "store")
+    t, s = D.turns(spark, sf), D.sessions(spark, sf)
+    kind = F.col("session_id").cast("long") % 5
+    EX.write_jsonl(EX.session_lines(t.filter((kind > 1) | ((kind == 1) & (F.col("turn_idx") < 2))), s.filter(kind > 0)), root)
+    J.ingest_changes(spark, root, base, INDEXED_AT, per_node_dirs=True)
+    EX.write_jsonl(EX.session_lines(t.filter(kind < 2), s.filter(kind < 2)), root)
+    return J.ingest_changes(spark, root, base, INDEXED_AT, per_node_dirs=True)
+
+
+@register("ingest_second_summary", f"""{SECOND_AGG}
+SELECT count(*) FILTER (k < 2) AS new_or_updated, count(*) FILTER (k > 1) AS unchanged,
+       count(*) FILTER (k < 2 AND CAST(session_id AS BIGINT) % 9 = 0) AS errors, count(*) AS sessions,
+       CAST(sum(turn_count) AS BIGINT) AS turns, {FIRST_ERRORS_SQL.format(which="CAST(s.session_id AS BIGINT) % 5 < 2")} FROM st""")
+def q_second_summary(spark, sf):
+    """S9 for a second run: most files are unchanged and not opened."""
+    return _summary(_second_run(spark, sf)["summary"])
+
+
+@register("ingest_second_turns", INGEST_TURNS_SQL)
+def q_second_turns(spark, sf):
+    """The stored turns after both runs are those of one full run."""
+    return _second_run(spark, sf)["turns"].select("session_id", "turn_idx", "ts", "role", "text")
+
+
+@register("ingest_second_changed", f"""{SECOND_AGG}
+SELECT session_id FROM st WHERE k < 2""")
+def q_second_changed(spark, sf):
+    """S3: the files that the second run reads."""
+    return _second_run(spark, sf)["changed"].select("session_id")
 
 
 ROSTER = ("n0", "n1", "n2", "local", "n9")
@@ -944,16 +998,23 @@ ROSTER = ("n0", "n1", "n2", "local", "n9")
 @register("node_coverage", f"""
 WITH {O.MODEL},
 roster(node) AS (VALUES {', '.join(f"('{n}')" for n in ROSTER)}),
-f AS (SELECT coalesce(node, 'local') AS node, count(*) AS files FROM sessions GROUP BY 1)
+f AS (SELECT coalesce(node, 'local') AS node, count(*) + count(*) FILTER (CAST(session_id AS BIGINT) % 10 = 0) AS files
+      FROM sessions GROUP BY 1)
 SELECT coalesce(r.node, f.node) AS node, coalesce(f.files, 0) AS files,
        CASE WHEN f.files IS NULL THEN 'no transcripts' ELSE 'ok' END AS status
 FROM roster r FULL JOIN f ON r.node = f.node""")
 def q_coverage_nodes(spark, sf):
-    """Files per node against a roster (n9 has none)."""
+    """Files per node, files without a byte included, against a roster (n9
+    has none).  No file is opened."""
+    from threadlake.sources import export as EX
     from threadlake.sources import jsonl as J
-    g = _ingested(spark, sf)
+    root = _export_jsonl(spark, sf)
+    s = D.sessions(spark, sf).filter(F.col("session_id").cast("long") % 10 == 0)
+    empty = s.select(F.concat(F.lit(f"{root}/"), F.coalesce("node", F.lit("local")), F.lit("/"), "project", F.lit("/e"),
+                              "session_id", F.lit(".jsonl")))
+    EX.touch(spark, [r[0] for r in empty.collect()])
     roster = spark.createDataFrame([(n,) for n in ROSTER], "node string")
-    return J.node_coverage(J.file_manifest(g["lines"]), roster)
+    return J.node_coverage(J.list_files(spark, root, per_node_dirs=True), roster)
 
 
 @register("upsert_sessions", f"""{INGEST_AGG}
@@ -964,14 +1025,14 @@ def q_upsert(spark, sf):
     """An older snapshot (no source/node columns; chat-id sessions
     stale) is brought up to date by replacing the changed sessions."""
     from threadlake.sources import jsonl as J
-    g = _ingested(spark, sf)
-    fresh = g["sessions"]
+    root = _export_jsonl(spark, sf)
+    fresh = J.ingest(spark, root, INDEXED_AT, per_node_dirs=True)["sessions"]
     stale = F.col("session_id").cast("long") % 5 == 0
     old = fresh.select(
         "session_id", "project", F.when(stale, F.lit("stale title")).otherwise(F.col("ai_title")).alias("ai_title"),
         "cwd", "started_at", "ended_at", "turn_count", "file_path",
         F.when(stale, F.lit(0).cast("timestamp")).otherwise(F.col("file_mtime")).alias("file_mtime"))
-    changed = J.changed_files(J.file_manifest(g["lines"]), old)
+    changed = J.changed_files(J.list_files(spark, root, per_node_dirs=True), old)
     new = fresh.join(changed.select("session_id"), "session_id", "left_semi")
     out = J.with_defaults(J.upsert(old, new, changed))
     return out.select("session_id", "project", "ai_title", "cwd", "started_at", "ended_at", "turn_count",
@@ -1020,6 +1081,45 @@ def q_chat_sessions(spark, sf):
 
 
 
+CHAT_LATER = """CASE WHEN CAST(session_id AS BIGINT) % 3 = 0 THEN '2025-01-01T00:00:00Z' ELSE ended_at END"""
+
+
+def _chat_second(spark, sf):
+    """A later export: conversations with id % 15 = 5 come new, those with
+    id % 3 = 0 have a later time; and what an earlier run has stored."""
+    from threadlake.sources import chat as CH
+    later = _chat(spark, sf)
+    number = F.substring("uuid", 2, 20).cast("long")
+    stored = CH.conversation_sessions(later.filter(number % 15 != 5), INDEXED_AT)
+    return stored, later.withColumn("updated_at", F.when(number % 3 == 0, F.lit("2025-01-01T00:00:00Z"))
+                                    .otherwise(F.col("updated_at")))
+
+
+@register("chat_second_changed", f"""
+WITH {O.MODEL}
+SELECT 'c' || session_id AS session_id, epoch(strptime({CHAT_LATER}, '%Y-%m-%dT%H:%M:%SZ'))::DOUBLE AS file_mtime
+FROM sessions WHERE source = 'chat' AND (CAST(session_id AS BIGINT) % 3 = 0 OR CAST(session_id AS BIGINT) % 15 = 5)""")
+def q_chat_changed(spark, sf):
+    """Conversations that a second run takes."""
+    from threadlake.sources import chat as CH
+    stored, later = _chat_second(spark, sf)
+    return CH.changed_conversations(later, stored).select("session_id", F.col("file_mtime").cast("double").alias("file_mtime"))
+
+
+@register("chat_second_sessions", f"""
+WITH {O.MODEL}
+SELECT 'c' || session_id AS session_id, started_at, {CHAT_LATER} AS ended_at, turn_count FROM sessions WHERE source = 'chat'""")
+def q_chat_second(spark, sf):
+    """The stored chat sessions after the second run."""
+    from threadlake.sources import chat as CH
+    from threadlake.sources import jsonl as J
+    stored, later = _chat_second(spark, sf)
+    changed = CH.changed_conversations(later, stored)
+    taken = later.join(changed.select(F.col("session_id").alias("uuid")), "uuid", "left_semi")
+    out = J.upsert(stored, CH.conversation_sessions(taken, INDEXED_AT), changed)
+    return out.select("session_id", "started_at", "ended_at", "turn_count")
+
+
 RAW_TRIM = TRIM_SQL.format(x="text")
 
 
@@ -1066,9 +1166,9 @@ SELECT {INGEST_SESSIONS_COLS}, 'code' AS source, coalesce(s.node, 'local') AS no
 FROM sessions s JOIN a USING (session_id)""")
 def q_continuous(spark, sf):
     """ST5: the JSONL files arrive through a file stream (40 files per
-    micro-batch); every batch upserts into a new sessions/turns snapshot."""
+    micro-batch); every batch upserts its buckets of the store."""
     from threadlake.session import scratch_path
-    from threadlake.sources import snapshots as SN
+    from threadlake.sources import store
     from threadlake.streaming.ingest import start_ingest
     landing = _export_jsonl(spark, sf)
     base = scratch_path(spark, "store")
@@ -1077,7 +1177,7 @@ def q_continuous(spark, sf):
     q.awaitTermination(900)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    out = SN.read_latest(spark, base, "sessions")
+    out = store.read(spark, base, "sessions")
     return out.select("session_id", "project", "ai_title", "cwd", "started_at", "ended_at", "turn_count",
                       "source", "node")
 

@@ -1,9 +1,7 @@
 """Write transcript files from the model tables (test and bench fixtures).
 
-Spark builds every JSON line (``to_json``, JVM-side); Python only appends the
-ready lines to one file per session.  Rows are hash-partitioned by session, so
-each file is written by exactly one task.  The target must be a POSIX path
-shared by all executors (``file:`` URIs are accepted).
+Spark builds every JSON line (``to_json``) and writes the files; the driver only
+renames them.
 
 Line shapes (fixed rules):
 
@@ -16,23 +14,13 @@ Line shapes (fixed rules):
 
 from __future__ import annotations
 
-import os
+import re
+import uuid
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def local_path(uri: str) -> str:
-    if uri.startswith("file:"):
-        uri = uri[len("file:"):]
-        while uri.startswith("//"):
-            uri = uri[1:]
-    if "://" in uri:
-        raise ValueError(f"export needs a POSIX-mounted shared path, got {uri}")
-    return uri
-
-
 def session_lines(turns: DataFrame, sessions: DataFrame) -> DataFrame:
     """(session_id, node, project, pos, line) for the JSONL export."""
     s = sessions.select("session_id", F.coalesce("node", F.lit("local")).alias("node"), "project", "cwd", "ai_title")
@@ -74,24 +62,37 @@ def session_lines(turns: DataFrame, sessions: DataFrame) -> DataFrame:
     return title.unionByName(body).unionByName(broken)
 
 
-def write_jsonl(lines: DataFrame, root: str) -> int:
-    """One ``<root>/<node>/<project>/<session>.jsonl`` per session; returns
-    the number of lines written."""
-    base = local_path(root)
+def _named_files(df: DataFrame, key: list[str], root: str, name) -> None:
+    """Write ``value`` with Spark's text writer, one file per ``key``, and give
+    each file its name (an older file of that name is replaced)."""
+    spark = df.sparkSession
+    made = f"{root.rstrip('/')}-made-{uuid.uuid4().hex[:8]}"
+    df.write.partitionBy(*key).text(made)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(made).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listFiles(path(made), True)
+    while found.hasNext():
+        part = found.next().getPath()
+        m = re.search("/" + "".join(f"{k}=([^/]+)/" for k in key) + "part-", part.toString())
+        if m:
+            to = path(f"{root.rstrip('/')}/{name(*m.groups())}")
+            fs.mkdirs(to.getParent())
+            fs.delete(to, False)
+            fs.rename(part, to)
+
+
+def write_jsonl(lines: DataFrame, root: str) -> None:
+    """One ``<root>/<node>/<project>/<session>.jsonl`` per session."""
+    key = ["node", "project", "session_id"]
+    rows = lines.repartition(*key).sortWithinPartitions(*key, "pos").select(*key, F.col("line").alias("value"))
+    _named_files(rows, key, root, lambda node, project, sid: f"{node}/{project}/{sid}.jsonl")
 
-    def write(batches):
-        for pdf in batches:
-            pdf = pdf.sort_values(["session_id", "pos"])
-            for (node, project, sid), g in pdf.groupby(["node", "project", "session_id"], sort=False):
-                d = os.path.join(base, node, project)
-                os.makedirs(d, exist_ok=True)
-                with open(os.path.join(d, f"{sid}.jsonl"), "a", encoding="utf-8") as f:
-                    f.write("\n".join(g["line"]) + "\n")
-            yield pd.DataFrame({"n": [len(pdf)]})
 
-    out = (lines.repartition("session_id").sortWithinPartitions("session_id", "pos")
-           .mapInPandas(write, "n long"))
-    return int(out.agg(F.sum("n")).first()[0] or 0)
+def touch(spark: SparkSession, names: list[str]) -> None:
+    """Files without a byte."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for n in names:
+        path(n).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path(n)).close()
 
 
 def chat_objects(turns: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -120,18 +121,8 @@ def chat_objects(turns: DataFrame, sessions: DataFrame) -> DataFrame:
     return conv
 
 
-def write_chat_export(objs: DataFrame, root: str, files: int = 4) -> int:
+def write_chat_export(objs: DataFrame, root: str, files: int = 4) -> None:
     """Write the conversations as ``files`` JSON-array files."""
-    base = local_path(root)
-
-    def write(batches):
-        import uuid
-        for pdf in batches:
-            if len(pdf):
-                os.makedirs(base, exist_ok=True)
-                with open(os.path.join(base, f"export-{uuid.uuid4().hex[:8]}.json"), "w", encoding="utf-8") as f:
-                    f.write("[\n" + ",\n".join(pdf["obj"]) + "\n]\n")
-            yield pd.DataFrame({"n": [len(pdf)]})
-
-    out = objs.repartition(files, "session_id").mapInPandas(write, "n long")
-    return int(out.agg(F.sum("n")).first()[0] or 0)
+    some = objs.groupBy(F.pmod(F.xxhash64("session_id"), F.lit(files)).alias("k")).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list("obj"), ",\n"), F.lit("\n]")).alias("value"))
+    _named_files(some, ["k"], root, lambda k: f"export-{k}.json")

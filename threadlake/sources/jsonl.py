@@ -9,36 +9,70 @@ survives files split over several read partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlake.functions.content import flatten_content, is_object, vget
 from threadlake.functions.indexing import number_in_files
 from threadlake.functions.text import full_trim
 from threadlake.operators.sessions import one_row_join
+from threadlake.session import cut_lineage
+from threadlake.sources import store
 
 KEEP_TYPES = ("user", "assistant", "ai-title")
 DEFAULT_NODE, DEFAULT_SOURCE = "local", "code"
 
 
-def scan_lines(spark: SparkSession, root: str, per_node_dirs: bool = False, node: str | None = None) -> DataFrame:
-    """Every line of every ``*.jsonl`` under ``root`` with its file
-    metadata and order.  Output: file_path, file_mtime, session_id, project,
-    node, block, mid, raw."""
+def _path_columns(path: Column, per_node_dirs: bool, node: str | None) -> list[Column]:
+    """session_id, project and node of a file, from its (encoded) path."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    parts = F.split(plain, "/")
+    n = F.size(parts)
+    node_col = F.element_at(parts, n - 2) if per_node_dirs else F.lit(node or DEFAULT_NODE)
+    return [F.regexp_extract(plain, r"([^/]+)\.jsonl$", 1).alias("session_id"),
+            F.element_at(parts, n - 1).alias("project"), node_col.alias("node")]
+
+
+#: Time of a listed file without a byte; one that grows gets a real one.
+NO_TIME = "1970-01-01 00:00:00"
+
+
+def list_files(spark: SparkSession, root: str, per_node_dirs: bool = False, node: str | None = None) -> DataFrame:
+    """S1 / S7 / S10 without reading: one row per ``*.jsonl`` file under
+    ``root``.  The content column of the binary source is never asked for, so no
+    file is opened.  Its scan leaves out files without a byte; they are in the
+    listing that Spark makes for it, and are added from there (0 bytes, time
+    ``NO_TIME``); the names come to Python only when there are such files.  Output: file_path (as scans have it), plain_path (not
+    encoded), file_mtime, bytes, session_id, project, node."""
+    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl")
+          .load(root).select(F.col("_metadata.file_path").alias("file_path"), F.col("path").alias("plain_path"),
+                             F.col("_metadata.file_modification_time").alias("file_mtime"),
+                             F.col("_metadata.file_size").alias("bytes")))
+    listing = df._jdf.inputFiles()  # the driver's own listing, in the JVM
+    if len(listing) > df.count():
+        names = spark.createDataFrame([(re.sub("^([a-z0-9]+):///", r"\1:/", n),) for n in listing], "file_path string")
+        empty = names.join(df.select("file_path"), "file_path", "left_anti").select(
+            "file_path", F.col("file_path").alias("plain_path"), F.lit(NO_TIME).cast("timestamp").alias("file_mtime"),
+            F.lit(0).cast("long").alias("bytes"))
+        df = df.unionByName(empty)
+    return df.select("*", *_path_columns(F.col("file_path"), per_node_dirs, node))
+
+
+def scan_lines(spark: SparkSession, root: str | list[str], per_node_dirs: bool = False,
+               node: str | None = None) -> DataFrame:
+    """Every line of every ``*.jsonl`` under ``root`` (a folder, or a
+    list of files) with its file metadata and order.  Output: file_path,
+    file_mtime, session_id, project, node, block, mid, raw."""
     df = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl")
           .text(root)
           .select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("file_path"),
                   F.col("_metadata.file_modification_time").alias("file_mtime"),
                   F.col("_metadata.file_block_start").alias("block"),
                   F.monotonically_increasing_id().alias("mid")))
-    parts = F.split(F.col("file_path"), "/")
-    n = F.size(parts)
-    node_col = F.element_at(parts, n - 2) if per_node_dirs else F.lit(node or DEFAULT_NODE)
-    return df.select(
-        "file_path", "file_mtime",
-        F.regexp_extract("file_path", r"([^/]+)\.jsonl$", 1).alias("session_id"),
-        F.element_at(parts, n - 1).alias("project"), node_col.alias("node"),
-        "block", "mid", "raw")
+    return df.select("file_path", "file_mtime", *_path_columns(F.col("file_path"), per_node_dirs, node),
+                     "block", "mid", "raw")
 
 
 def decode(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -126,8 +160,6 @@ def ingest(spark: SparkSession, root: str, indexed_at: str, per_node_dirs: bool
     With ``materialize`` the decoded per-line table is written once (reliable
     checkpoint under spark.checkpoint.dir), so the files are read and parsed a
     single time although turns and sessions both consume them."""
-    from threadlake.session import cut_lineage
-
     lines = scan_lines(spark, root, per_node_dirs, node)
     records, bad = decode(lines)
     nl = narrow(records)
@@ -139,26 +171,81 @@ def ingest(spark: SparkSession, root: str, indexed_at: str, per_node_dirs: bool
             "sessions": sessions}
 
 
-def ingest_snapshot(spark: SparkSession, root: str, base: str, snapshot_id: int, indexed_at: str,
-                    per_node_dirs: bool = False, node: str | None = None) -> dict[str, DataFrame]:
-    """S1–S11 end to end: one scan and parse, then sessions and turns written
-    as snapshot ``snapshot_id`` under ``base``."""
-    from threadlake.sources import snapshots as SN
-
-    g = ingest(spark, root, indexed_at, per_node_dirs, node, materialize=True)
-    SN.publish({"sessions": g["sessions"], "turns": SN.bucketed(g["turns"])}, base, snapshot_id)
-    return g
+#: Sort order of the stored tables inside a bucket.
+ORDER = {"sessions": ["session_id"], "turns": ["session_id", "turn_idx"], "files": ["file_path"]}
+#: Changed files that are read by name; of more, the folder is scanned and the
+#: lines of the others are dropped.
+BY_NAME = 100_000
+
+
+def read_changed(spark: SparkSession, root: str, changed: DataFrame, per_node_dirs: bool = False,
+                 node: str | None = None, by_name: int = BY_NAME) -> DataFrame:
+    """Lines of the ``changed`` files (``list_files`` rows): no other file is
+    opened while they are ``by_name`` at most; none at all without any."""
+    names = [re.sub(r"([\\*?\[\]{}])", r"\\\1", r[0])  # names, not patterns
+             for r in changed.filter("bytes > 0").select("plain_path").limit(by_name + 1).collect()]
+    if len(names) > by_name:
+        lines = scan_lines(spark, root, per_node_dirs, node)
+        return lines.join(changed.select("file_path"), "file_path", "left_semi")
+    if names:
+        return scan_lines(spark, names, per_node_dirs, node)
+    return spark.createDataFrame([], "file_path string, file_mtime timestamp, session_id string, project string, "
+                                     "node string, block long, mid long, raw string")
+
+
+def ingest_changes(spark: SparkSession, root: str, base: str, indexed_at: str, per_node_dirs: bool = False,
+                   node: str | None = None) -> dict[str, DataFrame]:
+    """Bring the store under ``base`` up to date with ``root``.
+
+    Files are listed, those that the store knows with the same time are left
+    unopened (S3), the others are read once; their sessions replace the stored
+    ones, bucket by bucket.  A stored session whose file has no turn any more
+    goes; of two files of one name the newest (then the greatest path) counts.
+    Returns files (the listing), changed, quarantine, sessions and turns (as
+    stored now) and summary (S9)."""
+    files = cut_lineage(list_files(spark, root, per_node_dirs, node))
+    known, stored = store.read(spark, base, "files"), store.read(spark, base, "sessions")
+    changed = files if known is None else files.join(known, ["file_path", "file_mtime"], "left_anti")
+    changed = cut_lineage(changed.select(files.columns))
+    good, bad = decode(read_changed(spark, root, changed, per_node_dirs, node))
+    nl, bad = cut_lineage(narrow(good)), cut_lineage(bad)
+    new = latest_file_per_session(headers(nl, indexed_at))
+    before = stored if stored is not None else spark.createDataFrame([], new.schema)
+    gone = before.join(changed.select("file_path"), "file_path", "left_semi").select("session_id")
+    if stored is not None:
+        rival = before.join(changed.select("file_path"), "file_path", "left_anti").select(
+            "session_id", F.struct("file_mtime", "file_path").alias("_r"))
+        new = new.join(rival, "session_id", "left").filter(
+            F.col("_r").isNull() | (F.struct("file_mtime", "file_path") > F.col("_r"))).drop("_r")
+    new = cut_lineage(new.withColumn("bucket", store.session_bucket(F.col("started_at"), F.col("session_id"))))
+    text = nl.join(new.select("file_path"), "file_path", "left_semi")
+    turns = to_turns(text).drop("file_path").join(new.select("session_id", "bucket"), "session_id")
+    summary_of = [files, before.select("session_id", "file_mtime"), new, bad]
+    summary_of[1] = cut_lineage(summary_of[1])  # the store moves on
+    store.upsert(spark, base, "session_id", {"sessions": new, "turns": turns}, gone, ORDER)
+    _note_files(spark, base, changed)
+    sessions, all_turns = store.read(spark, base, "sessions"), store.read(spark, base, "turns")
+    return {"files": files, "changed": changed, "quarantine": bad, "sessions": sessions, "turns": all_turns,
+            "summary": run_summary(*summary_of, sessions, all_turns)}
+
+
+def _note_files(spark: SparkSession, base: str, changed: DataFrame) -> None:
+    """Remember the listed files, those without a session too, by hash of the
+    path: the buckets of changed files are written."""
+    bucket = F.pmod(F.xxhash64("file_path"), F.lit(FILE_BUCKETS)).cast("string")
+    rows = changed.select("file_path", "file_mtime", bucket.alias("bucket"))
+    store.upsert(spark, base, "file_path", {"files": rows}, rows.limit(0), ORDER)
+
+
+#: Buckets of the table of known files.
+FILE_BUCKETS = 64
 
 
 # --- incremental maintenance ----------------------------------------------------------------
 
-def file_manifest(lines: DataFrame) -> DataFrame:
-    """(session_id, file_path, file_mtime, node, project) per scanned file."""
-    return lines.select("session_id", "file_path", "file_mtime", "node", "project").distinct()
-
-
 def changed_files(manifest: DataFrame, stored_sessions: DataFrame) -> DataFrame:
-    """S3: files whose (session, mtime) differs from the stored session row."""
+    """S3: files of a listing whose (session, mtime) differs from the stored
+    session row."""
     old = stored_sessions.select("session_id", "file_mtime")
     return manifest.join(old, ["session_id", "file_mtime"], "left_anti")
 
@@ -200,13 +287,17 @@ def run_summary(manifest: DataFrame, stored_sessions: DataFrame, new_sessions: D
     return one_row_join([counts, err_row, tot, tt])
 
 
-def node_coverage(manifest: DataFrame, roster: DataFrame) -> DataFrame:
-    """Files per expected node (0 = no transcripts, not a failure) plus
-    nodes seen but not on the roster.  roster(node)."""
-    files = manifest.groupBy("node").agg(F.count(F.lit(1)).alias("files"))
-    out = roster.select("node").join(files, "node", "full")
+def node_coverage(files: DataFrame, roster: DataFrame) -> DataFrame:
+    """Listed files (empty ones too) per expected node (0 = no
+    transcripts, not a failure) plus nodes seen but not on the roster.
+    roster(node).  When no node has a file at all, every row says so."""
+    per = files.groupBy("node").agg(F.count(F.lit(1)).alias("files"))
+    out = roster.select("node").join(per, "node", "full")
+    seen = per.agg(F.count(F.lit(1)).alias("_nodes"))  # one row
+    out = out.join(F.broadcast(seen), F.lit(True))
     return out.select("node", F.coalesce("files", F.lit(0)).alias("files"),
-                      F.when(F.col("files").isNull(), F.lit("no transcripts"))
+                      F.when(F.col("_nodes") == 0, F.lit("warning: no node has transcripts"))
+                      .when(F.col("files").isNull(), F.lit("no transcripts"))
                       .otherwise(F.lit("ok")).alias("status"))
 
 

@@ -3,10 +3,10 @@
 Transcript files grow in place, which the streaming file source cannot see
 (it never re-reads a known file).  The supported shape is a *landing*
 directory of immutable files (one file per upload); each micro-batch is a
-batch ingest of the new files, upserted into the current snapshot
-(``foreachBatch``).  Sessions and turns are published by one pointer; a batch
-that Spark repeats after a failure upserts the same sessions again, which
-changes nothing.
+batch ingest of the new files, upserted into the bucketed store
+(``foreachBatch``): it writes the buckets of its sessions and one pointer, and
+retires old sets.  A batch that Spark repeats after a failure upserts the same
+sessions again, which changes nothing.
 """
 
 from __future__ import annotations
@@ -14,35 +14,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadlake.session import cut_lineage
 from threadlake.sources import jsonl as J
-from threadlake.sources import snapshots as SN
+from threadlake.sources import store
 
 
 def _batch(base: str, indexed_at: str, per_node_dirs: bool):
     def run(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
         lines = lines.withColumn("mid", F.monotonically_increasing_id())  # line order, taken on the scan
-        parts = F.split(F.col("file_path"), "/")
-        n = F.size(parts)
-        scan = lines.select(
-            "file_path", "file_mtime",
-            F.regexp_extract("file_path", r"([^/]+)\.jsonl$", 1).alias("session_id"),
-            F.element_at(parts, n - 1).alias("project"),
-            (F.element_at(parts, n - 2) if per_node_dirs else F.lit(J.DEFAULT_NODE)).alias("node"),
-            "block", "mid", "raw")
+        scan = lines.select("file_path", "file_mtime", *J._path_columns(F.col("file_path"), per_node_dirs, None),
+                            "block", "mid", "raw")
         records, _bad = J.decode(scan)
-        nl = J.narrow(records)
+        nl = cut_lineage(J.narrow(records))
         sessions = J.latest_file_per_session(J.headers(nl, indexed_at))
+        sessions = cut_lineage(sessions.withColumn(
+            "bucket", store.session_bucket(F.col("started_at"), F.col("session_id"))))
         turns = J.to_turns(nl.join(sessions.select("file_path"), "file_path", "left_semi")).drop("file_path")
-        old_s = SN.read_latest(spark, base, "sessions")
-        old_t = SN.read_latest(spark, base, "turns")
-        if old_s is None:
-            new_s, new_t = sessions, turns
-        else:
-            new_s = J.with_defaults(J.upsert(old_s, sessions, sessions.select("session_id")))
-            new_t = J.upsert(old_t, turns, sessions.select("session_id"))
-        # a batch that is tried again after a half write takes a new id
-        SN.publish({"sessions": new_s, "turns": SN.bucketed(new_t)}, base)
+        turns = turns.join(sessions.select("session_id", "bucket"), "session_id")
+        store.upsert(spark, base, "session_id", {"sessions": sessions, "turns": turns},
+                     sessions.select("session_id").limit(0), J.ORDER)
+        store.retire(spark, base)
     return run
 
 
