@@ -102,6 +102,66 @@ def q_corpus(spark, sf):
     return index_of(spark, sf).corpus
 
 
+# An index that was built before sessions with id % 5 = 0 came and when those
+# with id % 5 = 1 had two turns, then updated with these sessions alone.
+
+def _updated_index(spark, sf):
+    from threadlake.session import scratch_path
+    path, now = scratch_path(spark, "fts-updated"), D.turns(spark, sf)
+    kind = F.col("session_id").cast("long") % 5
+    before = now.filter((kind > 1) | ((kind == 1) & (F.col("turn_idx") < 2)))
+    FT.FullTextIndex.build(before).write(path)
+    changed = now.filter(kind < 2).select("session_id").distinct()
+    FT.FullTextIndex.update(spark, path, changed, before.filter(kind == 1), now.filter(kind < 2))
+    return FT.FullTextIndex.read(spark, path)
+
+
+@register("fts_postings_updated", f"""
+WITH {O.MODEL}, {O.index_ctes().strip()}
+SELECT term, session_id, turn_idx, tf, array_to_string(positions, ',') AS positions, CAST(doc_len AS INTEGER) AS doc_len
+FROM postings""")
+def q_postings_updated(spark, sf):
+    """After an update the postings are those of a rebuild."""
+    p = _updated_index(spark, sf).postings
+    return p.select("term", "session_id", "turn_idx", "tf", F.array_join("positions", ",").alias("positions"), "doc_len")
+
+
+@register("fts_stats_updated", f"""
+WITH {O.MODEL}, {O.index_ctes().strip()}
+SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf, (SELECT count(*) FROM toks) AS n_docs,
+       (SELECT CAST(sum(len(t)) AS BIGINT) FROM toks) AS total_len FROM postings GROUP BY term""")
+def q_stats_updated(spark, sf):
+    """Term and corpus statistics after an update, by signed sums."""
+    idx = _updated_index(spark, sf)
+    stats = idx.term_stats.select("term", "df", F.col("cf").cast("long").alias("cf"))
+    return stats.join(F.broadcast(idx.corpus), F.lit(True))
+
+
+@register("fts_integrity_few", f"""
+WITH {O.MODEL},
+old_docs AS (SELECT session_id, turn_idx, CASE WHEN CAST(session_id AS BIGINT) % 25 = 0 THEN reverse(text) ELSE text END AS text
+             FROM turns WHERE CAST(session_id AS BIGINT) % 25 <> 7),
+{O.index_ctes('old_docs').strip()},
+cur AS (SELECT {O.tok('text')} AS t, session_id, turn_idx FROM turns),
+cur_pos AS (SELECT session_id, turn_idx, unnest(t) AS term, unnest(range(len(t))) AS pos FROM cur),
+cur_post AS (SELECT term, session_id, turn_idx, CAST(count(*) AS INTEGER) AS tf,
+                    array_to_string(list(pos ORDER BY pos), ',') AS positions
+             FROM cur_pos GROUP BY term, session_id, turn_idx),
+old_post AS (SELECT term, session_id, turn_idx, tf, array_to_string(positions, ',') AS positions FROM postings)
+SELECT *, 'stale' AS side FROM (SELECT * FROM old_post EXCEPT ALL SELECT * FROM cur_post)
+UNION ALL
+SELECT *, 'missing' AS side FROM (SELECT * FROM cur_post EXCEPT ALL SELECT * FROM old_post)""")
+def q_integrity_few(spark, sf):
+    """S13 by checksums: sessions with id % 25 = 0 were indexed with another
+    text, those with id % 25 = 7 not at all; only their ranges are tokenized."""
+    from threadlake.session import scratch_path
+    path, turns = scratch_path(spark, "fts-checked"), D.turns(spark, sf)
+    kind = F.col("session_id").cast("long") % 25
+    before = turns.filter(kind != 7).withColumn("text", F.when(kind == 0, F.reverse("text")).otherwise(F.col("text")))
+    FT.FullTextIndex.build(before).write(path)
+    return FT.check_index(spark, path, turns)
+
+
 @register("fts_integrity_drift", f"""
 WITH {O.MODEL},
 old_docs AS (SELECT * FROM turns WHERE role = 'user'),
@@ -119,8 +179,10 @@ def q_integrity(spark, sf):
     """An index built before the non-user turns arrived, checked against
     the current turns."""
     turns = D.turns(spark, sf)
-    stored = FT.build_postings(turns.filter(F.col("role") == "user"))
-    return FT.integrity_check(stored, turns)
+    from threadlake.session import scratch_path
+    path = scratch_path(spark, "fts-drift")
+    FT.FullTextIndex.build(turns.filter(F.col("role") == "user")).write(path)
+    return FT.check_index(spark, path, turns)
 
 
 # --- search ----------------------------------------------------------------

@@ -1,14 +1,21 @@
 """Full-text index: tokenizer output, postings, term and corpus statistics.
 
-Index layout (all plain DataFrames, persisted as parquet by ``write_index``):
+Tables (``bucket`` is a generation, ``g0``, ``g1``, ...; layout and pointer of
+``sources/store.py``):
 
-* ``postings(term, <doc keys>, tf, positions ARRAY<INT>, doc_len)``
-* ``term_stats(term, df, cf)``
-* ``corpus_stats(n_docs, total_len)``  (one row)
+* ``postings(term, <doc keys>, tf, positions ARRAY<INT>, doc_len)`` sorted by term
+* ``gone(session_id)``: sessions whose postings of older generations are dead
+* ``term_stats(term, df, cf)``, ``corpus(n_docs, total_len)``: signed, the sum
+  over the generations counts
+* ``text_sums(dr, n, h)``, ``posting_sums(dr, tr, n, h)``: signed, order-free
+  checksums per document range and per (document range, term range)
 
-Postings are a pure function of the turns, so a rebuild (S12) is a recompute
-and an integrity check (S13) is an ``exceptAll`` in both directions between
-the stored and the recomputed postings.
+A build (S12) writes one generation.  ``FullTextIndex.update`` adds one for
+changed sessions: their new postings, their keys in ``gone``, and the difference
+of all sums, worked out from their old and new turns alone; nothing older is
+read or rewritten.  ``compact`` folds the generations into one.  The integrity
+check (S13) compares checksums and retokenizes only documents of ranges that
+differ.
 """
 
 from __future__ import annotations
@@ -20,9 +27,14 @@ from pyspark.sql import functions as F
 
 from threadlake.functions.indexing import spread
 from threadlake.functions.text import tokenize
+from threadlake.session import cut_lineage
+from threadlake.sources import store
 
 DOC_KEYS = ["session_id", "turn_idx"]
 TERM_BUCKETS = 64
+#: Ranges (by hash) of the checksums: documents, terms.
+DOC_RANGES, TERM_RANGES = 1024, 64
+TABLES = ("postings", "gone", "term_stats", "corpus", "text_sums", "posting_sums")
 
 
 def tokens(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
@@ -54,7 +66,7 @@ def build_postings(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str =
 
 
 def term_bucket(term) -> F.Column:
-    """Bucket of a term in the written postings (directory partition)."""
+    """Hash class of a term."""
     return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
 
 
@@ -82,6 +94,44 @@ def corpus_from_postings(docs: DataFrame, postings: DataFrame) -> DataFrame:
     return one_row_join([n, tot])
 
 
+# --- checksums -------------------------------------------------------------------------------
+
+def doc_range(key) -> F.Column:
+    return F.pmod(F.xxhash64(key), F.lit(DOC_RANGES)).cast("int")
+
+
+def _sum_of(*cols) -> list[F.Column]:
+    """Rows and order-free sum of their 64-bit hashes."""
+    return [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*cols).cast("decimal(20,0)")).alias("h")]
+
+
+def text_sums(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
+    """(dr, n, h) of the source texts; nothing is tokenized."""
+    return docs.groupBy(doc_range(keys[0]).alias("dr")).agg(*_sum_of(*keys, text_col))
+
+
+def posting_sums(postings: DataFrame, keys: list[str] = DOC_KEYS) -> DataFrame:
+    """(dr, tr, n, h) of postings."""
+    tr = F.pmod(F.xxhash64("term"), F.lit(TERM_RANGES)).cast("int")
+    return postings.groupBy(doc_range(keys[0]).alias("dr"), tr.alias("tr")).agg(*_sum_of("term", *keys, "tf", "positions"))
+
+
+def signed(new: DataFrame, old: DataFrame, by: list[str]) -> DataFrame:
+    """new - old of all number columns per ``by``, rows of zeros left out."""
+    values = [c for c in new.columns if c not in by]
+    kinds = {f.name: f.dataType for f in new.schema}
+    less = old.select(*by, *[(-F.col(c)).alias(c) for c in values])
+    both = new.select(*by, *values).unionByName(less)
+    out = both.groupBy(*by).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in values])
+    return out.filter(" or ".join(f"{c} != 0" for c in values))
+
+
+def _added_up(df: DataFrame, by: list[str], values: list[str], alive: str) -> DataFrame:
+    """Signed rows of several generations added up; ``alive`` tells what counts."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    return df.groupBy(*by).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in values]).filter(alive)
+
+
 @dataclass
 class FullTextIndex:
     postings: DataFrame
@@ -89,6 +139,7 @@ class FullTextIndex:
     corpus: DataFrame
     keys: tuple[str, ...] = tuple(DOC_KEYS)
     docs: DataFrame | None = None
+    path: str | None = None
 
     @classmethod
     def build(cls, docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> "FullTextIndex":
@@ -96,34 +147,127 @@ class FullTextIndex:
         p = build_postings(docs, keys, text_col)
         return cls(p, term_stats(p), corpus_from_postings(docs, p), tuple(keys), docs)
 
-    def write(self, path: str, mode: str = "overwrite") -> None:
-        """Postings bucketed by term hash and sorted by term, so that a
-        pushed ``term IN (...)`` filter and dynamic partition pruning skip
-        row groups and buckets.  The postings are computed once; the term and
-        corpus statistics are derived from the written postings."""
-        (self.postings.repartition("term_bucket").sortWithinPartitions("term", *self.keys)
-         .write.mode(mode).partitionBy("term_bucket").parquet(f"{path}/postings"))
-        written = self.postings.sparkSession.read.parquet(f"{path}/postings")
-        term_stats(written).write.mode(mode).parquet(f"{path}/term_stats")
-        corpus = corpus_from_postings(self.docs, written) if self.docs is not None else self.corpus
-        corpus.write.mode(mode).parquet(f"{path}/corpus")
+    def write(self, path: str) -> None:
+        """One generation that replaces what is under ``path``.  Postings
+        are range-partitioned and sorted by (term, keys): a pushed term filter
+        skips row groups, a hot term spans tasks and files, and the number of
+        tasks follows the volume.  They are computed once; all sums are derived
+        from the written ones."""
+        spark, keys = self.postings.sparkSession, list(self.keys)
+        gen = lambda df: df.withColumn("bucket", F.lit("g0"))
+        order = {"postings": ["term", *keys]}
+        number = store.publish(spark, path, {"postings": gen(self.postings.drop("term_bucket"))}, order)
+        written = store.read(spark, path, "postings").drop("bucket")
+        gone = written.select(keys[0]).limit(0)
+        rest = {"gone": gone, "term_stats": term_stats(written),
+                "corpus": corpus_from_postings(self.docs, written) if self.docs is not None else self.corpus,
+                "text_sums": text_sums(self.docs, keys) if self.docs is not None else
+                text_sums(written.select(*keys, F.lit("").alias("text")).limit(0), keys),
+                "posting_sums": posting_sums(written, keys)}
+        store.publish(spark, path, {t: gen(df) for t, df in rest.items()}, {})
+        if number:  # a rebuild: what it replaces may go
+            store.retire(spark, path, keep=1)
 
     @classmethod
     def read(cls, spark, path: str, keys: list[str] = DOC_KEYS) -> "FullTextIndex":
-        return cls(spark.read.parquet(f"{path}/postings"),
-                   spark.read.parquet(f"{path}/term_stats"),
-                   spark.read.parquet(f"{path}/corpus"), tuple(keys))
+        """The index as of its newest generation."""
+        now = {t: store.read(spark, path, t) for t in TABLES}
+        generations = {b.bucket for b in store.pointer(spark, path)[1]} - {""}
+        postings, stats, corpus = now["postings"], now["term_stats"], now["corpus"]
+        if len(generations) > 1:
+            number = F.substring("bucket", 2, 20).cast("int")
+            dead = now["gone"].groupBy(F.col(keys[0]).alias("_gone")).agg(F.max(number).alias("_from"))
+            live = postings.withColumn("_gen", number)
+            postings = live.join(dead, (F.col(keys[0]) == F.col("_gone")) & (F.col("_gen") < F.col("_from")),
+                                 "left_anti").drop("_gen")
+            stats = _added_up(stats, ["term"], ["df", "cf"], "df > 0")
+            corpus = corpus.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("n_docs", "total_len")])
+        postings = postings.drop("bucket").withColumn("term_bucket", term_bucket(F.col("term")))
+        return cls(postings, stats.drop("bucket"), corpus.drop("bucket"), tuple(keys), None, path)
+
+    @staticmethod
+    def update(spark, path: str, changed: DataFrame, old_docs: DataFrame, new_docs: DataFrame,
+               keys: list[str] = DOC_KEYS) -> int:
+        """A generation for the ``changed`` sessions: ``old_docs`` are their
+        documents as indexed so far, ``new_docs`` as they are now (either may
+        lack some).  Work and bytes written follow these documents.  Returns the
+        number of the generation."""
+        gen = 1 + max(int(b.bucket[1:]) for b in store.pointer(spark, path)[1] if b.bucket)
+        keep = changed.select(keys[0]).distinct()
+        old = cut_lineage(old_docs.join(keep, keys[0], "left_semi"))
+        new = cut_lineage(new_docs.join(keep, keys[0], "left_semi"))
+        old_p, new_p = (cut_lineage(build_postings(d, keys).drop("term_bucket")) for d in (old, new))
+        tables = {"postings": new_p, "gone": keep,
+                  "term_stats": signed(term_stats(new_p), term_stats(old_p), ["term"]),
+                  "corpus": signed(corpus_from_postings(new, new_p), corpus_from_postings(old, old_p), []),
+                  "text_sums": signed(text_sums(new, keys), text_sums(old, keys), ["dr"]),
+                  "posting_sums": signed(posting_sums(new_p, keys), posting_sums(old_p, keys), ["dr", "tr"])}
+        tables = {t: df.withColumn("bucket", F.lit(f"g{gen}")) for t, df in tables.items()}
+        store.publish(spark, path, tables, {"postings": ["term", *keys]}, {f"g{gen}"})
+        return gen
+
+    @classmethod
+    def compact(cls, spark, path: str, keys: list[str] = DOC_KEYS) -> None:
+        """Fold all generations into one (S12 without tokenizing anything)."""
+        index = cls.read(spark, path, keys)
+        sums = stored_sums(spark, path)
+        tables = {"postings": index.postings.drop("term_bucket"), "gone": index.postings.select(keys[0]).limit(0),
+                  "term_stats": index.term_stats, "corpus": index.corpus, "text_sums": sums[0], "posting_sums": sums[1]}
+        store.publish(spark, path, {t: df.withColumn("bucket", F.lit("g0")) for t, df in tables.items()},
+                      {"postings": ["term", *keys]})
+        store.retire(spark, path, keep=1)
+
+
+def stored_sums(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    """(text sums, posting sums) over all generations."""
+    return (_added_up(store.read(spark, path, "text_sums"), ["dr"], ["n", "h"], "n != 0 or h != 0"),
+            _added_up(store.read(spark, path, "posting_sums"), ["dr", "tr"], ["n", "h"], "n != 0 or h != 0"))
+
+
+def unequal(have: DataFrame, want: DataFrame, by: list[str]) -> DataFrame:
+    """``by`` of the checksums that differ or are missing on one side."""
+    both = have.unionByName(want.select(*by, (-F.col("n")).alias("n"), (-F.col("h")).alias("h")))
+    return both.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("h").alias("h")).filter("n != 0 or h != 0").select(*by)
+
+
+def suspect_docs(spark, path: str, docs: DataFrame, keys: list[str] = DOC_KEYS) -> DataFrame:
+    """S13, first step: (dr, tr) ranges to look into, at most DOC_RANGES x
+    TERM_RANGES rows.  A text that differs from what was indexed makes all term
+    ranges of its document range suspect, a posting that differs from what was
+    written only its own."""
+    texts, postings = stored_sums(spark, path)
+    index = FullTextIndex.read(spark, path, keys)
+    by_text = unequal(text_sums(docs, keys), texts, ["dr"])
+    by_posting = unequal(posting_sums(index.postings, keys), postings, ["dr", "tr"])
+    all_terms = by_text.select("dr", F.explode(F.sequence(F.lit(0), F.lit(TERM_RANGES - 1))).alias("tr"))
+    return all_terms.unionByName(by_posting).distinct()
+
+
+def check_index(spark, path: str, docs: DataFrame, keys: list[str] = DOC_KEYS) -> DataFrame:
+    """Rows of the stored postings that differ from a recompute, as
+    ``integrity_check`` gives them; only documents in suspect ranges are
+    tokenized."""
+    ranges = cut_lineage(suspect_docs(spark, path, docs, keys))
+    index = FullTextIndex.read(spark, path, keys)
+    dr, tr = doc_range(keys[0]).alias("dr"), F.pmod(F.xxhash64("term"), F.lit(TERM_RANGES)).cast("int").alias("tr")
+    # the ranges are bounded by the two constants
+    some = docs.withColumn("dr", dr).join(F.broadcast(ranges.select("dr").distinct()), "dr", "left_semi").drop("dr")
+    cut = lambda p: p.withColumns({"dr": dr, "tr": tr}).join(F.broadcast(ranges), ["dr", "tr"], "left_semi")
+    return _differences(cut(index.postings), cut(build_postings(some, keys)), keys)
 
 
 def integrity_check(stored: DataFrame, docs: DataFrame, keys: list[str] = DOC_KEYS,
                     text_col: str = "text") -> DataFrame:
-    """Rows of the stored postings that differ from a recompute.
+    """S13 for postings without checksums: rows that differ from a recompute.
 
     Returns (side, term, <keys>, tf) where side is ``stale`` (only in the stored
     index) or ``missing`` (only in the recomputed one).  Empty = consistent.
     """
+    return _differences(stored, build_postings(docs, keys, text_col), keys)
+
+
+def _differences(stored: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
     cols = ["term", *keys, "tf", F.array_join("positions", ",").alias("positions")]   # bucket is derived
-    fresh = build_postings(docs, keys, text_col).select(*cols)
-    old = stored.select(*cols)
-    return (old.exceptAll(fresh).withColumn("side", F.lit("stale"))
-            .unionByName(fresh.exceptAll(old).withColumn("side", F.lit("missing"))))
+    old, new = stored.select(*cols), fresh.select(*cols)
+    return (old.exceptAll(new).withColumn("side", F.lit("stale"))
+            .unionByName(new.exceptAll(old).withColumn("side", F.lit("missing"))))

@@ -17,11 +17,14 @@ Plan shape for a batch of Q queries against postings P:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlake.functions.text import contains_ci, display_ts, prefix_join, tokenize
-from threadlake.operators.fulltext import DOC_KEYS, FullTextIndex, term_bucket
+from threadlake.operators.fulltext import DOC_KEYS, FullTextIndex
 
 # Fixed BM25 constants (Okapi defaults used by FTS5).
 K1 = 1.2
@@ -60,19 +63,40 @@ def batch_shape(queries: DataFrame) -> tuple[bool, bool]:
     return bool(row["p"] or 0), int(row["n"] or 0) > 1
 
 
+#: Terms that are pushed into the scan one by one; of more, their range is.
+PUSHED_TERMS = 256
+
+
+def batch_terms(queries: DataFrame) -> list[str]:
+    """Distinct tokens of a query batch (bounded by the batch, which the driver
+    built)."""
+    toks = queries.select(F.explode("phrases").alias("ph")).select(F.explode(tokenize(F.col("ph.text"))).alias("t"))
+    return sorted(r[0] for r in toks.distinct().collect())
+
+
+def among(column: str, values: list[str]) -> Column:
+    """A filter that holds for all of the sorted ``values``, in a form that
+    Parquet statistics can use: equalities, or the range of many values (the
+    join behind it is exact)."""
+    c = F.col(column)
+    if not values:
+        return F.lit(False)
+    if len(values) > PUSHED_TERMS:
+        return (c >= values[0]) & (c <= values[-1])
+    return reduce(or_, [c == v for v in values])
+
+
 def phrase_hits(index: FullTextIndex, queries: DataFrame, shape: tuple[bool, bool] | None = None) -> DataFrame:
     """(query_id, pno, <keys>, tf, doc_len): phrase occurrences per document."""
     keys = list(index.keys)
     has_prefix, has_multi = shape if shape is not None else batch_shape(queries)
     exact, expanded = query_terms(index, query_side(queries), has_prefix)
     # build side = the query terms, never the postings (which only look small
-    # to the planner on small corpora); joining on the bucket too lets dynamic
-    # partition pruning skip every postings bucket that holds no query term
-    exact = exact.withColumn("term_bucket", term_bucket(F.col("term")))
-    hits = F.broadcast(exact).join(index.postings, ["term_bucket", "term"])
+    # to the planner on small corpora); the terms of the batch are also a filter
+    # of the scan, which skips the row groups of all others
+    hits = F.broadcast(exact).join(index.postings.filter(among("term", batch_terms(queries))), "term")
     if expanded is not None:
-        expanded = expanded.withColumn("term_bucket", term_bucket(F.col("term")))
-        hits = hits.unionByName(expanded.join(index.postings, ["term_bucket", "term"]))
+        hits = hits.unionByName(expanded.join(index.postings, "term").select(hits.columns))
     single = (hits.filter(F.col("plen") == 1)
               .groupBy("query_id", "pno", *keys)
               .agg(F.sum("tf").cast("long").alias("tf"), F.first("doc_len").alias("doc_len")))

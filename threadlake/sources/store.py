@@ -122,11 +122,11 @@ def publish(spark: SparkSession, base: str, tables: dict[str, DataFrame], order:
     number = 1 + max(_numbers(spark, base), default=-1)
     entries = [b for b in (now[1] if now else [])
                if b.table not in tables or (touched is not None and b.path and b.bucket not in touched)]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, df in tables.items():
         path = f"{base}/{name}/set={number}-{uuid.uuid4().hex[:8]}"
         keys = ["bucket", *order.get(name, [])]
-        (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        # no number of partitions: adaptive execution follows the volume
+        (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
          .write.partitionBy("bucket").parquet(path))
         found = _fs(spark, path).listStatus(_path(spark, path))
         names = [s.getPath().getName() for s in found if s.isDirectory()]
