@@ -1,22 +1,25 @@
-"""Vectors: embedding (V1), exact blocked similarity (V3, V5), LSH variant,
-recency / complexity scores (V6, V7).
-
-Exact similarity uses *replicate-and-block*: each side is hashed into blocks of
-at most ``chunk`` rows; every (left block, right block) pair becomes one
-cogroup keyed by an equi-key, scored with a NumPy matrix product and cut to
-a per-left-row top-k above the threshold inside the task.  A final
-``row_number() <= k`` per left row (planned as WindowGroupLimit, so partial
-top-k happens before the shuffle) merges the block results.  No cross join is
-planned, no task holds more than ``chunk × chunk`` scores, and only rows that
-pass the threshold and the local top-k leave a task.
+"""Vectors: embedding (V1), exact search (V3) and similarity join (V5, J6), LSH
+variant, recency / complexity scores (V6, V7).
+
+* Search sends blocks of queries to the vectors (``knn``): no vector moves.
+* The similarity join is a radius join by metric partitioning
+  (``similar_pairs``): cells around pivots, triangle-inequality bounds, blocks
+  inside large cells, copies of a vector counted as one.
+* ``block_similarity`` compares two sides block by block, for more queries than
+  can be sent, and for radii that cells do not help with.  No task holds more than
+  ``chunk × chunk`` scores, and only rows that pass the threshold and the local
+  top-k leave a task.
 """
 
 from __future__ import annotations
 
 import math
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -164,8 +167,9 @@ def block_similarity(left: DataFrame, right: DataFrame, k: int | None,
     spread_min = max(1, math.isqrt(left.sparkSession.sparkContext.defaultParallelism))
     bl = max(_blocks(n_l, chunk), min(spread_min, max(1, n_l // 64)))
     br = max(_blocks(n_r, chunk), min(spread_min, max(1, n_r // 64)))
-    lh = F.pmod(F.xxhash64("l.sid", "l.tid"), F.lit(bl))
-    rh = F.pmod(F.xxhash64("r.sid", "r.tid"), F.lit(br))
+    # both keys int on both sides: an int and a long of one value hash apart
+    lh = F.pmod(F.xxhash64("l.sid", "l.tid"), F.lit(bl)).cast("int")
+    rh = F.pmod(F.xxhash64("r.sid", "r.tid"), F.lit(br)).cast("int")
     lrep = left.alias("l").select(*[F.col(f"l.{c}").alias(c) for c in ("sid", "tid", "vec")], lh.alias("bl"),
                                   F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("br"))
     rrep = right.alias("r").select(*[F.col(f"r.{c}").alias(c) for c in ("sid", "tid", "vec")], rh.alias("br"),
@@ -179,34 +183,264 @@ def _side(vecs: DataFrame) -> DataFrame:
                        F.col("embedding").alias("vec"))
 
 
-def knn(queries: DataFrame, vecs: DataFrame, k: int, chunk: int = 2048) -> DataFrame:
+#: Queries that are sent to the vectors at a time, and how many such passes are
+#: made; more queries are joined block by block.
+QUERY_BLOCK, PASSES = 4096, 8
+#: Scores that a task holds at a time.
+SCORES = 4_000_000
+
+
+def _nearest_in_task(ids: list[int], q: np.ndarray, k: int):
+    """Arrow batches of (sid, tid, vec) to this task's best k of every query
+    (ties at the k-th kept)."""
+    norms = (q * q).sum(1)
+    rows = max(1, SCORES // max(1, len(ids)))
+
+    def run(batches):
+        at, cos = np.zeros(0, np.int64), np.zeros(0)
+        keys: list = []
+        least = np.full(len(ids), -np.inf)
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                b = batch.slice(start, rows)
+                v = np.array(b.column(2).to_pylist(), np.float64)
+                # by expansion only to pick candidates
+                approx = 1.0 - (norms[:, None] + (v * v).sum(1)[None, :] - 2.0 * (q @ v.T)) / 2.0
+                cut = least
+                if len(v) > k:
+                    cut = np.maximum(cut, np.partition(approx, len(v) - k, axis=1)[:, len(v) - k])
+                qi, vi = np.nonzero(approx >= cut[:, None] - 2e-9)
+                exact = 1.0 - ((q[qi] - v[vi]) ** 2).sum(1) / 2.0
+                sids, tids = b.column(0).to_pylist(), b.column(1).to_pylist()
+                at, cos = np.concatenate([at, qi]), np.concatenate([cos, exact])
+                keys += [(sids[i], tids[i]) for i in vi.tolist()]
+                order = np.lexsort((-cos, at))
+                first = np.searchsorted(at[order], np.arange(len(ids)))
+                kth = np.full(len(ids), -np.inf)
+                full = np.bincount(at, minlength=len(ids)) >= k
+                kth[full] = cos[order][first[full] + k - 1]
+                least = kth
+                stay = order[cos[order] >= kth[at[order]] - 2e-9]
+                at, cos, keys = at[stay], cos[stay], [keys[i] for i in stay.tolist()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([ids[i] for i in at.tolist()], pa.int64()), pa.array([s for s, _ in keys], pa.string()),
+             pa.array([t for _, t in keys], pa.int32()), pa.array(cos)], ["query_id", "session_id", "turn_idx", "cos"])
+    return run
+
+
+def knn(queries: DataFrame, vecs: DataFrame, k: int, chunk: int = 2048, block: int = QUERY_BLOCK) -> DataFrame:
     """V3: exact k nearest vectors per query.
 
     queries(query_id BIGINT, qvec) × vecs(session_id, turn_idx, embedding) →
-    (query_id, session_id, turn_idx, distance, cos, knn_rank)."""
-    q = queries.select(F.col("query_id").cast("string").alias("sid"), F.lit(0).alias("tid"),
-                       F.col("qvec").alias("vec"))
-    pairs = block_similarity(q, _side(vecs), k, None, chunk)
-    w = Window.partitionBy("l_session_id").orderBy(F.round("cos", 9).desc(), "r_session_id", "r_turn_idx")
-    out = pairs.withColumn("knn_rank", F.row_number().over(w)).filter(F.col("knn_rank") <= k)
-    return out.select(F.col("l_session_id").cast("long").alias("query_id"),
-                      F.col("r_session_id").alias("session_id"), F.col("r_turn_idx").alias("turn_idx"),
-                      F.sqrt(F.greatest(F.lit(0.0), (1.0 - F.col("cos")) * 2.0)).alias("distance"),
-                      "cos", "knn_rank")
+    (query_id, session_id, turn_idx, distance, cos, knn_rank).
+
+    The vectors stay where they lie: blocks of at most ``block`` queries are
+    sent to every task, which keeps its best k of each, and only these meet in a
+    shuffle.  Beyond ``PASSES`` blocks both sides are dealt in blocks instead."""
+    side = _side(vecs)
+    queries = queries.select(F.col("query_id").cast("long"), F.col("qvec").cast("array<double>").alias("qvec"))
+    n = queries.count()
+    if n <= block * PASSES:
+        hits = None
+        blocks = max(1, math.ceil(n / block))
+        for b in range(blocks):
+            some = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).collect()  # about ``block`` rows
+            if some:
+                fn = _nearest_in_task([r[0] for r in some], np.array([r[1] for r in some], np.float64), k)
+                got = side.mapInArrow(fn, "query_id long, session_id string, turn_idx int, cos double")
+                hits = got if hits is None else hits.unionByName(got)
+        if hits is None:
+            hits = queries.select("query_id", F.lit("").alias("session_id"), F.lit(0).alias("turn_idx"), F.lit(0.0).alias("cos"))
+    else:
+        q = queries.select(F.col("query_id").cast("string").alias("sid"), F.lit(0).alias("tid"), F.col("qvec").alias("vec"))
+        hits = block_similarity(q, side, k, None, chunk).select(
+            F.col("l_session_id").cast("long").alias("query_id"), F.col("r_session_id").alias("session_id"),
+            F.col("r_turn_idx").alias("turn_idx"), "cos")
+    w = Window.partitionBy("query_id").orderBy(F.round("cos", 9).desc(), "session_id", "turn_idx")
+    out = hits.withColumn("knn_rank", F.row_number().over(w)).filter(F.col("knn_rank") <= k)
+    return out.select("query_id", "session_id", "turn_idx",
+                      F.sqrt(F.greatest(F.lit(0.0), (1.0 - F.col("cos")) * 2.0)).alias("distance"), "cos", "knn_rank")
+
+
+# --- metric partitioning (V5, J6) --------------------------------------------------------
+
+#: Pivots at most, and sampled vectors per pivot.
+PIVOTS, PER_PIVOT = 256, 8
+#: Share of all pairs from which cells do not pay.
+WORTH = 0.5
+SLACK = 1e-6  # of bounds against rounding
+
+
+def distinct_vectors(vecs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, vectors): every row's (sid, tid) with the id of its vector, and
+    each different vector once with its first k + 1 rows.  Of equal vectors no
+    more than these can be among anyone's k nearest, so a group of copies, however
+    large, takes part as one vector."""
+    side = _side(vecs).withColumn("vec", F.col("vec").cast("array<double>"))
+    side = side.withColumn("vid", F.struct(F.xxhash64("vec").alias("a"), F.xxhash64(F.lit("second"), "vec").alias("b")))
+    w = Window.partitionBy("vid").orderBy("sid", "tid")
+    few = side.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k + 1)
+    vectors = few.groupBy("vid").agg(F.first("vec").alias("vec"), F.array_sort(F.collect_list(F.struct("sid", "tid"))).alias("rows"))
+    return side.select("vid", "sid", "tid"), vectors
+
+
+def choose_pivots(vectors: DataFrame, n: int, most: int = PIVOTS) -> np.ndarray:
+    """Vectors far from one another, from a sample of fixed size."""
+    want = min(most, math.isqrt(n))
+    sample = vectors.orderBy(F.xxhash64("vid.b", "vid.a"), "vid").limit(PER_PIVOT * want).select("vec").collect()
+    x = np.array([r[0] for r in sample], np.float64)
+    chosen, away = [0], ((x - x[0]) ** 2).sum(1)
+    while len(chosen) < want and away.max() > 0:
+        chosen.append(int(away.argmax()))
+        away = np.minimum(away, ((x - x[chosen[-1]]) ** 2).sum(1))
+    return x[chosen]
+
+
+def _distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    d2 = (v * v).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2.0 * (v @ pivots.T)
+    return np.sqrt(np.maximum(d2, 0.0))
+
+
+@dataclass
+class Cells:
+    """A partition of the vectors: ``members`` (vid, vec, cell, away) once each,
+    ``reach`` the cells in whose radius they may lie, own cell included.
+    ``stats``: cell -> (members, reaching, radius); at most ``PIVOTS`` entries."""
+    members: DataFrame
+    reach: DataFrame
+    stats: dict[int, tuple[int, int, float]]
+
+    @property
+    def comparisons(self) -> int:
+        """Pairs that the join looks at, at most."""
+        return sum(m * r for m, r, _ in self.stats.values())
+
+
+def cells_of(vectors: DataFrame, n: int, radius: float) -> Cells:
+    """Cells around pivots.  For x in the cell of p and any y within ``radius``:
+    |y - p| <= the cell's radius + ``radius``, and, as x is nearer to p than to
+    the pivot q of y's own cell, |y - p| - |y - q| <= 2 * ``radius``.  Cells that
+    fail a bound hold no partner of y."""
+    pivots = choose_pivots(vectors, n)
+
+    def home(batches):
+        for b in batches:
+            if b.num_rows:
+                d = _distances(np.array(b.column(1).to_pylist(), np.float64), pivots)
+                cell = d.argmin(1)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cell, pa.int32()),
+                                                  pa.array(d[np.arange(len(d)), cell])], ["vid", "vec", "cell", "away"])
+
+    kind = "vid struct<a:bigint,b:bigint>, vec array<double>"
+    members = cut_lineage(vectors.select("vid", "vec").mapInArrow(home, f"{kind}, cell int, away double"))
+    sizes = {r[0]: (r[1], r[2]) for r in members.groupBy("cell").agg(F.count(F.lit(1)), F.max("away")).collect()}
+    reached = np.full(len(pivots), -np.inf)
+    for c, (_, far) in sizes.items():
+        reached[c] = far + radius + SLACK
+
+    def reach(batches):
+        for b in batches:
+            if b.num_rows:
+                d = _distances(np.array(b.column(1).to_pylist(), np.float64), pivots)
+                own = b.column(2).to_numpy()
+                ok = (d <= reached) & (d - d[np.arange(len(d)), own][:, None] <= 2 * radius + SLACK)
+                ok[np.arange(len(d)), own] = True
+                row, cell = np.nonzero(ok)
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(at), b.column(1).take(at), pa.array(cell, pa.int32()), pa.array(d[row, cell])],
+                    ["vid", "vec", "cell", "away"])
+
+    reaching = members.mapInArrow(reach, f"{kind}, cell int, away double")
+    counts = dict(reaching.groupBy("cell").count().collect())
+    return Cells(members, reaching, {c: (m, counts[c], far) for c, (m, far) in sizes.items()})
+
+
+def _near_scorer(k: int, threshold: float):
+    """Pairs of one block of a cell: both sides sorted by their distance from
+    the pivot, so each vector meets only those whose distance differs by the
+    radius at most."""
+    radius = math.sqrt(max(0.0, 2.0 * (1.0 - threshold)))
+    kind = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if left.num_rows and right.num_rows:
+            left, right = left.sort_by("away"), right.sort_by("away")
+            lv, rv = (np.array(t.column("vec").to_pylist(), np.float64) for t in (left, right))
+            la, ra = left.column("away").to_numpy(), right.column("away").to_numpy()
+            for s in range(0, len(lv), 256):
+                v = lv[s:s + 256]
+                lo = np.searchsorted(ra, la[s] - radius - SLACK)
+                hi = np.searchsorted(ra, la[min(s + 255, len(la) - 1)] + radius + SLACK, "right")
+                if lo == hi:
+                    continue
+                w = rv[lo:hi]
+                approx = 1.0 - ((v * v).sum(1)[:, None] + (w * w).sum(1)[None, :] - 2.0 * (v @ w.T)) / 2.0
+                keep = approx >= threshold - 1e-9
+                if len(w) > k:
+                    kth = np.partition(np.where(keep, approx, -np.inf), len(w) - k, axis=1)[:, len(w) - k]
+                    keep &= approx >= (kth - 2e-9)[:, None]
+                li, ri = np.nonzero(keep)
+                cos = 1.0 - ((v[li] - w[ri]) ** 2).sum(1) / 2.0
+                ok = cos >= threshold
+                out.append((s + li[ok], lo + ri[ok], cos[ok]))
+        li, ri, cos = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        ids = lambda t, i: t.column("vid").combine_chunks().cast(kind).take(pa.array(i))
+        return pa.table({"l": ids(left, li), "r": ids(right, ri), "cos": pa.array(cos)})
+    return score
+
+
+def _cell_pairs(cells: Cells, k: int, threshold: float, chunk: int) -> DataFrame:
+    """(l, r, cos) over the cells; a cell of many vectors is cut into blocks on
+    both sides, every pair of blocks being a task's work of bounded size."""
+    blocks = {c: (max(1, math.ceil(m / chunk)), max(1, math.ceil(r / chunk))) for c, (m, r, _) in cells.stats.items()}
+    table = F.create_map(*[F.lit(x) for c, (a, b) in blocks.items() for x in (c, f"{a},{b}")])
+    cut = F.split(table[F.col("cell")], ",")
+    a, b = cut[0].cast("int"), cut[1].cast("int")
+    part = lambda n: F.pmod(F.xxhash64("vid.b", "vid.a"), n).cast("int")
+    left = cells.members.select("vid", "vec", "away", "cell", part(a).alias("i"),
+                                F.explode(F.sequence(F.lit(0), b - 1)).alias("j"))
+    right = cells.reach.select("vid", "vec", "away", "cell", part(b).alias("j"),
+                               F.explode(F.sequence(F.lit(0), a - 1)).alias("i"))
+    return (left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j"))
+            .applyInArrow(_near_scorer(k, threshold), "l struct<a:bigint,b:bigint>, r struct<a:bigint,b:bigint>, cos double"))
+
+
+def _all_pairs(vectors: DataFrame, k: int, threshold: float, chunk: int) -> DataFrame:
+    side = vectors.select(F.concat_ws(",", "vid.a", "vid.b").alias("sid"), F.lit(0).alias("tid"), "vec")
+    back = lambda c: F.struct(F.split(c, ",")[0].cast("long").alias("a"), F.split(c, ",")[1].cast("long").alias("b"))
+    return block_similarity(side, side, k, threshold, chunk).select(
+        back("l_session_id").alias("l"), back("r_session_id").alias("r"), "cos")
 
 
 def similar_pairs(vecs: DataFrame, k: int = 5, threshold: float = 0.85, chunk: int = 2048) -> DataFrame:
-    """Top (k+1) neighbours of every vector including itself (self ranks first
-    among equals), restricted to cos ≥ threshold, self removed."""
-    side = _side(vecs)
-    p = block_similarity(side, side, k + 1, threshold, chunk).select(
-        F.col("l_session_id").alias("src_session_id"), F.col("l_turn_idx").alias("src_turn_idx"),
-        F.col("r_session_id").alias("dst_session_id"), F.col("r_turn_idx").alias("dst_turn_idx"), "cos")
-    is_self = (F.col("src_session_id") == F.col("dst_session_id")) & (F.col("src_turn_idx") == F.col("dst_turn_idx"))
-    w = Window.partitionBy("src_session_id", "src_turn_idx").orderBy(
-        F.round("cos", 9).desc(), (~is_self).cast("int"), "dst_session_id", "dst_turn_idx")
-    ranked = p.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k + 1)
-    return ranked.filter(~is_self).drop("_rank")
+    """The k nearest other vectors of every vector among those with
+    cos ≥ threshold, ties by key.
+
+    Different vectors are joined within the radius that the threshold is, by
+    cells around pivots; when the bounds leave more than ``WORTH`` of all pairs
+    (a wide radius among vectors without clusters) all are compared block by
+    block.  Both give the same rows."""
+    rows, vectors = distinct_vectors(vecs, k)
+    vectors = cut_lineage(vectors)
+    n = vectors.count()
+    pairs = None
+    if n > 4:
+        cells = cells_of(vectors, n, math.sqrt(max(0.0, 2.0 * (1.0 - threshold))))
+        if cells.comparisons <= WORTH * n * n:
+            pairs = _cell_pairs(cells, k + 1, threshold, chunk)
+    if pairs is None:
+        pairs = _all_pairs(vectors, k + 1, threshold, chunk)
+    target = vectors.select(F.col("vid").alias("r"), F.explode("rows").alias("dst"))
+    w = Window.partitionBy("l").orderBy(F.round("cos", 9).desc(), "dst.sid", "dst.tid")
+    best = pairs.join(target, "r").withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k + 1)
+    best = best.groupBy("l").agg(F.array_sort(F.collect_list(F.struct("_rank", "dst", "cos"))).alias("best"))
+    others = F.filter("best", lambda x: ~((x["dst"]["sid"] == F.col("sid")) & (x["dst"]["tid"] == F.col("tid"))))
+    got = rows.join(best.withColumnRenamed("l", "vid"), "vid").select("sid", "tid", F.explode(F.slice(others, 1, k)).alias("x"))
+    return got.select(F.col("sid").alias("src_session_id"), F.col("tid").alias("src_turn_idx"),
+                      F.col("x.dst.sid").alias("dst_session_id"), F.col("x.dst.tid").alias("dst_turn_idx"),
+                      F.col("x.cos").alias("cos"))
 
 
 def exclude_temporal(pairs: DataFrame, temporal: DataFrame | None) -> DataFrame:
