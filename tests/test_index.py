@@ -91,3 +91,34 @@ def test_terms_are_pushed_into_the_scan(spark, tmp_path):
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(term,la)" in plan and "EqualTo(term,the)" in plan
     assert S.among("x", [f"{i:04d}" for i in range(999)]) is not None
+
+
+def test_early_stop_gives_the_same_rows(spark, tmp_path):
+    path, turns, sessions = str(tmp_path), D.turns(spark, SF_MID), D.sessions(spark, SF_MID)
+    FT.FullTextIndex.build(turns).write(path)
+    # a second generation: bounds of both must hold
+    one = turns.filter("session_id in ('17', '18')")
+    FT.FullTextIndex.update(spark, path, one.select("session_id").distinct(), one, one.withColumn("text", F.concat("text", F.lit(" the the"))))
+    idx = FT.FullTextIndex.read(spark, path)
+    now = turns.withColumn("text", F.when(F.col("session_id").isin("17", "18"), F.concat("text", F.lit(" the the"))).otherwise(F.col("text")))
+    words = [r["term"] for r in idx.term_stats.orderBy(F.desc("df"), "term").limit(12).collect()]
+    batch = [Q.Query(i, Q.term(w), limit=1 + i % 4) for i, w in enumerate(words)]
+    batch += [Q.Query(20 + i, Q.any_of(Q.term(words[i]), Q.term(words[i + 1])), limit=3, source="code" if i % 2 else None) for i in range(4)]
+    batch += [Q.Query(30, Q.all_of(Q.term(words[0]), Q.not_(Q.term(words[1]))), limit=2), Q.Query(31, Q.term("nowhere")),
+              Q.Query(32, Q.prefix(words[0][:2]), limit=2)]
+    qt = Q.query_table(spark, batch)
+    rows = lambda early: sorted(map(tuple, S.search_sessions(idx, qt, now, sessions, early=early).select(
+        "query_id", "rank", "session_id", "turn_idx", "score").collect()))
+    assert rows(True) == rows(False)
+    share = {r["query_id"]: (r["postings"], r["looked_at"]) for r in S.early_share(idx, qt, 1).collect()}
+    assert sum(b for _, b in share.values()) < 0.6 * sum(a for a, _ in share.values())
+
+
+def test_prefixes_take_one_scan(spark):
+    from threadlake.functions.text import prefix_join
+    big = spark.createDataFrame([("ab",), ("abc",), ("b",), ("",), ("ǆa",)], "w string")
+    small = spark.createDataFrame([("a",), ("abc",), ("",), (None,), ("ǆ",), ("zz",)], "p string")
+    got = prefix_join(big, "w", small, "p")
+    want = sorted((b, s) for b in ("ab", "abc", "b", "", "ǆa") for s in ("a", "abc", "", "ǆ", "zz") if b.startswith(s))
+    assert sorted(map(tuple, got.collect())) == want
+    assert prefix_join(big, "w", small.limit(0), "p").count() == 0

@@ -230,6 +230,18 @@ def q_search_terms(spark, sf):
     return out.select("query_id", "rank", "session_id", "turn_idx", "ts", "role", "project",
                       "title", "node", "score")
 
+EARLY_BATCH = TERM_BATCH + [Q.Query(5, Q.term("der"), limit=3), Q.Query(6, Q.any_of(Q.term("the"), Q.term("tion")), limit=2),
+                            Q.Query(7, Q.any_of(Q.prefix("ver"), Q.phrase("of the")), limit=6)]
+
+
+@register("search_early_stop", O.search_sql(EARLY_BATCH))
+def q_search_early(spark, sf):
+    """X7/T1 with block maxima: blocks that cannot reach the top are skipped."""
+    out = S.search_sessions(index_of(spark, sf), Q.query_table(spark, EARLY_BATCH), D.turns(spark, sf),
+                            D.sessions(spark, sf), early=True)
+    return out.select("query_id", "rank", "session_id", "turn_idx", "ts", "role", "project", "title", "node", "score")
+
+
 @register("search_snippets")
 def q_snippets(spark, sf):
     """X8 on the top-k rows of the search batch (rows-only check)."""

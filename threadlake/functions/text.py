@@ -81,20 +81,15 @@ def contains_ci(col: Column, needle: Column | str) -> Column:
 
 
 def prefix_join(big: DataFrame, big_col: str, small: DataFrame, small_col: str) -> DataFrame:
-    """Rows of ``big`` whose ``big_col`` starts with ``small_col`` of a row of
-    ``small`` (a small, driver-bounded batch of prefixes).
-
-    Instead of a nested-loop join (|big| × |small| comparisons) the prefixes
-    are grouped by length and each group is an equi-join on
-    ``substring(big_col, 1, L)`` with the batch as broadcast build side.  The
-    distinct lengths are a few bounded scalars."""
-    lengths = sorted({int(r[0]) for r in small.select(F.length(small_col)).distinct().collect()
-                      if r[0] is not None})
-    out = None
-    for n in lengths:
-        s = F.broadcast(small.filter(F.length(small_col) == n))
-        j = big.withColumn("_pfx", F.substring(big_col, 1, n)).join(s, F.col("_pfx") == F.col(small_col)).drop("_pfx")
-        out = j if out is None else out.unionByName(j)
-    if out is None:
-        out = big.join(F.broadcast(small), F.lit(False))
-    return out
+    """Rows of ``big`` with every row of ``small`` whose ``small_col`` their
+    ``big_col`` starts with (an empty one starts everything, null nothing).
+
+    One pass over ``big`` for any mix of lengths, by hash, without comparing all
+    with all: the lengths that occur (one row, at most as long as the longest
+    prefix) go to ``big``, whose rows are cut to each and meet the prefixes by
+    equality."""
+    lengths = small.agg(F.collect_set(F.length(small_col)).alias("_lens"))
+    cut = (big.join(F.broadcast(lengths), F.lit(True))
+           .withColumn("_len", F.explode(F.filter("_lens", lambda n: n <= F.length(big_col)))))
+    cut = cut.withColumn("_pfx", F.expr(f"substring({big_col}, 1, _len)")).drop("_lens", "_len")
+    return cut.join(small, F.col("_pfx") == F.col(small_col)).drop("_pfx")

@@ -7,6 +7,8 @@ Tables (``bucket`` is a generation, ``g0``, ``g1``, ...; layout and pointer of
 * ``gone(session_id)``: sessions whose postings of older generations are dead
 * ``term_stats(term, df, cf)``, ``corpus(n_docs, total_len)``: signed, the sum
   over the generations counts
+* ``block_max(term, block, n, peak, avgdl)``: postings and their highest BM25
+  weight (without idf, at the ``avgdl`` of the generation) per document block
 * ``text_sums(dr, n, h)``, ``posting_sums(dr, tr, n, h)``: signed, order-free
   checksums per document range and per (document range, term range)
 
@@ -34,7 +36,7 @@ DOC_KEYS = ["session_id", "turn_idx"]
 TERM_BUCKETS = 64
 #: Ranges (by hash) of the checksums: documents, terms.
 DOC_RANGES, TERM_RANGES = 1024, 64
-TABLES = ("postings", "gone", "term_stats", "corpus", "text_sums", "posting_sums")
+TABLES = ("postings", "gone", "term_stats", "corpus", "block_max", "text_sums", "posting_sums")
 
 
 def tokens(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
@@ -62,7 +64,7 @@ def build_postings(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str =
             .agg(F.count(F.lit(1)).cast("int").alias("tf"),
                  F.array_sort(F.collect_list("pos")).alias("positions"),
                  F.first("doc_len").cast("int").alias("doc_len"))
-            .withColumn("term_bucket", term_bucket(F.col("term"))))
+            .withColumns({"term_bucket": term_bucket(F.col("term")), "block": doc_block(F.col(keys[0]), F.col("doc_len"))}))
 
 
 def term_bucket(term) -> F.Column:
@@ -70,6 +72,39 @@ def term_bucket(term) -> F.Column:
     return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
 
 
+#: Hash blocks of a class of document lengths; a factor of 2 spans ``LENGTHS`` classes.
+BLOCK_SPLITS, LENGTHS = 16, 2
+# Fixed BM25 constants (Okapi defaults used by FTS5).
+K1 = 1.2
+B = 0.75
+
+
+def doc_block(key: F.Column, doc_len: F.Column) -> F.Column:
+    """Block of a document: documents of like length (which weigh alike), split
+    by a hash.  All postings of a document are in one block; there are some
+    hundred blocks, however many documents."""
+    return (F.floor(F.log2(doc_len + 1) * LENGTHS) * BLOCK_SPLITS + F.pmod(F.xxhash64(key), F.lit(BLOCK_SPLITS))).cast("int")
+
+
+def weight(tf: F.Column, doc_len: F.Column, avgdl: float) -> F.Column:
+    """BM25 weight of a posting without idf."""
+    norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * doc_len / F.lit(avgdl if avgdl else 1.0))
+    return (tf * (K1 + 1)) / (tf + norm)
+
+
+def average_length(corpus: DataFrame) -> tuple[int, float]:
+    """(number of documents, their average length): two scalars of one row."""
+    row = corpus.first()
+    n = int(row["n_docs"] or 0)
+    return n, (float(row["total_len"]) / n) if n else 0.0
+
+
+def block_max(postings: DataFrame, avgdl: float) -> DataFrame:
+    return postings.groupBy("term", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.max(weight(F.col("tf"), F.col("doc_len"), avgdl)).alias("peak")).withColumn(
+        "avgdl", F.lit(float(avgdl)))
+
+
 def doc_lengths(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
     return spread(docs.select(*keys, text_col), keys).select(*keys, F.size(tokenize(F.col(text_col))).cast("int").alias("doc_len"))
 
@@ -140,6 +175,7 @@ class FullTextIndex:
     keys: tuple[str, ...] = tuple(DOC_KEYS)
     docs: DataFrame | None = None
     path: str | None = None
+    blocks: DataFrame | None = None
 
     @classmethod
     def build(cls, docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> "FullTextIndex":
@@ -155,16 +191,17 @@ class FullTextIndex:
         from the written ones."""
         spark, keys = self.postings.sparkSession, list(self.keys)
         gen = lambda df: df.withColumn("bucket", F.lit("g0"))
-        order = {"postings": ["term", *keys]}
+        order = {"postings": ["term", "block", *keys], "block_max": ["term", "block"], "term_stats": ["term"]}
         number = store.publish(spark, path, {"postings": gen(self.postings.drop("term_bucket"))}, order)
         written = store.read(spark, path, "postings").drop("bucket")
         gone = written.select(keys[0]).limit(0)
-        rest = {"gone": gone, "term_stats": term_stats(written),
-                "corpus": corpus_from_postings(self.docs, written) if self.docs is not None else self.corpus,
+        corpus = cut_lineage(corpus_from_postings(self.docs, written) if self.docs is not None else self.corpus)
+        rest = {"gone": gone, "term_stats": term_stats(written), "corpus": corpus,
+                "block_max": block_max(written, average_length(corpus)[1]),
                 "text_sums": text_sums(self.docs, keys) if self.docs is not None else
                 text_sums(written.select(*keys, F.lit("").alias("text")).limit(0), keys),
                 "posting_sums": posting_sums(written, keys)}
-        store.publish(spark, path, {t: gen(df) for t, df in rest.items()}, {})
+        store.publish(spark, path, {t: gen(df) for t, df in rest.items()}, order)
         if number:  # a rebuild: what it replaces may go
             store.retire(spark, path, keep=1)
 
@@ -183,10 +220,11 @@ class FullTextIndex:
             stats = _added_up(stats, ["term"], ["df", "cf"], "df > 0")
             corpus = corpus.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("n_docs", "total_len")])
         postings = postings.drop("bucket").withColumn("term_bucket", term_bucket(F.col("term")))
-        return cls(postings, stats.drop("bucket"), corpus.drop("bucket"), tuple(keys), None, path)
+        return cls(postings, stats.drop("bucket"), corpus.drop("bucket"), tuple(keys), None, path,
+                   now["block_max"].drop("bucket"))
 
-    @staticmethod
-    def update(spark, path: str, changed: DataFrame, old_docs: DataFrame, new_docs: DataFrame,
+    @classmethod
+    def update(cls, spark, path: str, changed: DataFrame, old_docs: DataFrame, new_docs: DataFrame,
                keys: list[str] = DOC_KEYS) -> int:
         """A generation for the ``changed`` sessions: ``old_docs`` are their
         documents as indexed so far, ``new_docs`` as they are now (either may
@@ -197,13 +235,15 @@ class FullTextIndex:
         old = cut_lineage(old_docs.join(keep, keys[0], "left_semi"))
         new = cut_lineage(new_docs.join(keep, keys[0], "left_semi"))
         old_p, new_p = (cut_lineage(build_postings(d, keys).drop("term_bucket")) for d in (old, new))
-        tables = {"postings": new_p, "gone": keep,
+        avgdl = average_length(cls.read(spark, path, keys).corpus)[1]
+        tables = {"postings": new_p, "gone": keep, "block_max": block_max(new_p, avgdl),
                   "term_stats": signed(term_stats(new_p), term_stats(old_p), ["term"]),
                   "corpus": signed(corpus_from_postings(new, new_p), corpus_from_postings(old, old_p), []),
                   "text_sums": signed(text_sums(new, keys), text_sums(old, keys), ["dr"]),
                   "posting_sums": signed(posting_sums(new_p, keys), posting_sums(old_p, keys), ["dr", "tr"])}
         tables = {t: df.withColumn("bucket", F.lit(f"g{gen}")) for t, df in tables.items()}
-        store.publish(spark, path, tables, {"postings": ["term", *keys]}, {f"g{gen}"})
+        order = {"postings": ["term", "block", *keys], "block_max": ["term", "block"], "term_stats": ["term"]}
+        store.publish(spark, path, tables, order, {f"g{gen}"})
         return gen
 
     @classmethod
@@ -212,9 +252,10 @@ class FullTextIndex:
         index = cls.read(spark, path, keys)
         sums = stored_sums(spark, path)
         tables = {"postings": index.postings.drop("term_bucket"), "gone": index.postings.select(keys[0]).limit(0),
-                  "term_stats": index.term_stats, "corpus": index.corpus, "text_sums": sums[0], "posting_sums": sums[1]}
+                  "term_stats": index.term_stats, "corpus": index.corpus, "text_sums": sums[0], "posting_sums": sums[1],
+                  "block_max": block_max(index.postings, average_length(index.corpus)[1])}
         store.publish(spark, path, {t: df.withColumn("bucket", F.lit("g0")) for t, df in tables.items()},
-                      {"postings": ["term", *keys]})
+                      {"postings": ["term", "block", *keys], "block_max": ["term", "block"], "term_stats": ["term"]})
         store.retire(spark, path, keep=1)
 
 

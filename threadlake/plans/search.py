@@ -24,11 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlake.functions.text import contains_ci, display_ts, prefix_join, tokenize
-from threadlake.operators.fulltext import DOC_KEYS, FullTextIndex
+from threadlake.operators.fulltext import FullTextIndex, average_length, weight
+from threadlake.session import cut_lineage
 
-# Fixed BM25 constants (Okapi defaults used by FTS5).
-K1 = 1.2
-B = 0.75
+# Fixed value (as FTS5 has it).
 IDF_FLOOR = 1e-6
 
 
@@ -48,11 +47,28 @@ def query_terms(index: FullTextIndex, queries: DataFrame,
     if not has_prefix:
         return exact, None
     pfx = qtok.filter(is_pfx).select("query_id", "pno", "plen", "off", "tok")
-    dictionary = index.term_stats.select("term")
+    # the dictionary lies sorted by term: the scan keeps to the prefixes' ranges
+    dictionary = index.term_stats.select("term").filter(beginning("term", prefixes_of(queries)))
     expanded = prefix_join(dictionary, "term", pfx, "tok").select("query_id", "pno", "plen", "off", "term")
     return exact, expanded
 
 
+def prefixes_of(queries: DataFrame) -> list[str]:
+    """Last tokens of the batch's prefix phrases (bounded by the batch)."""
+    ph = queries.select(F.explode("phrases").alias("ph")).filter("ph.prefix")
+    return sorted({r[0] for r in ph.select(F.element_at(tokenize(F.col("ph.text")), -1)).distinct().collect() if r[0]})
+
+
+def beginning(column: str, prefixes: list[str]) -> Column:
+    """A filter that holds for all that begins with one of the sorted
+    ``prefixes``, in a form that Parquet statistics can use."""
+    if not prefixes:
+        return F.lit(False)
+    if len(prefixes) > PUSHED_TERMS:
+        return F.col(column) >= prefixes[0]
+    return reduce(or_, [F.col(column).startswith(p) for p in prefixes])
+
+
 def batch_shape(queries: DataFrame) -> tuple[bool, bool]:
     """(has_prefix, has_multi_token_phrase) of a query batch — one tiny
     action on the driver-built query table; lets plans leave out branches a
@@ -115,13 +131,6 @@ def phrase_hits(index: FullTextIndex, queries: DataFrame, shape: tuple[bool, boo
     return single.unionByName(multi)
 
 
-def _corpus_scalars(index: FullTextIndex) -> tuple[int, float]:
-    row = index.corpus.first()  # one row: two bounded scalars
-    n = int(row["n_docs"] or 0)
-    avgdl = (float(row["total_len"]) / n) if n else 0.0
-    return n, avgdl
-
-
 def clause_match(matched: Column, clauses: Column) -> Column:
     """True when some DNF clause has all its must phrases and none of its
     must_not phrases in ``matched``."""
@@ -129,10 +138,14 @@ def clause_match(matched: Column, clauses: Column) -> Column:
                     & ~F.exists(c["must_not"], lambda p: F.array_contains(matched, p)))
 
 
+#: Queries that are broadcast at most; a larger batch is joined as it comes.
+BROADCAST_QUERIES = 100_000
+
+
 def query_side(queries: DataFrame) -> DataFrame:
-    """Query tables are built on the driver from a batch the caller passes, so
-    their size is bounded by that batch; broadcasting them is safe."""
-    return F.broadcast(queries)
+    """The batch, marked for broadcast after its size is checked."""
+    small = queries.limit(BROADCAST_QUERIES + 1).count() <= BROADCAST_QUERIES
+    return F.broadcast(queries) if small else queries
 
 
 def phrase_idf(index: FullTextIndex, queries: DataFrame, hits: DataFrame, n_docs: int,
@@ -160,16 +173,18 @@ def phrase_idf(index: FullTextIndex, queries: DataFrame, hits: DataFrame, n_docs
 def score(index: FullTextIndex, queries: DataFrame) -> DataFrame:
     """(query_id, <keys>, score, matched) for every document satisfying its
     query; score is the negated BM25 sum (ascending = best)."""
-    keys = list(index.keys)
     queries = query_side(queries)
-    n_docs, avgdl = _corpus_scalars(index)
+    n_docs, avgdl = average_length(index.corpus)
     shape = batch_shape(queries)
     hits = phrase_hits(index, queries, shape)
     idf = F.broadcast(phrase_idf(index, queries, hits, n_docs, any(shape)))   # queries × phrases rows
-    norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("doc_len") / F.lit(avgdl if avgdl else 1.0))
-    contrib = F.col("idf") * (F.col("tf") * (K1 + 1)) / (F.col("tf") + norm)
-    per_doc = (hits.join(idf, ["query_id", "pno"])
-               .groupBy("query_id", *keys)
+    return _summed(index, queries, hits.join(idf, ["query_id", "pno"]), avgdl)
+
+
+def _summed(index: FullTextIndex, queries: DataFrame, hits: DataFrame, avgdl: float) -> DataFrame:
+    """Documents that satisfy their query, with the sum of their hits' weights."""
+    contrib = F.col("idf") * weight(F.col("tf"), F.col("doc_len"), avgdl)
+    per_doc = (hits.groupBy("query_id", *index.keys)
                .agg(F.collect_set("pno").alias("matched"), (-F.sum(contrib)).alias("score")))
     q = queries.select("query_id", "clauses")
     return (per_doc.join(q, "query_id")
@@ -177,6 +192,106 @@ def score(index: FullTextIndex, queries: DataFrame) -> DataFrame:
             .drop("clauses"))
 
 
+# --- early stop (X7, T1) ---------------------------------------------------------------------
+
+#: Blocks of a query that give its first threshold.
+FIRST_BLOCKS = 8
+#: Postings of a batch's terms from which blocks are worth the extra steps.
+EARLY_FROM = 20_000_000
+#: (term, block) pairs that are pushed into the scan one by one.
+PUSHED_CELLS = 512
+TIE = 1e-8  # scores that round to the same 9 places are ties
+
+
+def term_queries(queries: DataFrame) -> DataFrame:
+    """Queries whose phrases are all single exact terms."""
+    return queries.filter(F.forall("phrases", lambda p: ~p["prefix"] & (F.size(tokenize(p["text"])) == 1)))
+
+
+def block_bounds(index: FullTextIndex, queries: DataFrame) -> DataFrame:
+    """(query_id, block, terms, n, bound, place): per query and document block
+    the terms with idf that have postings there, how many these are, what a
+    document can score at most, and the block's place by that bound.  At most
+    queries x blocks rows, whatever the corpus."""
+    n_docs, avgdl = average_length(index.corpus)
+    terms = batch_terms(queries)
+    exact, _ = query_terms(index, query_side(queries), False)
+    idf = phrase_idf(index, query_side(queries), None, n_docs, False)
+    peaks = index.blocks.filter(among("term", terms)).groupBy("term", "block").agg(
+        # a larger average length raises a weight by its factor at most
+        F.sum("n").alias("n"), F.max(F.col("peak") * F.greatest(F.lit(1.0), F.lit(avgdl) / F.col("avgdl"))).alias("peak"))
+    x = exact.select("query_id", "pno", "term").join(idf, ["query_id", "pno"]).join(peaks, "term")
+    got = x.groupBy("query_id", "block").agg(
+        F.collect_list(F.struct("pno", "term", "idf")).alias("terms"), F.sum("n").alias("n"),
+        F.sum(F.col("idf") * F.col("peak")).alias("bound"))
+    return got.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("bound"), "block")))
+
+
+def score_in(index: FullTextIndex, queries: DataFrame, cells: DataFrame) -> DataFrame:
+    """``score`` of term queries over some blocks (rows of ``block_bounds``)."""
+    _, avgdl = average_length(index.corpus)
+    pairs = cells.select("query_id", "block", F.explode("terms").alias("t")).select("query_id", "block", "t.*")
+    some = pairs.select("term", "block").distinct().limit(PUSHED_CELLS + 1).collect()
+    postings = index.postings.filter(among("term", batch_terms(queries)))
+    if len(some) <= PUSHED_CELLS:
+        blocks: dict[str, list[int]] = {}
+        for r in some:
+            blocks.setdefault(r["term"], []).append(r["block"])
+        each = [(F.col("term") == t) & F.col("block").isin(sorted(b)) for t, b in sorted(blocks.items())]
+        postings = postings.filter(reduce(or_, each) if each else F.lit(False))
+    hits = postings.select("term", "block", *index.keys, "tf", "doc_len").join(pairs, ["term", "block"])
+    return _summed(index, query_side(queries), hits, avgdl)
+
+
+def top_scores(index: FullTextIndex, queries: DataFrame, keep, order: list[Column], limit: Column | int,
+               rank: str, most: int | None, early: bool | None = None) -> DataFrame:
+    """The best ``limit`` rows per query of ``keep(scores)``.
+
+    With ``early`` (by default when the terms of the batch have ``EARLY_FROM``
+    postings) single-term queries look at their ``FIRST_BLOCKS`` most promising
+    document blocks first; blocks whose bound is worse than the last row found
+    are not looked at.  The rows are the same."""
+    best = lambda df: top_k(keep(df), "query_id", order, limit, rank, most)
+    if index.blocks is None:
+        return best(score(index, queries))
+    if early is None:
+        terms = index.term_stats.filter(among("term", batch_terms(queries)))
+        early = int(terms.agg(F.sum("df")).first()[0] or 0) >= EARLY_FROM
+    if not early:
+        return best(score(index, queries))
+    plain = term_queries(queries)
+    other = queries.join(plain.select("query_id"), "query_id", "left_anti")
+    bounds = cut_lineage(block_bounds(index, plain))
+    first = cut_lineage(best(score_in(index, plain, bounds.filter(F.col("place") <= FIRST_BLOCKS))))
+    limits = queries.select("query_id", (F.lit(limit) if isinstance(limit, int) else F.col("lim")).alias("_lim"))
+    last = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"), F.max("score").alias("_last")).join(
+        limits, "query_id").filter(F.col("_n") >= F.col("_lim")).select("query_id", "_last")
+    rest = bounds.filter(F.col("place") > FIRST_BLOCKS).join(last, "query_id", "left").filter(
+        F.col("_last").isNull() | (-F.col("bound") <= F.col("_last") + TIE))
+    rest = cut_lineage(rest.drop("_last"))
+    rows = first.drop(rank).unionByName(best(score_in(index, plain, rest)).drop(rank))
+    w = Window.partitionBy("query_id").orderBy(*order)
+    rows = rows.withColumn(rank, F.row_number().over(w))
+    rows = rows.filter(F.col(rank) <= (most if most is not None else limit)).filter(F.col(rank) <= limit)
+    if other.isEmpty():
+        return rows
+    return rows.unionByName(best(score(index, other)).select(rows.columns))
+
+
+def early_share(index: FullTextIndex, queries: DataFrame, limit: int) -> DataFrame:
+    """(query_id, postings, looked_at): how many postings the terms of each
+    single-term query have, and how many lie in blocks that an early stop at
+    ``limit`` rows looks at."""
+    plain = term_queries(queries)
+    bounds = cut_lineage(block_bounds(index, plain))
+    first = score_in(index, plain, bounds.filter(F.col("place") <= FIRST_BLOCKS))
+    w = Window.partitionBy("query_id").orderBy("score")
+    kth = first.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == limit).select("query_id", F.col("score").alias("_last"))
+    x = bounds.join(kth, "query_id", "left")
+    seen = (F.col("place") <= FIRST_BLOCKS) | F.col("_last").isNull() | (-F.col("bound") <= F.col("_last") + TIE)
+    return x.groupBy("query_id").agg(F.sum("n").alias("postings"), F.sum(F.when(seen, F.col("n")).otherwise(0)).alias("looked_at"))
+
+
 def session_filter(sessions_col_prefix: str = "") -> Column:
     """Optional per-query predicates (NULL filter = no predicate)."""
     p = F.col("project_filter")
@@ -209,20 +324,18 @@ def max_limit(queries: DataFrame) -> int:
 
 
 def search_sessions(index: FullTextIndex, queries: DataFrame, turns: DataFrame,
-                    sessions: DataFrame) -> DataFrame:
+                    sessions: DataFrame, early: bool | None = None) -> DataFrame:
     """Ranked hits with session metadata for a batch of queries.
 
     Output: query_id, rank, session_id, turn_idx, ts, role, project, title, node,
     score (rounded to 6 places).
     """
     keys = list(index.keys)
-    scored = score(index, queries)
     s = sessions.select("session_id", "project", "ai_title", "node", "source")
     q = query_side(queries.select("query_id", "lim", "project_filter", "source_filter", "node_filter"))
-    cand = scored.join(s, "session_id").join(q, "query_id").filter(session_filter())
-    ranked = top_k(cand, "query_id",
-                   [F.round("score", 9), F.col("session_id"), F.col("turn_idx")], F.col("lim"),
-                   max_limit=max_limit(queries))
+    ranked = top_scores(index, queries, lambda scored: scored.join(s, "session_id").join(q, "query_id").filter(session_filter()),
+                        [F.round("score", 9), F.col("session_id"), F.col("turn_idx")], F.col("lim"), "rank",
+                        max_limit(queries), early)
     t = turns.select(*keys, "ts", "role", "text")
     out = ranked.join(t, keys)
     return out.select(
@@ -236,6 +349,7 @@ def search_sessions(index: FullTextIndex, queries: DataFrame, turns: DataFrame,
 def seeds(index: FullTextIndex, queries: DataFrame, seed_limit_col: Column | int) -> DataFrame:
     """Top seed documents per query (no session filters), for thread recall."""
     keys = list(index.keys)
-    scored = score(index, queries)
-    return top_k(scored, "query_id", [F.round("score", 9), *[F.col(k) for k in keys]],
-                 seed_limit_col, "seed_rank").select("query_id", *keys, "seed_rank", "score")
+    most = seed_limit_col if isinstance(seed_limit_col, int) else None
+    got = top_scores(index, queries, lambda scored: scored, [F.round("score", 9), *[F.col(k) for k in keys]],
+                     seed_limit_col, "seed_rank", most)
+    return got.select("query_id", *keys, "seed_rank", "score")
