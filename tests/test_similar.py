@@ -102,3 +102,28 @@ def test_knn_does_not_shuffle_vectors(spark, tmp_path):
     plan = V.knn(q, spark.read.parquet(str(tmp_path / "v")), 5)._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("MapInArrow"):]
     assert "Exchange" not in below and plan.count("Exchange hashpartitioning(query_id") == 1
+
+
+def test_only_new_and_changed_texts_reach_the_encoder(spark):
+    turns = spark.createDataFrame([(f"s{i}", 0, "user", f"a text that is long enough to embed {i}") for i in range(300)],
+                                  "session_id string, turn_idx int, role string, text string")
+    calls, largest = spark.sparkContext.accumulator(0), 32
+
+    def make_model():
+        plain = V.hashing_model(16)
+
+        def model(texts):
+            assert len(texts) <= largest
+            calls.add(len(texts))
+            return plain(texts)
+        return model
+
+    first = V.embed_turns(turns, None, make_model, 16, largest).persist()
+    assert first.count() == 300 and calls.value == 300
+    later = turns.withColumn("text", F.when(F.col("session_id").isin("s1", "s2"), F.lower(F.concat(F.lit("new "), "text")))
+                             .otherwise(F.col("text"))).filter("session_id != 's3'")
+    now = V.refresh_vectors(later, first, make_model, 16, largest).persist()
+    assert now.count() == 299 and calls.value == 302
+    assert now.select("session_id", "turn_idx").distinct().count() == 299
+    same = now.join(first, ["session_id", "turn_idx", "text_hash", "embedding"]).count()
+    assert same == 297

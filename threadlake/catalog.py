@@ -457,6 +457,15 @@ def q_thread_loop(spark, sf):
 
 
 
+@register("thread_order", f"""
+WITH thread AS ({thread_sql(THREAD_BATCH, 8, 60, 3, 300)})
+SELECT query_id, session_id, turn_idx,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY started_at, session_id, turn_idx) AS INTEGER) AS place FROM thread""")
+def q_thread_order(spark, sf):
+    """T4: the thread rows with their place."""
+    return R.in_order(q_thread(spark, sf)).select("query_id", "session_id", "turn_idx", "place")
+
+
 # --- vectors -------------------------------------------------------------------
 
 VECS_CTE = """
@@ -539,6 +548,40 @@ def q_similar(spark, sf):
     return V.wire_similar(vecs_of(spark, sf), G.wire_temporal(t), k=5, threshold=0.35)
 
 
+def mixed_thread_sql(batch, max_hops, max_turns, seed_limit, snippet_len, k, threshold) -> str:
+    """``thread_sql`` walked hop by hop over TEMPORAL and SIMILAR_TO edges."""
+    base = thread_sql(batch, max_hops, max_turns, seed_limit, snippet_len)
+    head, rest = base.split("sp AS (SELECT s.query_id", 1)
+    tail = rest[rest.index("SELECT c.query_id, c.session_id"):]
+    hops = "v0 AS (SELECT DISTINCT query_id, session_id, turn_idx, 0 AS dist FROM seeds)"
+    for h in range(1, max_hops + 1):
+        hops += f""",
+n{h} AS (SELECT DISTINCT f.query_id, u.bs AS session_id, u.bt AS turn_idx, {h} AS dist FROM v{h - 1} f
+  JOIN und u ON u.as_ = f.session_id AND u.at_ = f.turn_idx
+  WHERE f.dist = {h - 1} AND f.query_id IN (SELECT query_id FROM v{h - 1} GROUP BY query_id HAVING count(*) < {max_turns})
+    AND NOT EXISTS (SELECT 1 FROM v{h - 1} o WHERE o.query_id = f.query_id AND o.session_id = u.bs AND o.turn_idx = u.bt)),
+v{h} AS (SELECT * FROM v{h - 1} UNION ALL SELECT * FROM n{h})"""
+    return head + f"""sim AS ({similar_sql(k, threshold)}),
+ed AS (SELECT src_session_id, src_turn_idx, dst_session_id, dst_turn_idx FROM sim
+       UNION ALL SELECT a.session_id, a.turn_idx, b.session_id, b.turn_idx
+       FROM pos a JOIN pos b ON a.session_id = b.session_id AND b.pos = a.pos + 1),
+und AS (SELECT src_session_id AS as_, src_turn_idx AS at_, dst_session_id AS bs, dst_turn_idx AS bt FROM ed
+        UNION ALL SELECT dst_session_id, dst_turn_idx, src_session_id, src_turn_idx FROM ed),
+{hops},
+cand AS (SELECT * FROM v{max_hops}), hstar AS (SELECT DISTINCT query_id, {max_hops} AS h FROM cand)
+{tail}"""
+
+
+@register("thread_recall_mixed", mixed_thread_sql(THREAD_BATCH, 4, 25, 3, 80, 5, 0.35))
+def q_thread_mixed(spark, sf):
+    """G2/G3 over TEMPORAL and SIMILAR_TO edges together."""
+    t = D.turns(spark, sf)
+    temporal = G.wire_temporal(t)
+    edges = temporal.unionByName(V.wire_similar(vecs_of(spark, sf), temporal, k=5, threshold=0.35))
+    return R.thread_recall(index_of(spark, sf), Q.query_table(spark, THREAD_BATCH), t, D.sessions(spark, sf), edges=edges,
+                           max_hops=4, max_turns=25, snippet_len=80, edge_types=("TEMPORAL", "SIMILAR_TO"))
+
+
 @register("similar_edges_default", similar_sql(5, 0.85))
 def q_similar_default(spark, sf):
     """V5 with the default K=5, threshold 0.85."""
@@ -601,6 +644,33 @@ def q_embed(spark, sf):
     return e.select("session_id", "turn_idx", F.round(norm(F.col("embedding")), 6).alias("norm"))
 
 
+def _vectors_before(spark, sf):
+    """Vectors of an earlier state: turns of sessions with id % 5 = 0 had another
+    beginning, those with id % 5 = 1 were not there, some were that are no more."""
+    t, kind = D.turns(spark, sf), F.col("session_id").cast("long") % 5
+    old = t.filter(kind != 1).withColumn("text", F.when(kind == 0, F.concat(F.lit("before "), "text")).otherwise(F.col("text")))
+    gone = t.filter(kind == 2).withColumn("turn_idx", F.col("turn_idx") + 1000)
+    return V.embed_turns(old.unionByName(gone), dims=64)
+
+
+@register("embed_changed_turns", f"""
+WITH {O.MODEL}
+SELECT session_id, turn_idx, sha256(substr(text, 1, 512)) AS text_hash FROM turns
+WHERE {EMBEDDABLE_SQL} AND CAST(session_id AS BIGINT) % 5 < 2""")
+def q_embed_changed(spark, sf):
+    """Only new and changed texts are embedded."""
+    return V.embed_turns(D.turns(spark, sf), _vectors_before(spark, sf), dims=64).select("session_id", "turn_idx", "text_hash")
+
+
+@register("embeddings_refreshed", f"""
+WITH {O.MODEL}
+SELECT session_id, turn_idx, sha256(substr(text, 1, 512)) AS text_hash FROM turns WHERE {EMBEDDABLE_SQL}""")
+def q_embed_refreshed(spark, sf):
+    """V1: the vector table after a refresh has each embeddable turn once, for
+    its text of now."""
+    return V.refresh_vectors(D.turns(spark, sf), _vectors_before(spark, sf), dims=64).select("session_id", "turn_idx", "text_hash")
+
+
 @register("embedding_coverage", f"""
 WITH {O.MODEL}, {VECS_CTE}
 SELECT (SELECT count(*) FROM vecs) AS embedded, (SELECT count(*) FROM turns WHERE {EMBEDDABLE_SQL}) AS embeddable,
@@ -686,12 +756,15 @@ WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, UNCUT)}, {pack_sql(UNCUT, UNCUT,
 SELECT * FROM pack""")
 def q_pack_uncut(spark, sf):
     """E2 over every pending session, with all limits off."""
-    pending = FX.pending_sessions(D.sessions(spark, sf), D.markers(spark, sf), EXTRACT_AS_OF, 24, max_sessions=None)
-    return FX.pack_transcripts(pending, D.turns(spark, sf), None, None, None)
+    return FX.pack_transcripts(_pending_all(spark, sf), D.turns(spark, sf), None, None, None)
+
+
+def _pending_all(spark, sf):
+    return FX.pending_sessions(D.sessions(spark, sf), D.markers(spark, sf), EXTRACT_AS_OF, 24, max_sessions=None)
 
 
 @register("marker_advance", f"""
-WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, 40)}, {pack_sql(700, 3, 300)},
+WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, UNCUT)}, {pack_sql(UNCUT, UNCUT, UNCUT)},
 legacy AS (SELECT session_id FROM sessions WHERE source = 'chat'),
 allm AS (SELECT session_id, last_turn_idx FROM markers
          UNION ALL SELECT session_id, last_idx FROM pack
@@ -699,9 +772,9 @@ allm AS (SELECT session_id, last_turn_idx FROM markers
                    WHERE l.session_id NOT IN (SELECT session_id FROM markers))
 SELECT session_id, CAST(max(last_turn_idx) AS INTEGER) AS last_turn_idx FROM allm GROUP BY session_id""")
 def q_markers(spark, sf):
-    """E9 after a tight-budget run with the stand-in extractor (which never
-    fails), plus legacy migration of chat sessions."""
-    packed = FX.pack_transcripts(_pending(spark, sf), D.turns(spark, sf), 700, 3, 300)
+    """E9 after a run over all pending sessions with the stand-in extractor
+    (which never fails), plus legacy migration of chat sessions."""
+    packed = FX.pack_transcripts(_pending_all(spark, sf), D.turns(spark, sf), None, None, None)
     replies = FX.extract(packed, FX.stub_extractor)
     return FX.advance_markers(D.markers(spark, sf), packed, replies,
                               D.legacy_sessions(spark, sf), D.sessions(spark, sf))
@@ -709,7 +782,7 @@ def q_markers(spark, sf):
 
 def _extraction(spark, sf):
     sessions = D.sessions(spark, sf)
-    packed = FX.pack_transcripts(_pending(spark, sf), D.turns(spark, sf), 700, 3, 300)
+    packed = FX.pack_transcripts(_pending_all(spark, sf), D.turns(spark, sf), None, None, None)
     replies = FX.extract(packed, FX.stub_extractor)
     facts = FX.classify_facts(FX.parse_replies(replies))
     rows = FX.memory_rows(facts, sessions, EXTRACT_AS_OF)
@@ -718,7 +791,7 @@ def _extraction(spark, sf):
 
 #: Replies of the stand-in extractor, read as elements and classified.
 FACTS_SQL = f"""
-WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, 40)}, {pack_sql(700, 3, 300)},
+WITH {O.MODEL}, {pending_sql(EX_AS_OF_SQL, 24, UNCUT)}, {pack_sql(UNCUT, UNCUT, UNCUT)},
 arr AS (SELECT session_id, length(transcript) AS n, string_split(transcript, chr(10) || chr(10)) AS a
         FROM pack WHERE NOT too_short),
 el AS (SELECT session_id, n, unnest(range(len(a))) AS i, unnest(a) AS line FROM arr),
@@ -1197,7 +1270,7 @@ def q_chat_second(spark, sf):
 RAW_TRIM = TRIM_SQL.format(x="text")
 
 
-@register("digest_raw", f"""
+DIGEST_CTES = f"""
 WITH {O.MODEL},
 ua AS (SELECT * FROM turns WHERE role IN ('user', 'assistant')),
 u AS (SELECT session_id, turn_idx AS pos, substr(ts, 1, 16) AS ts, {RAW_TRIM} AS text FROM ua
@@ -1214,25 +1287,53 @@ f20 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDE
 ff AS (SELECT session_id, string_agg(fp, chr(10) ORDER BY first) AS files FROM f20 GROUP BY session_id),
 o AS (SELECT session_id, turn_idx, 'step ' || CAST(turn_idx AS VARCHAR) AS op FROM ua WHERE role = 'assistant'),
 o10 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY turn_idx DESC) AS rk FROM o) WHERE rk <= 10),
-oo AS (SELECT session_id, string_agg(op, chr(10) ORDER BY turn_idx) AS ops FROM o10 GROUP BY session_id)
-SELECT session_id, recent_user, last_assistant_ts, last_assistant, files, ops
-FROM uu FULL JOIN a USING (session_id) FULL JOIN ff USING (session_id) FULL JOIN oo USING (session_id)""")
-def q_digest_raw(spark, sf):
-    """D1–D3 / F10 / W3–W5 from the raw transcript records."""
+oo AS (SELECT session_id, string_agg(op, chr(10) ORDER BY turn_idx) AS ops FROM o10 GROUP BY session_id)"""
+DIGEST_JOIN = "FROM uu FULL JOIN a USING (session_id) FULL JOIN ff USING (session_id) FULL JOIN oo USING (session_id)"
+DIGEST_SQL = f"{DIGEST_CTES} SELECT session_id, recent_user, last_assistant_ts, last_assistant, files, ops {DIGEST_JOIN}"
+
+
+def _digest(spark, sf, tool_results=False):
+    from threadlake.session import scratch_path
+    from threadlake.sources import export as EX
     from threadlake.sources import jsonl as J
-    g = _ingested(spark, sf)
-    msgs, tools = J.digest_inputs(g["records"])
-    d = DG.session_digest(msgs, tools)
+    root = scratch_path(spark, "jsonl-export")
+    EX.write_jsonl(EX.session_lines(D.turns(spark, sf), D.sessions(spark, sf), tool_results), root)
+    msgs, tools = J.digest_inputs(J.ingest(spark, root, INDEXED_AT, per_node_dirs=True)["records"])
+    return DG.session_digest(msgs, tools)
+
+
+def _digest_columns(d):
     return d.select("session_id", "recent_user", "last_assistant_ts", "last_assistant",
                     F.array_join("files", "\n").alias("files"), F.array_join("ops", "\n").alias("ops"))
 
 
-@register("checkpoint_render")
+@register("digest_raw", DIGEST_SQL)
+def q_digest_raw(spark, sf):
+    """D1–D3 / W3–W5 from the raw transcript records."""
+    return _digest_columns(_digest(spark, sf))
+
+
+@register("digest_raw_tool_results", DIGEST_SQL)
+def q_digest_tool_results(spark, sf):
+    """user lines that are results of tools are no messages: the digest is
+    the same with them."""
+    return _digest_columns(_digest(spark, sf, tool_results=True))
+
+
+@register("checkpoint_render", f"""{DIGEST_CTES}
+SELECT session_id, concat_ws(chr(10), '=== COMPACTION CHECKPOINT ===', 'Session: ' || session_id, 'Saved:   {INDEXED_AT[:16]}',
+  'Trigger: ' || CASE WHEN CAST(session_id AS BIGINT) % 2 = 0 THEN 'auto' ELSE 'manual' END,
+  'CWD:     ' || (SELECT cwd FROM sessions s WHERE s.session_id = d.session_id), '', '== RECENT USER MESSAGES (last 5) ==',
+  recent_user, '', '== LAST ASSISTANT RESPONSE ==',
+  CASE WHEN last_assistant IS NULL THEN '(none recorded)' ELSE '[' || last_assistant_ts || ']' || chr(10) || last_assistant END, '',
+  '== FILES TOUCHED THIS SESSION ==' || chr(10) || '  ' || replace(files, chr(10), chr(10) || '  ') || chr(10),
+  '== RECENT OPERATIONS ==' || chr(10) || '  - ' || replace(ops, chr(10), chr(10) || '  - ') || chr(10),
+  '=== END CHECKPOINT ===') AS checkpoint FROM (SELECT * {DIGEST_JOIN}) d""")
 def q_checkpoint_render(spark, sf):
-    """D1 rendered as the checkpoint text (rows-only)."""
-    from threadlake.sources import jsonl as J
-    msgs, tools = J.digest_inputs(_ingested(spark, sf)["records"])
-    return DG.render_checkpoint(DG.session_digest(msgs, tools))
+    """D1 rendered as the checkpoint text, with saved, trigger and folder lines."""
+    d = _digest(spark, sf).join(D.sessions(spark, sf).select("session_id", "cwd"), "session_id", "left")
+    trigger = F.when(F.col("session_id").cast("long") % 2 == 0, F.lit("auto")).otherwise(F.lit("manual"))
+    return DG.render_checkpoint(d, INDEXED_AT[:16], trigger, F.col("cwd"))
 
 
 @register("continuous_ingest", f"""{INGEST_AGG}

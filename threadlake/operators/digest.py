@@ -91,24 +91,29 @@ def session_digest(messages: DataFrame, tool_uses: DataFrame | None = None) -> D
     return d
 
 
-def render_checkpoint(digest: DataFrame) -> DataFrame:
-    """Optional markdown rendering of a digest row."""
-    parts = [F.lit("=== COMPACTION CHECKPOINT ==="),
-             F.concat(F.lit("Session: "), F.col("session_id")), F.lit(""),
-             F.lit("== RECENT USER MESSAGES (last 5) =="), F.coalesce("recent_user", F.lit("")), F.lit(""),
-             F.lit("== LAST ASSISTANT RESPONSE =="),
-             F.when(F.col("last_assistant").isNull(), F.lit("(none recorded)"))
-             .otherwise(F.concat(F.lit("["), F.col("last_assistant_ts"), F.lit("]\n"), F.col("last_assistant")))]
-    cols = digest.columns
-    if "files" in cols:
-        parts += [F.when(F.size(F.coalesce("files", F.array())) > 0, F.concat(
-            F.lit("\n== FILES TOUCHED THIS SESSION ==\n"),
-            F.array_join(F.transform("files", lambda x: F.concat(F.lit("  "), x)), "\n")))]
-    if "ops" in cols:
-        parts += [F.when(F.size(F.coalesce("ops", F.array())) > 0, F.concat(
-            F.lit("\n== RECENT OPERATIONS ==\n"),
-            F.array_join(F.transform("ops", lambda x: F.concat(F.lit("  - "), x)), "\n")))]
-    parts += [F.lit("=== END CHECKPOINT ===")]
+def render_checkpoint(digest: DataFrame, saved_at: str, trigger: Column | None = None, cwd: Column | None = None) -> DataFrame:
+    """Checkpoint text of a digest row (the layout is fixed): header with the
+    time it was saved, what triggered it and the folder, then the blocks that
+    have something to say."""
+    trigger, cwd = trigger if trigger is not None else F.lit("unknown"), cwd if cwd is not None else F.lit("")
+
+    def block(title: str, column: str, mark: str) -> Column:
+        lines = F.transform(column, lambda x: F.concat(F.lit(mark), x))
+        return F.when(F.size(F.coalesce(column, F.array())) > 0,
+                      F.concat(F.lit(f"== {title} ==\n"), F.array_join(lines, "\n"), F.lit("\n")))
+
+    answer = F.when(F.col("last_assistant").isNull(), F.lit("(none recorded)")).otherwise(
+        F.concat(F.lit("["), F.coalesce("last_assistant_ts", F.lit("")), F.lit("]\n"), F.col("last_assistant")))
+    parts = [F.lit("=== COMPACTION CHECKPOINT ==="), F.concat(F.lit("Session: "), F.col("session_id")),
+             F.lit(f"Saved:   {saved_at}"), F.concat(F.lit("Trigger: "), F.coalesce(trigger, F.lit("unknown"))),
+             F.concat(F.lit("CWD:     "), F.coalesce(cwd, F.lit(""))), F.lit(""),
+             F.lit(f"== RECENT USER MESSAGES (last {LAST_USER_MSGS}) =="), F.col("recent_user"), F.lit(""),
+             F.lit("== LAST ASSISTANT RESPONSE =="), answer, F.lit("")]
+    if "files" in digest.columns:
+        parts.append(block("FILES TOUCHED THIS SESSION", "files", "  "))
+    if "ops" in digest.columns:
+        parts.append(block("RECENT OPERATIONS", "ops", "  - "))
+    parts.append(F.lit("=== END CHECKPOINT ==="))
     return digest.select("session_id", F.concat_ws("\n", *parts).alias("checkpoint"))
 
 

@@ -10,6 +10,9 @@ callable, run through ``mapInPandas``.
 
 from __future__ import annotations
 
+import queue
+import threading
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -117,32 +120,83 @@ def pack_transcripts(pending: DataFrame, turns: DataFrame, max_chars: int | None
 
 # --- E4 ------------------------------------------------------------------------------------
 
-_REPLY_SCHEMA = T.StructType([T.StructField("session_id", T.StringType()),
-                              T.StructField("reply", T.StringType()),
-                              T.StructField("ok", T.BooleanType())])
+_REPLY = "session_id string, reply string, ok boolean, error string"
+#: Seconds a call may take (fixed), calls at a time per task, and calls that may
+#: hang in a task before it makes no more.
+DEADLINE, CALLS, LOST = 120.0, 8, 64
+
+
+def _call_all(extractor: Callable[[str], str], texts: list[str], deadline: float, calls: int, retries: int, lost: list):
+    """(reply, ok, error) of each text.
+
+    ``calls`` run at a time, each in a daemon thread.  A call that is not back by
+    its deadline is given up: its thread is left behind (nothing can end it), its
+    place is free for the next one.  A call that raises is made again up to
+    ``retries`` times.  After ``LOST`` threads left behind, the rest fails at
+    once."""
+    out: list = [None] * len(texts)
+    done: queue.SimpleQueue = queue.SimpleQueue()
+    todo = [(i, 0) for i in reversed(range(len(texts)))]
+    running: dict[tuple[int, int], float] = {}
+
+    def work(i: int, attempt: int) -> None:
+        try:
+            done.put((i, attempt, extractor(texts[i]), None))
+        except Exception as e:  # noqa: BLE001 - any failure is an outcome of its row
+            done.put((i, attempt, None, f"{type(e).__name__}: {e}"))
+
+    while todo or running:
+        while todo and len(running) < calls:
+            i, attempt = todo.pop()
+            if len(lost) >= LOST:
+                out[i] = (None, False, "not called: too many calls hang")
+                continue
+            running[i, attempt] = time.monotonic() + deadline
+            threading.Thread(target=work, args=(i, attempt), daemon=True).start()
+        if not running:
+            break
+        try:
+            i, attempt, reply, error = done.get(timeout=max(0.0, min(running.values()) - time.monotonic()))
+        except queue.Empty:
+            now = time.monotonic()
+            for key in [k for k, end in running.items() if end <= now]:
+                del running[key]
+                lost.append(key)
+                out[key[0]] = (None, False, f"no reply in {deadline:g} s")
+            continue
+        if running.pop((i, attempt), None) is None:
+            continue  # came after its deadline
+        if error is None:
+            out[i] = (reply, True, None)
+        elif attempt < retries:
+            todo.append((i, attempt + 1))
+        else:
+            out[i] = (None, False, error)
+    return out
 
 
-def extract(packed: DataFrame, extractor: Callable[[str], str]) -> DataFrame:
-    """Run the user's extractor on every transcript that is not too short.
+def extract(packed: DataFrame, extractor: Callable[[str], str], deadline: float = DEADLINE, calls: int = CALLS,
+            retries: int = 0) -> DataFrame:
+    """Run the user's extractor on every transcript that is not too short.
 
-    Per-row failures (timeouts, errors) give ``ok = false`` and no reply, so
-    one bad call never fails the run.  Output: session_id, reply, ok.
+    Calls that fail or miss the deadline give ``ok = false``, no reply and an
+    error, so neither a bad call nor one that hangs stops the run; the markers
+    of these sessions do not advance, and the next run takes them again.
+    Output: session_id, reply, ok, error.
     """
     todo = packed.filter(~F.col("too_short")).select("session_id", "transcript")
 
     def run(batches):
+        lost: list = []
         for pdf in batches:
-            replies, oks = [], []
-            for text in pdf["transcript"]:
-                try:
-                    replies.append(extractor(text))
-                    oks.append(True)
-                except Exception:  # noqa: BLE001 - any extractor failure is a per-row outcome
-                    replies.append(None)
-                    oks.append(False)
-            yield pd.DataFrame({"session_id": pdf["session_id"], "reply": replies, "ok": oks})
-
-    return todo.mapInPandas(run, _REPLY_SCHEMA)
+            texts = pdf["transcript"].tolist()
+            for at in range(0, len(texts), 16 * calls):
+                got = _call_all(extractor, texts[at:at + 16 * calls], deadline, calls, retries, lost)
+                yield pd.DataFrame({"session_id": pdf["session_id"].iloc[at:at + len(got)].tolist(), "reply": [g[0] for g in got],
+                                    "ok": [g[1] for g in got], "error": [g[2] for g in got]}).astype(
+                    {"session_id": object, "reply": object, "ok": bool, "error": object})
+
+    return todo.mapInPandas(run, _REPLY)
 
 
 # --- E5 / E6 --------------------------------------------------------------------------------

@@ -105,28 +105,52 @@ def undirected(edges: DataFrame, edge_types: tuple[str, ...]) -> DataFrame:
     return fwd.unionByName(rev)
 
 
+#: Edges of a vertex from which its edges are dealt in parts of this size.
+HUB = 100_000
+
+
+def _adjacent(frontier: DataFrame, und: DataFrame, hubs: DataFrame | None) -> DataFrame:
+    """(query_id, session_id, turn_idx) next to the frontier's vertices."""
+    f = frontier.select("query_id", F.col("session_id").alias("a_s"), F.col("turn_idx").alias("a_t"))
+    key = ["a_s", "a_t"]
+    if hubs is not None:  # a hub's edges lie in parts; a frontier row that is one goes to each
+        f = f.join(hubs, key, "left").withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        key = [*key, "part"]
+    return f.join(und, key).select("query_id", F.col("b_s").alias("session_id"), F.col("b_t").alias("turn_idx"))
+
+
 def bfs_expand(seeds: DataFrame, edges: DataFrame, max_hops: int = 8, max_turns: int = 60,
-               edge_types: tuple[str, ...] = ("TEMPORAL",)) -> DataFrame:
+               edge_types: tuple[str, ...] = ("TEMPORAL",), hub: int = HUB) -> DataFrame:
     """G2 generic: level-wise undirected expansion for any edge types.
 
     A query stops before a hop once it has visited ``max_turns`` turns or its
     frontier is empty.  Returns (query_id, session_id, turn_idx, dist).
+
+    Every hop writes its own rows only (reliable checkpoint): what has been
+    visited is the union of the hops, and a query's count is added up from a row
+    per query and hop.  The edges of a vertex with more than ``hub`` are salted by
+    their other end.
     """
     und = undirected(edges, edge_types)
-    visited = seeds.select("query_id", "session_id", "turn_idx").distinct().withColumn("dist", F.lit(0))
-    visited = cut_lineage(visited)
-    frontier = visited
+    degree = und.groupBy("a_s", "a_t").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hub)
+    hubs = cut_lineage(degree.select("a_s", "a_t", F.ceil(F.col("_n") / hub).cast("int").alias("parts")))
+    if hubs.isEmpty():
+        hubs = None
+        und = cut_lineage(und)
+    else:
+        part = F.pmod(F.xxhash64("b_s", "b_t"), F.coalesce("parts", F.lit(1))).cast("int")
+        und = cut_lineage(und.join(hubs, ["a_s", "a_t"], "left").withColumn("part", part).drop("parts"))
+    key = ["query_id", "session_id", "turn_idx"]
+    visited = frontier = cut_lineage(seeds.select(*key).distinct().withColumn("dist", F.lit(0)))
+    counts = cut_lineage(visited.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")))
     for hop in range(1, max_hops + 1):
+        open_q = counts.groupBy("query_id").agg(F.sum("n").alias("n")).filter(F.col("n") < max_turns)
+        going = frontier.join(open_q.select("query_id"), "query_id", "left_semi")
+        new = _adjacent(going, und, hubs).distinct().join(visited, key, "left_anti").withColumn("dist", F.lit(hop))
+        frontier = cut_lineage(new)
         if frontier.isEmpty():
             break
-        open_q = visited.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < max_turns)
-        fr = frontier.join(open_q.select("query_id"), "query_id", "left_semi")
-        nxt = (fr.join(und, (fr.session_id == und.a_s) & (fr.turn_idx == und.a_t))
-               .select("query_id", F.col("b_s").alias("session_id"), F.col("b_t").alias("turn_idx"))
-               .distinct()
-               .join(visited, ["query_id", "session_id", "turn_idx"], "left_anti")
-               .withColumn("dist", F.lit(hop)))
-        nxt = cut_lineage(nxt)
-        visited = cut_lineage(visited.unionByName(nxt))
-        frontier = nxt
+        visited = visited.unionByName(frontier)
+        counts = counts.unionByName(cut_lineage(frontier.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))))
     return visited

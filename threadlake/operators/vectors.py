@@ -81,13 +81,24 @@ def hashing_model(dims: int = 384):
     return encode
 
 
+MAX_CHARS = 512  # fixed: what the encoder sees of a turn
+
+
+def text_hash(text: Column, max_chars: int | None = MAX_CHARS) -> Column:
+    """SHA-256 of what the encoder sees of a text."""
+    return F.sha2(F.encode(text if max_chars is None else F.substring(text, 1, max_chars), "UTF-8"), 256)
+
+
 def embed_turns(turns: DataFrame, existing: DataFrame | None = None, make_model=None,
-                dims: int = 384, batch_size: int = 128, max_chars: int | None = 512) -> DataFrame:
-    """V1: embed embeddable turns that have no vector yet (J4 anti join).
+                dims: int = 384, batch_size: int = 128, max_chars: int | None = MAX_CHARS) -> DataFrame:
+    """V1: embed embeddable turns that have no vector yet (J4 anti join), or one
+    of another text: ``existing`` vectors with a ``text_hash`` count for that text
+    only, those without for their turn.
 
     The model runs through ``predict_batch_udf``: Arrow batches of
     ``batch_size`` texts, model built once per Python worker.  The model sees the
-    first ``max_chars`` characters of a turn (None: all of them).
+    first ``max_chars`` characters of a turn (None: all of them).  Output:
+    session_id, turn_idx, embedding, text_hash.
     """
     from pyspark.ml.functions import predict_batch_udf
 
@@ -104,12 +115,24 @@ def embed_turns(turns: DataFrame, existing: DataFrame | None = None, make_model=
 
     enc = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()),
                             batch_size=batch_size)
-    todo = turns.filter(embeddable())
+    todo = turns.filter(embeddable()).withColumn("text_hash", text_hash(F.col("text"), max_chars))
     if existing is not None:
-        todo = todo.join(existing.select(*KEY), KEY, "left_anti")
+        known = [*KEY, "text_hash"] if "text_hash" in existing.columns else KEY
+        todo = todo.join(existing.select(*known), known, "left_anti")
     text = F.col("text") if max_chars is None else F.substring("text", 1, max_chars)
-    emb = todo.select(*KEY, enc(text).alias("embedding"))
-    return emb.select(*KEY, normalize(F.col("embedding")).alias("embedding"))
+    emb = todo.select(*KEY, enc(text).alias("embedding"), "text_hash")
+    return emb.select(*KEY, normalize(F.col("embedding")).alias("embedding"), "text_hash")
+
+
+def refresh_vectors(turns: DataFrame, existing: DataFrame, make_model=None, dims: int = 384, batch_size: int = 128,
+                    max_chars: int | None = MAX_CHARS) -> DataFrame:
+    """The vector table of ``turns`` as they are: vectors of unchanged texts stay,
+    changed and new texts are embedded, vectors without an embeddable turn go."""
+    from threadlake.operators.sessions import embeddable
+
+    now = turns.filter(embeddable()).select(*KEY, text_hash(F.col("text"), max_chars).alias("text_hash"))
+    kept = existing.join(now, [*KEY, "text_hash"], "left_semi").select(*KEY, "embedding", "text_hash")
+    return kept.unionByName(embed_turns(turns, existing, make_model, dims, batch_size, max_chars))
 
 
 # --- blocked exact similarity ------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlake.functions.text import cut_body, display_ts
@@ -18,16 +18,15 @@ def thread_recall(index: FullTextIndex, queries: DataFrame, turns: DataFrame,
                   seed_limit: int = 3, snippet_len: int = 300,
                   edge_types: tuple[str, ...] = ("TEMPORAL",)) -> DataFrame:
     """Rows (query_id, session_id, turn_idx, ts, role, is_match, body, title,
-    project, started) for every visited turn whose session exists (J2),
-    in thread order started_at, session_id, turn_idx (T4)."""
+    project, started) for every visited turn whose session exists (J2);
+    ``in_order`` numbers them (T4)."""
     # seeds (≤ queries × seed_limit rows) feed three branches; materialise them
     # once (reliable checkpoint) instead of re-running the scoring plan per use
     seeds = cut_lineage(S.seeds(index, queries, seed_limit))
     if edge_types == ("TEMPORAL",):
         if pos is None:
-            # only sessions holding a seed can be reached over TEMPORAL edges;
-            # seeds are bounded by queries × seed_limit
-            seed_sessions = F.broadcast(seeds.select("session_id").distinct())
+            # only sessions holding a seed can be reached over TEMPORAL edges
+            seed_sessions = S.query_side(seeds.select("session_id").distinct())
             pos = G.positions(turns.join(seed_sessions, "session_id", "left_semi"))
         p = pos
         visited = G.temporal_expand(seeds, p, max_hops, max_turns)
@@ -49,6 +48,8 @@ def thread_recall(index: FullTextIndex, queries: DataFrame, turns: DataFrame,
         F.col("started_at"))
 
 
-def ordered(thread: DataFrame) -> DataFrame:
-    """T4 order for presentation (a total order)."""
-    return thread.orderBy("query_id", "started_at", "session_id", "turn_idx")
+def in_order(thread: DataFrame) -> DataFrame:
+    """T4: the rows with their ``place`` in the thread (from 1; by started_at,
+    session_id, turn_idx, a total order).  A query's rows follow its max_turns."""
+    w = Window.partitionBy("query_id").orderBy("started_at", "session_id", "turn_idx")
+    return thread.withColumn("place", F.row_number().over(w))

@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def session_lines(turns: DataFrame, sessions: DataFrame) -> DataFrame:
-    """(session_id, node, project, pos, line) for the JSONL export."""
+def session_lines(turns: DataFrame, sessions: DataFrame, tool_results: bool = False) -> DataFrame:
+    """(session_id, node, project, pos, line) for the JSONL export.  With
+    ``tool_results`` a user line that is the result of a tool follows every
+    assistant turn with turn % 4 = 1."""
     s = sessions.select("session_id", F.coalesce("node", F.lit("local")).alias("node"), "project", "cwd", "ai_title")
     t = turns.join(s, "session_id")
     idx = F.col("turn_idx")
@@ -53,7 +55,12 @@ def session_lines(turns: DataFrame, sessions: DataFrame) -> DataFrame:
     other = F.to_json(F.struct(F.lit("system").alias("type"), F.col("ts").alias("timestamp"),
                                F.struct(F.col("text").alias("content")).alias("message")))
     line = (F.when(F.col("role") == "user", user).when(F.col("role") == "assistant", asst).otherwise(other))
-    body = t.select("session_id", "node", "project", idx.alias("pos"), line.alias("line"))
+    body = t.select("session_id", "node", "project", (2 * idx).alias("pos"), line.alias("line"))
+    if tool_results:
+        said = F.to_json(F.struct(F.lit("user").alias("type"), F.col("ts").alias("timestamp"), F.struct(F.array(F.struct(
+            F.lit("tool_result").alias("type"), F.col("text").alias("content"))).alias("content")).alias("message")))
+        body = body.unionByName(t.filter((F.col("role") == "assistant") & (idx % 4 == 1)).select(
+            "session_id", "node", "project", (2 * idx + 1).alias("pos"), said.alias("line")))
     title = s.select("session_id", "node", "project", F.lit(-1).alias("pos"),
                      F.to_json(F.struct(F.lit("ai-title").alias("type"), F.col("ai_title").alias("aiTitle")),
                                {"ignoreNullFields": "false"}).alias("line"))

@@ -167,6 +167,8 @@ def ingest(spark: SparkSession, root: str, indexed_at: str, per_node_dirs: bool
         nl = cut_lineage(nl)
     sessions = latest_file_per_session(headers(nl, indexed_at))
     turns = to_turns(nl.join(sessions.select("file_path"), "file_path", "left_semi")).drop("file_path")
+    # of two files of one name only the counted one speaks for the session
+    records = records.join(sessions.select("file_path"), "file_path", "left_semi")
     return {"lines": lines, "records": records, "narrow": nl, "quarantine": bad, "turns": turns,
             "sessions": sessions}
 
