@@ -54,6 +54,25 @@ def index_of(spark: SparkSession, sf_dir: str) -> FT.FullTextIndex:
     return FT.FullTextIndex.read(spark, _INDEXES[key])
 
 
+_EDGES: dict[tuple[str, str], str] = {}
+
+
+def edges_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored edges: wired and written once per application and data
+    directory, a bucket per type, then read back."""
+    from threadlake.session import scratch_path
+    from threadlake.sources import store
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EDGES:
+        base = scratch_path(spark, "edges")
+        temporal = G.wire_temporal(D.turns(spark, sf_dir))
+        edges = temporal.unionByName(V.wire_similar(vecs_of(spark, sf_dir), temporal))
+        store.publish(spark, base, {"edges": edges.withColumn("bucket", F.lower("edge_type"))},
+                      {"edges": ["src_session_id", "src_turn_idx"]})
+        _EDGES[key] = base
+    return store.read(spark, _EDGES[key], "edges").drop("bucket")
+
+
 # --- full-text index -------------------------------------------------------
 
 @register("fts_tokens", f"""
@@ -877,12 +896,9 @@ SELECT (SELECT count(*) FROM sessions) AS sessions,
        (SELECT count(*) FROM sim) AS similar_edges
 FROM nodes, emb""")
 def q_index_stats(spark, sf):
-    """One-row health summary (edges = TEMPORAL ∪ SIMILAR_TO at the
-    default K=5, threshold 0.85)."""
-    t, s = D.turns(spark, sf), D.sessions(spark, sf)
-    temporal = G.wire_temporal(t)
-    edges = temporal.unionByName(V.wire_similar(vecs_of(spark, sf), temporal))
-    return SS.index_stats(s, t, vecs_of(spark, sf), edges)
+    """One-row health summary over the stored edges (TEMPORAL ∪
+    SIMILAR_TO at the default K=5, threshold 0.85)."""
+    return SS.index_stats(D.sessions(spark, sf), D.turns(spark, sf), vecs_of(spark, sf), edges_of(spark, sf))
 
 # --- pressure monitor (batch and streaming) ---------------------------------------------
 

@@ -255,20 +255,17 @@ def dedupe(rows: DataFrame, memory: DataFrame | None = None) -> DataFrame:
     """Exact-content dedupe.  The first copy (by ``order_key``) of a content
     not yet in ``memory`` is ``stored``; every other copy is ``duplicate``.
 
-    Skew-safe: the first copy per content is a partial-aggregated ``min``, and
-    the join back is on (content hash, order key), which is unique — so a
-    content that makes up a third of all rows never lands in one task.
+    Skew-safe: the first copy per content is a partial-aggregated ``min``; only
+    these rows, one per content, meet the memory, and the join back is on (content
+    hash, order key), which is unique — so a content that makes up a third of all
+    rows never lands in one task.
     """
     h = rows.withColumn("content_hash", F.sha2(F.col("content"), 256))
-    first = h.groupBy("content_hash").agg(F.min("order_key").alias("order_key")).withColumn("_first", F.lit(True))
-    out = h.join(first, ["content_hash", "order_key"], "left")
-    is_new = F.col("_first").isNotNull()
+    first = h.groupBy("content_hash").agg(F.min("order_key").alias("order_key"))
     if memory is not None:
-        known = memory.select("content_hash").distinct().withColumn("_known", F.lit(True))
-        out = out.join(known, "content_hash", "left")
-        is_new = is_new & F.col("_known").isNull()
-    return out.withColumn("status", F.when(is_new, F.lit("stored")).otherwise(F.lit("duplicate"))) \
-              .drop("_first", "_known")
+        first = first.join(memory.select("content_hash"), "content_hash", "left_anti")
+    out = h.join(first.withColumn("_new", F.lit(True)), ["content_hash", "order_key"], "left")
+    return out.withColumn("status", F.when(F.col("_new").isNotNull(), F.lit("stored")).otherwise(F.lit("duplicate"))).drop("_new")
 
 
 # --- E9 / E10 ------------------------------------------------------------------------------------
