@@ -13,12 +13,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from threadlake.operators.asof import asof_join
@@ -139,3 +141,81 @@ def latch_stream(events: DataFrame, contexts=MODEL_CONTEXTS, default: int = DEFA
     return (ev.groupBy("session_id")
             .applyInPandasWithState(partial(_latch_fn, ttl_hours and ttl_hours * 3600_000), LATCH_OUT, LATCH_STATE, "append",
                                     GroupStateTimeout.EventTimeTimeout if ttl_hours else GroupStateTimeout.NoTimeout))
+
+
+# --- ordered by event time (transformWithState) ---------------------------------------------
+
+ROCKSDB = ("spark.sql.streaming.stateStore.providerClass",
+           "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+class OrderedLatch(StatefulProcessor):
+    """Bells and stops of one session wait in map state under their
+    millisecond; a timer at that time takes them out when the watermark has
+    passed it.  Timers fire in event-time order, so the latch sees events in
+    order whatever batch they came in, and only the events of one millisecond
+    are ever in hand."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", LATCH_STATE)
+        self.waiting = handle.getMapState("waiting", "ms long", "events string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        for pdf in rows:
+            for ms, some in pdf.groupby("ms"):
+                ms = int(ms)
+                new = some[["us", "kind", "event_id", "level", "percentage", "token_count"]]
+                new = json.loads(new.to_json(orient="values", double_precision=15))
+                before = json.loads(self.waiting.getValue((ms,))[0]) if self.waiting.containsKey((ms,)) else []
+                self.waiting.updateValue((ms,), (json.dumps(before + new),))
+                self.handle.registerTimer(ms)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        ms = int(expiredTimerInfo.getExpiryTimeInMs())
+        if not self.waiting.containsKey((ms,)):
+            return iter([])
+        events = sorted(json.loads(self.waiting.getValue((ms,))[0]), key=lambda e: e[:3])
+        self.waiting.removeKey((ms,))
+        held = self.held.get() if self.held.exists() else (None, None, None)
+        out = []
+        for us, kind, event_id, level, percentage, tokens in events:
+            if kind == 0:
+                if held[0] is None or level >= held[0]:
+                    held = (int(level), float(percentage), float(tokens))
+            else:
+                top = held[0]
+                out.append((key[0], int(event_id), pd.Timestamp(us, unit="us"), top, held[1], held[2],
+                            "periodic" if top is None else f"bell_{top}",
+                            "critical" if (top or 0) >= CRITICAL_LEVEL else "pressure" if (top or 0) >= PRESSURE_LEVEL else "none"))
+                held = (None, None, None)
+        if held[0] is None:
+            self.held.clear()
+        else:
+            self.held.update(held)
+        if not out:
+            return iter([])
+        df = pd.DataFrame(out, columns=[c.split()[0] for c in LATCH_OUT.split(", ")])
+        return iter([df.astype({"level": "Int32"})])
+
+    def close(self) -> None:
+        pass
+
+
+def latch_stream_ordered(events: DataFrame, lateness: str = "10 minutes", contexts=MODEL_CONTEXTS,
+                         default: int = DEFAULT_CONTEXT) -> DataFrame:
+    """ST3 on a stream whose events come out of order, also across
+    micro-batches: a stop is given out once the watermark (``lateness`` behind the
+    newest event) has passed it, with the bells before it in event time - the
+    answer of the batch form for all events that are not later than that.
+    The session's state store must be RocksDB (``ROCKSDB``)."""
+    b = bells(events, contexts, default).select(
+        "session_id", "ts", "event_id", F.lit(0).alias("kind"), "level", "percentage", "token_count")
+    s = events.filter(F.col("is_stop")).select(
+        "session_id", "ts", "event_id", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("level"),
+        F.lit(None).cast("double").alias("percentage"), F.lit(None).cast("double").alias("token_count"))
+    ets = F.col("ts").cast("timestamp")
+    ev = b.unionByName(s).withColumns({"ets": ets, "us": F.unix_micros(ets), "ms": F.unix_millis(ets)}).drop("ts")
+    return (ev.withWatermark("ets", lateness).groupBy("session_id")
+            .transformWithStateInPandas(OrderedLatch(), LATCH_OUT, "append", "eventTime"))
