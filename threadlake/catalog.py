@@ -124,15 +124,31 @@ def q_corpus(spark, sf):
 # An index that was built before sessions with id % 5 = 0 came and when those
 # with id % 5 = 1 had two turns, then updated with these sessions alone.
 
-def _updated_index(spark, sf):
+_MADE: dict[tuple[str, str, str], str] = {}  # stand-in inputs and stores, one per application and data directory
+
+
+def _once(spark, sf, name: str, make: Callable[[str], None]) -> str:
+    """A scratch folder that ``make`` has filled, made once per application."""
     from threadlake.session import scratch_path
-    path, now = scratch_path(spark, "fts-updated"), D.turns(spark, sf)
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MADE:
+        path = scratch_path(spark, name)
+        make(path)
+        _MADE[key] = path
+    return _MADE[key]
+
+
+def _updated_index(spark, sf):
+    return FT.FullTextIndex.read(spark, _once(spark, sf, "fts-updated", lambda path: _update_index(spark, sf, path)))
+
+
+def _update_index(spark, sf, path):
+    now = D.turns(spark, sf)
     kind = F.col("session_id").cast("long") % 5
     before = now.filter((kind > 1) | ((kind == 1) & (F.col("turn_idx") < 2)))
     FT.FullTextIndex.build(before).write(path)
     changed = now.filter(kind < 2).select("session_id").distinct()
     FT.FullTextIndex.update(spark, path, changed, before.filter(kind == 1), now.filter(kind < 2))
-    return FT.FullTextIndex.read(spark, path)
 
 
 @register("fts_postings_updated", f"""
@@ -1034,11 +1050,9 @@ INDEXED_AT = "2024-12-31T00:00:00Z"
 
 
 def _export_jsonl(spark, sf):
-    from threadlake.session import scratch_path
     from threadlake.sources import export as EX
-    root = scratch_path(spark, "jsonl-export")
-    EX.write_jsonl(EX.session_lines(D.turns(spark, sf), D.sessions(spark, sf)), root)
-    return root
+    return _once(spark, sf, "jsonl-export", lambda root: EX.write_jsonl(
+        EX.session_lines(D.turns(spark, sf), D.sessions(spark, sf)), root))
 
 
 def _ingested(spark, sf):
@@ -1119,18 +1133,24 @@ e AS (SELECT DISTINCT session_id FROM turns WHERE role IN ('user', 'assistant')
 st AS (SELECT a.*, CAST(session_id AS BIGINT) % 5 AS k FROM a)"""
 
 
+_SECOND: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def _second_run(spark, sf):
-    """Both runs into one store; the result of the second."""
+    """Both runs into one store, once per application; the result of the second."""
     from threadlake.session import scratch_path
     from threadlake.sources import export as EX
     from threadlake.sources import jsonl as J
-    root, base = scratch_path(spark, "jsonl-grows"), scratch_path(spark, "store")
-    t, s = D.turns(spark, sf), D.sessions(spark, sf)
-    kind = F.col("session_id").cast("long") % 5
-    EX.write_jsonl(EX.session_lines(t.filter((kind > 1) | ((kind == 1) & (F.col("turn_idx") < 2))), s.filter(kind > 0)), root)
-    J.ingest_changes(spark, root, base, INDEXED_AT, per_node_dirs=True)
-    EX.write_jsonl(EX.session_lines(t.filter(kind < 2), s.filter(kind < 2)), root)
-    return J.ingest_changes(spark, root, base, INDEXED_AT, per_node_dirs=True)
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SECOND:
+        root, base = scratch_path(spark, "jsonl-grows"), scratch_path(spark, "store")
+        t, s = D.turns(spark, sf), D.sessions(spark, sf)
+        kind = F.col("session_id").cast("long") % 5
+        EX.write_jsonl(EX.session_lines(t.filter((kind > 1) | ((kind == 1) & (F.col("turn_idx") < 2))), s.filter(kind > 0)), root)
+        J.ingest_changes(spark, root, base, INDEXED_AT, per_node_dirs=True)
+        EX.write_jsonl(EX.session_lines(t.filter(kind < 2), s.filter(kind < 2)), root)
+        _SECOND[key] = J.ingest_changes(spark, root, base, INDEXED_AT, per_node_dirs=True)
+    return _SECOND[key]
 
 
 @register("ingest_second_summary", f"""{SECOND_AGG}
@@ -1169,9 +1189,11 @@ FROM roster r FULL JOIN f ON r.node = f.node""")
 def q_coverage_nodes(spark, sf):
     """Files per node, files without a byte included, against a roster (n9
     has none).  No file is opened."""
+    from threadlake.session import scratch_path
     from threadlake.sources import export as EX
     from threadlake.sources import jsonl as J
-    root = _export_jsonl(spark, sf)
+    root = scratch_path(spark, "jsonl-nodes")
+    EX.write_jsonl(EX.session_lines(D.turns(spark, sf), D.sessions(spark, sf)), root)
     s = D.sessions(spark, sf).filter(F.col("session_id").cast("long") % 10 == 0)
     empty = s.select(F.concat(F.lit(f"{root}/"), F.coalesce("node", F.lit("local")), F.lit("/"), "project", F.lit("/e"),
                               "session_id", F.lit(".jsonl")))
