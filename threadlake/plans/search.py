@@ -79,8 +79,11 @@ def batch_shape(queries: DataFrame) -> tuple[bool, bool]:
     return bool(row["p"] or 0), int(row["n"] or 0) > 1
 
 
-#: Terms that are pushed into the scan one by one; of more, their range is.
-PUSHED_TERMS = 256
+#: Terms that are pushed into the scan one by one; of more, their range is (and
+#: rows are looked up in a set, not compared with each).
+PUSHED_TERMS = 16
+#: Terms of a batch that make a set; of more only the range is a filter.
+MOST_TERMS = 10_000
 
 
 def batch_terms(queries: DataFrame) -> list[str]:
@@ -98,7 +101,7 @@ def among(column: str, values: list[str]) -> Column:
     if not values:
         return F.lit(False)
     if len(values) > PUSHED_TERMS:
-        return (c >= values[0]) & (c <= values[-1])
+        return c.isin(values) if len(values) <= MOST_TERMS else (c >= values[0]) & (c <= values[-1])
     return reduce(or_, [c == v for v in values])
 
 

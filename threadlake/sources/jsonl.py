@@ -107,6 +107,23 @@ def narrow(records: DataFrame) -> DataFrame:
         F.when(is_msg, flatten_content(vget(v, "$.message.content", "variant"))).alias("text"))
 
 
+def parse_once(lines: DataFrame) -> DataFrame:
+    """``narrow`` rows and set-aside lines (``bad``, ``reason``) in one table, so
+    that both come from a single pass over the files."""
+    text = full_trim(F.make_valid_utf8(F.col("raw")))
+    x = lines.withColumn("line", text).filter(F.col("line") != "").withColumn("v", F.try_parse_json("line"))
+    v, ok = F.col("v"), F.coalesce(is_object(F.col("v")), F.lit(False))
+    x = x.withColumns({"ok": ok, "kind": F.when(ok, vget(v, "$.type"))}).filter(~F.col("ok") | F.col("kind").isin(*KEEP_TYPES))
+    is_msg = F.col("kind").isin("user", "assistant")
+    return x.select(
+        "session_id", "project", "node", "file_path", "file_mtime", "block", "mid", "kind",
+        F.when(F.col("ok"), vget(v, "$.timestamp")).alias("ts"), F.when(F.col("ok"), vget(v, "$.cwd")).alias("cwd"),
+        F.when(F.col("kind") == "ai-title", vget(v, "$.aiTitle")).alias("title"),
+        F.when(is_msg, flatten_content(vget(v, "$.message.content", "variant"))).alias("text"),
+        F.when(~F.col("ok"), F.col("line")).alias("bad"),
+        F.when(v.isNull(), F.lit("malformed json")).when(~F.col("ok"), F.lit("not an object")).alias("reason"))
+
+
 def _is_turn() -> F.Column:
     return F.col("kind").isin("user", "assistant") & F.col("text").isNotNull() & (F.col("text") != "")
 
@@ -209,8 +226,9 @@ def ingest_changes(spark: SparkSession, root: str, base: str, indexed_at: str, p
     known, stored = store.read(spark, base, "files"), store.read(spark, base, "sessions")
     changed = files if known is None else files.join(known, ["file_path", "file_mtime"], "left_anti")
     changed = cut_lineage(changed.select(files.columns))
-    good, bad = decode(read_changed(spark, root, changed, per_node_dirs, node))
-    nl, bad = cut_lineage(narrow(good)), cut_lineage(bad)
+    parsed = cut_lineage(parse_once(read_changed(spark, root, changed, per_node_dirs, node)))
+    nl = parsed.filter(F.col("bad").isNull()).drop("bad", "reason")
+    bad = parsed.filter(F.col("bad").isNotNull()).select("file_path", "session_id", "block", "mid", F.col("bad").alias("line"), "reason")
     new = latest_file_per_session(headers(nl, indexed_at))
     before = stored if stored is not None else spark.createDataFrame([], new.schema)
     gone = before.join(changed.select("file_path"), "file_path", "left_semi").select("session_id")
@@ -222,13 +240,12 @@ def ingest_changes(spark: SparkSession, root: str, base: str, indexed_at: str, p
     new = cut_lineage(new.withColumn("bucket", store.session_bucket(F.col("started_at"), F.col("session_id"))))
     text = nl.join(new.select("file_path"), "file_path", "left_semi")
     turns = to_turns(text).drop("file_path").join(new.select("session_id", "bucket"), "session_id")
-    summary_of = [files, before.select("session_id", "file_mtime"), new, bad]
-    summary_of[1] = cut_lineage(summary_of[1])  # the store moves on
+    old = before.select("session_id", "file_mtime")  # of the set before: it stays readable for a while
     store.upsert(spark, base, "session_id", {"sessions": new, "turns": turns}, gone, ORDER)
     _note_files(spark, base, changed)
     sessions, all_turns = store.read(spark, base, "sessions"), store.read(spark, base, "turns")
     return {"files": files, "changed": changed, "quarantine": bad, "sessions": sessions, "turns": all_turns,
-            "summary": run_summary(*summary_of, sessions, all_turns)}
+            "summary": run_summary(files, old, new, bad, sessions, all_turns)}
 
 
 def _note_files(spark: SparkSession, base: str, changed: DataFrame) -> None:

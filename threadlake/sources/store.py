@@ -27,8 +27,10 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,7 +116,8 @@ def _frame(spark: SparkSession, entries: list[Bucket], buckets: set[str] | None
 
 def publish(spark: SparkSession, base: str, tables: dict[str, DataFrame], order: dict[str, list[str]],
             touched: set[str] | None = None) -> int:
-    """Write ``tables`` (each with a ``bucket`` column) as a new set.  With
+    """Write ``tables`` (each with a ``bucket`` column) as a new set, those with
+    an ``order`` sorted by it and dealt by its ranges.  With
     ``touched`` they replace these buckets alone, else their whole tables.
     Returns the number of the set."""
     base = base.rstrip("/")
@@ -122,18 +125,22 @@ def publish(spark: SparkSession, base: str, tables: dict[str, DataFrame], order:
     number = 1 + max(_numbers(spark, base), default=-1)
     entries = [b for b in (now[1] if now else [])
                if b.table not in tables or (touched is not None and b.path and b.bucket not in touched)]
-    for name, df in tables.items():
+
+    def write(name: str, df: DataFrame) -> list[Bucket]:
         path = f"{base}/{name}/set={number}-{uuid.uuid4().hex[:8]}"
-        keys = ["bucket", *order.get(name, [])]
-        # no number of partitions: adaptive execution follows the volume
-        (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-         .write.partitionBy("bucket").parquet(path))
+        if name in order:  # no number of partitions: adaptive execution follows the volume
+            keys = ["bucket", *order[name]]
+            df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        df.write.partitionBy("bucket").parquet(path)
         found = _fs(spark, path).listStatus(_path(spark, path))
         names = [s.getPath().getName() for s in found if s.isDirectory()]
-        schema = df.schema.json()
-        new = [Bucket(name, x.removeprefix("bucket="), f"{path}/{x}", schema) for x in names if x.startswith("bucket=")]
+        return [Bucket(name, x.removeprefix("bucket="), f"{path}/{x}", df.schema.json()) for x in names if x.startswith("bucket=")]
+
+    with ThreadPoolExecutor(len(tables)) as pool:  # the tables are written side by side
+        jobs = {name: pool.submit(inheritable_thread_target(spark)(write), name, df) for name, df in tables.items()}
+    for name, job in jobs.items():
         kept = any(b.table == name for b in entries)
-        entries += new or ([] if kept else [Bucket(name, "", "", schema)])  # an empty table has a schema
+        entries += job.result() or ([] if kept else [Bucket(name, "", "", tables[name].schema.json())])  # empty: its schema
     rows = spark.createDataFrame([(b.table, b.bucket, b.path, b.schema) for b in entries], POINTER)
     rows.coalesce(1).write.parquet(f"{base}/_pointer/set={number}")
     return number
