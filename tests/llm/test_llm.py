@@ -431,23 +431,92 @@ def test_toxicity(spark):
     assert sum(r["predicted"] for y, r in test if y == 1) >= 0.75 * sum(y for y, _ in test)
 
 
-def test_block_max_is_exact():
+def tox_terms(text):
+    """Term → times, anew."""
+    out = collections.Counter()
+    for w, n in collections.Counter(re.findall(r"[^\W\d_]+", (text or "").lower())).items():
+        for t in {w, *[w[:k] + "*" for k in (4, 5) if len(w) > k]}:
+            out[t] += n
+    return out
+
+
+def test_toxicity_against_brute_force(spark, monkeypatch):
+    """Cosines of the evidence are the highest over whole texts and all terms;
+    labels sent to the texts or shuffled give one answer."""
+    docs, labels = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "labels")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels).collect()}
+    monkeypatch.setattr(toxicity, "BROADCAST_LABELS", 0)
+    assert got == {r["doc_id"]: r for r in toxicity.toxicity(docs, labels).collect()}
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    label = {r["doc_id"]: r["toxic"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1 and r["doc_id"] in text}
+    n = collections.Counter(label.values())
+    held = {i: tox_terms(t) for i, t in text.items()}
+    df = {y: collections.Counter(t for i, v in label.items() if v == y for t in held[i]) for y in (0, 1)}
+
+    def weight(t):
+        c, x = (df[0][t], df[1][t]) if df[0][t] + df[1][t] else (1, 0)
+        half = sum(n.values()) / 2
+        p = (x * half / n[1] + 1) / (x * half / n[1] + c * half / n[0] + 2)
+        p = min(max(p, 1e-12), 1 - 1e-12)
+        info = p * np.log(2 * p) + (1 - p) * np.log(2 * (1 - p))
+        return (np.log((sum(n.values()) + 1) / (c + x + 1)) + 1) * max(info, 1e-6)
+
+    vectors = {}
+    for i, x in held.items():
+        w = {t: (1 + np.log(k)) * weight(t) for t, k in x.items()}
+        size = np.sqrt(sum(v * v for v in w.values())) or 1.0
+        vectors[i] = {t: v / size for t, v in w.items()}
+    for i, v in vectors.items():
+        if sum(df[0][t] + df[1][t] for t in v) == 0:
+            continue
+        every = np.array(sorted((sum(x * vectors[j].get(t, 0.0) for t, x in v.items()) for j in label), reverse=True)[:16])
+        assert np.allclose([e["cosine"] for e in got[i]["evidence"]], every[every > 0], atol=1e-5)
+
+
+def test_toxicity_rare_words(spark):
+    """300 toxic words, each in a third of a percent of the toxic texts, are all seen."""
+    rng = np.random.default_rng(5)
+    base = [f"w{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 676)}x" for i in range(2000)]
+    bad = [f"q{chr(97 + i // 26)}{chr(97 + i % 26)}zz" for i in range(300)]
+    rows = [(i, " ".join([*rng.choice(base, 30), *([bad[rng.integers(300)]] if i % 2 else [])]), i % 2) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    got = [r for r in toxicity.toxicity(df.drop("toxic"), df.select("doc_id", "toxic")).collect() if r["held_out"]]
+    assert sum(r["predicted"] for r in got if r["doc_id"] % 2) >= 0.9 * sum(r["doc_id"] % 2 for r in got)
+    assert sum(r["predicted"] for r in got if r["doc_id"] % 2 == 0) <= 0.01 * len(got)
+
+
+def tox_index(texts, label, made=toxicity.build):
+    held = [tox_terms(t) for t in texts]
+    n = {y: label.count(y) for y in (0, 1)}
+    vocabulary = sorted({t for x in held for t in x})
+    df = [np.array([sum(t in x for x, v in zip(held, label, strict=True) if v == y) for t in vocabulary], float) for y in (0, 1)]
+    words = toxicity.Terms(vocabulary, toxicity.term_weights(*df, n), 0.1)
+    return made(words, [words.vector(t) for t in texts], label, list(range(len(texts))), n)
+
+
+def test_block_max_is_exact(monkeypatch):
     rng = np.random.default_rng(3)
-    terms = [f"t{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
-    sample = [(i, " ".join(rng.choice(terms, 12)), int(rng.random() < 0.4)) for i in range(700)]
-    index = toxicity.build(terms, [50] * 200, 700, sample, {0: 420, 1: 280})
-    for _ in range(40):
-        at, w = index.vector(toxicity.terms(" ".join(rng.choice(terms, 15))))
-        place, score = index.nearest(at, w)
-        full = index.x[:, at] @ w
-        assert np.allclose(score, np.sort(full)[::-1][:toxicity.NEAREST])
-        assert np.allclose(full[place], score)
+    words = [f"t{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    share = np.arange(1, 201) ** -1.0
+    draw = lambda k: " ".join(rng.choice(words, k, p=share / share.sum()))
+    index = tox_index([draw(12) for _ in range(700)], [int(x) for x in rng.random(700) < 0.4])
+    full = np.zeros((700, len(index.words.vocabulary)))
+    for i, (a, b) in enumerate(zip(index.start[:-1], index.start[1:], strict=True)):
+        full[i, index.at[a:b]] = index.w[a:b]
+    for first, finish in ((32, 128), (1, 16), (4, 700)):  # however the work is cut
+        monkeypatch.setattr(toxicity, "FIRST", first)
+        monkeypatch.setattr(toxicity, "FINISH", finish)
+        for _ in range(40):
+            at, w = index.words.vector(draw(15))
+            place, score = index.nearest(at, w)
+            every = full[:, at] @ w
+            assert np.allclose(score, np.sort(every)[::-1][:toxicity.NEAREST])
+            assert np.allclose(every[place], score)
 
 
 def test_calibration_looks_past_copies():
     """An example with hundreds of equals still has NEAREST other neighbours."""
-    terms = [f"t{chr(97 + i)}" for i in range(26)]
-    sample = [(i, "ta tb", 1) for i in range(300)] + [(300 + i, f"ta tb {terms[2 + i]}", i % 2) for i in range(24)]
+    texts = ["ta tb"] * 300 + [f"ta tb t{chr(99 + i)}" for i in range(24)]
     voted = []
 
     class Seen(toxicity.Index):
@@ -457,8 +526,8 @@ def test_calibration_looks_past_copies():
 
     with pytest.MonkeyPatch.context() as m:
         m.setattr(toxicity, "Index", Seen)
-        toxicity.build(terms, [50] * 26, 324, sample, {0: 12, 1: 312})
-    assert len(voted) == 324 and all(n == toxicity.NEAREST and s < 1 - 1e-9 for n, s in voted)
+        tox_index(texts, [1] * 300 + [i % 2 for i in range(24)])
+    assert len(voted) == 25 and all(n == toxicity.NEAREST and s < 1 - 1e-9 for n, s in voted)
 
 
 def test_toxicity_odd(spark, odd, empty):

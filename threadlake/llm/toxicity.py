@@ -3,27 +3,35 @@ inverted index, distance-weighted votes, calibrated scores, evidence.
 
 Learning (labels of the training rows only):
 
-* Terms are lower-cased words and their first ``STEMS`` letters.  How often a
-  term occurs in toxic and in other training texts is counted over all of them
-  (a Spark aggregate); the ``VOCABULARY`` terms that speak for the label most
-  (chi-square, at least ``MIN_SHARE`` of the toxic texts) are the vocabulary.
-* Examples: at most ``EXAMPLES`` labelled texts, half of them toxic, taken by
-  a hash of the text - the bounded sample of this operator.
-* Index: unit TF-IDF vectors of the examples, in blocks of ``BLOCK`` similar
-  ones; per block and term the postings' maximum weight.  Its size is bounded by
-  EXAMPLES * VOCABULARY, so each task carries it.
-
-Scoring one text: the block maxima bound the cosine of everything in a block;
-blocks are scored in falling order of their bound until the bound is below the
-``NEAREST``-th best cosine.  The result is exact.  The neighbours vote with
-their cosine, and a logistic curve fitted on the examples (each without itself
-and without its copies) turns the vote into a probability.
+* Terms are lower-cased words and their first ``STEMS`` letters.  How many toxic
+  and other training texts hold a term is counted over all of them (a Spark
+  aggregate).  A term weighs its idf times its information: how far, in nats,
+  the texts that hold it lean to one label, both labels counted alike and
+  ``DOUBT`` texts without a label added.  No term is left out; those that say
+  nothing of the label weigh next to nothing.
+* Examples: at most ``EXAMPLES`` different labelled rows, half of them of either
+  label, the least by a hash of text and doc_id - the bounded sample of this
+  operator.  The hashes are picked from a narrow table; texts never go to the
+  driver, only the examples' sparse vectors do.
+* Index: postings of every term of every example, in blocks of ``BLOCK`` similar
+  examples, with the greatest weight per (term, block).
+
+Scoring one text, whole: its strongest terms are added up over their postings;
+block maxima bound what the other terms can still add to an example; examples
+that can reach the ``NEAREST`` best are finished.  More terms are added first
+while such examples are many.  The result is exact.  A term that no example
+holds counts in the text's length as one seen in one other training text.  The
+neighbours vote with their cosine, and a logistic curve fitted on the examples
+(each without itself and its copies) turns the vote into a probability.
 
 Defined cases: null and empty texts have no terms and get the score of "no
 evidence"; labels of null or unknown doc_ids are not used; a doc_id with several
-labels counts as toxic if any is; without training rows of both labels every
-score is the known share of toxic rows (0 without labels); an empty table gives
-no row.  doc_id, source, lang and labels never enter a score.
+labels counts as toxic if any is; repeated rows count in the statistics and are
+one example; ties go to the example that comes first in the index; very long
+texts are read whole; other columns, whatever their names, are not read; without
+training rows of both labels every score is the known share of toxic rows (0
+without labels); an empty table gives no row.  doc_id, source, lang and labels
+never enter a score.
 """
 
 from __future__ import annotations
@@ -42,12 +50,17 @@ from pyspark.sql import functions as F
 from threadlake.llm.common import ready, stored
 
 STEMS = (4, 5)
-VOCABULARY = 1024
-MIN_SHARE = 0.01
-MIN_TEXTS = 3
+#: Texts without a label that every term is taken to be in, besides those counted.
+DOUBT = 2.0
+#: Information of a term that leans to no label, in nats: no term is dropped.
+LEAST = 1e-6
 EXAMPLES = 4096
 BLOCK = 64
 NEAREST = 16
+#: Terms added up first, and examples finished one by one at most before more are.
+FIRST, FINISH = 32, 128
+#: Words whose terms a task remembers.
+REMEMBER = 200_000
 #: Labels (16 bytes each) that are broadcast at most.
 BROADCAST_LABELS = 1_000_000
 PRIOR_WEIGHT = 0.25
@@ -56,72 +69,140 @@ THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def terms(text: str | None) -> Counter:
-    """Words and word beginnings, with counts."""
-    words = Counter(_WORD.findall((text or "").lower()))
-    out = Counter()
-    for w, n in words.items():
-        out[w] += n
-        for k in STEMS:
-            if len(w) > k:
-                out[w[:k] + "*"] += n
-    return out
+def terms(word: str) -> list[str]:
+    """A lower-cased word and its beginnings."""
+    return [word, *[word[:k] + "*" for k in STEMS if len(word) > k]]
+
+
+def term_weights(clean: np.ndarray, toxic: np.ndarray, n: dict[int, int]) -> np.ndarray:
+    """idf times information of terms held by so many texts of each label."""
+    idf = np.log((n[0] + n[1] + 1) / (clean + toxic + 1)) + 1
+    half = (n[0] + n[1]) / 2  # both labels count alike
+    t, c = toxic * (half / n[1]), clean * (half / n[0])
+    p = np.clip((t + DOUBT / 2) / (t + c + DOUBT), 1e-12, 1 - 1e-12)
+    return idf * np.maximum(p * np.log(2 * p) + (1 - p) * np.log(2 * (1 - p)), LEAST)
+
+
+class Terms:
+    """Numbers and weights of the examples' terms; texts to sparse vectors."""
+
+    def __init__(self, vocabulary: list[str], weight: np.ndarray, unseen: float):
+        self.vocabulary, self.weight, self.unseen = vocabulary, weight, unseen
+        self._at: dict[str, int] | None = None
+        self._known: dict[str, list[int]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_at": None, "_known": {}}
+
+    def _of(self, word: str) -> list[int]:
+        if self._at is None:
+            self._at = {t: i for i, t in enumerate(self.vocabulary)}
+        if len(self._known) > REMEMBER:
+            self._known.clear()
+        got = self._known[word] = [self._at.get(t, -1) for t in terms(word)]
+        return got
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers, rising, and weights of a text's vector of length 1; what
+        no example holds is in the length only."""
+        words = Counter(_WORD.findall((text or "").lower()))
+        known, at, times, new = self._known, [], [], Counter()
+        for word, n in words.items():
+            for k, i in enumerate(known.get(word) or self._of(word)):
+                if i >= 0:
+                    at.append(i)
+                    times.append(n)
+                else:
+                    new[terms(word)[k]] += n
+        if not at:
+            return np.zeros(0, np.int32), np.zeros(0)
+        at, which = np.unique(np.array(at, np.int32), return_inverse=True)
+        w = (1 + np.log(np.bincount(which, times))) * self.weight[at]
+        other = (1 + np.log(np.array(list(new.values()), float))) * self.unseen
+        return at, w / math.sqrt(float(w @ w) + float(other @ other))
 
 
 class Index:
     """Block-max inverted index over bounded examples."""
 
-    def __init__(self, vocabulary: list[str], idf: np.ndarray, vectors: np.ndarray, label: np.ndarray,
-                 ids: list, prior: float):
-        self.at = {t: i for i, t in enumerate(vocabulary)}
-        self.idf, self.prior = idf, prior
+    def __init__(self, words: Terms, vectors: list[tuple[np.ndarray, np.ndarray]], label: list[int], ids: list, prior: float):
         # neighbours in this order share their strongest term: tight block maxima
-        order = np.lexsort((vectors.max(1, initial=0), vectors.argmax(1))) if vectors.size else np.arange(len(label))
-        self.x, self.y, self.ids = vectors[order], label[order], [ids[i] for i in order]
-        starts = range(0, len(self.y), BLOCK)
-        self.peak = np.stack([self.x[s:s + BLOCK].max(0) for s in starts]) if len(self.y) else np.zeros((0, len(idf)))
-        self.curve = (1.0, 0.0)
-
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and unit TF-IDF weights of a text."""
-        hit = [(self.at[t], n) for t, n in counts.items() if t in self.at]
-        if not hit:
-            return np.zeros(0, int), np.zeros(0)
-        at = np.array([a for a, _ in hit])
-        w = (1 + np.log([n for _, n in hit])) * self.idf[at]
-        return at, w / math.sqrt((w * w).sum())
-
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEAREST, others: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        top = [(int(at[w.argmax()]), float(w.max())) if len(at) else (-1, 0.0) for at, w in vectors]
+        order = sorted(range(len(vectors)), key=lambda i: (top[i], i))
+        self.words, self.prior, self.curve = words, prior, (1.0, 0.0)
+        self.y, self.ids = np.array([float(label[i]) for i in order]), [ids[i] for i in order]
+        self.start = np.concatenate([[0], np.cumsum([len(vectors[i][0]) for i in order], dtype=np.int64)])
+        self.at = np.concatenate([np.zeros(0, np.int32), *[vectors[i][0] for i in order]]).astype(np.int32)
+        self.w = np.concatenate([np.zeros(0), *[vectors[i][1] for i in order]]).astype(np.float32)
+        self._ready = False
+
+    def __getstate__(self) -> dict:
+        own = ("words", "prior", "curve", "y", "ids", "start", "at", "w")  # postings are made where they are used
+        return {k: self.__dict__[k] for k in own} | {"_ready": False}
+
+    def _invert(self) -> None:
+        place = np.repeat(np.arange(len(self.y), dtype=np.int32), np.diff(self.start))
+        by = np.argsort(self.at, kind="stable")  # by term, then by place
+        term = self.at[by]
+        self.place, self.pw = place[by], self.w[by]
+        n = len(self.words.vocabulary)
+        self.pstart = np.searchsorted(term, np.arange(n + 1))
+        # greatest weight per (term, block)
+        block = self.place // BLOCK
+        new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else []
+        self.block = block[new]
+        self.peak = np.maximum.reduceat(self.pw, new) if len(new) else np.zeros(0, np.float32)
+        self.bstart = np.searchsorted(term[new], np.arange(n + 1))
+        self.most = np.zeros(n)
+        np.maximum.at(self.most, term, self.pw)
+        self.query = np.zeros(n)
+        self.blocks = -(-len(self.y) // BLOCK)
+        self._ready = True
+
+    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEAREST, without: np.ndarray | None = None
+                ) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine above 0 (ties by place): exact.
-        ``others`` leaves out equal vectors, however many they are."""
+        ``without`` are places left out, however many they are."""
         if not len(at) or not len(self.y):
             return np.zeros(0, int), np.zeros(0)
-        bound = self.peak[:, at] @ w
-        places, scores, least = [], [], 0.0
-        best = np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == k and bound[b] < least - 1e-12):
+        if not self._ready:
+            self._invert()
+        strong = np.argsort(-(w * self.most[at]), kind="stable")
+        at, w = at[strong], w[strong]
+        scores, done, upto = np.zeros(len(self.y)), 0, FIRST
+        live = np.ones(len(self.y), bool)
+        if without is not None:
+            live[without] = False
+        while True:
+            some = slice(done, upto)
+            i, share = _ranges(self.pstart, at[some], w[some])
+            scores += np.bincount(self.place[i], share * self.pw[i], len(self.y))
+            done, upto = upto, 2 * upto
+            # what the other terms can add, by block
+            i, share = _ranges(self.bstart, at[done:], w[done:])
+            rest = np.bincount(self.block[i], share * self.peak[i], self.blocks)
+            reach = np.where(live, scores + np.repeat(rest, BLOCK)[:len(scores)], 0.0)
+            sure = np.where(live, scores, 0.0)
+            least = np.partition(sure, -k)[-k] if len(sure) >= k else 0.0
+            place = np.flatnonzero((reach > 0) & (reach >= least - 1e-9))
+            if len(place) <= FINISH or done >= len(at):
                 break
-            s = self.x[b * BLOCK:(b + 1) * BLOCK][:, at] @ w
-            if others:
-                s = np.where(s < 1 - 1e-9, s, 0.0)
-            places.append(np.arange(b * BLOCK, b * BLOCK + len(s)))
-            scores.append(s)
-            best = np.sort(np.concatenate([best, s[s > 0]]))[::-1][:k]
-            least = best[-1] if len(best) else 0.0
-        if not places:
-            return np.zeros(0, int), np.zeros(0)
-        place, score = np.concatenate(places), np.concatenate(scores)
-        top = np.lexsort((place, -score))[:k]
-        top = top[score[top] > 0]
-        return place[top], score[top]
+        self.query[at] = w
+        i, _ = _ranges(self.start, place, place)
+        part = self.query[self.at[i]] * self.w[i]
+        ends = np.cumsum(self.start[place + 1] - self.start[place])
+        exact = np.add.reduceat(part, np.concatenate([[0], ends[:-1]])) if len(part) else np.zeros(0)
+        self.query[at] = 0
+        top = np.lexsort((place, -exact))[:k]
+        top = top[exact[top] > 0]
+        return place[top], exact[top]
 
     def vote(self, place: np.ndarray, score: np.ndarray) -> float:
         """Cosine-weighted share of toxic neighbours, with a little prior."""
         return (float((score * self.y[place]).sum()) + PRIOR_WEIGHT * self.prior) / (float(score.sum()) + PRIOR_WEIGHT)
 
     def score(self, text: str | None) -> tuple[float, list, list]:
-        place, cosine = self.nearest(*self.vector(terms(text)))
+        place, cosine = self.nearest(*self.words.vector(text))
         a, b = self.curve
         logit = a * _logit(self.vote(place, cosine)) + b
         return 1 / (1 + math.exp(-logit)), [self.ids[p] for p in place], [float(c) for c in cosine]
@@ -129,11 +210,16 @@ class Index:
     def calibrate(self, weight: np.ndarray) -> None:
         """Logistic curve over leave-one-out votes; ``weight`` undoes the
         sampling of the examples.  Copies of an example do not vote on it."""
-        v = np.zeros(len(self.y))
-        for i, x in enumerate(self.x):
-            at = np.flatnonzero(x)
-            place, score = self.nearest(at, x[at], others=True)
-            v[i] = _logit(self.vote(place, score))
+        vectors = [(self.at[i:j], self.w[i:j]) for i, j in zip(self.start[:-1], self.start[1:], strict=True)]
+        same: dict[bytes, list[int]] = {}
+        names = [at.tobytes() + w.astype(np.float16).tobytes() for at, w in vectors]
+        for i, name in enumerate(names):
+            same.setdefault(name, []).append(i)
+        v, votes = np.zeros(len(self.y)), {}
+        for i, (at, w) in enumerate(vectors):
+            if names[i] not in votes:  # copies have the same neighbours
+                votes[names[i]] = self.vote(*self.nearest(at, w.astype(float), without=np.array(same[names[i]])))
+            v[i] = _logit(votes[names[i]])
         a, b = 1.0, 0.0
         for _ in range(50):  # Newton, with a little ridge towards the raw vote
             p = 1 / (1 + np.exp(-np.clip(a * v + b, -30, 30)))
@@ -153,13 +239,24 @@ def _logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
+def _ranges(start: np.ndarray, which: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places start[x] .. start[x+1]-1 of every x in which, and its value at each."""
+    first, n = start[which], start[which + 1] - start[which]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(first - ends + n, n), np.repeat(value, n)
+
+
 def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: term → texts of each label that have it (summed in the task)."""
+    """Per task: term → texts of each label, and examples, that have it (summed in the task)."""
     seen: dict[str, list[int]] = {}
     for b in batches:
-        for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
-            for t in terms(text):
-                seen.setdefault(t, [0, 0])[toxic] += 1
+        for text, toxic, picked in zip(*[b.column(c).to_pylist() for c in ("text", "toxic", "picked")], strict=True):
+            words = set(_WORD.findall((text or "").lower()))
+            for t in {t for w in words for t in terms(w)}:
+                n = seen.setdefault(t, [0, 0, 0])
+                n[toxic] += 1
+                n[2] += picked
         if len(seen) > 500_000:
             yield _pack(seen)
             seen.clear()
@@ -169,48 +266,69 @@ def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _pack(seen: dict[str, list[int]]) -> pa.RecordBatch:
     counts = np.array(list(seen.values()), np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(counts[:, 0]), pa.array(counts[:, 1])],
-                                      names=["term", "clean", "toxic"])
+    return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *[pa.array(counts[:, k]) for k in range(3)]],
+                                      names=["term", "clean", "toxic", "picked"])
+
+
+def cuts(training: DataFrame, n: dict[int, int], half: int = EXAMPLES // 2) -> dict[int, int]:
+    """Label → the hash up to which its rows are examples: ``half`` different
+    hashes at most.  Only hashes below an expected cut are sorted."""
+    out = {}
+    for y, rows in n.items():
+        share = (half + 8 * math.sqrt(half)) / rows
+        while True:
+            some = training.filter(F.col("toxic") == y).select("h").distinct()
+            if share < 1:
+                some = some.filter(F.col("h") < int(share * 2 ** 63))
+            got = [r["h"] for r in some.orderBy("h").limit(half).collect()]
+            if len(got) == half or share >= 1:
+                break
+            share *= 8  # many rows were repeated
+        out[y] = got[-1]
+    return out
 
 
 def learn(training: DataFrame) -> Index | None:
     """training(doc_id, text, toxic 0/1) → index; None without both labels."""
     spark = training.sparkSession
     ready(spark)
-    training = stored(training.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")), "tox-training")
+    training = stored(training.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"),
+                                      F.shiftrightunsigned(F.xxhash64("text", "doc_id"), 1).alias("h")), "tox-training")
     n = {r["toxic"]: r["n"] for r in training.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return None
-    counted = training.select("text", "toxic").mapInArrow(_distinct_terms, "term string, clean long, toxic long")
-    counted = counted.groupBy("term").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    clean, toxic = float(n[0]), float(n[1])
-    total = clean + toxic
-    df, miss = F.col("c") + F.col("t"), F.lit(total) - F.col("c") - F.col("t")
-    cross = F.col("t") * (clean - F.col("c")) - F.col("c") * (toxic - F.col("t"))
-    chi = total * cross * cross / (df * F.greatest(miss, F.lit(0.5)) * clean * toxic)
-    vocabulary = (counted.filter((F.col("t") >= max(MIN_TEXTS, MIN_SHARE * toxic)) & (F.col("t") * clean > 2 * F.col("c") * toxic))
-                  .withColumn("chi", chi).orderBy(F.desc("chi"), "term").limit(VOCABULARY).collect())
-    vocabulary = sorted(vocabulary, key=lambda r: r["term"])
-    h = F.xxhash64("text", "doc_id")
-    sample = [r for y in (0, 1) for r in training.filter(F.col("toxic") == y).withColumn("_h", h)
-              .orderBy("_h").limit(EXAMPLES // 2).select("doc_id", "text", "toxic").collect()]
-    return build([r["term"] for r in vocabulary], [r["c"] + r["t"] for r in vocabulary], total,
-                 [(r["doc_id"], r["text"], r["toxic"]) for r in sample], n)
-
-
-def build(vocabulary: list[str], df: list[int], total: float, sample: list[tuple], n: dict[int, int]) -> Index:
-    """Index over the sampled examples (doc_id, text, toxic)."""
-    idf = np.log((total + 1) / (np.array(df, float) + 1)) + 1
-    prior = n[1] / (n[0] + n[1])
-    empty = Index(vocabulary, idf, np.zeros((0, len(idf))), np.zeros(0), [], prior)
-    x = np.zeros((len(sample), len(idf)))
-    for i, (_, text, _) in enumerate(sample):
-        at, w = empty.vector(terms(text))
-        x[i, at] = w
-    y = np.array([float(s[2]) for s in sample])
-    index = Index(vocabulary, idf, x, y, [s[0] for s in sample], prior)
-    share = {k: n[k] / max(1, sum(y == k)) for k in (0, 1)}
-    index.calibrate(np.where(index.y == 1, share[1], share[0]) / sum(n.values()) * len(y))
+    cut = cuts(training, n)
+    picked = F.col("h") <= F.when(F.col("toxic") == 1, F.lit(cut[1])).otherwise(F.lit(cut[0]))
+    counted = (training.select("text", "toxic", picked.cast("int").alias("picked"))
+               .mapInArrow(_distinct_terms, "term string, clean long, toxic long, picked long").groupBy("term")
+               .agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"), F.sum("picked").alias("p")))
+    held = counted.filter("p > 0").select("term", "c", "t").toArrow().sort_by("term")  # terms of the examples
+    c, t = held["c"].to_numpy().astype(float), held["t"].to_numpy().astype(float)
+    words = Terms(held["term"].to_pylist(), term_weights(c, t, n), float(term_weights(np.ones(1), np.zeros(1), n)[0]))
+    carried = spark.sparkContext.broadcast(words)  # bounded by the examples' texts
+    id_type = dict(training.dtypes)["doc_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, text in enumerate(b.column("text").to_pylist()):  # a text a batch: they can be long
+                at, w = carried.value.vector(text)
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(x).slice(i, 1) for x in ("h", "doc_id", "toxic")], pa.array([at], pa.list_(pa.int32())),
+                     pa.array([w.astype(np.float32)], pa.list_(pa.float32()))], names=["h", "doc_id", "toxic", "at", "w"])
+
+    one = (training.filter(picked).groupBy("h", "toxic").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+           .mapInArrow(run, f"h long, doc_id {id_type}, toxic int, at array<int>, w array<float>"))
+    got = one.toArrow().sort_by([("toxic", "ascending"), ("h", "ascending")])
+    vectors = [(at.values.to_numpy(), w.values.to_numpy().astype(float))
+               for at, w in zip(got["at"], got["w"], strict=True)]
+    return build(words, vectors, got["toxic"].to_pylist(), got["doc_id"].to_pylist(), n)
+
+
+def build(words: Terms, vectors: list[tuple[np.ndarray, np.ndarray]], label: list[int], ids: list, n: dict[int, int]) -> Index:
+    """Calibrated index over the examples' vectors; n rows of either label."""
+    index = Index(words, vectors, label, ids, n[1] / (n[0] + n[1]))
+    share = {k: n[k] / max(1, sum(index.y == k)) for k in (0, 1)}
+    index.calibrate(np.where(index.y == 1, share[1], share[0]) / sum(n.values()) * len(index.y))
     return index
 
 
@@ -222,7 +340,7 @@ def score(docs: DataFrame, index: Index | None, prior: float = 0.0) -> DataFrame
     if index is None:
         none = F.array().cast(f"array<struct<doc_id:{id_type},cosine:double>>")
         return docs.select("doc_id", F.lit(float(prior)).alias("score"), none.alias("evidence"))
-    held = docs.sparkSession.sparkContext.broadcast(index)  # bounded by EXAMPLES * VOCABULARY
+    held = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the examples' texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
