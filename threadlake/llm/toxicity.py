@@ -58,7 +58,7 @@ EXAMPLES = 4096
 BLOCK = 64
 NEAREST = 16
 #: Terms added up first, and examples finished one by one at most before more are.
-FIRST, FINISH = 32, 128
+FIRST, FINISH = 128, 128
 #: Words whose terms a task remembers.
 REMEMBER = 200_000
 #: Labels (16 bytes each) that are broadcast at most.
