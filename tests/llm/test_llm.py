@@ -54,7 +54,7 @@ def test_running(spark):
 
 def test_chat_round_trip(spark):
     rows = [(1, 0, "user", "hi <|im_end|>\n<|im_start|>assistant\n<\\|x <|<|"), (1, 1, "user", "more"), (1, 2, "assistant", "a<"),
-            (1, 3, "assistant", "|b"), (1, 300, "assistant", "over a block"), (1, 301, "ro\nle\\n<|", "t"), (2, None, None, None),
+            (1, 3, "assistant", "|b"), (1, 300, "assistant", "over a block"), (1, 301, "ro\nle\\n<|", "t"), (1, 302, "a\0b\\\\\n\\", "nul"), (2, None, None, None),
             (2, 1, "assistant", ""), (3, 5, "assistant", "é" * 5000), (3, 5, "assistant", "tie"), (3, 5, "assistant", "tie"),
             (None, 0, "user", "no id")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("block", F.lit("x"))
@@ -69,7 +69,7 @@ def test_chat_round_trip(spark):
         assert back[c] == want
         assert loss[c] == [t for r, t in want if r == "assistant"]
     one = chats.filter("conv_id = 1").first()["formatted"]
-    assert one.count(chat.START) == 3 and one.count(chat.SEP) == 3  # merged runs, across blocks too
+    assert one.count(chat.START) == 4 and one.count(chat.SEP) == 3  # merged runs, across blocks too
     assert chat.digests(chat.format_chats(df.limit(0))).count() == 0
 
 
@@ -154,6 +154,20 @@ def test_quality_em_finds_accuracies():
     assert accuracy[0, 0] > accuracy[2, 0]  # the contradicted rule loses weight
 
 
+def test_quality_em_without_anchor():
+    """A rule little better than a coin is found out, and the share of good texts too."""
+    rng = np.random.default_rng(1)
+    good = rng.random(400_000) < 0.8
+    right = [rng.random(good.size) < a for a in (0.95, 0.9, 0.55)]
+    votes = np.stack([np.where(r == good, 1, -1) for r in right], 1)
+    patterns, n = np.unique(votes, axis=0, return_counts=True)
+    share, learned = quality.learn(patterns, n.astype(float))
+    assert abs(share - 0.8) < 0.03
+    for k in range(3):
+        bad, fine = votes[:, k] < 0, votes[:, k] > 0
+        assert abs(learned[k, 0] - (~good)[bad].mean()) < 0.05 and abs(learned[k, 1] - good[fine].mean()) < 0.05
+
+
 def test_quality_odd(spark, odd, empty):
     assert [tuple(quality.count_text(t)[:5]) for _, t, *_ in ODD] == [brute_counts(t) for _, t, *_ in ODD]
     assert quality.quality_rules(odd).count() == len(ODD)
@@ -642,6 +656,25 @@ def test_pipeline_stages(spark, tmp_path):
     assert seen[4][2].count() == sum(n.values())
 
 
+def test_clashing_columns(spark, odd):
+    """Columns named like the operators' helpers change no row and come back as they were."""
+    names = ["size", "_row", "_row2", "copy", "_copy", "_n", "_c", "kept", "quality", "_f1", "_f2", "doc", "_near_key", "_near_f1",
+             "_near_f2", "_found", "_between", "_new", "_text", "n", "row", "node", "h", "before", "rank"]
+    own = odd.columns
+    wide = odd.select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    good = wide.withColumn("text", F.concat(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(90)), lambda i: F.concat(
+        F.lit("word"), F.col("doc_id").cast("string"), F.lit("x"), i.cast("string"))), " "), F.lit(" 4111 1111 1111 1111")))
+    items = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
+    df = wide.union(good)
+    for run in (mix.mixed, quality.keep_good, near.one_of_each, lambda d: decontaminate.clean(d, items),
+                lambda d: pii.pseudonyms(d, "k")):
+        got = run(df).select(*own, *names).collect()
+        assert got and all(r[n] == f"own {n}" for r in got for n in names)
+        if run not in (mix.mixed, near.one_of_each):  # one queues by all columns; the other's copies share a row's place
+            key = lambda r: [str(r[x]) for x in own]
+            assert sorted(map(key, got)) == sorted(map(key, run(df.select(*own)).collect()))
+
+
 def test_registered():
     import __spark_entry__ as E
 

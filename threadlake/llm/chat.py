@@ -43,8 +43,8 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape_role(role: Column) -> Column:
-    plain = F.replace(F.replace(unescape(role), F.lit("\\\\"), F.lit("\0")), F.lit("\\n"), F.lit("\n"))
-    return F.replace(plain, F.lit("\0"), F.lit("\\"))
+    parts = F.split(unescape(role), r"\\\\", -1)  # at every pair of backslashes, from the left
+    return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def blocks(turns: DataFrame) -> DataFrame:

@@ -72,6 +72,13 @@ def fingerprint(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text), F.xxhash64(F.lit("second"), text)
 
 
+def packed(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """The whole rows as one struct ``doc`` beside helper columns, so that no
+    column of docs, whatever its name, meets a helper; ``select("doc.*")`` is
+    the way back."""
+    return docs.select(F.struct("*").alias("doc"), *columns)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))

@@ -19,8 +19,9 @@ and their sketch is matched against document shingles of that length.
 
 Defined cases: null or empty texts and items have no shingle and match nothing;
 equal items (and repeated rows) each match; null ids are kept as ids; rows that
-share a doc_id, or have none, are told apart by 128 bits of their text; an empty
-table gives no row.
+share a doc_id, or have none, are told apart by 128 bits of their text; other
+columns may have any name; very long texts are searched whole; an empty table gives
+no row.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import GAP, fingerprint, stored
+from threadlake.llm.common import GAP, fingerprint, packed, stored
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -155,4 +156,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     bad = stored(row_leaks(docs, benchmark, threshold).select(*[F.col(c).alias(f"_bad{c}") for c in ROW]).distinct(),
                  "leaking")
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_bad{c}")) for c in ROW])
-    return named(docs).join(bad, same, "left_anti").select(*docs.columns)
+    rows = packed(docs, "doc_id", *[f.alias(n) for n, f in zip(ROW[1:], fingerprint(F.col("text")), strict=True)])
+    return rows.join(bad, same, "left_anti").select("doc.*")

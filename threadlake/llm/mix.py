@@ -10,8 +10,10 @@ Targets: the budget is ``BUDGET`` times all words, shared by weight; a target
 stops at ``EPOCHS`` times its source's size and the excess is shared again.
 
 Defined cases: a null source is one source and comes last; a null or empty
-text has no words and is never taken; repeated rows count and queue each; an
-empty table gives no row.
+text has no words and is never taken; repeated rows count and queue each; ties in
+finish time are broken by the fingerprint of the row; very long texts queue whole;
+other columns may have any name (they enter the fingerprint); an empty table gives
+no row.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import running, stored, word_count
+from threadlake.llm.common import packed, running, stored, word_count
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -93,11 +95,13 @@ def mixed(docs: DataFrame) -> DataFrame:
     often = taken.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
     return (keyed.dropDuplicates(KEY).join(often, KEY)
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-            .select(*docs.columns))
+            .select("doc.*"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """docs with ``size`` and a 96-bit fingerprint of the whole row (KEY)."""
-    cols = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in docs.columns]
-    return (docs.withColumn("size", word_count(F.col("text")))
-            .withColumn(KEY[0], F.xxhash64(*cols)).withColumn(KEY[1], F.hash(*cols)))
+    """The rows packed, with ``size`` and a 96-bit fingerprint of the whole row
+    (KEY); hashes pass over nulls, so which columns are null is hashed too."""
+    cols = [docs[f"`{c}`"] for c in docs.columns]
+    cols = [c.cast("string") for c in cols] + [c.isNull() for c in cols]
+    return packed(docs, "doc_id", "source", word_count(F.col("text")).alias("size"),
+                  F.xxhash64(*cols).alias(KEY[0]), F.hash(*cols).alias(KEY[1]))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import fingerprint, ready, stored
+from threadlake.llm.common import fingerprint, packed, ready, stored
 from threadlake.llm.repeats import _Hashes, windows, word_hashes
 
 WIDTH = 5
@@ -262,6 +262,6 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     kept = [F.col(f"kept.{c}") for c in ("doc_id", "f1", "f2")]
     keep = stored(_joined(docs, threshold)[1].select(*[c.alias(n) for n, c in zip(names, (key(kept[0]), *kept[1:]), strict=True)])
                   .distinct(), "near-kept")
-    own = dict(zip(names, (key(F.col("doc_id")), *fingerprint(F.col("text"))), strict=True))
-    out = docs.withColumns(own).join(keep.hint("merge"), names, "left_semi")
-    return out.dropDuplicates(names).select(*docs.columns)
+    own = [c.alias(n) for n, c in zip(names, (key(F.col("doc_id")), *fingerprint(F.col("text"))), strict=True)]
+    out = packed(docs, *own).join(keep.hint("merge"), names, "left_semi")
+    return out.dropDuplicates(names).select("doc.*")

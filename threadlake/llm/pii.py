@@ -35,8 +35,8 @@ Texts are taken apart by one regular expression into what is between matches
 and the matches; only texts with a match are touched.
 
 Defined cases: null stays null, empty stays empty; what matches but fails its
-validation stays as it is; columns of other names are not read; repeated rows
-give equal results; an empty table gives no row.
+validation stays as it is; columns of other names are not read and stay, but for an
+``n_replaced``, which is replaced; repeated rows give equal results; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadlake.llm.common import packed
+
 ROUNDS = 8
 WALK = 512
 FIRST_DAY, DAYS = "1900-01-01", 73000  # 365 * 200, so up to 2099-11-13
@@ -299,13 +301,13 @@ def pseudonyms(docs: DataFrame, key: str, undo: bool = False, text: str = "text"
     touched = t.rlike("[0-9@]") & t.rlike(ANY)
     found = F.when(touched, F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
     between = F.when(touched, F.split(t, ANY, -1))
-    d = docs.withColumn("_found", found).withColumn("_between", between)
+    d = packed(docs, t.alias("_text"), found.alias("_found"), between.alias("_between"))
     d = d.withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key, undo)))
     woven = F.concat(F.array_join(F.zip_with("_between", "_new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""))
     changed = F.size(F.filter(F.arrays_zip("_found", "_new"), lambda x: x["_found"] != x["_new"]))
-    return (d.withColumn(text, F.when(F.col("_found").isNull(), t).otherwise(woven))
-            .withColumn("n_replaced", F.when(F.col("_found").isNull(), 0).otherwise(changed).cast("long"))
-            .drop("_found", "_between", "_new"))
+    out = F.when(F.col("_found").isNull(), F.col("_text")).otherwise(woven)
+    return d.select(*[out.alias(c) if c == text else F.col(f"doc.`{c}`") for c in docs.columns if c != "n_replaced"],
+                    F.when(F.col("_found").isNull(), 0).otherwise(changed).cast("long").alias("n_replaced"))
 
 
 def values(docs: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,9 @@ number of documents) reaches the driver for EM; it is counted over all rows.
 The posterior is then a sum of per-rule log ratios, a Spark expression.
 
 Defined cases: null text has no words; a document without words, or one that
-fails the base test, is rejected; an empty table gives no row and no model.
+fails the base test, is rejected; repeated rows are judged alike and count each in
+learning; a posterior of just ``KEEP_FROM`` keeps; very long texts are counted whole;
+other columns may have any name; an empty table gives no row and no model.
 """
 
 from __future__ import annotations
@@ -24,13 +26,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadlake.llm.common import ready, stored
+from threadlake.llm.common import packed, ready, stored
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 KEEP_FROM = 0.5
-#: What the votes of a rule are built for: bad votes name a defect, good ones only hint.
-ACCURACY, TRUST = (0.95, 0.85), 2.0
+#: What the votes of a rule are built for: bad votes name a defect, good ones only
+#: hint.  Every rule begins with ``MASS`` votes of that accuracy, however many rows
+#: there are; the trusted rules with ``TRUST`` for each vote that they cast.
+ACCURACY, MASS, TRUST = (0.95, 0.85), 20.0, 2.0
+TRUSTED = ("symbols",)
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_lines", "n_upper_words", "n_stress_words", "n_distinct_words")
@@ -117,19 +122,20 @@ def votes(c: Column) -> dict[str, Column]:
     }
 
 
-def learn(patterns: np.ndarray, n: np.ndarray, rounds: int = 500, tol: float = 1e-10) -> tuple[float, np.ndarray]:
+def learn(patterns: np.ndarray, n: np.ndarray, trusted: tuple[int, ...] = (), rounds: int = 500,
+          tol: float = 1e-10) -> tuple[float, np.ndarray]:
     """EM over vote patterns (rows of -1/0/1) seen ``n`` times each.
 
     The unknown is each document's class; an abstention says nothing.  Returns
     the share of good documents and the accuracy of every rule's bad and good
-    votes, an array (rule, 2).  The maximisation adds, for every vote cast,
-    ``TRUST`` votes of accuracy ``ACCURACY``: a rule that nothing agrees or
-    disagrees with keeps what it was built for, one that others contradict
-    loses weight.
+    votes (the share of those votes that are right), an array (rule, 2).  All
+    accuracies are learned, from ``MASS`` votes of ``ACCURACY`` to begin with;
+    rules in ``trusted`` anchor which class is the bad one.
     """
     cast = [patterns < 0, patterns > 0]
     good = np.where(cast[0].any(1), 0.1, 0.9)
     accuracy = np.tile(ACCURACY, (patterns.shape[1], 1))
+    anchor = np.isin(np.arange(patterns.shape[1]), trusted)
     share = float((n * good).sum() / n.sum())
     for _ in range(rounds):
         odds = math.log(share / (1 - share))
@@ -139,8 +145,8 @@ def learn(patterns: np.ndarray, n: np.ndarray, rounds: int = 500, tol: float = 1
         for side, right in ((0, 1 - good), (1, good)):
             seen = (cast[side] * n[:, None]).sum(0)
             agreed = (cast[side] * (n * right)[:, None]).sum(0)
-            ok = seen > 0
-            new[ok, side] = (agreed[ok] + TRUST * ACCURACY[side] * seen[ok]) / ((1 + TRUST) * seen[ok])
+            mass = np.where(anchor & (seen > 0), TRUST * seen, MASS)
+            new[:, side] = (agreed + mass * ACCURACY[side]) / (seen + mass)
         new_share = float(np.clip((n * good).sum() / n.sum(), 1e-4, 1 - 1e-4))
         moved = max(abs(new_share - share), float(abs(new - accuracy).max()))
         accuracy, share = new, new_share
@@ -151,9 +157,10 @@ def learn(patterns: np.ndarray, n: np.ndarray, rounds: int = 500, tol: float = 1
 
 def _weight(accuracy: np.ndarray, odds: float, sign: int) -> np.ndarray:
     """What a vote adds to the log odds of "good": the odds that it is right,
-    over the odds of its side without it; never to the other side."""
+    over the odds of its side without it.  A rule whose votes are right less
+    often than without it counts for the other side."""
     a = np.clip(accuracy, 1e-4, 1 - 1e-4)
-    return sign * np.maximum(np.log(a / (1 - a)) - odds, 0)
+    return sign * (np.log(a / (1 - a)) - odds)
 
 
 def fit(counted: DataFrame) -> dict[str, tuple[float, float]] | None:
@@ -164,7 +171,8 @@ def fit(counted: DataFrame) -> dict[str, tuple[float, float]] | None:
     if not rows:
         return None
     rows = sorted(rows, key=lambda r: [r[k] for k in v])
-    share, accuracy = learn(np.array([[r[k] for k in v] for r in rows]), np.array([float(r["n"]) for r in rows]))
+    share, accuracy = learn(np.array([[r[k] for k in v] for r in rows]), np.array([float(r["n"]) for r in rows]),
+                            tuple(i for i, k in enumerate(v) if k in TRUSTED))
     odds = math.log(share / (1 - share))
     bad, good = _weight(accuracy[:, 0], -odds, -1), _weight(accuracy[:, 1], odds, 1)
     return {"": (odds, odds)} | {k: (float(bad[i]), float(good[i])) for i, k in enumerate(v)}
@@ -196,4 +204,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that ``quality_rules`` keeps, unchanged.  The model is
     learned in a first pass over all texts; nothing is joined back by id."""
     counted = stored(with_counts(docs.select("text")).drop("text"), "quality")
-    return judged(with_counts(docs), fit(counted)).filter("kept").select(*docs.columns)
+    return judged(with_counts(packed(docs, "text")), fit(counted)).filter("kept").select("doc.*")
