@@ -168,6 +168,24 @@ def test_quality_em_without_anchor():
         assert abs(learned[k, 0] - (~good)[bad].mean()) < 0.05 and abs(learned[k, 1] - good[fine].mean()) < 0.05
 
 
+def test_quality_does_not_turn_with_the_number_of_rows(spark):
+    """Most texts are sound: the model says so for a hundred rows and for millions."""
+    rules = list(quality.votes(F.struct(*[F.lit(1).alias(c) for c in quality.COUNTS])))
+    seen = {("many_words", "varied_words"): 28642, ("varied_words",): 13175, ("too_short",): 2230,
+            ("symbols", "many_words", "varied_words"): 2183, ("symbols", "varied_words"): 1276,
+            ("repeated_words", "few_words_over_and_over", "many_words"): 1055,
+            ("repeated_words", "capitals", "stress", "many_words"): 751, ("repeated_words",): 244}
+    good = ("many_words", "varied_words")
+    patterns = np.array([[(1 if r in good else -1) if r in p else 0 for r in rules] for p in seen])
+    trusted = tuple(i for i, r in enumerate(rules) if r in quality.TRUSTED)
+    for times in (0.01, 1, 100):
+        share, accuracy = quality.learn(patterns, np.array(list(seen.values()), float) * times, trusted)
+        odds = np.log(share / (1 - share))
+        logit = (odds + (patterns < 0) @ quality._weight(accuracy[:, 0], -odds, -1)
+                 + (patterns > 0) @ quality._weight(accuracy[:, 1], odds, 1))
+        assert (logit[:2] > 0).all() and (logit[2:] < 0).all()
+
+
 def test_quality_odd(spark, odd, empty):
     assert [tuple(quality.count_text(t)[:5]) for _, t, *_ in ODD] == [brute_counts(t) for _, t, *_ in ODD]
     assert quality.quality_rules(odd).count() == len(ODD)
