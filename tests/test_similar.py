@@ -2,6 +2,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,38 @@ def test_few_comparisons_on_clusters(spark):
     assert sum(m for m, _, _ in cells.stats.values()) == 4000
 
 
+def test_a_wide_radius_leaves_a_task_in_small_batches(spark, monkeypatch):
+    """Every vector reaches every cell: the copies go out a few at a time, and
+    counting them moves no vector."""
+    monkeypatch.setattr(V, "SEND", 16 * 50)
+    x = _unit(np.random.default_rng(2).standard_normal((400, 16))).astype(np.float64)
+    ids = pa.array([{"a": i, "b": i} for i in range(400)], pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(x.tolist()), pa.array([0] * 400, pa.int32())], ["vid", "vec", "cell"])
+    d = V._distances(x, x[:20])
+    parts = list(V._sent(batch, d, np.ones(d.shape, bool)))
+    assert max(p.num_rows for p in parts) == 50 and sum(p.num_rows for p in parts) == 400 * 20
+    _, vectors = V.distinct_vectors(_table(spark, x), 5)
+    cells = V.cells_of(vectors.persist(), 400, 2.0)
+    assert cells.comparisons == 400 ** 2 and cells.reach.count() == 400 * len(cells.stats)
+
+
+def test_lsh_with_wide_buckets_is_joined_in_blocks(spark):
+    """Two buckets a table hold half of the vectors each: the pairs of one bucket
+    are compared by blocks, and the rows are those of a join by bucket."""
+    rng = np.random.default_rng(6)
+    x = np.vstack([_clustered(rng, 500, dims=32), np.repeat(_clustered(rng, 2, dims=32), 20, 0)])
+    wide = V.wire_similar_lsh(_table(spark, x), k=3, threshold=0.4)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+    share, V.SELECTIVE = V.SELECTIVE, 2.0 * 6
+    try:
+        by_bucket = V.wire_similar_lsh(_table(spark, x), k=3, threshold=0.4)
+        assert "FlatMapCoGroupsInArrow" not in by_bucket._jdf.queryExecution().executedPlan().toString()
+    finally:
+        V.SELECTIVE = share
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, by_bucket.collect())) and wide.count() > 500
+
+
 @pytest.mark.parametrize("block", [4096, 4, 1])
 def test_knn(spark, block):
     rng = np.random.default_rng(9)

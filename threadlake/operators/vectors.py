@@ -291,7 +291,12 @@ def knn(queries: DataFrame, vecs: DataFrame, k: int, chunk: int = 2048, block: i
 PIVOTS, PER_PIVOT = 256, 8
 #: Share of all pairs from which cells do not pay.
 WORTH = 0.5
+#: Vectors of a block on either side of the join, scores that its task holds at a
+#: time, and numbers that leave a task in one batch.
+BLOCK, PART, SEND = 32_768, 1_000_000, 2_000_000
 SLACK = 1e-6  # of bounds against rounding
+#: Pairs that share an LSH bucket, as a share of all, up to which they are joined by it.
+SELECTIVE = 0.02
 
 
 def distinct_vectors(vecs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -319,6 +324,17 @@ def choose_pivots(vectors: DataFrame, n: int, most: int = PIVOTS) -> np.ndarray:
     return x[chosen]
 
 
+def _matrix(column) -> np.ndarray:
+    """A list column as rows of numbers, without a Python object for each."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    n = len(column)
+    if n and not column.null_count:
+        size = column.value_lengths().to_numpy(zero_copy_only=False)
+        if size[0] and (size == size[0]).all():
+            return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+    return np.array(column.to_pylist(), np.float64)
+
+
 def _distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     d2 = (v * v).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2.0 * (v @ pivots.T)
     return np.sqrt(np.maximum(d2, 0.0))
@@ -339,6 +355,17 @@ class Cells:
         return sum(m * r for m, r, _ in self.stats.values())
 
 
+def _sent(b: pa.RecordBatch, d: np.ndarray, ok: np.ndarray):
+    """A row for every cell that a vector of a batch reaches, in batches of at
+    most ``SEND`` numbers: a wide radius reaches nearly all cells."""
+    row, cell = np.nonzero(ok)
+    step = max(1, SEND // max(1, len(b.column(1)[0])))
+    for s in range(0, len(row), step):
+        at, to = row[s:s + step], cell[s:s + step]
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)),
+                                          pa.array(to, pa.int32()), pa.array(d[at, to])], ["vid", "vec", "cell", "away"])
+
+
 def cells_of(vectors: DataFrame, n: int, radius: float) -> Cells:
     """Cells around pivots.  For x in the cell of p and any y within ``radius``:
     |y - p| <= the cell's radius + ``radius``, and, as x is nearer to p than to
@@ -349,7 +376,7 @@ def cells_of(vectors: DataFrame, n: int, radius: float) -> Cells:
     def home(batches):
         for b in batches:
             if b.num_rows:
-                d = _distances(np.array(b.column(1).to_pylist(), np.float64), pivots)
+                d = _distances(_matrix(b.column(1)), pivots)
                 cell = d.argmin(1)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cell, pa.int32()),
                                                   pa.array(d[np.arange(len(d)), cell])], ["vid", "vec", "cell", "away"])
@@ -361,60 +388,101 @@ def cells_of(vectors: DataFrame, n: int, radius: float) -> Cells:
     for c, (_, far) in sizes.items():
         reached[c] = far + radius + SLACK
 
+    def within(b):
+        """Distances of a batch from the pivots, and which cells it may reach."""
+        d = _distances(_matrix(b.column(1)), pivots)
+        own = b.column(2).to_numpy()
+        ok = (d <= reached) & (d - d[np.arange(len(d)), own][:, None] <= 2 * radius + SLACK)
+        ok[np.arange(len(d)), own] = True
+        return d, ok
+
+    def tally(batches):
+        n = np.zeros(len(pivots), np.int64)
+        for b in batches:
+            if b.num_rows:
+                n += within(b)[1].sum(0)
+        cell = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(n[cell])], ["cell", "n"])
+
     def reach(batches):
         for b in batches:
             if b.num_rows:
-                d = _distances(np.array(b.column(1).to_pylist(), np.float64), pivots)
-                own = b.column(2).to_numpy()
-                ok = (d <= reached) & (d - d[np.arange(len(d)), own][:, None] <= 2 * radius + SLACK)
-                ok[np.arange(len(d)), own] = True
-                row, cell = np.nonzero(ok)
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(at), b.column(1).take(at), pa.array(cell, pa.int32()), pa.array(d[row, cell])],
-                    ["vid", "vec", "cell", "away"])
+                d, ok = within(b)
+                yield from _sent(b, d, ok)
 
+    # counted without a vector leaving its task: whether cells pay is not known yet
+    counts = dict(members.mapInArrow(tally, "cell int, n long").groupBy("cell").agg(F.sum("n")).collect())
     reaching = members.mapInArrow(reach, f"{kind}, cell int, away double")
-    counts = dict(reaching.groupBy("cell").count().collect())
     return Cells(members, reaching, {c: (m, counts[c], far) for c, (m, far) in sizes.items()})
 
 
-def _near_scorer(k: int, threshold: float):
+def _near_scorer(k: int, threshold: float, hashed: bool = False):
     """Pairs of one block of a cell: both sides sorted by their distance from
     the pivot, so each vector meets only those whose distance differs by the
-    radius at most."""
+    radius at most.  They meet a part at a time, and what fails the best k so far
+    goes at once, so a task holds ``PART`` scores and the best of its rows.  With
+    ``hashed`` only vectors that share one of their ``hashes`` are a pair."""
     radius = math.sqrt(max(0.0, 2.0 * (1.0 - threshold)))
     kind = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+    least = threshold - 1e-9
+    tall = math.isqrt(PART) // 2
+
+    def best(lv, la, rv, ra, lh, rh):
+        """(row, column) pairs of a few left rows: the best k of each, ties kept."""
+        lo = np.searchsorted(ra, la[0] - radius - SLACK)
+        hi = np.searchsorted(ra, la[-1] + radius + SLACK, "right")
+        norms, at, to, near = (lv * lv).sum(1), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        floor = np.full(len(lv), least)
+        for s in range(lo, hi, 2 * tall * 2):
+            w = rv[s:min(hi, s + 2 * tall * 2)]
+            approx = 1.0 - (norms[:, None] + (w * w).sum(1)[None, :] - 2.0 * (lv @ w.T)) / 2.0  # only to pick candidates
+            keep = approx >= floor[:, None]
+            if keep.sum() > keep.size // 20 and len(w) > k:  # many: cut before they are listed
+                if hashed:
+                    same = np.zeros(keep.shape, bool)
+                    for h in range(lh.shape[1]):
+                        same |= lh[:, h][:, None] == rh[s:s + len(w), h][None, :]
+                    keep &= same
+                kth = np.partition(np.where(keep, approx, -np.inf), len(w) - k, axis=1)[:, len(w) - k]
+                keep &= approx >= (kth - 2e-9)[:, None]
+            i, j = np.nonzero(keep)
+            if hashed:
+                ok = (lh[i] == rh[s + j]).any(1)
+                i, j = i[ok], j[ok]
+            if not len(i):
+                continue
+            at, to, near = np.concatenate([at, i]), np.concatenate([to, s + j]), np.concatenate([near, approx[i, j]])
+            order = np.lexsort((-near, at))
+            at, to, near = at[order], to[order], near[order]
+            full = np.flatnonzero(np.bincount(at, minlength=len(lv)) >= k)
+            floor[full] = np.maximum(least, near[np.searchsorted(at, full) + k - 1] - 2e-9)
+            stay = near >= floor[at]
+            at, to, near = at[stay], to[stay], near[stay]
+        d2 = np.concatenate([((lv[at[x:x + tall]] - rv[to[x:x + tall]]) ** 2).sum(1) for x in range(0, len(at), tall)] or [np.zeros(0)])
+        cos = 1.0 - d2 / 2.0
+        ok = cos >= threshold
+        if hashed:
+            ok &= np.sqrt(d2) < radius
+        return at[ok], to[ok], cos[ok]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         if left.num_rows and right.num_rows:
             left, right = left.sort_by("away"), right.sort_by("away")
-            lv, rv = (np.array(t.column("vec").to_pylist(), np.float64) for t in (left, right))
+            lv, rv = _matrix(left.column("vec")), _matrix(right.column("vec"))
             la, ra = left.column("away").to_numpy(), right.column("away").to_numpy()
-            for s in range(0, len(lv), 256):
-                v = lv[s:s + 256]
-                lo = np.searchsorted(ra, la[s] - radius - SLACK)
-                hi = np.searchsorted(ra, la[min(s + 255, len(la) - 1)] + radius + SLACK, "right")
-                if lo == hi:
-                    continue
-                w = rv[lo:hi]
-                approx = 1.0 - ((v * v).sum(1)[:, None] + (w * w).sum(1)[None, :] - 2.0 * (v @ w.T)) / 2.0
-                keep = approx >= threshold - 1e-9
-                if len(w) > k:
-                    kth = np.partition(np.where(keep, approx, -np.inf), len(w) - k, axis=1)[:, len(w) - k]
-                    keep &= approx >= (kth - 2e-9)[:, None]
-                li, ri = np.nonzero(keep)
-                cos = 1.0 - ((v[li] - w[ri]) ** 2).sum(1) / 2.0
-                ok = cos >= threshold
-                out.append((s + li[ok], lo + ri[ok], cos[ok]))
+            lh, rh = (_matrix(t.column("hashes")).astype(np.int64) if hashed else None for t in (left, right))
+            for s in range(0, len(lv), tall):
+                e = s + tall
+                i, j, cos = best(lv[s:e], la[s:e], rv, ra, lh[s:e] if hashed else None, rh)
+                out.append((s + i, j, cos))
         li, ri, cos = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
         ids = lambda t, i: t.column("vid").combine_chunks().cast(kind).take(pa.array(i))
         return pa.table({"l": ids(left, li), "r": ids(right, ri), "cos": pa.array(cos)})
     return score
 
 
-def _cell_pairs(cells: Cells, k: int, threshold: float, chunk: int) -> DataFrame:
+def _cell_pairs(cells: Cells, k: int, threshold: float, chunk: int, hashed: bool = False) -> DataFrame:
     """(l, r, cos) over the cells; a cell of many vectors is cut into blocks on
     both sides, every pair of blocks being a task's work of bounded size."""
     blocks = {c: (max(1, math.ceil(m / chunk)), max(1, math.ceil(r / chunk))) for c, (m, r, _) in cells.stats.items()}
@@ -422,22 +490,24 @@ def _cell_pairs(cells: Cells, k: int, threshold: float, chunk: int) -> DataFrame
     cut = F.split(table[F.col("cell")], ",")
     a, b = cut[0].cast("int"), cut[1].cast("int")
     part = lambda n: F.pmod(F.xxhash64("vid.b", "vid.a"), n).cast("int")
-    left = cells.members.select("vid", "vec", "away", "cell", part(a).alias("i"),
-                                F.explode(F.sequence(F.lit(0), b - 1)).alias("j"))
-    right = cells.reach.select("vid", "vec", "away", "cell", part(b).alias("j"),
-                               F.explode(F.sequence(F.lit(0), a - 1)).alias("i"))
+    # named anew: both sides may be one table
+    given = [F.col(c).alias(c) for c in ("vid", "vec", "away", "cell", *(["hashes"] if hashed else []))]
+    left = cells.members.select(*given, part(a).alias("i"), F.explode(F.sequence(F.lit(0), b - 1)).alias("j"))
+    right = cells.reach.select(*given, part(b).alias("j"), F.explode(F.sequence(F.lit(0), a - 1)).alias("i"))
     return (left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j"))
-            .applyInArrow(_near_scorer(k, threshold), "l struct<a:bigint,b:bigint>, r struct<a:bigint,b:bigint>, cos double"))
+            .applyInArrow(_near_scorer(k, threshold, hashed), "l struct<a:bigint,b:bigint>, r struct<a:bigint,b:bigint>, cos double"))
 
 
-def _all_pairs(vectors: DataFrame, k: int, threshold: float, chunk: int) -> DataFrame:
-    side = vectors.select(F.concat_ws(",", "vid.a", "vid.b").alias("sid"), F.lit(0).alias("tid"), "vec")
-    back = lambda c: F.struct(F.split(c, ",")[0].cast("long").alias("a"), F.split(c, ",")[1].cast("long").alias("b"))
-    return block_similarity(side, side, k, threshold, chunk).select(
-        back("l_session_id").alias("l"), back("r_session_id").alias("r"), "cos")
+def _all_pairs(vectors: DataFrame, n: int, k: int, threshold: float, chunk: int, hashed: bool = False) -> DataFrame:
+    """All vectors in one cell: every block meets every block.  A few vectors are
+    cut in so many blocks that all cores have work."""
+    spread = math.isqrt(4 * vectors.sparkSession.sparkContext.defaultParallelism) + 1
+    chunk = max(1, min(chunk, max(math.ceil(n / spread), 256)))
+    side = vectors.withColumns({"cell": F.lit(0), "away": F.lit(0.0)})
+    return _cell_pairs(Cells(side, side, {0: (n, n, 0.0)}), k, threshold, chunk, hashed)
 
 
-def similar_pairs(vecs: DataFrame, k: int = 5, threshold: float = 0.85, chunk: int = 2048) -> DataFrame:
+def similar_pairs(vecs: DataFrame, k: int = 5, threshold: float = 0.85, chunk: int = BLOCK) -> DataFrame:
     """The k nearest other vectors of every vector among those with
     cos ≥ threshold, ties by key.
 
@@ -454,7 +524,16 @@ def similar_pairs(vecs: DataFrame, k: int = 5, threshold: float = 0.85, chunk: i
         if cells.comparisons <= WORTH * n * n:
             pairs = _cell_pairs(cells, k + 1, threshold, chunk)
     if pairs is None:
-        pairs = _all_pairs(vectors, k + 1, threshold, chunk)
+        pairs = _all_pairs(vectors, n, k + 1, threshold, chunk)
+    return _best_rows(rows, vectors, pairs, k)
+
+
+def _best_rows(rows: DataFrame, vectors: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """The k best other rows of every row, from pairs (l, r, cos) of vectors.
+    Every vector has a row, so one behind k + 1 others has none to give; only the
+    best meet the rows."""
+    ahead = Window.partitionBy("l").orderBy(F.round("cos", 9).desc())
+    pairs = pairs.withColumn("_ahead", F.rank().over(ahead)).filter(F.col("_ahead") <= k + 1).drop("_ahead")
     target = vectors.select(F.col("vid").alias("r"), F.explode("rows").alias("dst"))
     w = Window.partitionBy("l").orderBy(F.round("cos", 9).desc(), "dst.sid", "dst.tid")
     best = pairs.join(target, "r").withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k + 1)
@@ -478,7 +557,7 @@ def exclude_temporal(pairs: DataFrame, temporal: DataFrame | None) -> DataFrame:
 
 
 def wire_similar(vecs: DataFrame, temporal: DataFrame | None = None, k: int = 5,
-                 threshold: float = 0.85, chunk: int = 2048) -> DataFrame:
+                 threshold: float = 0.85, chunk: int = BLOCK) -> DataFrame:
     """V5: directed SIMILAR_TO edges, TEMPORAL pairs (either direction)
     excluded (J5), weight = round(cos, 6).  Full rebuild."""
     p = exclude_temporal(similar_pairs(vecs, k, threshold, chunk), temporal)
@@ -493,26 +572,28 @@ def wire_similar_lsh(vecs: DataFrame, temporal: DataFrame | None = None, k: int
     (L2 ≤ sqrt(2·(1−threshold))), then the same top-(k+1) rule.  Recall is not
     guaranteed; its output is a subset of the exact edges."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    v = vecs.select(*KEY, array_to_vector(F.col("embedding")).alias("features"))
-    v = cut_lineage(v)
+    rows, vectors = distinct_vectors(vecs, k)  # copies share all their buckets
+    v = cut_lineage(vectors.withColumn("features", array_to_vector("vec")))
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes",
                                       bucketLength=bucket_length, numHashTables=num_tables, seed=7)
     model = lsh.fit(v)
     radius = math.sqrt(max(0.0, 2.0 * (1.0 - threshold)))
-    j = model.approxSimilarityJoin(v, v, radius, distCol="dist")
-    p = j.select(F.col("datasetA.session_id").alias("src_session_id"), F.col("datasetA.turn_idx").alias("src_turn_idx"),
-                 F.col("datasetB.session_id").alias("dst_session_id"), F.col("datasetB.turn_idx").alias("dst_turn_idx"),
-                 (1.0 - F.col("dist") * F.col("dist") / 2.0).alias("cos"))
-    is_self = (F.col("src_session_id") == F.col("dst_session_id")) & (F.col("src_turn_idx") == F.col("dst_turn_idx"))
-    w = Window.partitionBy("src_session_id", "src_turn_idx").orderBy(
-        F.round("cos", 9).desc(), (~is_self).cast("int"), "dst_session_id", "dst_turn_idx")
-    r = p.filter(F.col("cos") >= threshold).withColumn("_rank", F.row_number().over(w))
-    r = exclude_temporal(r.filter((F.col("_rank") <= k + 1) & ~is_self), temporal)
-    return (r
-            .select("src_session_id", "src_turn_idx", "dst_session_id", "dst_turn_idx",
-                    F.lit("SIMILAR_TO").alias("edge_type"), F.round("cos", 6).alias("weight")))
+    marked = cut_lineage(model.transform(v).select("vid", "vec", F.transform(
+        "hashes", lambda h: vector_to_array(h)[0].cast("long")).alias("hashes")))
+    n = marked.count()
+    met = (marked.select(F.posexplode("hashes").alias("table", "bucket")).groupBy("table", "bucket").count()
+           .agg(F.sum(F.col("count").cast("double") * F.col("count"))).first()[0] or 0.0)
+    if met <= SELECTIVE * n * n:  # small buckets: joined by bucket
+        j = model.approxSimilarityJoin(v, v, radius, distCol="dist")
+        pairs = j.select(F.col("datasetA.vid").alias("l"), F.col("datasetB.vid").alias("r"),
+                         (1.0 - F.col("dist") * F.col("dist") / 2.0).alias("cos")).filter(F.col("cos") >= threshold)
+    else:  # buckets that hold a good part of all vectors: block by block, those of one bucket count
+        pairs = _all_pairs(marked, n, k + 1, threshold, BLOCK, hashed=True)
+    p = exclude_temporal(_best_rows(rows, v, pairs, k), temporal)
+    return p.select("src_session_id", "src_turn_idx", "dst_session_id", "dst_turn_idx",
+                    F.lit("SIMILAR_TO").alias("edge_type"), F.round("cos", 6).alias("weight"))
 
 
 def centroids(df: DataFrame, group: str, vec: str) -> DataFrame:
