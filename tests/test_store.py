@@ -101,6 +101,24 @@ spark.stop()
 """
 
 
+def test_many_changed_files_are_picked_from_one_listing(spark, tmp_path):
+    """More changed files than are listed one by one: the folder is listed once,
+    and the other files are not opened."""
+    root = tmp_path / "many"
+    for i in range(60):
+        (root / "n1" / "it's p").mkdir(parents=True, exist_ok=True)
+        (root / "n1" / "it's p" / f"s {i}.jsonl").write_text('{"type": "user"}\n')
+    files = J.list_files(spark, str(root), per_node_dirs=True)
+    changed = files.filter(F.regexp_extract("session_id", r"(\d+)", 1).cast("int") < 40)
+    lines = J.read_changed(spark, str(root), changed, per_node_dirs=True)
+    assert sorted(r["session_id"] for r in lines.collect()) == sorted(f"s {i}" for i in range(40))
+    scan = lines._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.relation().location().rootPaths().size() == 1
+    assert scan.metrics().apply("numFiles").value() == 40
+    every = J.read_changed(spark, str(root), files, per_node_dirs=True, every=True)
+    assert every.count() == 60
+
+
 def test_second_run_reads_no_content(tmp_path):
     """By the event log: the text scan of the first run reads the files, the
     second run has no text scan."""
