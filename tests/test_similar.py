@@ -109,6 +109,17 @@ def test_lsh_with_wide_buckets_is_joined_in_blocks(spark):
     assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, by_bucket.collect())) and wide.count() > 500
 
 
+def test_lsh_with_repeated_keys(spark):
+    """A row given twice counts once; two vectors of one turn share its places."""
+    x = _clustered(np.random.default_rng(8), 60, clusters=2, dims=8)
+    rows = [(f"s{i}", 0, [float(c) for c in v]) for i, v in enumerate(x)]
+    rows += rows[:5] + [("s7", 0, [float(c) for c in x[9]])]
+    got = V.wire_similar_lsh(spark.createDataFrame(rows, "session_id string, turn_idx int, embedding array<float>"), k=3,
+                             threshold=0.4).collect()
+    assert sum(r["src_session_id"] == "s0" for r in got) == 3
+    assert sum(r["src_session_id"] == "s7" for r in got) <= 3  # its own rows take places
+
+
 @pytest.mark.parametrize("block", [4096, 4, 1])
 def test_knn(spark, block):
     rng = np.random.default_rng(9)

@@ -528,18 +528,22 @@ def similar_pairs(vecs: DataFrame, k: int = 5, threshold: float = 0.85, chunk: i
     return _best_rows(rows, vectors, pairs, k)
 
 
-def _best_rows(rows: DataFrame, vectors: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """The k best other rows of every row, from pairs (l, r, cos) of vectors.
-    Every vector has a row, so one behind k + 1 others has none to give; only the
-    best meet the rows."""
+def _best_of_vectors(vectors: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(vid, best): the first k + 1 rows that a vector meets in pairs (l, r, cos),
+    with their rank.  Every vector has a row, so one behind k + 1 others has none
+    to give; only the best meet the rows."""
     ahead = Window.partitionBy("l").orderBy(F.round("cos", 9).desc())
     pairs = pairs.withColumn("_ahead", F.rank().over(ahead)).filter(F.col("_ahead") <= k + 1).drop("_ahead")
     target = vectors.select(F.col("vid").alias("r"), F.explode("rows").alias("dst"))
     w = Window.partitionBy("l").orderBy(F.round("cos", 9).desc(), "dst.sid", "dst.tid")
     best = pairs.join(target, "r").withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k + 1)
-    best = best.groupBy("l").agg(F.array_sort(F.collect_list(F.struct("_rank", "dst", "cos"))).alias("best"))
+    return best.groupBy(F.col("l").alias("vid")).agg(F.array_sort(F.collect_list(F.struct("_rank", "dst", "cos", "r"))).alias("best"))
+
+
+def _best_rows(rows: DataFrame, vectors: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """The k best other rows of every row, from pairs of vectors."""
     others = F.filter("best", lambda x: ~((x["dst"]["sid"] == F.col("sid")) & (x["dst"]["tid"] == F.col("tid"))))
-    got = rows.join(best.withColumnRenamed("l", "vid"), "vid").select("sid", "tid", F.explode(F.slice(others, 1, k)).alias("x"))
+    got = rows.join(_best_of_vectors(vectors, pairs, k), "vid").select("sid", "tid", F.explode(F.slice(others, 1, k)).alias("x"))
     return got.select(F.col("sid").alias("src_session_id"), F.col("tid").alias("src_turn_idx"),
                       F.col("x.dst.sid").alias("dst_session_id"), F.col("x.dst.tid").alias("dst_turn_idx"),
                       F.col("x.cos").alias("cos"))
@@ -574,7 +578,8 @@ def wire_similar_lsh(vecs: DataFrame, temporal: DataFrame | None = None, k: int
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    rows, vectors = distinct_vectors(vecs, k)  # copies share all their buckets
+    # a row counts once, copies of a vector share all their buckets
+    rows, vectors = distinct_vectors(vecs.select(*KEY, "embedding").distinct(), k)
     v = cut_lineage(vectors.withColumn("features", array_to_vector("vec")))
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes",
                                       bucketLength=bucket_length, numHashTables=num_tables, seed=7)
@@ -591,8 +596,18 @@ def wire_similar_lsh(vecs: DataFrame, temporal: DataFrame | None = None, k: int
                          (1.0 - F.col("dist") * F.col("dist") / 2.0).alias("cos")).filter(F.col("cos") >= threshold)
     else:  # buckets that hold a good part of all vectors: block by block, those of one bucket count
         pairs = _all_pairs(marked, n, k + 1, threshold, BLOCK, hashed=True)
-    p = exclude_temporal(_best_rows(rows, v, pairs, k), temporal)
-    return p.select("src_session_id", "src_turn_idx", "dst_session_id", "dst_turn_idx",
+    # ranked by turn, whichever vector of it a pair has; its own rows come first
+    src = [F.col("sid").alias("src_session_id"), F.col("tid").alias("src_turn_idx")]
+    met = rows.join(_best_of_vectors(v, pairs, k), "vid").select("vid", "sid", "tid", F.explode("best").alias("x"))
+    met = met.filter(~((F.col("x.r") == F.col("vid")) & (F.col("x.dst.sid") == F.col("sid")) & (F.col("x.dst.tid") == F.col("tid"))))
+    p = met.select(*src, F.col("x.dst.sid").alias("dst_session_id"), F.col("x.dst.tid").alias("dst_turn_idx"), F.col("x.cos").alias("cos"))
+    p = p.unionByName(rows.select(*src, F.col("sid").alias("dst_session_id"), F.col("tid").alias("dst_turn_idx"), F.lit(1.0).alias("cos")))
+    is_self = (F.col("src_session_id") == F.col("dst_session_id")) & (F.col("src_turn_idx") == F.col("dst_turn_idx"))
+    w = Window.partitionBy("src_session_id", "src_turn_idx").orderBy(
+        F.round("cos", 9).desc(), (~is_self).cast("int"), "dst_session_id", "dst_turn_idx")
+    r = p.withColumn("_rank", F.row_number().over(w))
+    r = exclude_temporal(r.filter((F.col("_rank") <= k + 1) & ~is_self), temporal)
+    return r.select("src_session_id", "src_turn_idx", "dst_session_id", "dst_turn_idx",
                     F.lit("SIMILAR_TO").alias("edge_type"), F.round("cos", 6).alias("weight"))
 
 
