@@ -546,6 +546,36 @@ def test_block_max_is_exact(monkeypatch):
             assert np.allclose(every[place], score)
 
 
+def test_frequent_terms_are_not_walked(monkeypatch):
+    """Postings of terms that many examples hold are added for many texts at
+    once, and no text walks through whole examples; the neighbours are exact."""
+    rng = np.random.default_rng(4)
+    common = [f"c{chr(97 + i)}" for i in range(26)]
+    rare = [f"r{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
+    draw = lambda: " ".join([*rng.choice(common, 20), *rng.choice(rare, 3)])
+    index = tox_index([draw() for _ in range(600)], [int(x) for x in rng.random(600) < 0.4])
+    full = np.zeros((600, len(index.words.vocabulary)))
+    for i, (a, b) in enumerate(zip(index.start[:-1], index.start[1:], strict=True)):
+        full[i, index.at[a:b]] = index.w[a:b]
+    walked = []
+    ranges = toxicity._ranges
+
+    def seen(start, which, value):
+        got = ranges(start, which, value)
+        walked.append(len(got[0]))
+        return got
+
+    monkeypatch.setattr(toxicity, "_ranges", seen)
+    texts = [draw() for _ in range(100)] + ["", None, "nowhere"]
+    for text, (score, ids, cosines) in zip(texts, index.scores(texts), strict=True):
+        at, w = index.words.vector(text)
+        every = full[:, at] @ w
+        best = np.sort(every)[::-1][:toxicity.NEAREST]
+        place = [index.ids.index(i) for i in ids]
+        assert 0 <= score <= 1 and np.allclose(cosines, best[best > 0]) and np.allclose(every[place], cosines)
+    assert sum(walked) < 100 * 600  # before: more than ten postings per example and text
+
+
 def test_calibration_looks_past_copies():
     """An example with hundreds of equals still has NEAREST other neighbours."""
     texts = ["ta tb"] * 300 + [f"ta tb t{chr(99 + i)}" for i in range(24)]

@@ -16,10 +16,12 @@ Learning (labels of the training rows only):
 * Index: postings of every term of every example, in blocks of ``BLOCK`` similar
   examples, with the greatest weight per (term, block).
 
-Scoring one text, whole: its strongest terms are added up over their postings;
-block maxima bound what the other terms can still add to an example; examples
-that can reach the ``NEAREST`` best are finished.  More terms are added first
-while such examples are many.  The result is exact.  A term that no example
+Scoring one text, whole: the most frequent terms, which hold most postings, are
+added up as rows of numbers, for many texts in one matrix product (in single
+precision, with a bound on what rounding can hide); the strongest others over
+their postings; block maxima bound what the rest can still add to an example;
+examples that can reach the ``NEAREST`` best are finished.  More terms are added
+first while such examples are many.  The result is exact.  A term that no example
 holds counts in the text's length as one seen in one other training text.  The
 neighbours vote with their cosine, and a logistic curve fitted on the examples
 (each without itself and its copies) turns the vote into a probability.
@@ -38,8 +40,9 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pandas as pd
@@ -50,6 +53,8 @@ from pyspark.sql import functions as F
 from threadlake.llm.common import ready, stored
 
 STEMS = (4, 5)
+#: Terms of a word at most.
+WIDTH = 1 + len(STEMS)
 #: Texts without a label that every term is taken to be in, besides those counted.
 DOUBT = 2.0
 #: Information of a term that leans to no label, in nats: no term is dropped.
@@ -57,21 +62,38 @@ LEAST = 1e-6
 EXAMPLES = 4096
 BLOCK = 64
 NEAREST = 16
-#: Terms added up first, and examples finished one by one at most before more are.
-FIRST, FINISH = 128, 128
-#: Words whose terms a task remembers.
-REMEMBER = 200_000
+#: Other terms added up first, and examples finished one by one at most before more are.
+FIRST, FINISH = 512, 128
+#: Terms with a row over all examples at most, the share of them (one in ...) that
+#: hold such a term, and texts that are multiplied at once.
+FREQUENT, ONE_IN, TOGETHER = 1024, 16, 64
+#: Rounding of a sum of ``FREQUENT`` products, none below 0: at most this part of it.
+ROUNDING = (FREQUENT + 8) * 2.0 ** -24
+#: Words whose terms a task remembers, terms that it counts before it passes them on.
+REMEMBER, COUNTED = 200_000, 500_000
 #: Labels (16 bytes each) that are broadcast at most.
 BROADCAST_LABELS = 1_000_000
 PRIOR_WEIGHT = 0.25
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: The same for texts of ASCII alone: what is no letter becomes a space.
+_GAPS = {i: " " for i in range(128) if not _WORD.match(chr(i))}
+
+
+def words_of(text: str | None) -> list[str]:
+    """The lower-cased words of a text."""
+    text = (text or "").lower()
+    return text.translate(_GAPS).split() if text.isascii() else _WORD.findall(text)
 
 
 def terms(word: str) -> list[str]:
     """A lower-cased word and its beginnings."""
-    return [word, *[word[:k] + "*" for k in STEMS if len(word) > k]]
+    out, n = [word], len(word)
+    for k in STEMS:
+        if n > k:
+            out.append(word[:k] + "*")
+    return out
 
 
 def term_weights(clean: np.ndarray, toxic: np.ndarray, n: dict[int, int]) -> np.ndarray:
@@ -83,47 +105,66 @@ def term_weights(clean: np.ndarray, toxic: np.ndarray, n: dict[int, int]) -> np.
     return idf * np.maximum(p * np.log(2 * p) + (1 - p) * np.log(2 * (1 - p)), LEAST)
 
 
+class Numbers(dict):
+    """Word → its place in a list of the numbers of its terms (-1: no more).  A
+    term that is not in the vocabulary gets the next number."""
+
+    def __init__(self, vocabulary: list[str]):
+        self.term = {t: i for i, t in enumerate(vocabulary)}
+        self.list = array("i")
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        term, add = self.term, self.list.append
+        got = terms(word)
+        for t in got:
+            i = term.get(t)
+            if i is None:
+                i = term[t] = len(term)
+            add(i)
+        for _ in range(WIDTH - len(got)):
+            add(-1)
+        return place
+
+    def of(self, words: Collection[str]) -> np.ndarray:
+        """A row of term numbers per word."""
+        place = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.frombuffer(self.list, np.int32).reshape(-1, WIDTH)[place]
+
+
 class Terms:
     """Numbers and weights of the examples' terms; texts to sparse vectors."""
 
     def __init__(self, vocabulary: list[str], weight: np.ndarray, unseen: float):
         self.vocabulary, self.weight, self.unseen = vocabulary, weight, unseen
-        self._at: dict[str, int] | None = None
-        self._known: dict[str, list[int]] = {}
+        self._numbers: Numbers | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_at": None, "_known": {}}
-
-    def _of(self, word: str) -> list[int]:
-        if self._at is None:
-            self._at = {t: i for i, t in enumerate(self.vocabulary)}
-        if len(self._known) > REMEMBER:
-            self._known.clear()
-        got = self._known[word] = [self._at.get(t, -1) for t in terms(word)]
-        return got
+        return self.__dict__ | {"_numbers": None}
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers, rising, and weights of a text's vector of length 1; what
         no example holds is in the length only."""
-        words = Counter(_WORD.findall((text or "").lower()))
-        known, at, times, new = self._known, [], [], Counter()
-        for word, n in words.items():
-            for k, i in enumerate(known.get(word) or self._of(word)):
-                if i >= 0:
-                    at.append(i)
-                    times.append(n)
-                else:
-                    new[terms(word)[k]] += n
-        if not at:
+        words = Counter(words_of(text))
+        if self._numbers is None or len(self._numbers) > REMEMBER:
+            self._numbers = Numbers(self.vocabulary)
+        at = self._numbers.of(words)
+        times = np.repeat(np.fromiter(words.values(), float, len(words)), WIDTH)
+        at = at.ravel()
+        some = at >= 0
+        at, which = np.unique(at[some], return_inverse=True)
+        n = 1 + np.log(np.bincount(which, times[some]))
+        held = np.searchsorted(at, len(self.vocabulary))
+        if not held:
             return np.zeros(0, np.int32), np.zeros(0)
-        at, which = np.unique(np.array(at, np.int32), return_inverse=True)
-        w = (1 + np.log(np.bincount(which, times))) * self.weight[at]
-        other = (1 + np.log(np.array(list(new.values()), float))) * self.unseen
-        return at, w / math.sqrt(float(w @ w) + float(other @ other))
+        w = n[:held] * self.weight[at[:held]]
+        # by size: the numbers of new terms depend on the texts before
+        other = np.sort(n[held:]) * self.unseen
+        return at[:held], w / math.sqrt(float(w @ w) + float(other @ other))
 
 
 class Index:
-    """Block-max inverted index over bounded examples."""
+    """Block-max inverted index over bounded examples, frequent terms as rows."""
 
     def __init__(self, words: Terms, vectors: list[tuple[np.ndarray, np.ndarray]], label: list[int], ids: list, prior: float):
         # neighbours in this order share their strongest term: tight block maxima
@@ -144,13 +185,23 @@ class Index:
         place = np.repeat(np.arange(len(self.y), dtype=np.int32), np.diff(self.start))
         by = np.argsort(self.at, kind="stable")  # by term, then by place
         term = self.at[by]
-        self.place, self.pw = place[by], self.w[by]
+        self.place, self.pw = place[by].astype(np.int64), self.w[by]
         n = len(self.words.vocabulary)
         self.pstart = np.searchsorted(term, np.arange(n + 1))
+        # rows of the frequent terms: weights over all examples
+        held = np.diff(self.pstart)
+        often = np.argsort(-held, kind="stable")[:FREQUENT]
+        often = often[held[often] * ONE_IN >= max(1, len(self.y))]
+        self.row = np.full(n, -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.rows = np.zeros((len(often), len(self.y)), np.float32)
+        for r, t in enumerate(often):
+            p = slice(self.pstart[t], self.pstart[t + 1])
+            self.rows[r, self.place[p]] = self.pw[p]
         # greatest weight per (term, block)
         block = self.place // BLOCK
         new = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])])) if len(term) else []
-        self.block = block[new]
+        self.block = block[new].astype(np.int64)
         self.peak = np.maximum.reduceat(self.pw, new) if len(new) else np.zeros(0, np.float32)
         self.bstart = np.searchsorted(term[new], np.arange(n + 1))
         self.most = np.zeros(n)
@@ -159,40 +210,57 @@ class Index:
         self.blocks = -(-len(self.y) // BLOCK)
         self._ready = True
 
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEAREST, without: np.ndarray | None = None
-                ) -> tuple[np.ndarray, np.ndarray]:
+    def frequent(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the frequent terms of each vector add to each example."""
+        if not self._ready:
+            self._invert()
+        asked = np.zeros((len(vectors), len(self.rows)), np.float32)
+        for i, (at, w) in enumerate(vectors):
+            row = self.row[at]
+            asked[i, row[row >= 0]] = w[row >= 0]
+        return asked @ self.rows
+
+    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEAREST, without: np.ndarray | None = None,
+                begun: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine above 0 (ties by place): exact.
-        ``without`` are places left out, however many they are."""
+        ``without`` are places left out, however many they are; ``begun`` is the
+        vector's row of ``frequent``, if it is at hand."""
         if not len(at) or not len(self.y):
             return np.zeros(0, int), np.zeros(0)
-        if not self._ready:
-            self._invert()
-        strong = np.argsort(-(w * self.most[at]), kind="stable")
-        at, w = at[strong], w[strong]
-        scores, done, upto = np.zeros(len(self.y)), 0, FIRST
-        live = np.ones(len(self.y), bool)
+        often = self.frequent([(at, w)])[0] if begun is None else begun
+        row = self.row[at]
+        left = row < 0
+        term, tw = at[left], w[left]
+        if len(term) > FIRST:  # the strongest first
+            strong = np.argsort(-(tw * self.most[term]), kind="stable")
+            term, tw = term[strong], tw[strong]
+        added, done, upto = np.zeros(len(self.y)), 0, FIRST
         if without is not None:
-            live[without] = False
+            added[without] = -np.inf  # whatever is added
         while True:
             some = slice(done, upto)
-            i, share = _ranges(self.pstart, at[some], w[some])
-            scores += np.bincount(self.place[i], share * self.pw[i], len(self.y))
+            i, share = _ranges(self.pstart, term[some], tw[some])
+            added += np.bincount(self.place[i], share * self.pw[i], len(self.y))
             done, upto = upto, 2 * upto
-            # what the other terms can add, by block
-            i, share = _ranges(self.bstart, at[done:], w[done:])
-            rest = np.bincount(self.block[i], share * self.peak[i], self.blocks)
-            reach = np.where(live, scores + np.repeat(rest, BLOCK)[:len(scores)], 0.0)
-            sure = np.where(live, scores, 0.0)
-            least = np.partition(sure, -k)[-k] if len(sure) >= k else 0.0
-            place = np.flatnonzero((reach > 0) & (reach >= least - 1e-9))
-            if len(place) <= FINISH or done >= len(at):
+            scores = reach = added + often
+            if done < len(term):  # what the other terms can add, by block
+                i, share = _ranges(self.bstart, term[done:], tw[done:])
+                rest = np.bincount(self.block[i], share * self.peak[i], self.blocks)
+                reach = scores + np.repeat(rest, BLOCK)[:len(scores)]
+            least = max(0.0, np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
+            # either side may be off by its rounding
+            place = np.flatnonzero((reach > 0) & (reach >= least * (1 - 2 * ROUNDING) - 1e-9))
+            if len(place) <= FINISH or done >= len(term):
                 break
-        self.query[at] = w
-        i, _ = _ranges(self.start, place, place)
-        part = self.query[self.at[i]] * self.w[i]
-        ends = np.cumsum(self.start[place + 1] - self.start[place])
-        exact = np.add.reduceat(part, np.concatenate([[0], ends[:-1]])) if len(part) else np.zeros(0)
-        self.query[at] = 0
+        # the frequent terms again, in double precision, and those not added yet
+        rows = self.rows[row[~left][:, None], place]
+        exact = added[place] + (w[~left][:, None] * rows).sum(axis=0)
+        if done < len(term) and len(place):
+            self.query[term[done:]] = tw[done:]
+            i, _ = _ranges(self.start, place, place)
+            ends = np.cumsum(self.start[place + 1] - self.start[place])
+            exact += np.add.reduceat(self.query[self.at[i]] * self.w[i], np.concatenate([[0], ends[:-1]]))
+            self.query[term[done:]] = 0
         top = np.lexsort((place, -exact))[:k]
         top = top[exact[top] > 0]
         return place[top], exact[top]
@@ -201,11 +269,15 @@ class Index:
         """Cosine-weighted share of toxic neighbours, with a little prior."""
         return (float((score * self.y[place]).sum()) + PRIOR_WEIGHT * self.prior) / (float(score.sum()) + PRIOR_WEIGHT)
 
-    def score(self, text: str | None) -> tuple[float, list, list]:
-        place, cosine = self.nearest(*self.words.vector(text))
+    def scores(self, texts: list[str | None]) -> Iterator[tuple[float, list, list]]:
+        """Per text: score, ids and cosines of its neighbours."""
         a, b = self.curve
-        logit = a * _logit(self.vote(place, cosine)) + b
-        return 1 / (1 + math.exp(-logit)), [self.ids[p] for p in place], [float(c) for c in cosine]
+        for i in range(0, len(texts), TOGETHER):
+            vectors = [self.words.vector(t) for t in texts[i:i + TOGETHER]]
+            for (at, w), begun in zip(vectors, self.frequent(vectors), strict=True):
+                place, cosine = self.nearest(at, w, begun=begun)
+                logit = a * _logit(self.vote(place, cosine)) + b
+                yield 1 / (1 + math.exp(-logit)), [self.ids[p] for p in place], [float(c) for c in cosine]
 
     def calibrate(self, weight: np.ndarray) -> None:
         """Logistic curve over leave-one-out votes; ``weight`` undoes the
@@ -249,24 +321,25 @@ def _ranges(start: np.ndarray, which: np.ndarray, value: np.ndarray) -> tuple[np
 
 def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: term → texts of each label, and examples, that have it (summed in the task)."""
-    seen: dict[str, list[int]] = {}
+    numbers, counts = Numbers([]), np.zeros((1024, 3), np.int64)
     for b in batches:
         for text, toxic, picked in zip(*[b.column(c).to_pylist() for c in ("text", "toxic", "picked")], strict=True):
-            words = set(_WORD.findall((text or "").lower()))
-            for t in {t for w in words for t in terms(w)}:
-                n = seen.setdefault(t, [0, 0, 0])
-                n[toxic] += 1
-                n[2] += picked
-        if len(seen) > 500_000:
-            yield _pack(seen)
-            seen.clear()
-    if seen:
-        yield _pack(seen)
-
-
-def _pack(seen: dict[str, list[int]]) -> pa.RecordBatch:
-    counts = np.array(list(seen.values()), np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *[pa.array(counts[:, k]) for k in range(3)]],
+            at = np.unique(numbers.of(set(words_of(text))))
+            at = at[at >= 0]
+            while len(counts) < len(numbers.term):
+                counts = np.concatenate([counts, np.zeros_like(counts)])
+            counts[at, toxic] += 1
+            counts[at, 2] += picked
+            if len(numbers.term) > COUNTED:
+                yield _pack(numbers, counts)
+                numbers, counts = Numbers([]), np.zeros((1024, 3), np.int64)
+    if numbers.term:
+        yield _pack(numbers, counts)
+
+
+def _pack(numbers: Numbers, counts: np.ndarray) -> pa.RecordBatch:
+    n = len(numbers.term)
+    return pa.RecordBatch.from_arrays([pa.array(list(numbers.term), pa.string()), *[pa.array(counts[:n, k]) for k in range(3)]],
                                       names=["term", "clean", "toxic", "picked"])
 
 
@@ -345,8 +418,7 @@ def score(docs: DataFrame, index: Index | None, prior: float = 0.0) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             scores, near = [], []
-            for text in b.column("text").to_pylist():
-                s, ids, cosines = held.value.score(text)
+            for s, ids, cosines in held.value.scores(b.column("text").to_pylist()):
                 scores.append(s)
                 near.append([{"doc_id": i, "cosine": c} for i, c in zip(ids, cosines, strict=True)])
             yield pa.RecordBatch.from_arrays(
