@@ -22,6 +22,25 @@ def _bytes(path):
     return {p: os.path.getsize(p) for p in glob.glob(f"{path}/*/set=*/bucket=*/*.parquet")}
 
 
+def test_postings_are_made_inside_the_row(spark, tmp_path):
+    """No shuffle by term; rows with the same keys (null too) are one document."""
+    rows = [("1", 0, "b a b"), ("1", 1, "É e"), ("2", 0, ""), ("3", 0, None), (None, None, "a")]
+    df = lambda r: spark.createDataFrame(r, "session_id string, turn_idx int, text string").repartition(64)
+    got = lambda p: sorted(((r["term"], r["session_id"], r["turn_idx"], r["tf"], r["positions"], r["doc_len"])
+                            for r in p.collect()), key=str)
+    alone = [("a", "1", 0, 1, [1], 3), ("a", None, None, 1, [0], 1), ("b", "1", 0, 2, [0, 2], 3), ("e", "1", 1, 2, [0, 1], 2)]
+    p = FT.build_postings(df(rows))
+    assert got(p) == sorted(alone, key=str)
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Exchange") <= 2  # the rows dealt out by the test and ``spread``
+    twice = FT.build_postings(df(rows + rows))
+    assert got(twice) == sorted([(t, s, i, 2 * n, sorted(2 * at), ln) for t, s, i, n, at, ln in alone], key=str)
+    path = str(tmp_path)
+    FT.FullTextIndex.build(df(rows)).write(path)
+    assert got(FT.FullTextIndex.read(spark, path).postings) == sorted(alone, key=str)
+    assert not glob.glob(f"{path}/_kept-*")
+
+
 def test_updates_equal_a_rebuild(spark, tmp_path):
     path, turns = str(tmp_path), D.turns(spark, SF_SMALL).select("session_id", "turn_idx", "text")
     now = turns.filter("session_id not in ('3', '4')")

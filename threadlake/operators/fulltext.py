@@ -51,20 +51,32 @@ def tokens(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text")
 def build_postings(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
     """Inverted index with positions.
 
-    All tokens of a document live in one input partition, so the partial
-    (map-side) aggregation already produces the final (doc, term) rows and the
-    shuffle carries one row per posting, not one per token.  When the input
-    had to be spread by document key first, the aggregation reuses that
-    partitioning and no second exchange is planned.
+    The postings of a row are made from its sorted tokens, inside the row: no
+    shuffle by term.  Rows with the same keys are one document: where there are
+    such rows (a count of the keys alone, run at once), their postings are merged.
     """
-    toks = spread(docs.select(*keys, text_col), keys).select(*keys, tokenize(F.col(text_col)).alias("_toks"))
-    exploded = toks.select(*keys, F.size("_toks").alias("doc_len"),
-                           F.posexplode_outer("_toks").alias("pos", "term")).filter(F.col("term").isNotNull())
-    return (exploded.groupBy("term", *keys)
-            .agg(F.count(F.lit(1)).cast("int").alias("tf"),
-                 F.array_sort(F.collect_list("pos")).alias("positions"),
-                 F.first("doc_len").cast("int").alias("doc_len"))
-            .withColumns({"term_bucket": term_bucket(F.col("term")), "block": doc_block(F.col(keys[0]), F.col("doc_len"))}))
+    out = _row_postings(spread(docs.select(*keys, F.col(text_col).alias("_text")), keys), keys)
+    if not docs.groupBy(*keys).count().filter("count > 1").isEmpty():
+        out = out.groupBy("term", *keys).agg(
+            F.sum("tf").cast("int").alias("tf"), F.array_sort(F.flatten(F.collect_list("positions"))).alias("positions"),
+            F.first("doc_len").alias("doc_len"))
+    return out.withColumns({"term_bucket": term_bucket(F.col("term")), "block": doc_block(F.col(keys[0]), F.col("doc_len"))})
+
+
+def _row_postings(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Postings of each row (<keys>, _text) by itself: its (token, position) pairs
+    are sorted, and every run of a token is a posting."""
+    split = rows.select(*keys, tokenize(F.col("_text")).alias("_toks"))
+    pairs = split.select(*keys, F.size("_toks").alias("doc_len"), F.array_sort(F.transform(
+        "_toks", lambda t, i: F.struct(t.alias("term"), i.alias("pos")))).alias("_pairs"))
+    begins = F.filter(F.transform("_pairs", lambda p, i: F.when(
+        (i == 0) | (F.get("_pairs", i - 1)["term"] != p["term"]), i)), lambda i: i.isNotNull())
+    pairs = pairs.withColumn("_begins", begins)
+    ends = lambda i: F.coalesce(F.get("_begins", i + 1), F.size("_pairs"))
+    runs = F.transform("_begins", lambda b, i: F.struct(F.get("_pairs", b)["term"].alias("term"), F.transform(
+        F.slice("_pairs", b + 1, ends(i) - b), lambda p: p["pos"]).alias("positions")))
+    out = pairs.select(*keys, "doc_len", F.explode(runs).alias("_run"))
+    return out.select("_run.term", *keys, F.size("_run.positions").alias("tf"), "_run.positions", "doc_len")
 
 
 def term_bucket(term) -> F.Column:
@@ -137,7 +149,9 @@ def doc_range(key) -> F.Column:
 
 def _sum_of(*cols) -> list[F.Column]:
     """Rows and order-free sum of their 64-bit hashes."""
-    return [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*cols).cast("decimal(20,0)")).alias("h")]
+    h = F.xxhash64(*cols)  # in halves: sums of longs, put together once per group
+    halves = [F.sum(x).cast("decimal(28,0)") for x in (F.shiftright(h, 32), h.bitwiseAND(0xFFFFFFFF))]
+    return [F.count(F.lit(1)).alias("n"), (halves[0] * F.lit(2 ** 32).cast("decimal(10,0)") + halves[1]).cast("decimal(30,0)").alias("h")]
 
 
 def text_sums(docs: DataFrame, keys: list[str] = DOC_KEYS, text_col: str = "text") -> DataFrame:
@@ -192,7 +206,9 @@ class FullTextIndex:
         spark, keys = self.postings.sparkSession, list(self.keys)
         gen = lambda df: df.withColumn("bucket", F.lit("g0"))
         order = {"postings": ["term", "block", *keys], "block_max": ["term", "block"], "term_stats": ["term"]}
-        number = store.publish(spark, path, {"postings": gen(self.postings.drop("term_bucket"))}, order)
+        # sorting by range reads its input twice (once for the bounds): the texts are tokenized once
+        with store.kept(self.postings.drop("term_bucket"), path) as made:
+            number = store.publish(spark, path, {"postings": gen(made)}, order)
         written = store.read(spark, path, "postings").drop("bucket")
         gone = written.select(keys[0]).limit(0)
         corpus = cut_lineage(corpus_from_postings(self.docs, written) if self.docs is not None else self.corpus)

@@ -27,7 +27,9 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -148,6 +150,18 @@ def publish(spark: SparkSession, base: str, tables: dict[str, DataFrame], order:
     return number
 
 
+@contextmanager
+def kept(df: DataFrame, base: str) -> Iterator[DataFrame]:
+    """``df`` written once beside the tables, for steps that read it more than
+    once; its files go at the end."""
+    spark, path = df.sparkSession, f"{base.rstrip('/')}/_kept-{uuid.uuid4().hex[:8]}"
+    df.write.options(**BY_TASK).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _fs(spark, path).delete(_path(spark, path), True)
+
+
 def upsert(spark: SparkSession, base: str, key: str, new: dict[str, DataFrame], gone: DataFrame,
            order: dict[str, list[str]]) -> tuple[int, set[str]]:
     """Replace by key (S5): in all tables the rows of every key in ``gone`` and
