@@ -1057,7 +1057,7 @@ def _export_jsonl(spark, sf):
 
 def _ingested(spark, sf):
     from threadlake.sources import jsonl as J
-    return J.ingest(spark, _export_jsonl(spark, sf), INDEXED_AT, per_node_dirs=True)
+    return J.ingest(spark, _export_jsonl(spark, sf), INDEXED_AT, per_node_dirs=True, materialize=True)
 
 
 INGEST_TURNS_SQL = f"""
@@ -1195,9 +1195,8 @@ def q_coverage_nodes(spark, sf):
     root = scratch_path(spark, "jsonl-nodes")
     EX.write_jsonl(EX.session_lines(D.turns(spark, sf), D.sessions(spark, sf)), root)
     s = D.sessions(spark, sf).filter(F.col("session_id").cast("long") % 10 == 0)
-    empty = s.select(F.concat(F.lit(f"{root}/"), F.coalesce("node", F.lit("local")), F.lit("/"), "project", F.lit("/e"),
-                              "session_id", F.lit(".jsonl")))
-    EX.touch(spark, [r[0] for r in empty.collect()])
+    EX.touch(s.select(F.coalesce("node", F.lit("local")).alias("node"), "project",
+                      F.concat(F.lit("e"), "session_id").alias("session_id")), root)
     roster = spark.createDataFrame([(n,) for n in ROSTER], "node string")
     return J.node_coverage(J.list_files(spark, root, per_node_dirs=True), roster)
 
@@ -1211,7 +1210,7 @@ def q_upsert(spark, sf):
     stale) is brought up to date by replacing the changed sessions."""
     from threadlake.sources import jsonl as J
     root = _export_jsonl(spark, sf)
-    fresh = J.ingest(spark, root, INDEXED_AT, per_node_dirs=True)["sessions"]
+    fresh = J.ingest(spark, root, INDEXED_AT, per_node_dirs=True, materialize=True)["sessions"]
     stale = F.col("session_id").cast("long") % 5 == 0
     old = fresh.select(
         "session_id", "project", F.when(stale, F.lit("stale title")).otherwise(F.col("ai_title")).alias("ai_title"),
@@ -1336,7 +1335,8 @@ def _digest(spark, sf, tool_results=False):
     from threadlake.sources import jsonl as J
     root = scratch_path(spark, "jsonl-export")
     EX.write_jsonl(EX.session_lines(D.turns(spark, sf), D.sessions(spark, sf), tool_results), root)
-    msgs, tools = J.digest_inputs(J.ingest(spark, root, INDEXED_AT, per_node_dirs=True)["records"])
+    read = J.ingest(spark, root, INDEXED_AT, per_node_dirs=True, materialize=True, with_records=True)
+    msgs, tools = J.digest_inputs(read["records"])
     return DG.session_digest(msgs, tools)
 
 

@@ -1,7 +1,8 @@
 """Write transcript files from the model tables (test and bench fixtures).
 
-Spark builds every JSON line (``to_json``) and writes the files; the driver only
-renames them.
+Spark builds every JSON line (``to_json``).  On a shared folder (``file:``) the tasks
+write the files under their own names, and the driver learns their number only;
+in other stores Spark's text writer does, and the driver renames what it made.
 
 Line shapes (fixed rules):
 
@@ -14,14 +15,18 @@ Line shapes (fixed rules):
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadlake.session import ship_package
+
 
 def session_lines(turns: DataFrame, sessions: DataFrame, tool_results: bool = False) -> DataFrame:
     """(session_id, node, project, pos, line) for the JSONL export.  With
@@ -106,23 +111,96 @@ def _named_files(df: DataFrame, key: list[str], root: str, name) -> None:
         list(pool.map(move, moves))
 
 
+#: How Spark names the folder of a key without a value, and what it escapes in one.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
+
+def _part_of_name(value: str | None) -> str:
+    return ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", value) if value else NO_VALUE
+
+
+def shared_folder(spark: SparkSession, root: str) -> str | None:
+    """The path of a folder that every task can reach as a file (``file:``), or
+    None in other stores."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
+def _put_files(root: str, suffix: str, lines: bool = True):
+    """For ``mapInArrow`` over rows sorted by their key (all columns but ``value``):
+    a task writes each key's file line by line, and gives it its name when it is
+    whole.  A task that is run again replaces its files by the same."""
+    def put(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        key = part = out = None
+        made, folders = 0, set()
+
+        def close() -> None:
+            if out:
+                out.close()
+                os.replace(part, f"{root}/{'/'.join(key)}{suffix}")
+
+        try:
+            for batch in batches:
+                *keys, values = (c.to_pylist() for c in batch.columns)
+                for *now, value in zip(*keys, values):
+                    now = [_part_of_name(x) for x in now]
+                    if now != key:
+                        close()
+                        out = None
+                        folder = "/".join([root, *now[:-1]])
+                        if folder not in folders:
+                            os.makedirs(folder, exist_ok=True)
+                            folders.add(folder)
+                        key, part = now, f"{folder}/.{uuid.uuid4().hex}"
+                        out = open(part, "wb")
+                        made += 1
+                    if lines:
+                        out.write((value or b"") + b"\n")
+            close()
+            out = None
+        finally:
+            if out:  # half written
+                out.close()
+                os.unlink(part)
+        yield pa.RecordBatch.from_pydict({"files": pa.array([made], pa.int64())})
+    return put
+
+
 def write_jsonl(lines: DataFrame, root: str) -> None:
     """One ``<root>/<node>/<project>/<session>.jsonl`` per session."""
     key = ["node", "project", "session_id"]
     rows = lines.repartition(*key).sortWithinPartitions(*key, "pos").select(*key, F.col("line").alias("value"))
-    _named_files(rows, key, root, lambda node, project, sid: f"{node}/{project}/{sid}.jsonl")
-
-
-def touch(spark: SparkSession, names: list[str]) -> None:
-    """Files without a byte."""
+    folder = shared_folder(lines.sparkSession, root)
+    if folder is None:
+        _named_files(rows, key, root, lambda node, project, sid: f"{node}/{project}/{sid}.jsonl")
+        return
+    ship_package(lines.sparkSession)
+    os.makedirs(folder, exist_ok=True)  # also when there is no session
+    rows = rows.withColumn("value", F.col("value").cast("binary"))
+    rows.mapInArrow(_put_files(folder, ".jsonl"), "files long").agg(F.sum("files")).collect()
+
+
+def touch(files: DataFrame, root: str) -> None:
+    """A file without a byte, ``<root>/<node>/<project>/<session>.jsonl``, for each row."""
+    spark, key = files.sparkSession, ["node", "project", "session_id"]
+    folder = shared_folder(spark, root)
+    if folder is not None:
+        ship_package(spark)
+        rows = files.select(*key, F.lit(None).cast("binary").alias("value")).repartition(*key).sortWithinPartitions(*key)
+        rows.mapInArrow(_put_files(folder, ".jsonl", lines=False), "files long").agg(F.sum("files")).collect()
+        return
     path, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
 
-    def make(name: str) -> None:
-        where = path(name)
+    def make(row) -> None:
+        where = path(f"{root.rstrip('/')}/{'/'.join(map(_part_of_name, row))}.jsonl")
         where.getFileSystem(conf).create(where).close()
 
     with ThreadPoolExecutor(AT_ONCE) as pool:
-        list(pool.map(make, names))
+        list(pool.map(make, files.select(*key).toLocalIterator()))
 
 
 def chat_objects(turns: DataFrame, sessions: DataFrame) -> DataFrame:

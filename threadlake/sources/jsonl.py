@@ -9,7 +9,9 @@ survives files split over several read partitions.
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +20,9 @@ from threadlake.functions.content import flatten_content, is_object, vget
 from threadlake.functions.indexing import number_in_files
 from threadlake.functions.text import full_trim
 from threadlake.operators.sessions import one_row_join
-from threadlake.session import cut_lineage
+from threadlake.session import settings, ship_package, stored
 from threadlake.sources import store
+from threadlake.sources.export import shared_folder
 
 KEEP_TYPES = ("user", "assistant", "ai-title")
 DEFAULT_NODE, DEFAULT_SOURCE = "local", "code"
@@ -41,11 +44,22 @@ NO_TIME = "1970-01-01 00:00:00"
 
 def list_files(spark: SparkSession, root: str, per_node_dirs: bool = False, node: str | None = None) -> DataFrame:
     """S1 / S7 / S10 without reading: one row per ``*.jsonl`` file under
-    ``root``.  The content column of the binary source is never asked for, so no
-    file is opened.  Its scan leaves out files without a byte; they are in the
-    listing that Spark makes for it, and are added from there (0 bytes, time
-    ``NO_TIME``); the names come to Python only when there are such files.  Output: file_path (as scans have it), plain_path (not
+    ``root``, listed once; no file is opened.  A shared folder (``file:``) is listed
+    by tasks, folder by folder, and the driver holds no name of a file; other stores by Spark
+    (``_listed_by_spark``).  A file without a byte has 0 bytes and the time
+    ``NO_TIME``.  Output: file_path (as scans have it), plain_path (not
     encoded), file_mtime, bytes, session_id, project, node."""
+    folder = shared_folder(spark, root) if not re.search(r"[\\*?\[\]{}]", root) else None
+    df = _listed_by_spark(spark, root) if folder is None or not os.path.isdir(folder) else _listed_by_tasks(
+        spark, folder, 2 if per_node_dirs else 1)
+    return stored(df.select("*", *_path_columns(F.col("file_path"), per_node_dirs, node)), "files")
+
+
+def _listed_by_spark(spark: SparkSession, root: str) -> DataFrame:
+    """The content column of the binary source is never asked for, so no
+    file is opened.  Its scan leaves out files without a byte; they are in the
+    listing that Spark makes for it on the driver, and are added from there; the
+    names come to Python only when there are such files."""
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl")
           .load(root).select(F.col("_metadata.file_path").alias("file_path"), F.col("path").alias("plain_path"),
                              F.col("_metadata.file_modification_time").alias("file_mtime"),
@@ -57,7 +71,82 @@ def list_files(spark: SparkSession, root: str, per_node_dirs: bool = False, node
             "file_path", F.col("file_path").alias("plain_path"), F.lit(NO_TIME).cast("timestamp").alias("file_mtime"),
             F.lit(0).cast("long").alias("bytes"))
         df = df.unionByName(empty)
-    return df.select("*", *_path_columns(F.col("file_path"), per_node_dirs, node))
+    return df
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's own listing leaves out."""
+    return (name.startswith(".") or name.endswith("._COPYING_")
+            or name.startswith("_") and "=" not in name and not name.startswith(("_metadata", "_common_metadata")))
+
+
+def _as_uri(path: str) -> str:
+    """``file:`` URI of a path as Java writes it: of the characters above 127 only
+    spaces and controls are escaped."""
+    def plain(c: str) -> bool:
+        return (c.isalnum() or c in "_-!.~'()*/:@&=+$,;") if c < "\x80" else not (c.isspace() or c < "\xa0")
+
+    return "file:" + "".join(c if plain(c) else "".join(f"%{b:02X}" for b in c.encode("utf-8", "surrogateescape")) for c in path)
+
+
+#: Names that a listing task gives out at a time.
+NAMES = 10_000
+
+
+def _list_folders(batches: Iterator) -> Iterator:
+    """For ``mapInArrow`` over (folder, deep): path, time in ms and size of the
+    ``*.jsonl`` files of each folder, and below it with ``deep``."""
+    import pyarrow as pa
+
+    names = ["file_path", "plain_path", "ms", "bytes"]
+    rows: list[tuple] = []
+    batch = lambda: pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], names)
+    for b in batches:
+        todo = list(zip(*(c.to_pylist() for c in b.columns)))
+        while todo:
+            folder, deep = todo.pop()
+            with os.scandir(folder) as entries:
+                for e in entries:
+                    if _hidden(e.name):
+                        continue
+                    if e.is_dir():
+                        if deep:
+                            todo.append((e.path, True))
+                    elif e.name.endswith(".jsonl"):
+                        s, uri = e.stat(), _as_uri(e.path)
+                        rows.append((uri, f"file:{e.path}" if s.st_size else uri, s.st_mtime_ns // 1_000_000, s.st_size))
+                        if len(rows) == NAMES:
+                            yield batch()
+                            rows.clear()
+    yield batch()
+
+
+def _listed_by_tasks(spark: SparkSession, root: str, levels: int) -> DataFrame:
+    """The driver lists the ``levels`` folders that lie above the files, tasks the
+    files, each folder with what is below it."""
+    ship_package(spark)
+    folders = [root]
+    todo: list[tuple[str, bool]] = []
+    for _ in range(levels):
+        todo += [(f, False) for f in folders]
+        below = []
+        for f in folders:
+            with os.scandir(f) as entries:
+                below += [e.path for e in entries if e.is_dir() and not _hidden(e.name)]
+        folders = below
+    todo += [(f, True) for f in folders]
+    dealt = spark.createDataFrame(todo, "folder string, deep boolean").repartition(
+        min(len(todo), 4 * spark.sparkContext.defaultParallelism))
+    found = dealt.mapInArrow(_list_folders, "file_path string, plain_path string, ms long, bytes long")
+    time = F.when(F.col("bytes") > 0, F.timestamp_millis("ms")).otherwise(F.lit(NO_TIME).cast("timestamp"))
+    return found.select("file_path", "plain_path", time.alias("file_mtime"), "bytes")
+
+
+#: For scans of many small files: what opening one costs in bytes read (Spark's 4 MB would
+#: make a task of every few files), and a listing without what the driver need not keep.
+SMALL_FILES = {"spark.sql.files.openCostInBytes": "65536", "spark.sql.sources.ignoreDataLocality": "true",
+               "spark.sql.hive.manageFilesourcePartitions": "false"}
 
 
 def scan_lines(spark: SparkSession, root: str | list[str], per_node_dirs: bool = False,
@@ -111,9 +200,10 @@ def narrow(records: DataFrame) -> DataFrame:
         F.when(is_msg, flatten_content(vget(v, "$.message.content", "variant"))).alias("text"))
 
 
-def parse_once(lines: DataFrame) -> DataFrame:
+def parse_once(lines: DataFrame, records: bool = False) -> DataFrame:
     """``narrow`` rows and set-aside lines (``bad``, ``reason``) in one table, so
-    that both come from a single pass over the files."""
+    that both come from a single pass over the files; with ``records`` also the
+    parsed line (``v``)."""
     text = full_trim(F.make_valid_utf8(F.col("raw")))
     x = lines.withColumn("line", text).filter(F.col("line") != "").withColumn("v", F.try_parse_json("line"))
     v, ok = F.col("v"), F.coalesce(is_object(F.col("v")), F.lit(False))
@@ -125,7 +215,8 @@ def parse_once(lines: DataFrame) -> DataFrame:
         F.when(F.col("kind") == "ai-title", vget(v, "$.aiTitle")).alias("title"),
         F.when(is_msg, flatten_content(vget(v, "$.message.content", "variant"))).alias("text"),
         F.when(~F.col("ok"), F.col("line")).alias("bad"),
-        F.when(v.isNull(), F.lit("malformed json")).when(~F.col("ok"), F.lit("not an object")).alias("reason"))
+        F.when(v.isNull(), F.lit("malformed json")).when(~F.col("ok"), F.lit("not an object")).alias("reason"),
+        *([F.when(F.col("ok"), v).alias("v")] if records else []))
 
 
 def _is_turn() -> F.Column:
@@ -175,17 +266,24 @@ def latest_file_per_session(sessions: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, root: str, indexed_at: str, per_node_dirs: bool = False,
-           node: str | None = None, materialize: bool = False) -> dict[str, DataFrame]:
+           node: str | None = None, materialize: bool = False, with_records: bool = False) -> dict[str, DataFrame]:
     """Full scan → {lines, records, quarantine, turns, sessions}.
 
-    With ``materialize`` the decoded per-line table is written once (reliable
-    checkpoint under spark.checkpoint.dir), so the files are read and parsed a
-    single time although turns and sessions both consume them."""
+    With ``materialize`` the decoded per-line table is written once (Parquet under
+    spark.checkpoint.dir), so the files are read and parsed a single time although
+    turns, sessions and quarantine all consume them; ``with_records`` keeps the
+    parsed lines in it for those who read ``records``."""
     lines = scan_lines(spark, root, per_node_dirs, node)
     records, bad = decode(lines)
-    nl = narrow(records)
     if materialize:
-        nl = cut_lineage(nl)
+        with settings(spark, SMALL_FILES):
+            parsed = stored(parse_once(scan_lines(spark, root, per_node_dirs, node), with_records), "parsed")
+        good = parsed.filter(F.col("bad").isNull()).drop("bad", "reason")
+        nl, bad = good.drop("v"), _set_aside(parsed)
+        if with_records:
+            records = good.select(records.columns)
+    else:
+        nl = narrow(records)
     sessions = latest_file_per_session(headers(nl, indexed_at))
     turns = to_turns(nl.join(sessions.select("file_path"), "file_path", "left_semi")).drop("file_path")
     # of two files of one name only the counted one speaks for the session
@@ -194,6 +292,12 @@ def ingest(spark: SparkSession, root: str, indexed_at: str, per_node_dirs: bool
             "sessions": sessions}
 
 
+def _set_aside(parsed: DataFrame) -> DataFrame:
+    """Quarantine of ``parse_once`` rows, as ``decode`` has it."""
+    return parsed.filter(F.col("bad").isNotNull()).select("file_path", "session_id", "block", "mid",
+                                                          F.col("bad").alias("line"), "reason")
+
+
 #: Sort order of the stored tables inside a bucket.
 ORDER = {"sessions": ["session_id"], "turns": ["session_id", "turn_idx"], "files": ["file_path"]}
 #: Changed files that are read by name, and those that are picked from the listing
@@ -229,22 +333,22 @@ def ingest_changes(spark: SparkSession, root: str, base: str, indexed_at: str, p
     goes; of two files of one name the newest (then the greatest path) counts.
     Returns files (the listing), changed, quarantine, sessions and turns (as
     stored now) and summary (S9)."""
-    files = cut_lineage(list_files(spark, root, per_node_dirs, node))
-    known, stored = store.read(spark, base, "files"), store.read(spark, base, "sessions")
+    files = list_files(spark, root, per_node_dirs, node)
+    known, had = store.read(spark, base, "files"), store.read(spark, base, "sessions")
     changed = files if known is None else files.join(known, ["file_path", "file_mtime"], "left_anti")
-    changed = cut_lineage(changed.select(files.columns))
-    parsed = cut_lineage(parse_once(read_changed(spark, root, changed, per_node_dirs, node, every=known is None)))
-    nl = parsed.filter(F.col("bad").isNull()).drop("bad", "reason")
-    bad = parsed.filter(F.col("bad").isNotNull()).select("file_path", "session_id", "block", "mid", F.col("bad").alias("line"), "reason")
+    changed = stored(changed.select(files.columns), "changed")
+    with settings(spark, SMALL_FILES):
+        parsed = stored(parse_once(read_changed(spark, root, changed, per_node_dirs, node, every=known is None)), "parsed")
+    nl, bad = parsed.filter(F.col("bad").isNull()).drop("bad", "reason"), _set_aside(parsed)
     new = latest_file_per_session(headers(nl, indexed_at))
-    before = stored if stored is not None else spark.createDataFrame([], new.schema)
+    before = had if had is not None else spark.createDataFrame([], new.schema)
     gone = before.join(changed.select("file_path"), "file_path", "left_semi").select("session_id")
-    if stored is not None:
+    if had is not None:
         rival = before.join(changed.select("file_path"), "file_path", "left_anti").select(
             "session_id", F.struct("file_mtime", "file_path").alias("_r"))
         new = new.join(rival, "session_id", "left").filter(
             F.col("_r").isNull() | (F.struct("file_mtime", "file_path") > F.col("_r"))).drop("_r")
-    new = cut_lineage(new.withColumn("bucket", store.session_bucket(F.col("started_at"), F.col("session_id"))))
+    new = stored(new.withColumn("bucket", store.session_bucket(F.col("started_at"), F.col("session_id"))), "sessions")
     text = nl.join(new.select("file_path"), "file_path", "left_semi")
     turns = to_turns(text).drop("file_path").join(new.select("session_id", "bucket"), "session_id")
     old = before.select("session_id", "file_mtime")  # of the set before: it stays readable for a while
